@@ -54,3 +54,18 @@ def previous_value(df: DataFrame, key: str, order: list[str], value: str, chunks
         .withColumn("previous", F.when(F.col("first_in_chunk"), F.col("carry")).otherwise(F.col("previous")))
         .drop("carry", "first_in_chunk", "chunk")
     )
+
+
+def row_numbers(df: DataFrame, key: str, order: list[str], name: str, chunks: int | None = None) -> DataFrame:
+    """``df`` with the row number (from 1) within ``key`` in a column ``name``."""
+    split = ordered_chunks(df, key, order, chunks)
+    inside = Window.partitionBy(key, "chunk").orderBy(*order)
+    sizes = split.groupBy(key, "chunk").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = carried(sizes, key, F.sum("size").over(earlier))
+    return (
+        split.withColumn(name, F.row_number().over(inside).cast("long"))
+        .join(F.broadcast(before), [key, "chunk"], "left")
+        .withColumn(name, F.col(name) + F.coalesce("carry", F.lit(0)))
+        .drop("carry", "chunk")
+    )
