@@ -7,6 +7,9 @@ distinct, because every duplicate of a link sits in the same row.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,110 +63,105 @@ def _page(url: Column, html: Column) -> Column:
     return F.struct(url_parts(url).alias("base"), H.without_noise(html).alias("html"))
 
 
-def _with_anchors(page: Column) -> Column:
-    """``page`` with its anchors, each with its target."""
-    found = F.transform(
-        anchors(page["html"]),
-        lambda a: F.struct(
-            a["pos"].alias("pos"),
-            a["href"].alias("href"),
-            a["text"].alias("text"),
-            join_url(page["base"], a["href"]).alias("target_url"),
-        ),
-    )
-    return F.struct(page["base"].alias("base"), page["html"].alias("html"), found.alias("anchors"))
+def _link(kind: Column, pos: Column, href: Column, text: Column) -> Column:
+    return F.struct(kind.alias("kind"), pos.alias("pos"), href.alias("href"), text.alias("text"))
 
 
-def _link(kind: str, pos: Column, href: Column, text: Column, target: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        pos.alias("pos"),
-        href.alias("href"),
-        text.alias("text"),
-        target.alias("target_url"),
-    )
-
-
-def _anchor_links(page: Column) -> Column:
+def _anchor_links(found: Column) -> Column:
     """One link per plain anchor, and one per quoted document path of a script anchor."""
     def of(a: Column) -> Column:
         paths = F.filter(
             F.regexp_extract_all(a["href"], F.lit(_SCRIPT_PATH), F.lit(1)),
             lambda p: p.contains("/") | p.startswith("http"),
         )
-        scripted = F.transform(
-            paths, lambda p: _link("script", a["pos"], p, a["text"], join_url(page["base"], p))
-        )
-        plain = F.array(_link("anchor", a["pos"], a["href"], a["text"], a["target_url"]))
-        skipped = a["href"].startswith("#") | (F.trim(a["href"]) == "")
-        return F.when(a["href"].startswith("javascript:"), scripted).when(~skipped, plain).otherwise(
-            F.filter(plain, lambda _: F.lit(False))
+        scripted = F.transform(paths, lambda p: _link(F.lit("script"), a["pos"], p, a["text"]))
+        inside_page = a["href"].startswith("#") | (F.trim(a["href"]) == "")
+        kind = F.when(inside_page, F.lit("fragment")).otherwise(F.lit("anchor"))
+        return F.when(a["href"].startswith("javascript:"), scripted).otherwise(
+            F.array(_link(kind, a["pos"], a["href"], a["text"]))
         )
 
-    return F.flatten(F.transform(page["anchors"], of))
+    return F.flatten(F.transform(found, of))
 
 
-def _attribute_links(kind: str, page: Column, tags: Column, attribute: str) -> Column:
-    raw = F.transform(tags, lambda t, pos: F.struct(pos.alias("pos"), H.raw_attribute(t, attribute).alias("value")))
-    values = F.transform(
-        F.filter(raw, lambda r: r["value"] != ""),
-        lambda r: F.struct(r["pos"].alias("pos"), H.attribute_value(r["value"]).alias("href")),
-    )
+def _attribute_links(tags: Column) -> Column:
+    """Links of (kind, raw value) pairs."""
     return F.transform(
-        values, lambda v: _link(kind, v["pos"], v["href"], F.lit(""), join_url(page["base"], v["href"]))
+        F.filter(tags, lambda t: t["raw"] != ""),
+        lambda t, pos: _link(t["kind"], pos, H.attribute_value(t["raw"]), F.lit("")),
     )
 
 
+def _tagged(kind: str, tags: Column, attribute: str) -> Column:
+    return F.transform(tags, lambda t: F.struct(F.lit(kind).alias("kind"), H.raw_attribute(t, attribute).alias("raw")))
+
+
 def _all_links(page: Column) -> Column:
     frames = F.when(_lower_contains(page["html"], "<iframe"), H.elements(page["html"], "iframe")).otherwise(
         F.array().cast("array<string>")
     )
-    found = F.concat(
-        _anchor_links(page),
-        _attribute_links("frame", page, frames, "src"),
-        _attribute_links("data", page, H.elements_with(page["html"], "data-url"), "data-url"),
+    raw = F.concat(
+        _anchor_links(anchors(page["html"])),
+        _attribute_links(_tagged("frame", frames, "src")),
+        _attribute_links(_tagged("data", H.elements_with(page["html"], "data-url"), "data-url")),
     )
-    return F.transform(found, _through_viewer)
-
-
-def link_array(url: Column, html: Column) -> Column:
-    """Array of (kind, pos, href, text, target_url) of one page.
-
-    Order: anchors with script links in their places, then frames, then data
-    attributes. A viewer link is replaced by the document it shows.
-    """
-    return let(let(_page(url, html), _with_anchors), _all_links)
+    resolved = F.transform(
+        raw,
+        lambda link: F.struct(
+            *[link[name].alias(name) for name in ("kind", "pos", "href", "text")],
+            join_url(page["base"], link["href"]).alias("address"),
+        ),
+    )
+    return F.transform(resolved, _through_viewer)
 
 
 def _through_viewer(link: Column) -> Column:
     """Replace a viewer's address by the document in its ``file`` parameter."""
     viewer = (link["kind"] == "anchor") & (
-        _lower_contains(link["target_url"], "viewer.html") | _lower_contains(link["target_url"], "pdfjs")
+        _lower_contains(link["address"], "viewer.html") | _lower_contains(link["address"], "pdfjs")
     )
-    shown = F.regexp_extract(query(link["target_url"]), r"(?:^|&)file=([^&]+)", 1)
+    shown = F.regexp_extract(query(link["address"]), r"(?:^|&)file=([^&]+)", 1)
     # The parameter is decoded as form data, and what it holds once more as a URL.
     document = percent_decode(percent_decode(shown, plus_is_space=True))
 
     def target(found: Column) -> Column:
-        absolute = F.when(found.startswith("http"), found).otherwise(
-            join_url(url_parts(link["target_url"]), found)
+        shown_document = F.when(found.startswith("http"), found).otherwise(
+            join_url(url_parts(link["address"]), found)
         )
         return F.struct(
             F.when(found != "", F.lit("viewer")).otherwise(link["kind"]).alias("kind"),
-            link["pos"].alias("pos"),
-            link["href"].alias("href"),
-            link["text"].alias("text"),
-            F.when(found != "", absolute).otherwise(link["target_url"]).alias("target_url"),
+            *[link[name].alias(name) for name in ("pos", "href", "text", "address")],
+            F.when(found != "", shown_document).otherwise(link["address"]).alias("target_url"),
         )
 
     return let(F.when(viewer, document).otherwise(F.lit("")), target)
 
 
+def link_array(url: str = "url", html: str = "html") -> Column:
+    """Array of (kind, pos, href, text, address, target_url) of one page.
+
+    Order: anchors with script links in their places, then frames, then data
+    attributes. ``address`` is the resolved href; ``target_url`` differs from
+    it for a viewer link, where it is the document shown. Links inside the
+    page have kind ``fragment``.
+
+    The expression is large and depends on the two names only, so it is built
+    once per JVM and not once per query.
+    """
+    return _link_array(url, html, id(SparkContext._gateway))
+
+
+@lru_cache(maxsize=16)
+def _link_array(url: str, html: str, _gateway: int) -> Column:
+    return let(_page(F.col(url), F.col(html)), _all_links)
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """All links: page_url, kind, pos, href, text, target_url."""
-    return pages.select(
-        F.col("url").alias("page_url"), F.explode(link_array(F.col("url"), F.col("html"))).alias("link")
-    ).select("page_url", "link.*")
+    outward = F.filter(link_array(), lambda link: link["kind"] != "fragment")
+    return pages.select(F.col("url").alias("page_url"), F.explode(outward).alias("link")).select(
+        "page_url", "link.kind", "link.pos", "link.href", "link.text", "link.target_url"
+    )
 
 
 def same_site(page_url: Column, target_url: Column) -> Column:
@@ -186,21 +184,21 @@ def _distinct_documents(links: Column, rules: list[LinkRule]) -> Column:
     documents = F.filter(
         links,
         lambda link: (link["kind"] == "viewer")
-        | classify(link["target_url"], link["text"], rules).isNotNull(),
+        | ((link["kind"] != "fragment") & classify(link["target_url"], link["text"], rules).isNotNull()),
     )
     return F.array_distinct(F.transform(documents, lambda link: link["target_url"]))
 
 
-def document_array(url: Column, html: Column, rules: list[LinkRule] | None = None) -> Column:
-    """Distinct document targets of a page in order of first appearance."""
-    return _distinct_documents(link_array(url, html), document_rules() if rules is None else rules)
+def document_array(rules: list[LinkRule] | None = None) -> Column:
+    """Distinct document targets of a page (url, html) in order of first appearance."""
+    return _distinct_documents(link_array(), document_rules() if rules is None else rules)
 
 
 def document_links(pages: DataFrame, rules: list[LinkRule] | None = None) -> DataFrame:
     """Document links of each page: page_url, ord, target_url."""
     return pages.select(
         F.col("url").alias("page_url"),
-        F.posexplode(document_array(F.col("url"), F.col("html"), rules)).alias("ord", "target_url"),
+        F.posexplode(document_array(rules)).alias("ord", "target_url"),
     )
 
 
@@ -212,12 +210,14 @@ def search_result_links(results: DataFrame, rules: list[LinkRule] | None = None)
     rules = document_rules() if rules is None else rules
 
     def collect(page: Column) -> Column:
-        hits = F.filter(
-            page["anchors"], lambda a: classify(a["target_url"], a["text"], rules).isNotNull()
+        targets = F.transform(
+            anchors(page["html"]),
+            lambda a: F.struct(a["text"].alias("text"), join_url(page["base"], a["href"]).alias("target_url")),
         )
+        hits = F.filter(targets, lambda a: classify(a["target_url"], a["text"], rules).isNotNull())
         return F.array_distinct(F.transform(hits, lambda a: a["target_url"]))
 
-    page = let(_page(F.col("url"), F.col("html")), _with_anchors)
+    page = _page(F.col("url"), F.col("html"))
     return results.select(F.col("url").alias("page_url"), F.explode(let(page, collect)).alias("target_url"))
 
 
@@ -286,20 +286,23 @@ def hidden_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def _archive_targets(page: Column, words: list[str], year_pattern: str) -> Column:
+def _archive_targets(found: Column, site: Column, words: list[str], year_pattern: str) -> Column:
     speaking = F.filter(
-        page["anchors"],
+        found,
         lambda a: contains_any(F.lower(a["text"]), words)
         | contains_any(F.lower(a["href"]), words)
         | a["text"].rlike(f"(?U){year_pattern}")
         | a["href"].rlike(f"(?U){year_pattern}"),
     )
-    return _same_site_targets(page, speaking)
+    return _anchor_addresses(speaking, site)
 
 
-def _same_site_targets(page: Column, found: Column) -> Column:
-    inside = F.filter(found, lambda a: authority(a["target_url"]) == page["base"]["authority"])
-    return F.array_distinct(F.transform(inside, lambda a: a["target_url"]))
+def _anchor_addresses(found: Column, site: Column) -> Column:
+    """Distinct addresses of anchors that stay on the site, as written on the page."""
+    inside = F.filter(
+        found, lambda a: a["kind"].isin("anchor", "viewer", "fragment") & (authority(a["address"]) == site)
+    )
+    return F.array_distinct(F.transform(inside, lambda a: a["address"]))
 
 
 def archive_links(
@@ -307,11 +310,11 @@ def archive_links(
 ) -> DataFrame:
     """Links of the same site into archive sections or to a year, distinct per page."""
     words = ARCHIVE_WORDS if words is None else words
-    page = let(_page(F.col("url"), F.col("html")), _with_anchors)
-    return pages.select(
-        F.col("url").alias("page_url"),
-        F.posexplode(let(page, lambda p: _archive_targets(p, words, year_pattern))).alias("ord", "target_url"),
+    found = let(
+        link_array(),
+        lambda links: _archive_targets(links, authority(F.col("url")), words, year_pattern),
     )
+    return pages.select(F.col("url").alias("page_url"), F.posexplode(found).alias("ord", "target_url"))
 
 
 def page_facts(pages: DataFrame, rules: list[LinkRule] | None = None) -> DataFrame:
@@ -321,24 +324,22 @@ def page_facts(pages: DataFrame, rules: list[LinkRule] | None = None) -> DataFra
     links of their own), documents and archives (both distinct, in page order).
     """
     rules = document_rules() if rules is None else rules
-
-    def facts(page: Column) -> Column:
-        return F.struct(
-            _same_site_targets(page, page["anchors"]).alias("targets"),
-            _distinct_documents(_all_links(page), rules).alias("documents"),
-            _archive_targets(page, ARCHIVE_WORDS, YEAR_PATTERN).alias("archives"),
-        )
-
-    found = let(let(_page(F.col("url"), F.col("html")), _with_anchors), facts)
-    return pages.select("page_id", "url", found.alias("facts")).select("page_id", "url", "facts.*")
+    site = authority(F.col("url"))
+    facts = let(
+        link_array(),
+        lambda links: F.struct(
+            _anchor_addresses(links, site).alias("targets"),
+            _distinct_documents(links, rules).alias("documents"),
+            _archive_targets(links, site, ARCHIVE_WORDS, YEAR_PATTERN).alias("archives"),
+        ),
+    )
+    return pages.select("page_id", "url", facts.alias("facts")).select("page_id", "url", "facts.*")
 
 
 def walk_edges(pages: DataFrame) -> DataFrame:
     """The links a walk may follow, one row per page: page_id, url, targets."""
-    page = let(_page(F.col("url"), F.col("html")), _with_anchors)
-    return pages.select(
-        "page_id", "url", let(page, lambda p: _same_site_targets(p, p["anchors"])).alias("targets")
-    )
+    found = _anchor_addresses(link_array(), authority(F.col("url")))
+    return pages.select("page_id", "url", found.alias("targets"))
 
 
 def link_counts_by_site(pages: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def script_weight(pages: DataFrame, rules: list[LinkRule] | None = None, limit:
     counted = pages.select(
         "url",
         script_signs(F.col("html")).alias("script_signs"),
-        F.size(document_array(F.col("url"), F.col("html"), rules)).cast("long").alias("document_count"),
+        F.size(document_array(rules)).cast("long").alias("document_count"),
     )
     return counted.withColumn(
         "requires_browser", (F.col("script_signs") > limit) & (F.col("document_count") == 0)
