@@ -92,7 +92,7 @@ def robots_by_host(rules: DataFrame, agent: str = "*") -> DataFrame:
     )
     special = F.filter("rules", lambda r: r["agent"] != "*")
     general = F.filter("rules", lambda r: r["agent"] == "*")
-    first_named = let(special, lambda found: F.filter(found, lambda r: r["agent"] == found.getItem(0)["agent"]))
+    first_named = let(special, lambda found: F.filter(found, lambda r: r["agent"] == F.get(found, F.lit(0))["agent"]))
     return listed.select("host", F.when(F.size(special) > 0, first_named).otherwise(general).alias("rules"))
 
 
@@ -116,10 +116,9 @@ def robots_allowed(
     joined = urls.withColumn("host", authority(F.col("url"))).join(per_host, "host", "left")
     first = let(
         asked,
-        lambda path: F.filter(
-            "rules",
-            lambda r: (r["path_prefix"] == "*") | path.startswith(r["path_prefix"]),
-        ).getItem(0),
+        lambda path: F.get(
+            F.filter("rules", lambda r: (r["path_prefix"] == "*") | path.startswith(r["path_prefix"])), F.lit(0)
+        ),
     )
     # An empty prefix forbids nothing.
     ruled = let(first, lambda r: r["allow"] | (r["path_prefix"] == ""))
