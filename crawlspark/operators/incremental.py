@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.operators.lookup import join_lookup
+
 DAY_SECONDS = 86_400
 
 
@@ -141,9 +143,10 @@ def change_decision(
     answers = heads.where(F.col("status") == 200).select(
         "url", F.col("etag").alias("remote_etag"), F.col("last_modified").alias("remote_modified"), F.lit(True).alias("has_answer")
     )
+    # Many urls may share one path, so that join has to stand a hot key.
     joined = (
-        candidates.withColumn("url_hash", url_hash(F.col("url")))
-        .join(files, "local_path", "left")
+        join_lookup(candidates, files, "local_path")
+        .withColumn("url_hash", url_hash(F.col("url")))
         .join(known, "url_hash", "left")
         .join(answers, "url", "left")
     )
@@ -209,7 +212,7 @@ def registry_stats(registry: DataFrame) -> DataFrame:
 def stored_already(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     """Candidates (url, local_path) with a non-empty stored file, with its size."""
     sizes = stored.where(F.col("file_size") > 0).groupBy("local_path").agg(F.max("file_size").alias("file_size"))
-    return candidates.join(sizes, "local_path").select(*candidates.columns, "file_size")
+    return join_lookup(candidates, sizes, "local_path", "inner").select(*candidates.columns, "file_size")
 
 
 def not_stored(candidates: DataFrame, stored: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions.names import file_name, local_path, object_key, portable_name
+from crawlspark.operators.lookup import join_lookup
 
 
 def with_layout(
@@ -36,11 +37,8 @@ def changed_names(names: DataFrame) -> DataFrame:
     """Stored names (name) that are not portable, with the portable form and how many names share it."""
     distinct = names.select("name").distinct().withColumn("portable", portable_name(F.col("name")))
     shared = distinct.groupBy("portable").agg(F.count("*").alias("sharing"))
-    return (
-        distinct.where(F.col("name") != F.col("portable"))
-        .join(shared, "portable")
-        .select("name", "portable", "sharing")
-    )
+    changed = distinct.where(F.col("name") != F.col("portable"))
+    return join_lookup(changed, shared, "portable", "inner").select("name", "portable", "sharing")
 
 
 def content_duplicates(files: DataFrame) -> DataFrame:

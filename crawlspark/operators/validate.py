@@ -14,6 +14,7 @@ from crawlspark.functions.fixed import (
     TRAILER_WINDOW,
 )
 from crawlspark.functions.numbers import fixed_point
+from crawlspark.operators.lookup import join_lookup
 
 PDF_SIGNATURE = bytearray(b"%PDF")
 PDF_HEADER = bytearray(b"%PDF-")
@@ -139,7 +140,7 @@ def download_outcome(
     unsaved: DataFrame | None = None,
     max_mb: float | None = None,
 ) -> DataFrame:
-    """One result row per candidate (department, url, local_path).
+    """One result row per candidate (department, url, local_path; each pair once).
 
     In order: unchanged file (success with the stored size), invalid URL,
     network error, too large, invalid content, not saved, downloaded.
@@ -153,16 +154,18 @@ def download_outcome(
         if unsaved is not None
         else None
     )
+    asked = gets.select(
+        "url",
+        F.col("status").alias("get_status"),
+        F.col("error").alias("get_error"),
+        F.col("content_length").alias("get_length"),
+    )
     joined = (
-        candidates.join(decisions.select("url", "download").distinct(), "url", "left")
-        .join(verdicts.select("url", F.col("valid").alias("url_valid")).distinct(), "url", "left")
-        .join(
-            gets.select("url", F.col("status").alias("get_status"), F.col("error").alias("get_error"), F.col("content_length").alias("get_length")),
-            "url",
-            "left",
-        )
+        join_lookup(candidates, sizes, "local_path")
+        .join(decisions.groupBy("url").agg(F.bool_or("download").alias("download")), "url", "left")
+        .join(verdicts.groupBy("url").agg(F.bool_or("valid").alias("url_valid")), "url", "left")
+        .join(asked, "url", "left")
         .join(checks.select("url", F.col("bytes"), F.col("valid").alias("content_valid")), "url", "left")
-        .join(sizes, "local_path", "left")
     )
     joined = joined.join(bad, "url", "left") if bad is not None else joined.withColumn("is_unsaved", F.lit(False))
     size_mb = F.col("get_length").cast("double") / F.lit(1048576.0)

@@ -11,6 +11,7 @@ from crawlspark.functions.binding import let
 from crawlspark.functions.fixed import ALWAYS_ALLOWED_HOSTS
 from crawlspark.functions.url import authority, contains_any, percent_decode
 from crawlspark.lineage import cut_lineage
+from crawlspark.operators.lookup import join_lookup
 
 WALK = ["dept_key", "seed_ord"]
 
@@ -38,7 +39,7 @@ def bounded_walk(seeds: DataFrame, edges: DataFrame, max_depth: int = 3) -> Data
     ).dropDuplicates([*WALK, "url"])
     rounds = [cut_lineage(start, "walk-0")]
 
-    sites = rounds[0].select(authority(F.col("url")).alias("site")).distinct()
+    sites = cut_lineage(rounds[0].select(authority(F.col("url")).alias("site")).distinct(), "walk-sites")
     inside = edges.withColumn("site", authority(F.col("url"))).join(sites, "site", "left_semi").drop("site")
     # Of a page fetched more than once the latest version counts.
     graph = cut_lineage(
@@ -73,8 +74,9 @@ def walk_order() -> list[Column]:
 def robots_by_host(rules: DataFrame, agent: str = "*") -> DataFrame:
     """Per host the rules that bind ``agent``, in line order: host, rules.
 
-    Repeated rules collapse first, so a host's list holds each prefix once. A
-    section that names the agent wins over the general one.
+    Repeated rules collapse first, so a host's list holds each prefix once; what
+    remains is one robots file, whose size the protocol bounds. A section that
+    names the agent wins over the general one.
     """
     token = agent.split("/")[0].lower()
     named = F.col("agent") != "*"
@@ -113,7 +115,7 @@ def robots_allowed(
     per_host = robots_by_host(rules, agent)
     local = F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.\-]*+://[^/?#]*+([^#]*)", 1)
     asked = percent_decode(F.when(local == "", F.lit("/")).otherwise(local))
-    joined = urls.withColumn("host", authority(F.col("url"))).join(per_host, "host", "left")
+    joined = join_lookup(urls.withColumn("host", authority(F.col("url"))), per_host, "host")
     first = let(
         asked,
         lambda path: F.get(

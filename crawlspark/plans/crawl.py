@@ -83,7 +83,7 @@ def crawl(
     if incremental:
         seeds = stale_pages_only(seeds, inputs.page_cache, now, max_age_hours)
 
-    sites = seeds.select(authority(F.col("url")).alias("site")).distinct()
+    sites = cut_lineage(seeds.select(authority(F.col("url")).alias("site")).distinct(), "crawl-sites")
     own = inputs.pages.withColumn("site", authority(F.col("url"))).join(sites, "site", "left_semi").drop("site")
     facts = cut_lineage(page_facts(own, rules), "page-facts")
 
@@ -123,7 +123,7 @@ def crawl(
         candidates = new_documents_only(candidates, inputs.doc_cache)
     candidates = cut_lineage(candidates, "candidates")
 
-    heads = latest_by_url(inputs.fetch_log, "HEAD")
+    heads = cut_lineage(latest_by_url(inputs.fetch_log, "HEAD"), "heads")
     gets = latest_by_url(inputs.fetch_log, "GET")
     checked = url_verdicts(candidates, heads)
     valid = checked.where("valid")

@@ -25,7 +25,7 @@ def refresh(
 ) -> tuple[DataFrame, DataFrame]:
     """Results and the new registry for ``documents`` (department, url)."""
     candidates = with_layout(documents.select("department", "url").distinct(), base)
-    heads = latest_by_url(fetch_log, "HEAD")
+    heads = cut_lineage(latest_by_url(fetch_log, "HEAD"), "refresh-heads")
     decisions = change_decision(candidates.select("url", "local_path"), stored, registry, heads, force)
     results = cut_lineage(
         download_outcome(

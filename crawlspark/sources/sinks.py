@@ -12,7 +12,7 @@ from crawlspark.functions.numbers import fixed_point
 from crawlspark.operators.reports import first_errors, overall_results, report_rows
 
 
-def department_documents(departments: DataFrame, errors: DataFrame, shown_errors: int = 1000) -> DataFrame:
+def department_documents(departments: DataFrame, errors: DataFrame, shown_errors: int = 100) -> DataFrame:
     """One JSON object per department, as text: department, json.
 
     A department lists its first errors; all of them are in the error listing.
@@ -57,11 +57,10 @@ def overall_document(departments: DataFrame, finished: datetime) -> DataFrame:
     )
 
 
-def nested_report(departments: DataFrame, errors: DataFrame, finished: datetime, shown_errors: int = 1000) -> DataFrame:
-    """The whole report as one JSON text, for a number of departments that fits a document.
+def nested_report(departments: DataFrame, errors: DataFrame, finished: datetime, shown_errors: int = 100) -> DataFrame:
+    """The whole report as one JSON text, for as many departments as one document may hold.
 
-    Departments are configuration, not data: one entry each, with a bounded
-    list of errors.
+    ``save_report`` checks their number and writes lines beyond it.
     """
     parts = department_documents(departments, errors, shown_errors)
     listed = parts.agg(F.array_join(F.array_sort(F.collect_list("json")), ", ").alias("departments"))
@@ -72,14 +71,29 @@ def nested_report(departments: DataFrame, errors: DataFrame, finished: datetime,
     )
 
 
-def save_report(departments: DataFrame, errors: DataFrame, path: str, finished: datetime, fmt: str = "json") -> None:
-    """Write the report as ``json`` (overall, departments and all errors) or ``csv``."""
+def save_report(
+    departments: DataFrame,
+    errors: DataFrame,
+    path: str,
+    finished: datetime,
+    fmt: str = "json",
+    max_nested: int = 1000,
+) -> None:
+    """Write the report as ``json`` or ``csv``.
+
+    JSON is one nested document for up to ``max_nested`` departments; for more
+    the overall part and one line per department. Every error is listed besides.
+    """
     kind = fmt.lower()
     if kind == "json":
-        nested_report(departments, errors, finished).coalesce(1).write.text(f"{path}/report")
+        if departments.limit(max_nested + 1).count() <= max_nested:
+            nested_report(departments, errors, finished).select("json").write.text(f"{path}/report")
+        else:
+            overall_document(departments, finished).select("json").write.text(f"{path}/overall")
+            department_documents(departments, errors).select("json").write.text(f"{path}/departments")
         errors.write.json(f"{path}/errors")
     elif kind == "csv":
-        report_rows(departments).coalesce(1).write.option("header", True).csv(f"{path}/report")
+        report_rows(departments).write.option("header", True).csv(f"{path}/report")
     else:
         raise ValueError(f"Unsupported format: {fmt}. Use 'json' or 'csv'")
 

@@ -11,6 +11,7 @@ from crawlspark.functions.fixed import SITEMAP_LOCATIONS
 from crawlspark.functions.text import strip
 from crawlspark.functions.url import authority
 from crawlspark.lineage import cut_lineage
+from crawlspark.operators.lookup import join_lookup
 
 _DOCUMENT = "url array<struct<loc:string>>, sitemap array<struct<loc:string>>"
 
@@ -24,8 +25,9 @@ def sitemap_roots(sitemaps: DataFrame) -> DataFrame:
         ]
     )
     ranked = sitemaps.withColumn("rank", rank).where(F.col("rank").isNotNull())
-    first = ranked.groupBy("host").agg(F.min("rank").alias("rank"))
-    return ranked.join(first, ["host", "rank"]).select("host", "sitemap_url", "xml")
+    first = ranked.groupBy("host").agg(F.min("rank").alias("first_rank"))
+    chosen = join_lookup(ranked, first, "host", "inner").where(F.col("rank") == F.col("first_rank"))
+    return chosen.select("host", "sitemap_url", "xml")
 
 
 def _parsed(sitemaps: DataFrame) -> DataFrame:

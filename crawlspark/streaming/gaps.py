@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from crawlspark.operators.lookup import join_lookup
 from crawlspark.operators.pacing import SECOND, request_gaps
 from crawlspark.sources.state import load_state, save_state
 
@@ -31,8 +32,7 @@ def stream_gap_violations(
         last = load_state(batch.sparkSession, state, LAST_REQUEST, before=batch_id)
         known = batch.select("domain").distinct().join(last, "domain")
         timely = (
-            batch.select("url", "domain", "ts_us")
-            .join(known, "domain", "left")
+            join_lookup(batch.select("url", "domain", "ts_us"), known, "domain")
             .where(F.col("last_us").isNull() | (F.col("ts_us") >= F.col("last_us")))
             .select(F.lit(1).alias("is_new"), "url", "domain", "ts_us")
         )

@@ -68,8 +68,33 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    errors = reports.department_errors(results(spark, sf_dir))
-    return sinks.nested_report(_departments(spark, sf_dir), errors, FINISHED)
+    """One document with the event types as departments, read back into rows."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Kind "), "event_type").alias("kind"))
+    by_kind = (
+        results(spark, sf_dir)
+        .withColumn("event_id", F.substring_index("url", "/", -1).cast("long"))
+        .join(rows, "event_id")
+        .withColumn("department", F.col("kind"))
+    )
+    report = sinks.nested_report(
+        reports.department_results(by_kind), reports.department_errors(by_kind), FINISHED, 2
+    )
+    shape = (
+        "timestamp string, overall_stats struct<total_pdfs_found: bigint, success_rate: double>, "
+        "departments array<struct<name: string, pdfs_found: bigint, total_size_bytes: bigint, errors: array<string>, error_count: bigint>>"
+    )
+    return report.select(F.from_json("json", shape).alias("r")).select(
+        "r.timestamp", "r.overall_stats.*", F.explode("r.departments").alias("d")
+    ).select(
+        "timestamp",
+        "total_pdfs_found",
+        "success_rate",
+        "d.name",
+        "d.pdfs_found",
+        "d.total_size_bytes",
+        F.array_join("d.errors", "|").alias("errors"),
+        "d.error_count",
+    )
 
 
 def department_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,6 +306,17 @@ WITH {_DEPARTMENTS}, {_ERRORS},
 e2 AS (SELECT department, string_agg(error, '|' ORDER BY place) AS errors FROM er WHERE place <= 2 GROUP BY department)
 SELECT dr.department, dr.department AS name, pdfs_found, total_size AS total_size_bytes, coalesce(errors, '') AS errors, error_count
 FROM dr LEFT JOIN e2 ON dr.department = e2.department""",
+    "nested_json_report": f"""
+WITH {SQL_RESULTS},
+k AS (SELECT 'Kind ' || event_type AS name, r.* FROM r JOIN events ON r.url = 'doc/' || event_id),
+e AS (SELECT name, 'Download failed for ' || url || ': ' || error AS error, row_number() OVER (PARTITION BY name ORDER BY url, error) AS place
+  FROM k WHERE error IS NOT NULL),
+e2 AS (SELECT name, string_agg(error, '|' ORDER BY place) AS errors FROM e WHERE place <= 2 GROUP BY name)
+SELECT '2024-02-01T12:30:00' AS timestamp, (SELECT CAST(count(*) AS BIGINT) FROM k) AS total_pdfs_found,
+  (SELECT CAST(count(*) FILTER (success) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 FROM k) AS success_rate,
+  k.name, CAST(count(*) AS BIGINT) AS pdfs_found, CAST(coalesce(sum(file_size) FILTER (success), 0) AS BIGINT) AS total_size_bytes,
+  coalesce(max(errors), '') AS errors, CAST(count(error) AS BIGINT) AS error_count
+FROM k LEFT JOIN e2 ON k.name = e2.name GROUP BY k.name""",
     "batch_summary": f"""
 WITH {SQL_RESULTS}
 SELECT CAST(count(*) FILTER (success) AS BIGINT) AS successful, CAST(count(*) FILTER (NOT success) AS BIGINT) AS failed,
