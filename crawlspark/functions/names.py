@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import PurePosixPath
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ def file_name(url: Column, title: Column | None = None) -> Column:
 
 def local_path(base: str, department: Column, name: Column, by_department: bool = True) -> Column:
     folder = [dashed(department)] if by_department else []
-    return F.concat_ws("/", F.lit(base), *folder, name)
+    return F.concat_ws("/", F.lit(str(PurePosixPath(base))), *folder, name)
 
 
 def object_key(prefix: str | None, department: Column, name: Column, by_department: bool = True) -> Column:

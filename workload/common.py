@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions.url import authority
 
-NOW = datetime(2024, 1, 16, tzinfo=timezone.utc)
+NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 NOW_US = int(NOW.timestamp()) * 1_000_000
 
 

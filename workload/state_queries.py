@@ -56,7 +56,7 @@ def page_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stale_pages_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = events(spark, sf_dir).select(F.concat(F.lit("https://"), "domain").alias("url"), "event_id")
-    return incremental.stale_pages_only(pages, page_cache(spark, sf_dir), NOW, 24 * -14)
+    return incremental.stale_pages_only(pages, page_cache(spark, sf_dir), NOW, 24)
 
 
 def new_documents_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +82,11 @@ def cache_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cache_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incremental.expired_counts(doc_cache(spark, sf_dir), page_cache(spark, sf_dir), NOW, 12)
+    return incremental.expired_counts(doc_cache(spark, sf_dir), page_cache(spark, sf_dir), NOW, 20)
 
 
 def cache_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = incremental.drop_expired(doc_cache(spark, sf_dir), "last_seen", NOW, 12)
+    kept = incremental.drop_expired(doc_cache(spark, sf_dir), "last_seen", NOW, 20)
     return kept.select("url_hash", "url", us_of("last_seen"))
 
 
@@ -387,7 +387,7 @@ SQL = {
     "stale_pages_only": f"""
 WITH {_PAGE_CACHE}
 SELECT 'https://' || domain AS url, event_id FROM ev
-WHERE NOT EXISTS (SELECT 1 FROM pc WHERE pc.url = 'https://' || ev.domain AND {NOW_US} - pc.us < {-14 * DAY_US})""",
+WHERE NOT EXISTS (SELECT 1 FROM pc WHERE pc.url = 'https://' || ev.domain AND {NOW_US} - pc.us < {DAY_US})""",
     "new_documents_only": f"""
 WITH {_DOC_CACHE}
 SELECT url FROM d WHERE NOT EXISTS (SELECT 1 FROM dc WHERE dc.url_hash = md5(d.url))""",
@@ -415,11 +415,11 @@ SELECT CAST((SELECT count(*) FROM dc) AS BIGINT) AS total_cached_documents,
   (SELECT coalesce(CAST({NOW_US} - min(found_us) AS DOUBLE) / 3.6e9, 0.0) FROM dc) AS cache_age_hours""",
     "cache_retention": f"""
 WITH {_DOC_CACHE}, {_PAGE_CACHE}
-SELECT CAST((SELECT count(*) FROM dc WHERE {NOW_US} - seen_us > {12 * DAY_US}) AS BIGINT) AS removed_documents,
-  CAST((SELECT count(*) FROM pc WHERE {NOW_US} - us > {12 * DAY_US}) AS BIGINT) AS removed_pages""",
+SELECT CAST((SELECT count(*) FROM dc WHERE {NOW_US} - seen_us > {20 * DAY_US}) AS BIGINT) AS removed_documents,
+  CAST((SELECT count(*) FROM pc WHERE {NOW_US} - us > {20 * DAY_US}) AS BIGINT) AS removed_pages""",
     "cache_kept": f"""
 WITH {_DOC_CACHE}
-SELECT url_hash, url, CAST(seen_us AS BIGINT) AS last_seen_us FROM dc WHERE {NOW_US} - seen_us <= {12 * DAY_US}""",
+SELECT url_hash, url, CAST(seen_us AS BIGINT) AS last_seen_us FROM dc WHERE {NOW_US} - seen_us <= {20 * DAY_US}""",
     "change_decision": f"""
 WITH {_REGISTRY}, {_DECISION.format(stored="d.source <> 'src3'")}
 SELECT url, local_path, reason, reason <> 'unchanged' AS download FROM dec""",
