@@ -86,10 +86,12 @@ def join_url(base: Column, href: Column) -> Column:
 
     def no_empty_tail(text: Column) -> Column:
         # A bare "?" or "#" says nothing and is dropped.
-        return F.regexp_replace(F.regexp_replace(text, r"^([^?#]*+)\?(?=#|$)", "$1"), r"#$", "")
+        return F.regexp_replace(F.regexp_replace(text, r"^([^?#]*+)\?(?=#|$)", "$1"), r"^([^#]*+)#$", "$1")
 
     def relative(rest: Column) -> Column:
-        own_path = F.regexp_extract(rest, r"^[^?#]*+", 0)
+        # Parameters follow the first semicolon of the last segment and take no part in dot steps.
+        own_path = F.regexp_extract(rest, r"^(?:[^?#]*/)?[^/;?#]*+", 0)
+        params = F.regexp_extract(rest, r"^(?:[^?#]*/)?[^/;?#]*+(;[^/?#]*+)(?=[?#]|$)", 1)
         tail = F.regexp_extract(rest, r"(?s)[?#].*$", 0)
 
         def same_page(end: Column) -> Column:
@@ -107,15 +109,19 @@ def join_url(base: Column, href: Column) -> Column:
             return F.concat(site, _rooted(let(full, _resolve_dots)))
 
         return let(
-            F.struct(own_path.alias("path"), no_empty_tail(tail).alias("tail")),
-            lambda part: F.when(part["path"] == "", same_page(part["tail"])).otherwise(
-                F.concat(below(part["path"]), part["tail"])
+            F.struct(own_path.alias("path"), params.alias("params"), no_empty_tail(tail).alias("tail")),
+            lambda part: F.when((part["path"] == "") & (part["params"] == ""), same_page(part["tail"])).otherwise(
+                F.concat(below(part["path"]), part["params"], part["tail"])
             ),
         )
 
     def by_scheme(link: Column) -> Column:
         own, text = link["scheme"], link["text"]
         rest = F.when(own == "", text).otherwise(F.substr(text, F.length(own) + 2))
+        # Two slashes without a host after them name no site.
+        rest = F.regexp_replace(rest, r"^//(?=[/?#]|$)", "")
+        # A bare semicolon at the end of the path is dropped.
+        rest = F.regexp_replace(rest, r"^(?!//[^/?#]*;)((?:[^?#]*/)?[^/;?#]*+);(?=[?#]|$)", "$1")
         return (
             F.when(text == "", base["url"])
             .when((own != "") & (own != base["scheme"]), href)
