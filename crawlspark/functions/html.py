@@ -45,7 +45,8 @@ def elements_with(html: Column, attribute: str) -> Column:
     pattern = r"(?is)<[a-z](?=[^\s>]*+[\s/])[^\s/>]*+" + _ATTRIBUTES
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
     mentions = F.filter(found, lambda t: F.lower(t).contains(attribute))
-    return F.when(F.lower(html).contains(attribute), mentions).otherwise(F.array().cast("array<string>"))
+    # Most pages do not mention it at all; the pattern finds that out faster than a lowered copy.
+    return F.when(html.rlike(f"(?i){attribute}"), mentions).otherwise(F.array().cast("array<string>"))
 
 
 def open_tag(element: Column) -> Column:

@@ -32,14 +32,33 @@ def query(url: Column) -> Column:
 
 
 def url_parts(url: Column) -> Column:
-    """What a relative link needs to know of its base, as one struct."""
-    return F.struct(
+    """What a relative link needs to know of its base, as one struct.
+
+    ``plain_folder`` is NULL unless the folder can be put before a link as it is.
+    """
+    def parts(cut: Column) -> Column:
+        folder = F.regexp_extract(cut["path"], r"(?s)^(.*/)", 1)
+        rooted = F.when(folder != "", folder).otherwise(F.lit("/"))
+        plain = ~folder.contains("//") & ~folder.contains("/.")
+        return F.struct(
+            cut["url"].alias("url"),
+            cut["scheme"].alias("scheme"),
+            cut["authority"].alias("authority"),
+            F.concat(cut["scheme"], F.lit("://"), cut["authority"]).alias("site"),
+            cut["path"].alias("path"),
+            rooted.alias("folder"),
+            F.when(plain, rooted).alias("plain_folder"),
+            cut["query"].alias("query"),
+        )
+
+    pieces = F.struct(
         url.alias("url"),
         scheme(url).alias("scheme"),
         authority(url).alias("authority"),
         path(url).alias("path"),
         query(url).alias("query"),
     )
+    return let(pieces, parts)
 
 
 def is_valid(url: Column) -> Column:
@@ -80,9 +99,31 @@ def _rooted(joined: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
+# Links that need no work: from the root, whole, or from the page's folder.
+_FROM_ROOT = r"^/(?:[^/?#;.\x00-\x20][^?#;\x00-\x20]*+)?$"
+_WHOLE = r"^https?://[^/?#;\x00-\x20]++(?:/[^?#;\x00-\x20]*+)?(?:\?[^#\x00-\x20]++)?$"
+_FROM_FOLDER = r"^[^/?#;:.\x00-\x20][^?#;:\x00-\x20]*+$"
+
+
 def join_url(base: Column, href: Column) -> Column:
-    """Absolute form of ``href`` seen on the page with ``url_parts`` ``base``."""
-    site = F.concat(base["scheme"], F.lit("://"), base["authority"])
+    """Absolute form of ``href`` seen on the page with ``url_parts`` ``base``.
+
+    The plain forms most links have are answered by one pattern each.
+    """
+    no_steps = ~href.contains("/.")
+    return (
+        F.when(href.rlike(_FROM_ROOT) & no_steps, F.concat(base["site"], href))
+        .when(href.rlike(_WHOLE), href)
+        .when(
+            base["plain_folder"].isNotNull() & href.rlike(_FROM_FOLDER) & no_steps & ~href.contains("//"),
+            F.concat(base["site"], base["plain_folder"], href),
+        )
+        .otherwise(_join_any(base, href))
+    )
+
+
+def _join_any(base: Column, href: Column) -> Column:
+    site = base["site"]
 
     def no_empty_tail(text: Column) -> Column:
         # A bare "?" or "#" says nothing and is dropped.
@@ -101,10 +142,7 @@ def join_url(base: Column, href: Column) -> Column:
             )
 
         def below(step: Column) -> Column:
-            folder = F.regexp_extract(base["path"], r"(?s)^(.*/)", 1)
-            merged = F.regexp_replace(
-                F.concat(F.when(folder != "", folder).otherwise(F.lit("/")), step), r"/{2,}", "/"
-            )
+            merged = F.regexp_replace(F.concat(base["folder"], step), r"/{2,}", "/")
             full = F.when(step.startswith("/"), step).otherwise(merged)
             return F.concat(site, _rooted(let(full, _resolve_dots)))
 
