@@ -156,19 +156,19 @@ def _join_any(base: Column, href: Column) -> Column:
     def by_scheme(link: Column) -> Column:
         own, text = link["scheme"], link["text"]
         rest = F.when(own == "", text).otherwise(F.substr(text, F.length(own) + 2))
-        # Two slashes without a host after them name no site.
+        names_host = rest.rlike(r"^//[^/?#]")
+        # A bare semicolon at the end of the path is dropped, and so are two slashes that name no host.
+        rest = F.regexp_replace(rest, r"^(?!//[^/?#]*;(?:[?#]|$))((?:[^?#]*/)?[^/;?#]*+);(?=[?#]|$)", "$1")
         rest = F.regexp_replace(rest, r"^//(?=[/?#]|$)", "")
-        # A bare semicolon at the end of the path is dropped.
-        rest = F.regexp_replace(rest, r"^(?!//[^/?#]*;)((?:[^?#]*/)?[^/;?#]*+);(?=[?#]|$)", "$1")
         return (
             F.when(text == "", base["url"])
             .when((own != "") & (own != base["scheme"]), href)
             .otherwise(
                 let(
-                    rest,
+                    F.struct(rest.alias("text"), names_host.alias("names_host")),
                     lambda r: F.when(
-                        r.startswith("//"), F.concat(base["scheme"], F.lit(":"), no_empty_tail(r))
-                    ).otherwise(relative(r)),
+                        r["names_host"], F.concat(base["scheme"], F.lit(":"), no_empty_tail(r["text"]))
+                    ).otherwise(relative(r["text"])),
                 )
             )
         )

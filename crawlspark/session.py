@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +40,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="crawlspark-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return root.rstrip("/")
+
+
+@lru_cache(maxsize=None)
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"crawlspark-{application}-")

@@ -135,11 +135,11 @@ def save_documents(bodies: DataFrame, layout: DataFrame, path: str) -> None:
     """Store bodies by department directory (any Spark path, also an object store).
 
     ``layout``: url, department, file_name, s3_key. Only the layout's few
-    columns meet the bodies; the spread by file name keeps a large department
-    from becoming one file.
+    columns meet the bodies. Rebalancing gathers a department's rows for its
+    directory and splits a large one over several files.
     """
     placed = bodies.join(layout.select("url", "department", "file_name", "s3_key"), "url")
-    placed.withColumn("dept_dir", dashed(F.col("department"))).repartition("dept_dir", "file_name").write.partitionBy(
+    placed.withColumn("dept_dir", dashed(F.col("department"))).hint("rebalance", "dept_dir").write.partitionBy(
         "dept_dir"
     ).parquet(path)
 

@@ -51,7 +51,7 @@ def sitemap_urls(sitemaps: DataFrame, max_levels: int = 10) -> DataFrame:
     level; one already opened for a host is not opened again. Deeper nesting
     than ``max_levels`` is an error rather than a shorter result.
     """
-    stored = sitemaps.select("sitemap_url", "xml").dropDuplicates(["sitemap_url"])
+    stored = sitemaps.groupBy("sitemap_url").agg(F.min("xml").alias("xml"))
     level = cut_lineage(_parsed(sitemap_roots(sitemaps)), "sitemaps-0")
     levels = [level]
     for depth in range(1, max_levels + 2):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from crawlspark.functions.names import file_name
 from crawlspark.operators import incremental, layout, validate
 from crawlspark.operators.incremental import url_hash
 from crawlspark.operators.links import page_links
+from crawlspark.schemas import DOC_CACHE
+from crawlspark.session import checkpoint_root
+from crawlspark.sources.sinks import save_documents
+from crawlspark.sources.state import load_state, save_state
 from workload.common import (
     NOW,
     NOW_US,
@@ -281,7 +287,34 @@ def content_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.content_duplicates(registry(spark, sf_dir))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark)}/crawlspark/{name}-{uuid.uuid4().hex}"
+
+
+def state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document cache saved, upserted and saved again; the last complete version is read."""
+    folder = _folder(spark, "doc-cache")
+    save_state(doc_cache(spark, sf_dir), folder)
+    seen = documents(spark, sf_dir).where(F.col("lang") == "es").select("url", F.col("lang").alias("source_page"))
+    save_state(incremental.upsert_documents(load_state(spark, folder, DOC_CACHE), seen, NOW), folder)
+    return load_state(spark, folder, DOC_CACHE).select("url", us_of("discovered_time"), us_of("last_seen"))
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts stored by department directory and read back."""
+    folder = _folder(spark, "documents")
+    docs = documents(spark, sf_dir)
+    files = docs.select("url", F.encode("text", "UTF-8").alias("body"))
+    placed = layout.with_layout(docs.select("url", F.col("source").alias("department")), prefix="run")
+    save_documents(files, placed, folder)
+    return spark.read.parquet(folder).select(
+        "url", "dept_dir", "file_name", "s3_key", F.sha2("body", 256).alias("file_hash")
+    )
+
+
 QUERIES = {
+    "state_versions": state_versions,
+    "stored_documents": stored_documents,
     "stale_pages_only": stale_pages_only,
     "new_documents_only": new_documents_only,
     "cache_upsert": cache_upsert,
@@ -384,6 +417,16 @@ _TITLES = SQL_PAGES + r""",
 t AS (SELECT url, regexp_extract(html, '<title>([^<]*)', 1) AS title FROM p)"""
 
 SQL = {
+    "state_versions": f"""
+WITH {_DOC_CACHE},
+n AS (SELECT url FROM d WHERE lang = 'es')
+SELECT coalesce(dc.url, n.url) AS url, CAST(coalesce(found_us, {NOW_US}) AS BIGINT) AS discovered_time_us,
+  CAST(CASE WHEN n.url IS NOT NULL THEN {NOW_US} ELSE seen_us END AS BIGINT) AS last_seen_us
+FROM dc FULL JOIN n ON dc.url = n.url""",
+    "stored_documents": f"""
+WITH {SQL_DOCUMENTS}
+SELECT url, source AS dept_dir, doc_id || '.pdf' AS file_name, 'run/' || source || '/' || doc_id || '.pdf' AS s3_key,
+  sha256(text) AS file_hash FROM d""",
     "stale_pages_only": f"""
 WITH {_PAGE_CACHE}
 SELECT 'https://' || domain AS url, event_id FROM ev

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from crawlspark.operators import links
 from crawlspark.session import checkpoint_root
+from crawlspark.sources.tables import stream_pages
 from crawlspark.streaming import counters, first_seen, gaps, upserts
-from workload.common import SQL_EVENTS, micros, table, us_of
+from workload.common import SQL_ANCHORS, SQL_EVENTS, micros, table, us_of
 from workload.pacing_queries import _GAP_US, GAP_SECONDS, _GAPS
 
 
@@ -110,7 +112,25 @@ def gap_audit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").select("url", "domain", "ts_us", "gap_us")
 
 
+def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link extraction keeps no state, so the batch operator runs on a stream of pages as it is."""
+    folder = _folder(spark, "page-links")
+    pages = stream_pages(spark, f"{sf_dir}/pages.parquet*")
+    _finish(
+        links.page_links(pages)
+        .select("page_url", "target_url")
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    return spark.read.parquet(f"{folder}/out")
+
+
 QUERIES = {
+    "page_links_stream": page_links_stream,
     "streaming_counters": streaming_counters,
     "first_seen_stream": first_seen_stream,
     "page_cache_stream": page_cache_stream,
@@ -119,6 +139,9 @@ QUERIES = {
 }
 
 SQL = {
+    "page_links_stream": f"""
+WITH {SQL_ANCHORS}
+SELECT url AS page_url, target AS target_url FROM a""",
     "streaming_counters": f"""
 WITH {SQL_EVENTS}
 SELECT CAST(ts_us // 86400000000 * 86400000000 AS BIGINT) AS window_start_us, domain AS department, event_type AS action,
