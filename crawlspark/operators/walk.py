@@ -11,7 +11,7 @@ from crawlspark.functions.binding import let
 from crawlspark.functions.fixed import ALWAYS_ALLOWED_HOSTS
 from crawlspark.functions.url import authority, contains_any, percent_decode
 from crawlspark.lineage import cut_lineage
-from crawlspark.operators.lookup import join_lookup
+from crawlspark.operators.lookup import join_lookup, work_on_listed
 
 WALK = ["dept_key", "seed_ord"]
 
@@ -40,7 +40,7 @@ def bounded_walk(seeds: DataFrame, edges: DataFrame, max_depth: int = 3) -> Data
     rounds = [cut_lineage(start, "walk-0")]
 
     sites = cut_lineage(rounds[0].select(authority(F.col("url")).alias("site")).distinct(), "walk-sites")
-    inside = edges.withColumn("site", authority(F.col("url"))).join(sites, "site", "left_semi").drop("site")
+    inside = work_on_listed(edges, sites, authority(F.col("url")), lambda kept: kept)
     # Of a page fetched more than once the latest version counts.
     graph = cut_lineage(
         inside.groupBy("url").agg(F.max_by("targets", "page_id").alias("targets")), "walk-edges"

@@ -21,6 +21,7 @@ from crawlspark.operators.incremental import (
 )
 from crawlspark.operators.layout import with_layout
 from crawlspark.operators.links import page_facts
+from crawlspark.operators.lookup import work_on_listed
 from crawlspark.operators.reports import department_errors, department_results, overall_results
 from crawlspark.operators.rules import LinkRule
 from crawlspark.operators.validate import content_checks, download_outcome, url_verdicts
@@ -84,8 +85,9 @@ def crawl(
         seeds = stale_pages_only(seeds, inputs.page_cache, now, max_age_hours)
 
     sites = cut_lineage(seeds.select(authority(F.col("url")).alias("site")).distinct(), "crawl-sites")
-    own = inputs.pages.withColumn("site", authority(F.col("url"))).join(sites, "site", "left_semi").drop("site")
-    facts = cut_lineage(page_facts(own, rules), "page-facts")
+    facts = cut_lineage(
+        work_on_listed(inputs.pages, sites, authority(F.col("url")), lambda pages: page_facts(pages, rules)), "page-facts"
+    )
 
     edges = robots_allowed(facts, inputs.robots_rules, respect_robots=respect_robots).where("allowed")
     walked = bounded_walk(seeds, edges.select("page_id", "url", "targets"), max_depth)

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.lineage import cut_lineage
 from crawlspark.operators.incremental import latest_by_url
+from crawlspark.operators.lookup import work_on_listed
 from crawlspark.operators.profile import script_weight
 from crawlspark.operators.reports import (
     dry_run_by_department,
@@ -29,8 +31,9 @@ class DryRunOutput:
 
 def dry_run(seeds: DataFrame, pages: DataFrame, fetch_log: DataFrame, rules: list[LinkRule] | None = None) -> DryRunOutput:
     """Analyse ``seeds`` (dept_key, seed_ord, url) against stored pages and the latest GET of each."""
-    seed_pages = pages.join(seeds.select("url").distinct(), "url", "left_semi")
-    findings = seed_findings(seeds, latest_by_url(fetch_log, "GET"), script_weight(seed_pages, rules))
+    listed = cut_lineage(seeds.select("url").distinct(), "dry-run-seeds")
+    weights = work_on_listed(pages, listed, F.col("url"), lambda kept: script_weight(kept, rules))
+    findings = seed_findings(seeds, latest_by_url(fetch_log, "GET"), weights)
     analyses = dry_run_by_department(findings)
     return DryRunOutput(
         analyses=analyses,
