@@ -109,3 +109,63 @@ MARKDOWN_MAX_PAGES = 500
 # Defaults of a department in a YAML configuration.
 DEFAULT_MAX_DEPTH = 3
 DEFAULT_MAX_PAGES = 1000
+
+# Lines of the text report; braces hold the values.
+REPORT_HEAD = [
+    "=" * 60,
+    "{title}",
+    "=" * 60,
+    "Crawl completed at: {finished}",
+    "Total duration: {minutes} minutes",
+    "",
+    "OVERALL STATISTICS",
+    "-" * 30,
+    "Total PDFs found: {found}",
+    "Total PDFs downloaded: {downloaded}",
+    "Total PDFs failed: {failed}",
+    "Total PDFs skipped: {skipped}",
+    "Success rate: {rate}%",
+    "Total size downloaded: {megabytes} MB",
+    "",
+    "DEPARTMENT BREAKDOWN",
+    "-" * 30,
+]
+REPORT_DEPARTMENT = [
+    "",
+    "{department}:",
+    "  URLs crawled: {crawled}",
+    "  PDFs found: {found}",
+    "  PDFs downloaded: {downloaded}",
+    "  PDFs failed: {failed}",
+    "  PDFs skipped: {skipped}",
+    "  Total size: {megabytes} MB",
+    "  Duration: {minutes} minutes",
+]
+REPORT_RATE = "  Success rate: {rate}%"
+REPORT_ERRORS = "  Errors encountered: {count}"
+REPORT_ERROR = "    - {error}"
+REPORT_MORE = "    ... and {more} more"
+REPORT_FOOT = ["", "=" * 60]
+
+# Columns of the CSV report, and decimals of its rounded ones.
+CSV_COLUMNS = [
+    "Department", "URLs_Crawled", "PDFs_Found", "PDFs_Downloaded", "PDFs_Failed",
+    "PDFs_Skipped", "Total_Size_MB", "Duration_Minutes", "Success_Rate_%", "Error_Count",
+]
+
+# Issues and recommendations of a dry run.
+ISSUE_RATE_LIMIT = "Rate limiting detected on {url}"
+ISSUE_STATUS = "HTTP {status} error for {url}"
+ISSUE_TIMEOUT = "Timeout accessing {url}"
+ISSUE_CONNECTION = "Connection error for {url}"
+ISSUE_OTHER = "Error accessing {url}: {error}"
+ADVICE_BROWSER = "Enable browser automation for {department}"
+ADVICE_RATE_LIMIT = "Increase delays for {department} to avoid rate limiting"
+ADVICE_INACCESSIBLE = "Check inaccessible URLs for {department}"
+ADVICE_MANY = "Consider running crawl in smaller batches due to large number of PDFs"
+ADVICE_LONG = "Estimated crawl time is over 1 hour - consider parallel processing"
+
+# Limits of the dry run's advice.
+SECONDS_PER_DOCUMENT = 2.0
+MANY_DOCUMENTS = 1000
+LONG_RUN_SECONDS = 3600

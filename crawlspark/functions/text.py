@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,13 @@ from crawlspark.functions.fixed import TEXT_ENTITIES
 _CODE_POINT = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 
+def fill(template: str, **values: Column) -> Column:
+    """Text of ``template`` with its braces filled; NULL if a value is NULL."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    parts = [values[piece].cast("string") if i % 2 else F.lit(piece) for i, piece in enumerate(pieces)]
+    return F.concat(*parts)
+
+
 def strip(text: Column) -> Column:
     """Drop white space of any script at both ends."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

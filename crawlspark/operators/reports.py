@@ -11,8 +11,32 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlspark.functions.fixed import SCRIPT_LIMIT
+from crawlspark.functions.fixed import (
+    ADVICE_BROWSER,
+    ADVICE_INACCESSIBLE,
+    ADVICE_LONG,
+    ADVICE_MANY,
+    ADVICE_RATE_LIMIT,
+    CSV_COLUMNS,
+    ISSUE_CONNECTION,
+    ISSUE_OTHER,
+    ISSUE_RATE_LIMIT,
+    ISSUE_STATUS,
+    ISSUE_TIMEOUT,
+    LONG_RUN_SECONDS,
+    MANY_DOCUMENTS,
+    REPORT_DEPARTMENT,
+    REPORT_ERROR,
+    REPORT_ERRORS,
+    REPORT_FOOT,
+    REPORT_HEAD,
+    REPORT_MORE,
+    REPORT_RATE,
+    SCRIPT_LIMIT,
+    SECONDS_PER_DOCUMENT,
+)
 from crawlspark.functions.numbers import fixed_point, megabytes, percent, round_half_even
+from crawlspark.functions.text import fill
 
 
 def department_results(
@@ -91,22 +115,31 @@ def results_with_total(results: DataFrame) -> DataFrame:
 def report_rows(departments: DataFrame) -> DataFrame:
     """Columns of the CSV report: MB to 2 places, minutes to 2, rate to 1."""
     rate = percent(F.col("pdfs_downloaded"), F.col("pdfs_found"))
-    return departments.select(
-        F.col("department").alias("Department"),
-        F.col("urls_crawled").alias("URLs_Crawled"),
-        F.col("pdfs_found").alias("PDFs_Found"),
-        F.col("pdfs_downloaded").alias("PDFs_Downloaded"),
-        F.col("pdfs_failed").alias("PDFs_Failed"),
-        F.col("pdfs_skipped").alias("PDFs_Skipped"),
-        megabytes(F.col("total_size")).alias("Total_Size_MB"),
-        round_half_even(F.col("duration") / 60.0, 2).alias("Duration_Minutes"),
-        round_half_even(rate, 1).alias("Success_Rate_%"),
-        F.col("error_count").alias("Error_Count"),
-    )
+    values = [
+        F.col("department"),
+        F.col("urls_crawled"),
+        F.col("pdfs_found"),
+        F.col("pdfs_downloaded"),
+        F.col("pdfs_failed"),
+        F.col("pdfs_skipped"),
+        megabytes(F.col("total_size")),
+        round_half_even(F.col("duration") / 60.0, 2),
+        round_half_even(rate, 1),
+        F.col("error_count"),
+    ]
+    return departments.select(*[value.alias(name) for value, name in zip(values, CSV_COLUMNS, strict=True)])
+
+
+def _lines(block: int, department: Column, lines: Column) -> list[Column]:
+    return [
+        F.lit(block).alias("block"),
+        department.alias("department"),
+        F.posexplode(lines).alias("line_no", "line"),
+    ]
 
 
-def _number(name: str) -> Column:
-    return F.col(name).cast("string")
+def _shown_megabytes(size: str) -> Column:
+    return fixed_point(F.col(size).cast("double") / F.lit(1048576.0), 2)
 
 
 def report_lines(
@@ -121,77 +154,48 @@ def report_lines(
     Sorting by (block, department, line_no) gives the report; no line has to
     know its number in the whole report.
     """
+    totals = {
+        "title": F.lit(title),
+        "finished": F.lit(f"{finished:%Y-%m-%d %H:%M:%S}"),
+        "minutes": fixed_point(F.col("total_duration") / 60.0, 2),
+        "found": F.col("total_pdfs_found"),
+        "downloaded": F.col("total_pdfs_downloaded"),
+        "failed": F.col("total_pdfs_failed"),
+        "skipped": F.col("total_pdfs_skipped"),
+        "rate": fixed_point(F.col("success_rate"), 1),
+        "megabytes": _shown_megabytes("total_size_bytes"),
+    }
     overall = overall_results(departments)
-    head = overall.select(
-        F.lit(0).alias("block"),
-        F.lit("").alias("department"),
-        F.posexplode(
-            F.array(
-                F.lit("=" * 60),
-                F.lit(title),
-                F.lit("=" * 60),
-                F.lit(f"Crawl completed at: {finished:%Y-%m-%d %H:%M:%S}"),
-                F.concat(F.lit("Total duration: "), fixed_point(F.col("total_duration") / 60.0, 2), F.lit(" minutes")),
-                F.lit(""),
-                F.lit("OVERALL STATISTICS"),
-                F.lit("-" * 30),
-                F.concat(F.lit("Total PDFs found: "), _number("total_pdfs_found")),
-                F.concat(F.lit("Total PDFs downloaded: "), _number("total_pdfs_downloaded")),
-                F.concat(F.lit("Total PDFs failed: "), _number("total_pdfs_failed")),
-                F.concat(F.lit("Total PDFs skipped: "), _number("total_pdfs_skipped")),
-                F.concat(F.lit("Success rate: "), fixed_point(F.col("success_rate"), 1), F.lit("%")),
-                F.concat(
-                    F.lit("Total size downloaded: "),
-                    fixed_point(F.col("total_size_bytes").cast("double") / F.lit(1048576.0), 2),
-                    F.lit(" MB"),
-                ),
-                F.lit(""),
-                F.lit("DEPARTMENT BREAKDOWN"),
-                F.lit("-" * 30),
-            )
-        ).alias("line_no", "line"),
-    )
-    none = F.array().cast("array<string>")
+    nobody = F.lit("")
+    head = overall.select(*_lines(0, nobody, F.array(*[fill(line, **totals) for line in REPORT_HEAD])))
+    foot = overall.select(*_lines(2, nobody, F.array(*[F.lit(line) for line in REPORT_FOOT])))
+
+    values = {
+        "department": F.col("department"),
+        "crawled": F.col("urls_crawled"),
+        "found": F.col("pdfs_found"),
+        "downloaded": F.col("pdfs_downloaded"),
+        "failed": F.col("pdfs_failed"),
+        "skipped": F.col("pdfs_skipped"),
+        "megabytes": _shown_megabytes("total_size"),
+        "minutes": fixed_point(F.col("duration") / 60.0, 2),
+    }
     rate = percent(F.col("pdfs_downloaded"), F.col("pdfs_found"))
-    rest = F.col("error_count") - shown_errors
-    body = departments.join(first_errors(errors, shown_errors), "department", "left").select(
-        F.lit(1).alias("block"),
-        "department",
-        F.posexplode(
-            F.concat(
-                F.array(
-                    F.lit(""),
-                    F.concat("department", F.lit(":")),
-                    F.concat(F.lit("  URLs crawled: "), _number("urls_crawled")),
-                    F.concat(F.lit("  PDFs found: "), _number("pdfs_found")),
-                    F.concat(F.lit("  PDFs downloaded: "), _number("pdfs_downloaded")),
-                    F.concat(F.lit("  PDFs failed: "), _number("pdfs_failed")),
-                    F.concat(F.lit("  PDFs skipped: "), _number("pdfs_skipped")),
-                    F.concat(
-                        F.lit("  Total size: "),
-                        fixed_point(F.col("total_size").cast("double") / F.lit(1048576.0), 2),
-                        F.lit(" MB"),
-                    ),
-                    F.concat(F.lit("  Duration: "), fixed_point(F.col("duration") / 60.0, 2), F.lit(" minutes")),
-                ),
-                F.when(
-                    F.col("pdfs_found") > 0, F.array(F.concat(F.lit("  Success rate: "), fixed_point(rate, 1), F.lit("%")))
-                ).otherwise(none),
-                F.when(
-                    F.col("error_count") > 0,
-                    F.array(F.concat(F.lit("  Errors encountered: "), _number("error_count"))),
-                ).otherwise(none),
-                F.transform(F.coalesce("errors", none), lambda e: F.concat(F.lit("    - "), e)),
-                F.when(rest > 0, F.array(F.concat(F.lit("    ... and "), rest.cast("string"), F.lit(" more")))).otherwise(
-                    none
-                ),
-            )
-        ).alias("line_no", "line"),
+    more = F.col("error_count") - shown_errors
+    none = F.array().cast("array<string>")
+
+    def line_if(condition: Column, line: Column) -> Column:
+        return F.when(condition, F.array(line)).otherwise(none)
+
+    blocks = F.concat(
+        F.array(*[fill(line, **values) for line in REPORT_DEPARTMENT]),
+        line_if(F.col("pdfs_found") > 0, fill(REPORT_RATE, rate=fixed_point(rate, 1))),
+        line_if(F.col("error_count") > 0, fill(REPORT_ERRORS, count=F.col("error_count"))),
+        F.transform(F.coalesce("errors", none), lambda error: fill(REPORT_ERROR, error=error)),
+        line_if(more > 0, fill(REPORT_MORE, more=more)),
     )
-    foot = overall.select(
-        F.lit(2).alias("block"),
-        F.lit("").alias("department"),
-        F.posexplode(F.array(F.lit(""), F.lit("=" * 60))).alias("line_no", "line"),
+    body = departments.join(first_errors(errors, shown_errors), "department", "left").select(
+        *_lines(1, F.col("department"), blocks)
     )
     return head.unionByName(body).unionByName(foot)
 
@@ -215,11 +219,11 @@ def seed_findings(seeds: DataFrame, gets: DataFrame, weights: DataFrame, script_
     documents = F.coalesce("document_count", F.lit(0))
     issue = (
         F.when(F.col("status") == 200, F.lit(None).cast("string"))
-        .when(F.col("status") == 429, F.concat(F.lit("Rate limiting detected on "), "url"))
-        .when(F.col("status").isNotNull(), F.concat(F.lit("HTTP "), F.col("status").cast("string"), F.lit(" error for "), "url"))
-        .when(text.contains("timeout"), F.concat(F.lit("Timeout accessing "), "url"))
-        .when((text == "") | text.contains("connection"), F.concat(F.lit("Connection error for "), "url"))
-        .otherwise(F.concat(F.lit("Error accessing "), "url", F.lit(": "), "get_error"))
+        .when(F.col("status") == 429, fill(ISSUE_RATE_LIMIT, url=F.col("url")))
+        .when(F.col("status").isNotNull(), fill(ISSUE_STATUS, status=F.col("status"), url=F.col("url")))
+        .when(text.contains("timeout"), fill(ISSUE_TIMEOUT, url=F.col("url")))
+        .when((text == "") | text.contains("connection"), fill(ISSUE_CONNECTION, url=F.col("url")))
+        .otherwise(fill(ISSUE_OTHER, url=F.col("url"), error=F.col("get_error")))
     )
     accessible = F.coalesce(F.col("status") == 200, F.lit(False))
     return joined.select(
@@ -251,7 +255,7 @@ def dry_run_issues(findings: DataFrame) -> DataFrame:
     return findings.where(F.col("issue").isNotNull()).select("dept_key", "issue").distinct()
 
 
-def dry_run_totals(analyses: DataFrame, seconds_per_pdf: float = 2.0) -> DataFrame:
+def dry_run_totals(analyses: DataFrame, seconds_per_pdf: float = SECONDS_PER_DOCUMENT) -> DataFrame:
     """One row: estimated documents and duration, number of issues."""
     totals = analyses.agg(
         F.count("*").alias("departments"),
@@ -262,21 +266,21 @@ def dry_run_totals(analyses: DataFrame, seconds_per_pdf: float = 2.0) -> DataFra
 
 
 def dry_run_recommendations(
-    analyses: DataFrame, seconds_per_pdf: float = 2.0, many_pdfs: int = 1000, long_run_seconds: float = 3600
+    analyses: DataFrame,
+    seconds_per_pdf: float = SECONDS_PER_DOCUMENT,
+    many_pdfs: int = MANY_DOCUMENTS,
+    long_run_seconds: float = LONG_RUN_SECONDS,
 ) -> DataFrame:
     """Distinct recommendations, one per row."""
     totals = dry_run_totals(analyses, seconds_per_pdf)
     per_department = analyses.select(
         F.explode(
             F.array(
-                F.when(F.col("requires_browser"), F.concat(F.lit("Enable browser automation for "), "dept_key")),
-                F.when(
-                    F.col("rate_limit_detected"),
-                    F.concat(F.lit("Increase delays for "), "dept_key", F.lit(" to avoid rate limiting")),
-                ),
+                F.when(F.col("requires_browser"), fill(ADVICE_BROWSER, department=F.col("dept_key"))),
+                F.when(F.col("rate_limit_detected"), fill(ADVICE_RATE_LIMIT, department=F.col("dept_key"))),
                 F.when(
                     F.col("seed_urls_accessible") < F.col("seed_urls_total"),
-                    F.concat(F.lit("Check inaccessible URLs for "), "dept_key"),
+                    fill(ADVICE_INACCESSIBLE, department=F.col("dept_key")),
                 ),
             )
         ).alias("recommendation")
@@ -284,14 +288,8 @@ def dry_run_recommendations(
     general = totals.select(
         F.explode(
             F.array(
-                F.when(
-                    F.col("total_estimated_pdfs") > many_pdfs,
-                    F.lit("Consider running crawl in smaller batches due to large number of PDFs"),
-                ),
-                F.when(
-                    F.col("estimated_duration") > long_run_seconds,
-                    F.lit("Estimated crawl time is over 1 hour - consider parallel processing"),
-                ),
+                F.when(F.col("total_estimated_pdfs") > many_pdfs, F.lit(ADVICE_MANY)),
+                F.when(F.col("estimated_duration") > long_run_seconds, F.lit(ADVICE_LONG)),
             )
         ).alias("recommendation")
     )

@@ -120,9 +120,9 @@ def test_portable_names(spark):
 def test_paths(spark):
     rows = spark.createDataFrame([("Labour & Co. - (LD)", "n.pdf")], "d string, n string")
     local = rows.select(names.local_path("./downloads", F.col("d"), F.col("n")).alias("o")).first().o
-    key = rows.select(names.object_key("/run4/", F.col("d"), F.col("n")).alias("o")).first().o
+    key = rows.select(names.object_key("/store/", F.col("d"), F.col("n")).alias("o")).first().o
     flat = rows.select(names.object_key(None, F.col("d"), F.col("n"), by_department=False).alias("o")).first().o
-    assert (local, key, flat) == ("downloads/Labour-Co-LD/n.pdf", "run4/Labour-Co-LD/n.pdf", "n.pdf")
+    assert (local, key, flat) == ("downloads/Labour-Co-LD/n.pdf", "store/Labour-Co-LD/n.pdf", "n.pdf")
 
 
 def test_attributes_survive_hostile_markup(spark):
