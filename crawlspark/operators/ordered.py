@@ -25,16 +25,17 @@ def ordered_chunks(df: DataFrame, key: str, order: list[str], chunks: int | None
     return cut_lineage(spread, "ordered-chunks")
 
 
-def carried(per_chunk: DataFrame, key: str, value: Column) -> DataFrame:
-    """``carry`` of each (key, chunk): ``value`` over the key's earlier chunks, only where there are any.
+def with_carry(df: DataFrame, per_chunk: DataFrame, key: str, value: Column) -> DataFrame:
+    """``df`` with ``carry``: ``value`` over the key's earlier chunks, NULL where there are none.
 
-    At most one key of a chunk began in an earlier chunk, so the result has
-    fewer rows than there are chunks and may be broadcast.
+    At most one key of a chunk began in an earlier chunk, so the table of
+    carries has fewer rows than there are chunks and may be broadcast.
     """
-    return (
-        per_chunk.select(key, "chunk", value.alias("carry"))
-        .where(F.col("carry").isNotNull())
-    )
+    carries = per_chunk.select(
+        F.col(key).alias("carry_key"), F.col("chunk").alias("carry_chunk"), value.alias("carry")
+    ).where(F.col("carry").isNotNull())
+    same = F.col(key).eqNullSafe(F.col("carry_key")) & (F.col("chunk") == F.col("carry_chunk"))
+    return df.join(F.broadcast(carries), same, "left").drop("carry_key", "carry_chunk")
 
 
 def previous_value(df: DataFrame, key: str, order: list[str], value: str, chunks: int | None = None) -> DataFrame:
@@ -44,13 +45,12 @@ def previous_value(df: DataFrame, key: str, order: list[str], value: str, chunks
     last_of_chunk = split.groupBy(key, "chunk").agg(
         F.max(F.struct(*order, F.col(value).alias("last_value")))["last_value"].alias("last_value")
     )
-    before = carried(
-        last_of_chunk, key, F.lag("last_value").over(Window.partitionBy(key).orderBy("chunk"))
+    local = split.withColumn("previous", F.lag(value).over(inside)).withColumn(
+        "first_in_chunk", F.row_number().over(inside) == 1
     )
+    last_before = F.lag("last_value").over(Window.partitionBy(key).orderBy("chunk"))
     return (
-        split.withColumn("previous", F.lag(value).over(inside))
-        .withColumn("first_in_chunk", F.row_number().over(inside) == 1)
-        .join(F.broadcast(before), [key, "chunk"], "left")
+        with_carry(local, last_of_chunk, key, last_before)
         .withColumn("previous", F.when(F.col("first_in_chunk"), F.col("carry")).otherwise(F.col("previous")))
         .drop("carry", "first_in_chunk", "chunk")
     )
@@ -62,10 +62,9 @@ def row_numbers(df: DataFrame, key: str, order: list[str], name: str, chunks: in
     inside = Window.partitionBy(key, "chunk").orderBy(*order)
     sizes = split.groupBy(key, "chunk").agg(F.count("*").alias("size"))
     earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = carried(sizes, key, F.sum("size").over(earlier))
+    local = split.withColumn(name, F.row_number().over(inside).cast("long"))
     return (
-        split.withColumn(name, F.row_number().over(inside).cast("long"))
-        .join(F.broadcast(before), [key, "chunk"], "left")
+        with_carry(local, sizes, key, F.sum("size").over(earlier))
         .withColumn(name, F.col(name) + F.coalesce("carry", F.lit(0)))
         .drop("carry", "chunk")
     )

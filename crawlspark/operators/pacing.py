@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.functions.url import authority
-from crawlspark.operators.ordered import carried, ordered_chunks, previous_value
+from crawlspark.operators.ordered import ordered_chunks, previous_value, with_carry
 
 SECOND = 1_000_000
 
@@ -43,11 +43,10 @@ def gap_plan(
     before = chunk_rows.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("offset_us", F.coalesce(F.sum("total_us").over(before), F.lit(0)))
     free = F.col("offset_us") + F.max(F.col("slack_us") - F.col("offset_us")).over(before)
-    carry = carried(offsets, "domain", free)
 
     start = F.col("offset_us") + F.greatest(F.col("slack_us"), F.coalesce(F.col("carry"), F.col("slack_us")))
     return (
-        local.join(F.broadcast(carry), ["domain", "chunk"], "left")
+        with_carry(local, offsets, "domain", free)
         .withColumn("start_us", start)
         .withColumn("wait_us", F.col("start_us") - F.col("arrival_us"))
         .drop("chunk", "offset_us", "slack_us", "carry")

@@ -60,6 +60,12 @@ def test_a_busy_key_spreads_over_chunks_and_keeps_its_numbers(spark):
     assert numbered.where("k <> 'hot' and n <> 1").count() == 0
 
 
+def test_rows_without_a_key_are_one_group(spark):
+    df = spark.range(500).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("o"))
+    numbered = row_numbers(df, "k", ["o"], "n", 8)
+    assert numbered.where(F.col("n") == F.col("o") + 1).count() == 500
+
+
 def test_hot_keys_are_split_in_lookup_joins(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
