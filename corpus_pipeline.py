@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import language_filters
+from crawlspark.llm import language_filters, toxicity
 from crawlspark.llm.common import table
 
 #: A text whose n-grams are less known than this is in none of the learned languages.
@@ -20,7 +20,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named.where(known).select(*docs.columns)
 
 
-STAGES = [("language ID", identify_language)]
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that aren't predicted as toxic."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+STAGES = [("language ID", identify_language), ("toxicity", drop_toxic)]
 
 #: A classifier that is learned from the rows can't be stated in SQL.
 ORACLE_SQL = None

@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed or sent with ``--py-files``; this helps
+    where the workers see the driver's folder but not its module path.
+    """
+    here = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{here}{os.pathsep}{known}".rstrip(os.pathsep)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of a data folder."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

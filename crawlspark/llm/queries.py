@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import language_filters
+from crawlspark.llm import language_filters, toxicity
 from crawlspark.llm.common import in_fold, table
 
 SQL: dict[str, str] = {}
@@ -20,4 +20,14 @@ def op3_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_language_filters": op3_language_filters}
+def op7_toxicity_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a fifth of them is held out from learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & ~in_fold("doc_id", 5, 0))
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", "predicted"
+    )
+
+
+QUERIES = {"op3_language_filters": op3_language_filters, "op7_toxicity_automaton": op7_toxicity_automaton}
