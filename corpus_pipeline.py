@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlspark.llm import language_filters, toxicity
-from crawlspark.llm.common import table
+from crawlspark.llm import jaccard_join, language_filters, toxicity
+from crawlspark.llm.common import importable, table
 
 #: A text whose n-grams are less known than this is in none of the learned languages.
 LEAST_KNOWN = 0.2
@@ -14,6 +14,7 @@ LEAST_KNOWN = 0.2
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in a learned language."""
+    importable(spark)
     model = language_filters.fit(docs)
     named = language_filters.predict(docs, model)
     known = (F.col("lang_pred") != language_filters.UNDETERMINED) & (F.col("score") >= LEAST_KNOWN)
@@ -26,7 +27,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
 
 
-STAGES = [("language ID", identify_language), ("toxicity", drop_toxic)]
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar ones, the one of the smallest id, and of repeated rows one."""
+    importable(spark)
+    similar = jaccard_join.similar_documents(docs)
+    others = similar.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("class_id")).alias("first")).where("not first")
+    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
+    return (
+        docs.join(others.select("doc_id"), "doc_id", "left_anti")
+        .withColumn("_copy", F.row_number().over(copies))
+        .where("_copy = 1")
+        .select(*docs.columns)
+    )
+
+
+STAGES = [("language ID", identify_language), ("toxicity", drop_toxic), ("n-gram Jaccard join", drop_similar)]
 
 #: A classifier that is learned from the rows can't be stated in SQL.
 ORACLE_SQL = None

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import language_filters, toxicity
+from crawlspark.llm import jaccard_join, language_filters, sql, toxicity
 from crawlspark.llm.common import in_fold, table
 
-SQL: dict[str, str] = {}
+SQL = {"op8_chosen_path_join": sql.SIMILAR_DOCUMENTS}
 
 
 def op3_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,4 +30,13 @@ def op7_toxicity_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_language_filters": op3_language_filters, "op7_toxicity_automaton": op7_toxicity_automaton}
+def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of similar documents of every document."""
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {
+    "op3_language_filters": op3_language_filters,
+    "op7_toxicity_automaton": op7_toxicity_automaton,
+    "op8_chosen_path_join": op8_chosen_path_join,
+}
