@@ -1,30 +1,39 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and works on everything that its
+predecessor kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crawlspark.llm import jaccard_join, language_filters, toxicity
+from crawlspark.llm import jaccard_join, language_filters, mixing, packing, toxicity
 from crawlspark.llm.common import importable, table
+from crawlspark.llm.queries import DOMAIN, MIX_EPOCHS, MIX_PERMILLE, MIX_SEED, MIX_WEIGHTS
+from crawlspark.session import checkpoint_root
 
 #: A text whose n-grams are less known than this is in none of the learned languages.
 LEAST_KNOWN = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in a learned language."""
+    """The documents in a learned language; those without a letter go."""
     importable(spark)
     model = language_filters.fit(docs)
-    named = language_filters.predict(docs, model)
+    named = language_filters.predict(docs.withColumn("_row", F.struct(*docs.columns)), model)
     known = (F.col("lang_pred") != language_filters.UNDETERMINED) & (F.col("score") >= LEAST_KNOWN)
-    return named.where(known).select(*docs.columns)
+    return named.where(known).select("_row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that aren't predicted as toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(docs.withColumn("_row", F.struct(*docs.columns)), model)
+    return scored.where("predicted = 0").select("_row.*")
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +50,50 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     )
 
 
-STAGES = [("language ID", identify_language), ("toxicity", drop_toxic), ("n-gram Jaccard join", drop_similar)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents once for every epoch that takes them, the last of a source cut to its first words."""
+    rows = mixing.described(docs, DOMAIN)
+    leaves = mixing.cuts(rows, mixing.quotas(rows, MIX_WEIGHTS, MIX_PERMILLE, MIX_EPOCHS), MIX_SEED)
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", "lang", "source")
+    named = whole.select(
+        "_row",
+        "doc_id",
+        F.coalesce(F.expr(DOMAIN), F.lit(mixing.UNKNOWN)).alias("domain"),
+        F.coalesce("lang", F.lit(mixing.UNKNOWN)).alias("lang"),
+        F.coalesce("source", F.lit(mixing.UNKNOWN)).alias("source"),
+        mixing.n_tokens("text").alias("n_tokens"),
+    )
+    taken = mixing.selected(named, leaves, MIX_SEED).select("_row.*", "n_tokens", "take_tokens")
+    cut = F.col("take_tokens") < F.col("n_tokens")
+    text = F.when(cut, mixing.first_tokens("text", "take_tokens")).otherwise(F.col("text"))
+    taken = taken.withColumn("n_chars", F.when(cut, F.length(text).cast("long")).otherwise(F.col("n_chars")))
+    return taken.withColumn("text", text).select(*docs.columns)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bin and place of every piece of every document."""
+    importable(spark)
+    return packing.packed_documents(docs)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_similar),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_documents),
+]
 
-#: A classifier that is learned from the rows can't be stated in SQL.
+#: Classifiers that are learned from the rows can't be stated in SQL.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written and read again, over the documents of a data folder."""
+    folder = f"{checkpoint_root(spark)}/crawlspark/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -25,3 +25,83 @@ SELECT s.doc_id, coalesce(c.class_id, s.doc_id) AS class_id,
   CAST(coalesce(k.links, 0) + coalesce(n.copies, 1) - 1 AS BIGINT) AS n_links
 FROM sets s LEFT JOIN nodes n ON s.s = n.s LEFT JOIN classes c ON n.id = c.id LEFT JOIN counts k ON n.id = k.id
 """
+
+#: Cosine over all pairs of equal label, and the closure of the links.
+NEAR_VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM usable UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+  coalesce(component_id, v.vec_id) AS component_id,
+  coalesce(v.vec_id = coalesce(component_id, v.vec_id), true) AS kept
+FROM embeddings v LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+
+def _shared_out(level: int, levels: list[str], permille: int) -> str:
+    """Common table expressions that give the nodes of one level their budgets."""
+    path, parent = ", ".join(levels[: level + 1]), ", ".join(levels[:level])
+    part = f"PARTITION BY {parent}" if parent else ""
+    source = (
+        f"c{level} JOIN n{level - 1} USING ({parent})"
+        if parent
+        else f"c0, (SELECT (sum(n) * {permille}) // 1000 AS budget FROM rows)"
+    )
+    return f"""
+c{level} AS (SELECT {path}, sum(capacity) AS capacity, any_value({levels[level]}_weight) AS weight
+  FROM leaves GROUP BY {path}),
+r{level} AS (SELECT *, coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken,
+    sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
+  FROM {source}
+  WINDOW w AS ({part} ORDER BY CAST(capacity AS DOUBLE) / CAST(weight AS DOUBLE), {levels[level]})),
+f{level} AS (SELECT *, capacity * weight_left <= (budget - taken) * weight AS filled FROM r{level}),
+b{level} AS (SELECT *,
+    budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({part}) AS rest,
+    sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({part}) AS open_weight,
+    sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({part} ORDER BY filled, {levels[level]}) AS upto
+  FROM f{level}),
+n{level} AS (SELECT {path}, CASE WHEN filled THEN capacity
+    ELSE (rest * upto) // open_weight - (rest * (upto - weight)) // open_weight END AS budget FROM b{level})"""
+
+
+def mixed_sources(domain: str, weights: dict[str, dict[str, int]], permille: int, max_epochs: int, seed: int) -> str:
+    """SQL of a mix; ``domain`` is the SQL of a row's domain."""
+    levels = ["domain", "lang", "source"]
+    by_name = {
+        level: " ".join(["CASE", *(f"WHEN {level} = '{k}' THEN {v}" for k, v in weights.get(level, {}).items()), "ELSE 1 END"])
+        if weights.get(level)
+        else "1"
+        for level in levels
+    }
+    named = ", ".join(f"{by_name[level]} AS {level}_weight" for level in levels)
+    steps = ",".join(_shared_out(i, levels, permille) for i in range(3))
+    return rf"""
+WITH rows AS (
+  SELECT doc_id, coalesce({domain}, 'unknown') AS domain, coalesce(lang, 'unknown') AS lang,
+    coalesce(source, 'unknown') AS source,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f\x0B]+'), lambda x: x <> '')) AS n
+  FROM documents),
+sums AS (SELECT domain, lang, source, sum(n) AS supply FROM rows GROUP BY ALL),
+leaves AS (SELECT *, supply * {max_epochs} AS capacity FROM (SELECT *, {named} FROM sums)
+  WHERE domain_weight > 0 AND lang_weight > 0 AND source_weight > 0 AND supply > 0),{steps},
+quotas AS (SELECT domain, lang, source, supply, budget // supply AS epochs, budget % supply AS rest
+  FROM leaves JOIN n2 USING (domain, lang, source)),
+drawn AS (SELECT rows.*, epochs, rest, CAST(concat('0x', substr(md5(concat('{seed}:', epochs + 1, ':', doc_id)), 1, 15)) AS BIGINT) AS d
+  FROM rows JOIN quotas USING (domain, lang, source) WHERE n > 0),
+ahead AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source ORDER BY d
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM drawn),
+taken AS (
+  SELECT doc_id, domain, lang, source, unnest(range(1, CAST(epochs AS BIGINT) + 1)) AS epoch, n, n AS take FROM ahead
+  UNION ALL
+  SELECT doc_id, domain, lang, source, CAST(epochs AS BIGINT) + 1, n, least(n, rest - before) FROM ahead WHERE before < rest)
+SELECT doc_id, domain, lang, source, epoch, CAST(n AS BIGINT) AS n_tokens, CAST(take AS BIGINT) AS take_tokens FROM taken
+"""
