@@ -123,6 +123,24 @@ def latest_by_url(log: DataFrame, method: str | None = None) -> DataFrame:
     return picked.select("url", "last.*")
 
 
+def latest_pages(pages: DataFrame) -> DataFrame:
+    """Of a page that was fetched more than once the version with the largest page_id.
+
+    The versions are picked on the narrow columns; HTML only meets their list.
+    """
+    last = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    return pages.join(last, ["url", "page_id"], "left_semi")
+
+
+def stored_decision(candidates: DataFrame, stored: DataFrame) -> DataFrame:
+    """Without a registry: candidates (url, local_path) are downloaded unless a non-empty file is stored."""
+    files = stored.where(F.col("file_size") > 0).select("local_path").distinct().withColumn("is_stored", F.lit(True))
+    found = F.col("is_stored").isNotNull()
+    return join_lookup(candidates, files, "local_path").select(
+        *candidates.columns, F.when(found, "stored").otherwise("not stored").alias("reason"), (~found).alias("download")
+    )
+
+
 def change_decision(
     candidates: DataFrame, stored: DataFrame, registry: DataFrame, heads: DataFrame, force: bool = False
 ) -> DataFrame:
@@ -166,18 +184,22 @@ def change_decision(
 
 
 def upsert_registry(registry: DataFrame, downloads: DataFrame, heads: DataFrame, now: datetime) -> DataFrame:
-    """Registry after ``downloads`` (url, local_path, body), with headers where known.
+    """Registry after ``downloads`` (url, local_path, body), with headers where known."""
+    sized = downloads.select(
+        "url",
+        "local_path",
+        F.octet_length("body").cast("long").alias("file_size"),
+        F.sha2("body", 256).alias("file_hash"),
+    )
+    return upsert_registry_files(registry, sized, heads, now)
 
-    Bodies are reduced to size and hash before anything is shuffled.
-    """
-    fresh = downloads.select(
+
+def upsert_registry_files(registry: DataFrame, files: DataFrame, heads: DataFrame, now: datetime) -> DataFrame:
+    """Registry after ``files`` (url, local_path, file_size, file_hash) were stored, with headers where known."""
+    fresh = files.select(
         url_hash(F.col("url")).alias("url_hash"),
         "url",
-        F.struct(
-            F.octet_length("body").cast("long").alias("file_size"),
-            F.sha2("body", 256).alias("file_hash"),
-            F.col("local_path").alias("local_path"),
-        ).alias("file"),
+        F.struct("file_size", "file_hash", "local_path").alias("file"),
     ).groupBy("url_hash", "url").agg(F.max("file").alias("file"))
     answers = heads.where(F.col("status") == 200).select("url", "last_modified", "etag", "content_length")
     incoming = fresh.join(answers, "url", "left").select(

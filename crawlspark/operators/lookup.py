@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys of some 40 bytes: a list of this length stays below the default broadcast limit.
-LISTED_LIMIT = 200_000
-
 
 def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join ``rows`` to a ``lookup`` that is unique by the text column ``key``.
@@ -23,20 +18,10 @@ def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left")
     return rows.join(lookup.withColumn(key, F.concat(F.col(key), F.lit(""))), key, how)
 
 
-def work_on_listed(
-    rows: DataFrame,
-    listed: DataFrame,
-    key: Column,
-    work: Callable[[DataFrame], DataFrame],
-    limit: int = LISTED_LIMIT,
-) -> DataFrame:
-    """``work`` for the rows whose ``key`` is in the one column of ``listed`` (unique, a written table).
+def on_listed(rows: DataFrame, listed: DataFrame, key: Column) -> DataFrame:
+    """``rows`` whose ``key`` is in the one column of ``listed`` (unique, a written table).
 
-    A short list is broadcast and filters before the work. A long one would
-    drag the wide rows through a shuffle, so then the work comes first and its
-    narrow result is joined. ``work`` keeps the columns ``key`` is made of.
+    The planner knows the bytes of a written table, so it broadcasts a short list
+    and shuffles for a long one.
     """
-    wanted = listed.toDF("listed_key")
-    if wanted.limit(limit + 1).count() <= limit:
-        return work(rows.join(F.broadcast(wanted), key == F.col("listed_key"), "left_semi"))
-    return work(rows).join(wanted, key == F.col("listed_key")).drop("listed_key")
+    return rows.join(listed.toDF("listed_key"), key == F.col("listed_key"), "left_semi")

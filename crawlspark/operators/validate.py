@@ -101,11 +101,15 @@ def content_checks(
     trailer: bytes = PDF_TRAILER,
     min_bytes: int = MIN_DOCUMENT_BYTES,
 ) -> DataFrame:
-    """Per body: bytes, reason, valid, has_trailer; the body itself is dropped."""
+    """Per body: bytes, file_hash, reason, valid, has_trailer; the body itself is dropped.
+
+    All of it comes out of the one scan that reads the bodies, so none is shuffled.
+    """
     body = F.col("body")
     return bodies.select(
         *[c for c in bodies.columns if c != "body"],
         F.coalesce(F.octet_length(body), F.lit(0)).cast("long").alias("bytes"),
+        F.sha2(body, 256).alias("file_hash"),
         content_reason(body, header, min_bytes).alias("reason"),
         F.coalesce(has_trailer(body, trailer), F.lit(False)).alias("has_trailer"),
     ).withColumn("valid", F.col("reason") == "ok")
@@ -144,7 +148,8 @@ def download_outcome(
 
     In order: unchanged file (success with the stored size), invalid URL,
     network error, too large, invalid content, not saved, downloaded.
-    ``decisions`` has (url, download), ``verdicts`` (url, valid), ``gets`` the
+    ``decisions`` has (url, local_path, download), as two departments may hold
+    different files of a url; ``verdicts`` (url, valid), ``gets`` the
     latest GET per url, ``checks`` (url, bytes, valid), ``stored`` (local_path,
     file_size), ``unsaved`` urls that could not be written.
     """
@@ -162,7 +167,7 @@ def download_outcome(
     )
     joined = (
         join_lookup(candidates, sizes, "local_path")
-        .join(decisions.groupBy("url").agg(F.bool_or("download").alias("download")), "url", "left")
+        .join(decisions.groupBy("url", "local_path").agg(F.bool_or("download").alias("download")), ["url", "local_path"], "left")
         .join(verdicts.groupBy("url").agg(F.bool_or("valid").alias("url_valid")), "url", "left")
         .join(asked, "url", "left")
         .join(checks.select("url", F.col("bytes"), F.col("valid").alias("content_valid")), "url", "left")

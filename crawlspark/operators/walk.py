@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions.binding import let
-from crawlspark.functions.fixed import ALWAYS_ALLOWED_HOSTS
+from crawlspark.functions.fixed import ALWAYS_ALLOWED_HOSTS, DEFAULT_MAX_DEPTH, DEFAULT_MAX_PAGES
 from crawlspark.functions.url import authority, contains_any, percent_decode
 from crawlspark.lineage import cut_lineage
-from crawlspark.operators.lookup import join_lookup, work_on_listed
+from crawlspark.operators.lookup import join_lookup, on_listed
+from crawlspark.operators.ordered import row_numbers
 
 WALK = ["dept_key", "seed_ord"]
 
 
-def bounded_walk(seeds: DataFrame, edges: DataFrame, max_depth: int = 3) -> DataFrame:
+def bounded_walk(seeds: DataFrame, edges: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
     """Breadth-first discovery from every seed: dept_key, seed_ord, url, depth, trail.
 
-    ``seeds``: dept_key, seed_ord, url and optionally a max_depth of their own.
+    ``seeds``: dept_key, seed_ord, url and optionally a max_depth of their own;
+    ``max_depth`` holds where that is missing or NULL. The rounds end once no
+    walk has a new url within its limit.
     ``edges``: page_id, url, targets - one row per fetched page. A url without
     edges (not fetched, or blocked) is discovered but leads nowhere.
 
@@ -35,18 +38,19 @@ def bounded_walk(seeds: DataFrame, edges: DataFrame, max_depth: int = 3) -> Data
         "url",
         F.lit(0).alias("depth"),
         F.array().cast("array<int>").alias("trail"),
-        (F.col("max_depth") if "max_depth" in seeds.columns else F.lit(max_depth)).alias("limit"),
+        _own("max_depth", seeds, max_depth).alias("limit"),
     ).dropDuplicates([*WALK, "url"])
     rounds = [cut_lineage(start, "walk-0")]
 
     sites = cut_lineage(rounds[0].select(authority(F.col("url")).alias("site")).distinct(), "walk-sites")
-    inside = work_on_listed(edges, sites, authority(F.col("url")), lambda kept: kept)
+    inside = on_listed(edges, sites, authority(F.col("url")))
     # Of a page fetched more than once the latest version counts.
     graph = cut_lineage(
         inside.groupBy("url").agg(F.max_by("targets", "page_id").alias("targets")), "walk-edges"
     )
 
-    for depth in range(1, max_depth + 1):
+    while not rounds[-1].isEmpty():
+        depth = len(rounds)
         steps = (
             rounds[-1]
             .where(F.col("limit") >= depth)
@@ -61,8 +65,6 @@ def bounded_walk(seeds: DataFrame, edges: DataFrame, max_depth: int = 3) -> Data
         visited = reduce(DataFrame.unionByName, rounds).select(*WALK, "url")
         fresh = found.join(visited, [*WALK, "url"], "left_anti").select(*rounds[0].columns)
         rounds.append(cut_lineage(fresh, f"walk-{depth}"))
-        if rounds[-1].isEmpty():
-            break
     return reduce(DataFrame.unionByName, rounds).select(*WALK, "url", "depth", "trail")
 
 
@@ -142,16 +144,18 @@ def union_discoveries(*strategies: DataFrame) -> DataFrame:
     )
 
 
-def page_cap(discovered: DataFrame, max_pages: int = 1000) -> DataFrame:
+def page_cap(discovered: DataFrame, max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:
     """The first pages of each seed in discovery order.
 
-    ``max_pages`` bounds every seed; a column of that name may tighten it per
-    row. The literal bound lets each task keep only its own first rows before
-    the shuffle, so a long walk does not meet in one task.
+    A column ``max_pages`` bounds the seeds of its department; the parameter
+    holds where it is missing or NULL. Places are numbered over range
+    partitions, so a long walk spreads over tasks whatever its bound.
     """
-    lead = [F.col("strategy")] if "strategy" in discovered.columns else []
-    order = Window.partitionBy(*WALK).orderBy(*lead, *walk_order())
-    ranked = discovered.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max_pages)
-    if "max_pages" in discovered.columns:
-        ranked = ranked.where(F.col("place") <= F.col("max_pages"))
-    return ranked.drop("place")
+    lead = ["strategy"] if "strategy" in discovered.columns else []
+    one_key = discovered.withColumn("walk", F.to_json(F.struct(*WALK)))
+    placed = row_numbers(one_key, "walk", [*lead, "depth", "trail", "url"], "place")
+    return placed.where(F.col("place") <= _own("max_pages", discovered, max_pages)).drop("place", "walk")
+
+
+def _own(name: str, rows: DataFrame, default: int) -> Column:
+    return F.coalesce(F.col(name), F.lit(default)) if name in rows.columns else F.lit(default)

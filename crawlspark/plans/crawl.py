@@ -8,20 +8,24 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.functions.fixed import DEFAULT_MAX_DEPTH, DEFAULT_MAX_PAGES
 from crawlspark.functions.url import authority
 from crawlspark.lineage import cut_lineage
 from crawlspark.operators.departments import documents_found
 from crawlspark.operators.incremental import (
     change_decision,
     latest_by_url,
+    latest_pages,
     new_documents_only,
     stale_pages_only,
+    stored_decision,
     upsert_documents,
     upsert_pages,
+    upsert_registry_files,
 )
 from crawlspark.operators.layout import with_layout
 from crawlspark.operators.links import page_facts
-from crawlspark.operators.lookup import work_on_listed
+from crawlspark.operators.lookup import on_listed
 from crawlspark.operators.reports import department_errors, department_results, overall_results
 from crawlspark.operators.rules import LinkRule
 from crawlspark.operators.validate import content_checks, download_outcome, url_verdicts
@@ -57,6 +61,7 @@ class CrawlOutput:
     errors: DataFrame
     doc_cache: DataFrame
     page_cache: DataFrame
+    registry: DataFrame
 
 
 def crawl(
@@ -66,8 +71,9 @@ def crawl(
     comprehensive: bool = True,
     incremental: bool = True,
     max_age_hours: float = 24,
-    max_depth: int = 3,
-    max_pages: int = 1000,
+    max_depth: int = DEFAULT_MAX_DEPTH,
+    max_pages: int = DEFAULT_MAX_PAGES,
+    cache_when: str = "stored",
     respect_robots: bool = True,
     force: bool = False,
     max_mb: float | None = 50,
@@ -76,28 +82,35 @@ def crawl(
     """One run. HTML is read once, into a table of facts per page; bodies are
     reduced to checks before they meet another table.
 
-    ``max_depth`` and ``max_pages`` bound every department; a department's own
-    smaller limits apply within them.
+    A department's own limits decide; ``max_depth`` and ``max_pages`` hold where
+    it has none. ``cache_when`` says when a new document enters the cache:
+    ``stored`` (one that failed is tried again next time) or ``found``. Known
+    documents that are found again are refreshed there in either case. Without
+    ``incremental`` every page is read, and stored files are skipped by their
+    existence alone.
     """
+    if cache_when not in ("stored", "found"):
+        raise ValueError("cache_when must be 'stored' or 'found'")
     limits = inputs.departments.select("dept_key", "max_depth", F.col("max_pages").alias("dept_pages"))
     seeds = inputs.seeds.join(limits, "dept_key").drop("dept_pages")
     if incremental:
         seeds = stale_pages_only(seeds, inputs.page_cache, now, max_age_hours)
 
     sites = cut_lineage(seeds.select(authority(F.col("url")).alias("site")).distinct(), "crawl-sites")
-    facts = cut_lineage(
-        work_on_listed(inputs.pages, sites, authority(F.col("url")), lambda pages: page_facts(pages, rules)), "page-facts"
-    )
+    on_sites = latest_pages(on_listed(inputs.pages, sites, authority(F.col("url"))))
+    facts = cut_lineage(page_facts(on_sites, rules), "page-facts")
 
     edges = robots_allowed(facts, inputs.robots_rules, respect_robots=respect_robots).where("allowed")
     walked = bounded_walk(seeds, edges.select("page_id", "url", "targets"), max_depth)
     strategies = [walked]
     if comprehensive:
         marked = seeds.select("dept_key", "seed_ord", "url", authority(F.col("url")).alias("host"))
+        # A department takes a host's sitemap once, for the first of its seeds there.
+        hosts = marked.groupBy("dept_key", "host").agg(F.min("seed_ord").alias("seed_ord"))
         listed = sitemap_urls(inputs.sitemaps)
         no_trail = F.array().cast("array<int>").alias("trail")
         strategies.append(
-            marked.drop("url").join(listed, "host").select("dept_key", "seed_ord", "url", F.lit(0).alias("depth"), no_trail)
+            listed.join(hosts, "host").select("dept_key", "seed_ord", "url", F.lit(0).alias("depth"), no_trail)
         )
         archives = facts.select("url", F.posexplode("archives").alias("pos", "target"))
         strategies.append(
@@ -121,22 +134,27 @@ def crawl(
     candidates = with_layout(
         documents.join(names, "dept_key").select("dept_key", "department", F.col("target_url").alias("url")), base
     )
-    if incremental:
-        candidates = new_documents_only(candidates, inputs.doc_cache)
-    candidates = cut_lineage(candidates, "candidates")
+    everything = cut_lineage(candidates, "found-documents")
+    candidates = cut_lineage(new_documents_only(everything, inputs.doc_cache), "candidates") if incremental else everything
 
     heads = cut_lineage(latest_by_url(inputs.fetch_log, "HEAD"), "heads")
     gets = latest_by_url(inputs.fetch_log, "GET")
-    checked = url_verdicts(candidates, heads)
+    checked = cut_lineage(url_verdicts(candidates, heads), "verdicts")
     valid = checked.where("valid")
-    decisions = change_decision(valid.select("url", "local_path"), inputs.stored, inputs.registry, heads, force)
+    asked = valid.select("url", "local_path")
+    if incremental or force:
+        decisions = change_decision(asked, inputs.stored, inputs.registry, heads, force)
+    else:
+        decisions = stored_decision(asked, inputs.stored)
+    wanted = cut_lineage(valid.select("url").distinct(), "valid-urls")
+    checks = cut_lineage(content_checks(on_listed(inputs.bodies, wanted, F.col("url"))), "content-checks")
     results = cut_lineage(
         download_outcome(
             valid.select("department", "url", "local_path"),
             decisions,
             checked,
             gets,
-            content_checks(inputs.bodies),
+            checks,
             inputs.stored,
             max_mb=max_mb,
         ),
@@ -150,8 +168,12 @@ def crawl(
         .select("department", F.coalesce("urls_crawled", F.lit(0)).alias("urls_crawled"))
     )
     departments = department_results(results, crawled)
-    # A document enters the cache once it is validated, so one that failed is looked at again.
-    seen = valid.select("url", F.col("department").alias("source_page"))
+    stored = results.where("success").select("url", "department")
+    known = everything.join(inputs.doc_cache.select("url"), "url", "left_semi").select("url", "department")
+    entered = stored if cache_when == "stored" else everything.select("url", "department")
+    seen = known.unionByName(entered).withColumnRenamed("department", "source_page")
+    saved = results.where(F.col("success") & ~F.col("skipped")).select("url", F.col("file_path").alias("local_path"))
+    files = saved.join(checks.select("url", F.col("bytes").alias("file_size"), "file_hash"), "url")
     looked_at = visited.select("url").distinct().join(
         facts.select("url", F.size("documents").alias("pdf_count")), "url"
     )
@@ -164,4 +186,5 @@ def crawl(
         errors=department_errors(results),
         doc_cache=upsert_documents(inputs.doc_cache, seen, now),
         page_cache=upsert_pages(inputs.page_cache, looked_at, now),
+        registry=upsert_registry_files(inputs.registry, files, heads, now),
     )

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
-from crawlspark.operators.incremental import change_decision, latest_by_url, upsert_registry
+from crawlspark.operators.incremental import change_decision, latest_by_url, upsert_registry_files
 from crawlspark.operators.layout import with_layout
+from crawlspark.operators.lookup import on_listed
 from crawlspark.operators.validate import content_checks, download_outcome, url_verdicts
 
 
@@ -27,16 +28,19 @@ def refresh(
     candidates = with_layout(documents.select("department", "url").distinct(), base)
     heads = cut_lineage(latest_by_url(fetch_log, "HEAD"), "refresh-heads")
     decisions = change_decision(candidates.select("url", "local_path"), stored, registry, heads, force)
+    listed = cut_lineage(candidates.select("url").distinct(), "refresh-urls")
+    checks = cut_lineage(content_checks(on_listed(bodies, listed, F.col("url"))), "refresh-checks")
     results = cut_lineage(
         download_outcome(
             candidates.select("department", "url", "local_path"),
             decisions,
             url_verdicts(candidates, heads),
             latest_by_url(fetch_log, "GET"),
-            content_checks(bodies),
+            checks,
             stored,
         ),
         "refresh-results",
     )
     saved = results.where(F.col("success") & ~F.col("skipped")).select("url", F.col("file_path").alias("local_path"))
-    return results, upsert_registry(registry, bodies.join(saved, "url"), heads, now)
+    files = saved.join(checks.select("url", F.col("bytes").alias("file_size"), "file_hash"), "url")
+    return results, upsert_registry_files(registry, files, heads, now)

@@ -29,8 +29,9 @@ def seeds_from_lines(lines: DataFrame) -> DataFrame:
     """Seeds of Markdown lines (file, line_no, line): dept_key, name, seed_ord, url.
 
     A header starts a department, and every address up to the next header is
-    one of its seeds. A key that comes again in a file starts over. Departments
-    without an address have no row.
+    one of its seeds. A key that comes again in a file starts over; the seeds
+    that further files give it are numbered on, in the order of the files, and an
+    address counts once. Departments without an address have no row.
     """
     text = strip(F.col("line"))
     name = strip(F.regexp_extract(text, MARKDOWN_HEADER, 1))
@@ -57,8 +58,10 @@ def seeds_from_lines(lines: DataFrame) -> DataFrame:
         .where(F.col("url").isNotNull())
         .withColumn("url", F.regexp_replace("url", r"[.,;]+$", ""))
     )
-    first = cleaned.groupBy("file", "dept_key", "name", "url").agg(F.min(F.struct("line_no", "pos")).alias("place"))
-    order = Window.partitionBy("file", "dept_key").orderBy("place")
+    first = cleaned.groupBy("dept_key", "url").agg(
+        F.min(F.struct("file", "line_no", "pos")).alias("place"), F.min_by("name", F.struct("file", "line_no", "pos")).alias("name")
+    )
+    order = Window.partitionBy("dept_key").orderBy("place")
     return first.select(
         "dept_key", "name", (F.row_number().over(order) - 1).alias("seed_ord"), "url"
     )

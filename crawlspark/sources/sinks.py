@@ -4,37 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions.names import dashed
 from crawlspark.functions.numbers import fixed_point
-from crawlspark.operators.reports import first_errors, overall_results, report_rows
-
-
-def department_documents(departments: DataFrame, errors: DataFrame, shown_errors: int = 100) -> DataFrame:
-    """One JSON object per department, as text: department, json.
-
-    A department lists its first errors; all of them are in the error listing.
-    """
-    none = F.array().cast("array<string>")
-    return departments.join(first_errors(errors, shown_errors), "department", "left").select(
-        "department",
-        F.to_json(
-            F.struct(
-                F.col("department").alias("name"),
-                "urls_crawled",
-                "pdfs_found",
-                "pdfs_downloaded",
-                "pdfs_failed",
-                "pdfs_skipped",
-                F.col("total_size").alias("total_size_bytes"),
-                F.col("duration").alias("duration_seconds"),
-                F.coalesce("errors", none).alias("errors"),
-                "error_count",
-            )
-        ).alias("json"),
-    )
+from crawlspark.operators.lookup import join_lookup
+from crawlspark.operators.reports import overall_results, report_rows
 
 
 def overall_document(departments: DataFrame, finished: datetime) -> DataFrame:
@@ -57,40 +33,80 @@ def overall_document(departments: DataFrame, finished: datetime) -> DataFrame:
     )
 
 
-def nested_report(departments: DataFrame, errors: DataFrame, finished: datetime, shown_errors: int = 100) -> DataFrame:
-    """The whole report as one JSON text, for as many departments as one document may hold.
+#: Columns that put the lines of a JSON report in order.
+LINE_ORDER = ["part", "department", "step", "url", "error", "copy"]
+
 
-    ``save_report`` checks their number and writes lines beyond it.
+def json_lines(departments: DataFrame, errors: DataFrame, finished: datetime) -> DataFrame:
+    """The whole report as lines of text that together, in order, are one JSON document.
+
+    Columns: ``LINE_ORDER`` and ``line``. A head, then per department a line that
+    opens it, one line per error, and one that closes it; then a foot. However
+    many departments and errors there are, they stay rows.
     """
-    parts = department_documents(departments, errors, shown_errors)
-    listed = parts.agg(F.array_join(F.array_sort(F.collect_list("json")), ", ").alias("departments"))
-    return overall_document(departments, finished).join(F.broadcast(listed), F.lit(True)).select(
-        F.concat(
-            F.regexp_replace("json", r"\}$", ""), F.lit(',"departments":['), F.coalesce("departments", F.lit("")), F.lit("]}")
-        ).alias("json")
+    none = F.lit(None).cast("string")
+    no_error = [none.alias("url"), none.alias("error"), F.lit(0).alias("copy")]
+
+    def cut(json: str) -> Column:
+        return F.regexp_replace(json, r"\}$", "")
+
+    head = overall_document(departments, finished).select(
+        F.lit(0).alias("part"), none.alias("department"), F.lit(0).alias("step"), *no_error,
+        F.concat(cut("json"), F.lit(',"departments":[')).alias("line"),
+    )
+    foot = head.select("part", "department", "step", "url", "error", "copy").select(
+        F.lit(2).alias("part"), "department", "step", "url", "error", "copy", F.lit("]}").alias("line")
+    )
+    # One row: the name that no comma stands before.
+    first = departments.agg(F.min("department").alias("first_department"))
+    numbers = F.to_json(
+        F.struct(
+            F.col("department").alias("name"),
+            "urls_crawled",
+            "pdfs_found",
+            "pdfs_downloaded",
+            "pdfs_failed",
+            "pdfs_skipped",
+            F.col("total_size").alias("total_size_bytes"),
+            F.col("duration").alias("duration_seconds"),
+            "error_count",
+        )
+    )
+    comma = F.when(F.col("department") == F.col("first_department"), "").otherwise(",")
+    opened = departments.withColumn("json", numbers).join(F.broadcast(first), F.lit(True)).select(
+        F.lit(1).alias("part"), "department", F.lit(0).alias("step"), *no_error,
+        F.concat(comma, cut("json"), F.lit(',"errors":[')).alias("line"),
+    )
+    closed = departments.select(
+        F.lit(1).alias("part"), "department", F.lit(2).alias("step"), *no_error, F.lit("]}").alias("line")
+    )
+    counted = errors.groupBy("department", "url", "error").agg(F.count("*").alias("copies"))
+    least = errors.groupBy("department").agg(F.min(F.struct("url", "error")).alias("least"))
+    placed = join_lookup(counted, least, "department", "inner").select(
+        "*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
     )
+    leads = (F.col("copy") == 1) & F.struct("url", "error").eqNullSafe(F.col("least"))
+    # A text in JSON is a list of it without the brackets.
+    quoted = F.regexp_replace(F.to_json(F.array("error")), r"^\[|\]$", "")
+    listed = placed.join(departments.select("department"), "department", "left_semi").select(
+        F.lit(1).alias("part"), "department", F.lit(1).alias("step"), "url", "error", "copy",
+        F.concat(F.when(leads, "").otherwise(","), quoted).alias("line"),
+    )
+    return head.unionByName(opened).unionByName(listed).unionByName(closed).unionByName(foot)
 
 
 def save_report(
-    departments: DataFrame,
-    errors: DataFrame,
-    path: str,
-    finished: datetime,
-    fmt: str = "json",
-    max_nested: int = 1000,
+    departments: DataFrame, errors: DataFrame, path: str, finished: datetime, fmt: str = "json"
 ) -> None:
     """Write the report as ``json`` or ``csv``.
 
-    JSON is one nested document for up to ``max_nested`` departments; for more
-    the overall part and one line per department. Every error is listed besides.
+    JSON is one document; its lines are spread over files whose names, in
+    order, put it together. Every error is listed besides.
     """
     kind = fmt.lower()
     if kind == "json":
-        if departments.limit(max_nested + 1).count() <= max_nested:
-            nested_report(departments, errors, finished).select("json").write.text(f"{path}/report")
-        else:
-            overall_document(departments, finished).select("json").write.text(f"{path}/overall")
-            department_documents(departments, errors).select("json").write.text(f"{path}/departments")
+        lines = json_lines(departments, errors, finished)
+        lines.repartitionByRange(*LINE_ORDER).sortWithinPartitions(*LINE_ORDER).select("line").write.text(f"{path}/report")
         errors.write.json(f"{path}/errors")
     elif kind == "csv":
         report_rows(departments).write.option("header", True).csv(f"{path}/report")

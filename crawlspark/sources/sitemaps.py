@@ -44,27 +44,22 @@ def _parsed(sitemaps: DataFrame) -> DataFrame:
     )
 
 
-def sitemap_urls(sitemaps: DataFrame, max_levels: int = 10) -> DataFrame:
+def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
     """Addresses a host's sitemaps list for that host: host, url, distinct.
 
     ``sitemaps``: host, sitemap_url, xml. Nested indexes are followed level by
-    level; one already opened for a host is not opened again. Deeper nesting
-    than ``max_levels`` is an error rather than a shorter result.
+    level, however deep; one already opened for a host is not opened again, so
+    the levels end.
     """
     stored = sitemaps.groupBy("sitemap_url").agg(F.min("xml").alias("xml"))
-    level = cut_lineage(_parsed(sitemap_roots(sitemaps)), "sitemaps-0")
-    levels = [level]
-    for depth in range(1, max_levels + 2):
+    levels = [cut_lineage(_parsed(sitemap_roots(sitemaps)), "sitemaps-0")]
+    while not levels[-1].isEmpty():
+        level = levels[-1]
         wanted = level.select("host", F.explode("nested").alias("sitemap_url")).select(
             "host", strip(F.col("sitemap_url")).alias("sitemap_url")
         ).distinct()
         opened = reduce(DataFrame.unionByName, levels).select("host", "sitemap_url")
         ahead = wanted.join(opened, ["host", "sitemap_url"], "left_anti").join(stored, "sitemap_url")
-        level = cut_lineage(_parsed(ahead.select("host", "sitemap_url", "xml")), f"sitemaps-{depth}")
-        if level.isEmpty():
-            break
-        if depth > max_levels:
-            raise ValueError(f"sitemaps nest deeper than {max_levels} levels")
-        levels.append(level)
+        levels.append(cut_lineage(_parsed(ahead.select("host", "sitemap_url", "xml")), f"sitemaps-{len(levels)}"))
     listed = reduce(DataFrame.unionByName, levels).select("host", F.explode("listed").alias("url"))
     return listed.where(authority(F.col("url")) == F.col("host")).distinct()

@@ -2,50 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from crawlspark.operators.lookup import join_lookup
+from crawlspark.lineage import cut_lineage
 from crawlspark.operators.pacing import SECOND, request_gaps
-from crawlspark.sources.state import load_state, save_state
+from crawlspark.sources.state import load_state, save_state, versions
 
+REQUEST = T.StructType(
+    [T.StructField("url", T.StringType()), T.StructField("domain", T.StringType()), T.StructField("ts_us", T.LongType())]
+)
 LAST_REQUEST = T.StructType([T.StructField("domain", T.StringType()), T.StructField("last_us", T.LongType())])
+WATERMARK = T.StructType([T.StructField("until_us", T.LongType())])
+
+
+def _release(released: DataFrame, last: DataFrame, out: str, gap: int, batch_id: int) -> DataFrame:
+    """Write the violations among ``released``, all later than ``last``, and return the new last requests."""
+    # Only released rows are compared; the state adds one row per domain that occurs among them.
+    known = last.join(released.select("domain").distinct(), "domain", "left_semi")
+    before = known.select(F.lit(0).alias("is_new"), F.lit("").alias("url"), "domain", F.col("last_us").alias("ts_us"))
+    rows = released.select(F.lit(1).alias("is_new"), "url", "domain", "ts_us").unionByName(before)
+    gaps = request_gaps(rows.withColumn("place", F.struct("is_new", "url")), order="place")
+    found = gaps.where((F.col("is_new") == 1) & (F.col("gap_us") < gap)).drop("is_new", "place")
+    found.write.mode("overwrite").parquet(f"{out}/violations/batch_id={batch_id}")
+    newest = released.groupBy("domain").agg(F.max("ts_us").alias("last_us"))
+    return last.unionByName(newest).groupBy("domain").agg(F.max("last_us").alias("last_us"))
+
+
+def _gap(seconds: float) -> int:
+    return int(round(seconds * SECOND))
 
 
 def stream_gap_violations(
-    requests: DataFrame, out: str, state: str, checkpoint: str, gap_seconds: float = 1.0
+    requests: DataFrame,
+    out: str,
+    state: str,
+    checkpoint: str,
+    gap_seconds: float = 1.0,
+    lateness_seconds: float = 3600.0,
 ) -> StreamingQuery:
-    """Write requests (url, domain, ts_us) that came too soon after the one before.
+    """Write requests (url, domain, ts_us) that came too soon after the one before to ``out``/violations.
 
-    State is the last request of each domain, one version per batch, so a
-    repeated batch starts from the same state. Rows older than their domain's
-    state are late and left out. The rows of a batch go through the batch
-    operator: a busy domain is spread over tasks, where a state function keyed
-    by domain would put it into one.
+    Requests wait in the state until the watermark, the latest time seen less
+    the lateness, has passed them, and are then compared in the order of time,
+    wherever the borders of the batches are. A request before the watermark (or
+    without a time) is late: it goes to ``out``/late with its batch, and into no
+    comparison. ``release_pending`` compares what still waits when a stream has
+    ended. State is written in versions by batch, so a repeated batch starts
+    from the same state. The rows go through the batch operator: a busy domain
+    is spread over tasks.
     """
-    gap = int(round(gap_seconds * SECOND))
+    gap, lateness = _gap(gap_seconds), _gap(lateness_seconds)
 
     def audit(batch: DataFrame, batch_id: int) -> None:
-        # Only rows of the micro-batch are compared; the state adds one row per domain that occurs in it.
-        last = load_state(batch.sparkSession, state, LAST_REQUEST, before=batch_id)
-        known = batch.select("domain").distinct().join(last, "domain")
-        timely = (
-            join_lookup(batch.select("url", "domain", "ts_us"), known, "domain")
-            .where(F.col("last_us").isNull() | (F.col("ts_us") >= F.col("last_us")))
-            .select(F.lit(1).alias("is_new"), "url", "domain", "ts_us")
-        )
-        before = known.select(F.lit(0).alias("is_new"), F.lit("").alias("url"), "domain", F.col("last_us").alias("ts_us"))
-        rows = timely.unionByName(before).withColumn("place", F.struct("is_new", "url"))
-        gaps = request_gaps(rows, order="place").where(F.col("is_new") == 1).drop("is_new", "place")
-        gaps.where(F.col("gap_us") < gap).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        newest = (
-            last.unionByName(batch.groupBy("domain").agg(F.max("ts_us").alias("last_us")))
-            .groupBy("domain")
-            .agg(F.max("last_us").alias("last_us"))
-        )
-        save_state(newest, state, batch_id)
+        spark = batch.sparkSession
+        rows = cut_lineage(batch.select("url", "domain", F.col("ts_us").cast("long").alias("ts_us")), "gap-batch")
+        mark = load_state(spark, f"{state}/watermark", WATERMARK, before=batch_id).agg(F.max("until_us")).first()[0]
+        newest = rows.agg(F.max("ts_us")).first()[0]
+        marks = [m for m in (mark, None if newest is None else newest - lateness) if m is not None]
+        until = F.lit(max(marks, default=None)).cast("long")
+        late = F.col("ts_us").isNull() | F.coalesce(F.col("ts_us") < F.lit(mark).cast("long"), F.lit(False))
+        rows.where(late).write.mode("overwrite").parquet(f"{out}/late/batch_id={batch_id}")
+        waiting = load_state(spark, f"{state}/pending", REQUEST, before=batch_id).unionByName(rows.where(~late))
+        passed = F.coalesce(F.col("ts_us") < until, F.lit(False))
+        last = load_state(spark, f"{state}/last", LAST_REQUEST, before=batch_id)
+        save_state(_release(waiting.where(passed), last, out, gap, batch_id), f"{state}/last", batch_id)
+        save_state(waiting.where(~passed), f"{state}/pending", batch_id)
+        # Written last: a batch counts once its other state is there.
+        save_state(spark.range(1).select(until.alias("until_us")), f"{state}/watermark", batch_id)
 
     return (
         requests.writeStream.foreachBatch(audit)
@@ -53,3 +79,24 @@ def stream_gap_violations(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def release_pending(spark: SparkSession, out: str, state: str, gap_seconds: float = 1.0) -> None:
+    """Compare the requests that still wait, once their stream has ended for good."""
+    number = max(versions(spark, f"{state}/watermark"), default=-1) + 1
+    pending = load_state(spark, f"{state}/pending", REQUEST)
+    last = load_state(spark, f"{state}/last", LAST_REQUEST)
+    save_state(_release(pending, last, out, _gap(gap_seconds), number), f"{state}/last", number)
+    until = pending.agg((F.max("ts_us") + 1).alias("until_us"))
+    save_state(until, f"{state}/watermark", number)
+    save_state(pending.limit(0), f"{state}/pending", number)
+
+
+def violations(spark: SparkSession, out: str) -> DataFrame:
+    """All violations found so far."""
+    return spark.read.parquet(f"{out}/violations")
+
+
+def late_requests(spark: SparkSession, out: str) -> DataFrame:
+    """Requests that came too late to be compared, with their batch."""
+    return spark.read.parquet(f"{out}/late")

@@ -85,8 +85,10 @@ def test_clean_text_replaces_in_order(spark):
 
 
 def test_unescape_is_single_pass(spark):
-    values = ["?a=1&amp;b=2", "&amp;lt;", "&#33;&#x4e2d;&#x110000;", "plain"]
-    assert column(spark, values, "string", text.unescape_entities) == ["?a=1&b=2", "&lt;", "!中�", "plain"]
+    values = ["?a=1&amp;b=2", "&amp;lt;", "&#33;&#x4e2d;&#x110000;", "plain", None, "", "a & b; &c"]
+    assert column(spark, values, "string", text.unescape_entities) == [
+        "?a=1&b=2", "&lt;", "!中�", "plain", None, "", "a & b; &c",
+    ]
 
 
 def test_file_names(spark):
@@ -144,3 +146,9 @@ def test_a_long_page_costs_no_recursion(spark):
     assert found == ["'end'"]
 
 
+
+
+def test_entities_are_decoded_once_and_all_names_are_known(spark):
+    values = ["&#38;lt;", "&eacute;&apos;&nbsp;", "&#00000000065;", "&#x0000000041;", "&#99999999999;", "&#;", "&nosuchname;x", "&amp;#65;"]
+    expected = ["&lt;", "\u00e9'\u00a0", "A", "A", "\ufffd", "&#;", "&nosuchname;x", "&#65;"]
+    assert column(spark, values, "string", text.unescape_entities) == expected

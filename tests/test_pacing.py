@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from crawlspark.operators import attempts, pacing
-from crawlspark.operators.lookup import join_lookup, work_on_listed
+from crawlspark.operators.lookup import join_lookup, on_listed
 from crawlspark.operators.ordered import row_numbers
 
 SECOND = pacing.SECOND
@@ -130,13 +130,8 @@ def test_fetch_trouble(spark):
     assert [r.retry for r in attempts.fetch_trouble(df).collect()] == [True, False, True, False, False]
 
 
-def test_work_on_listed_is_the_same_for_short_and_long_lists(spark):
+def test_on_listed_keeps_the_rows_of_the_list(spark):
     rows = spark.createDataFrame([(u, "wide") for u in "aabbcd"], "url string, html string")
     listed = spark.createDataFrame([("a",), ("c",), ("x",)], "k string")
-
-    def shorten(df):
-        return df.select("url", F.length("html").alias("n"))
-
-    for limit in (10, 2):
-        found = work_on_listed(rows, listed, F.col("url"), shorten, limit)
-        assert sorted(r.url for r in found.collect()) == ["a", "a", "c"] and found.columns == ["url", "n"]
+    found = on_listed(rows, listed, F.col("url"))
+    assert sorted(r.url for r in found.collect()) == ["a", "a", "c"] and found.columns == ["url", "html"]

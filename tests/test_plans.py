@@ -81,7 +81,9 @@ def test_first_run(inputs):
     assert (found["Dept E"].pdfs_found, found["Dept E"].urls_crawled) == (0, 1)
     total = run.overall.first()
     assert (total.departments, total.total_pdfs_found, total.total_pdfs_downloaded, total.success_rate) == (3, 8, 6, 75.0)
-    assert {r.url for r in run.doc_cache.collect()} == {u for _, u in outcome(run)}
+    good = {u for (_, u), found in outcome(run).items() if found == GOOD}
+    assert {r.url for r in run.doc_cache.collect()} == good
+    assert {r.url: r.file_size for r in run.registry.collect()} == {u: len(PDF) for u in good}
     counts = {r.url: (r.pdf_count, r.crawl_count) for r in run.page_cache.collect()}
     assert counts["http://a.b/sub/"] == (2, 1) and counts["http://c.d/"] == (2, 1)
 
@@ -92,7 +94,12 @@ def test_second_run_sees_only_what_is_new(inputs):
     soon = crawl(inputs, NOW + timedelta(hours=1))
     assert outcome(soon) == {}
     later = crawl(inputs, NOW + timedelta(hours=30))
-    assert outcome(later) == {}
+    # What failed is tried again; what is known is only seen again.
+    assert {u for _, u in outcome(later)} == {"http://a.b/sub/two.pdf", "http://a.b/old.pdf"}
+    times = {r.url: (r.discovered_time, r.last_seen) for r in later.doc_cache.collect()}
+    assert len(set(times.values())) == 1
+    (discovered, seen), = set(times.values())
+    assert seen - discovered == timedelta(hours=30)
     counts = {r.url: r.crawl_count for r in later.page_cache.collect()}
     assert counts["http://a.b/"] == 2
     full = crawl(inputs, NOW + timedelta(hours=1), incremental=False)
@@ -100,11 +107,14 @@ def test_second_run_sees_only_what_is_new(inputs):
 
 
 def test_walk_only_and_limits(inputs):
-    run = crawl(inputs, NOW, comprehensive=False, max_depth=1)
+    limited = inputs.departments
+    inputs.departments = limited.withColumn("max_depth", F.lit(1))
+    run = crawl(inputs, NOW, comprehensive=False)
     assert {u for d, u in outcome(run) if d == "Dept A"} == {
         "http://a.b/one.pdf", "http://a.b/sub/two.pdf", "http://a.b/old.pdf",
     }
-    capped = crawl(inputs, NOW, comprehensive=False, max_pages=1)
+    inputs.departments = limited.withColumn("max_depth", F.lit(None).cast("int")).withColumn("max_pages", F.lit(1))
+    capped = crawl(inputs, NOW, comprehensive=False)
     assert {u for d, u in outcome(capped) if d == "Dept A"} == {"http://a.b/one.pdf"}
 
 
@@ -146,3 +156,38 @@ def test_refresh(inputs, spark):
     assert {r.url: r.file_size for r in state.collect()} == {"http://a.b/one.pdf": 9, "http://a.b/listed.pdf": len(PDF)}
     forced, _ = refresh(documents, inputs.fetch_log, inputs.bodies, registry, stored, NOW, force=True)
     assert {r.url: r.skipped for r in forced.collect()}["http://a.b/one.pdf"] is False
+
+
+def test_a_document_that_failed_may_enter_the_cache_too(inputs):
+    run = crawl(inputs, NOW, cache_when="found")
+    assert {r.url for r in run.doc_cache.collect()} >= {u for _, u in outcome(run)}
+    with pytest.raises(ValueError, match="cache_when"):
+        crawl(inputs, NOW, cache_when="never")
+
+
+def test_stored_files_are_skipped_without_a_registry(inputs, spark):
+    stored = [("downloads/Dept-A/one.pdf", 9), ("downloads/Dept-A/listed.pdf", 0)]
+    inputs.stored = spark.createDataFrame(stored, "local_path string, file_size long")
+    run = crawl(inputs, NOW, incremental=False, base="downloads")
+    skipped = {(r.department, r.url): r.file_size for r in run.results.where("skipped").collect()}
+    assert skipped == {("Dept A", "http://a.b/one.pdf"): 9}
+
+
+def test_decisions_are_per_department(inputs, spark):
+    inputs.stored = spark.createDataFrame([("downloads/Dept-A/one.pdf", 9)], "local_path string, file_size long")
+    inputs.registry = spark.createDataFrame(
+        [("http://a.b/one.pdf", "downloads/Dept-A/one.pdf", NOW, 9, "h", None, None, 200)],
+        "url string, local_path string, download_time timestamp, file_size long, file_hash string, last_modified string, etag string, content_length long",
+    ).withColumn("url_hash", url_hash(F.col("url")))
+    run = crawl(inputs, NOW, base="downloads")
+    found = {r.department: (r.skipped, r.file_size) for r in run.results.where("url = 'http://a.b/one.pdf'").collect()}
+    assert found == {"Dept A": (True, 9), "Dept C": (False, len(PDF))}
+
+
+def test_only_the_latest_version_of_a_page_counts(inputs, spark):
+    newer = spark.createDataFrame([(100, "http://c.d/", '<a href="new.pdf">n</a>')], schemas.PAGES)
+    inputs.pages = inputs.pages.unionByName(newer)
+    run = crawl(inputs, NOW)
+    assert {r.url for r in run.documents.where("department = 'Dept C'").collect()} == {"http://c.d/new.pdf"}
+    found = dry_run(inputs.seeds, inputs.pages, inputs.fetch_log)
+    assert found.totals.first().total_seed_urls == 3

@@ -84,9 +84,9 @@ def index(*locs):
     return f"<sitemapindex {NS}>" + "".join(f"<sitemap><loc> {x} </loc></sitemap>" for x in locs) + "</sitemapindex>"
 
 
-def listed(spark, *rows, **options):
+def listed(spark, *rows):
     table = spark.createDataFrame(list(rows), schemas.SITEMAPS)
-    return {(r.host, r.url) for r in sitemaps.sitemap_urls(table, **options).collect()}
+    return {(r.host, r.url) for r in sitemaps.sitemap_urls(table).collect()}
 
 
 def test_sitemaps(spark):
@@ -107,10 +107,10 @@ def test_sitemaps(spark):
     }
 
 
-def test_sitemaps_too_deep_are_an_error(spark):
-    rows = [("a", "https://a/sitemap.xml", index("https://a/0"))] + [("a", f"https://a/{i}", index(f"https://a/{i + 1}")) for i in range(4)]
-    with pytest.raises(ValueError, match="deeper"):
-        listed(spark, *rows, max_levels=2)
+def test_sitemaps_nest_as_deep_as_they_like(spark):
+    rows = [("a", "https://a/sitemap.xml", index("https://a/0"))]
+    rows += [("a", f"https://a/{i}", index(f"https://a/{i + 1}", "https://a/sitemap.xml")) for i in range(12)]
+    assert listed(spark, *rows, ("a", "https://a/12", urlset("https://a/found"))) == {("a", "https://a/found")}
 
 
 def test_fetch_log_from_text(spark, folder):

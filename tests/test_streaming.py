@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawlspark import schemas
@@ -119,14 +120,29 @@ def test_document_deltas_equal_the_batch_upsert(spark, folder):
 REQUESTS = "url string, domain string, ts_us long"
 
 
-def test_gaps_across_batches(spark, folder):
+SPREAD = [(str(i), f"d{i % 3}", (i * 7919) % 500 * pacing.SECOND // 3) for i in range(120)]
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_gaps_do_not_depend_on_the_borders_of_batches(spark, folder, batches):
+    order = sorted(SPREAD, key=lambda r: r[2] + (40 * pacing.SECOND if int(r[0]) % 4 == 0 else 0))
+    size = -(-len(order) // batches)
+    for start in range(0, len(order), size):
+        feed(spark, f"{folder}/in", REQUESTS, order[start : start + size])
+    out, state = f"{folder}/out", f"{folder}/state"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, f"{folder}/ck", 1.0, 60))
+    gaps.release_pending(spark, out, state)
+    found = {(r.url, r.gap_us) for r in gaps.violations(spark, out).collect()}
+    assert found == {(r.url, r.gap_us) for r in pacing.gap_violations(spark.createDataFrame(SPREAD, REQUESTS), 1.0).collect()}
+    assert len(found) > 10 and gaps.late_requests(spark, out).count() == 0
+
+
+def test_late_requests_are_counted(spark, folder):
     second = pacing.SECOND
-    first = [("1", "a", 0), ("2", "a", 2 * second), ("3", "b", 0)]
-    second_batch = [("4", "a", 2 * second + 5), ("5", "b", 9 * second), ("6", "b", 9 * second), ("7", "a", second)]
-    feed(spark, f"{folder}/in", REQUESTS, first)
-    feed(spark, f"{folder}/in", REQUESTS, second_batch)
-    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), f"{folder}/out", f"{folder}/state", f"{folder}/ck"))
-    found = {(r.url, r.gap_us) for r in spark.read.parquet(f"{folder}/out").collect()}
-    assert found == {("4", 5), ("6", 0)}
-    timely = spark.createDataFrame(first + second_batch[:3], REQUESTS)
-    assert found == {(r.url, r.gap_us) for r in pacing.gap_violations(timely, 1.0).collect()}
+    feed(spark, f"{folder}/in", REQUESTS, [("1", "a", 0), ("2", "a", 100 * second)])
+    feed(spark, f"{folder}/in", REQUESTS, [("3", "a", 50 * second), ("4", "a", 95 * second), ("5", "a", None)])
+    out, state = f"{folder}/out", f"{folder}/state"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, f"{folder}/ck", 10.0, 20))
+    assert {(r.url, r.batch_id) for r in gaps.late_requests(spark, out).collect()} == {("3", 1), ("5", 1)}
+    gaps.release_pending(spark, out, state, 10.0)
+    assert {(r.url, r.gap_us) for r in gaps.violations(spark, out).collect()} == {("2", 5 * second)}

@@ -113,7 +113,7 @@ def search_result_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def found_by_department(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = marked_up(spark, sf_dir, ANCHOR, MIXED)
-    visited = pages.where(F.col("url").startswith("https:")).select(lang(F.col("url")).alias("dept_key"), "url")
+    visited = pages.select(lang(F.col("url")).alias("dept_key"), "url")
     search = search_result_links(spark, sf_dir).select(lang(F.col("page_url")).alias("dept_key"), "target_url")
     return documents_found(visited, links.document_links(pages), search)
 
@@ -295,7 +295,7 @@ SELECT page_url, target AS target_url FROM ({_SEARCH_HITS})""",
     "found_by_department": f"""
 WITH {SQL_ANCHORS}
 SELECT DISTINCT dept_key, target_url FROM (
-  SELECT lang AS dept_key, {MIXED_TARGET} AS target_url FROM a WHERE url LIKE 'https:%'
+  SELECT lang AS dept_key, {MIXED_TARGET} AS target_url FROM a
   UNION ALL SELECT lang, target FROM ({_SEARCH_HITS}))""",
     "script_weight": f"""
 WITH {SQL_ANCHORS},

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlspark import schemas
 from crawlspark.operators import attempts, pacing
+from crawlspark.operators.ordered import row_numbers
+from crawlspark.session import checkpoint_root
+from crawlspark.sources import tables
 from workload.common import SQL_EVENTS, events
 
 # Requests that last up to two days make domains wait.
@@ -43,10 +49,11 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempt_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first requests of a domain as attempts; the rank filter keeps few rows of each."""
-    order = Window.partitionBy("domain").orderBy("ts_us", "event_id")
-    numbered = failures(spark, sf_dir).withColumn("attempt", F.row_number().over(order)).where(F.col("attempt") <= 3)
-    return attempts.attempt_outcome(numbered, key="domain")
+    """The requests of a domain as series of three attempts, one after the other."""
+    numbered = row_numbers(failures(spark, sf_dir), "domain", ["ts_us", "event_id"], "k")
+    series = F.concat_ws("/", "domain", F.floor((F.col("k") - 1) / 3))
+    attempt = ((F.col("k") - 1) % 3 + 1).cast("int")
+    return attempts.attempt_outcome(numbered.select(series.alias("series"), attempt.alias("attempt"), "success", "error"), key="series")
 
 
 def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +61,21 @@ def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_trouble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests written as a fetch log and read back as one."""
     status = F.regexp_extract("error", r"HTTP ([0-9]+)", 1)
-    log = failures(spark, sf_dir).select("event_id", "error", F.when(status != "", status.cast("int")).alias("status"))
-    return attempts.fetch_trouble(log).select("event_id", "retry")
+    known = {
+        "url": F.col("event_id").cast("string"),
+        "method": F.lit("GET"),
+        "ts": F.timestamp_micros("ts_us"),
+        "attempt": F.lit(1),
+        "status": F.when(status != "", status.cast("int")),
+        "error": F.col("error"),
+    }
+    columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.FETCH_LOG]
+    folder = f"{checkpoint_root(spark)}/crawlspark/fetch-log-{uuid.uuid4().hex}"
+    failures(spark, sf_dir).select(*columns).write.parquet(folder)
+    log = tables.read_fetch_log(spark, folder)
+    return attempts.fetch_trouble(log).select(F.col("url").cast("long").alias("event_id"), "retry")
 
 
 def domains_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +129,11 @@ WITH {_GAPS}
 SELECT domain, event_id, ts_us, gap_us FROM g WHERE gap_us < {_GAP_US}""",
     "attempt_outcome": f"""
 WITH {_FAILURES},
-n AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts_us, event_id) AS attempt FROM h),
-k AS (SELECT *, min(CASE WHEN NOT retryable THEN attempt END) OVER (PARTITION BY domain) AS stop,
-    max(attempt) OVER (PARTITION BY domain) AS last FROM n WHERE attempt <= 3)
-SELECT domain, error IS NULL AS success,
+o AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts_us, event_id) - 1 AS place FROM h),
+n AS (SELECT *, domain || '/' || (place // 3) AS series, place % 3 + 1 AS attempt FROM o),
+k AS (SELECT *, min(CASE WHEN NOT retryable THEN attempt END) OVER (PARTITION BY series) AS stop,
+    max(attempt) OVER (PARTITION BY series) AS last FROM n)
+SELECT series, error IS NULL AS success,
   CASE WHEN stop IS NULL AND attempt = 3 THEN 'Failed after 3 attempts: ' || error ELSE error END AS error,
   CAST(attempt AS BIGINT) AS attempts, CAST(pow(2, attempt - 1) - 1 AS BIGINT) AS planned_wait_s
 FROM k WHERE attempt = coalesce(stop, last)""",

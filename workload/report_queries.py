@@ -67,8 +67,21 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.listings(results(spark, sf_dir))
 
 
+def _read_back(lines: DataFrame) -> DataFrame:
+    """Department lines of a JSON report as rows: name, its numbers, and one row per error."""
+    line = F.regexp_replace("line", "^,", "")
+    shape = "name string, pdfs_found bigint, total_size_bytes bigint, error_count bigint"
+    opened = lines.where("part = 1 and step = 0").select(
+        "department", F.from_json(F.regexp_replace(line, r',"errors":\[$', "}"), shape).alias("d")
+    )
+    texts = lines.where("part = 1 and step = 1").select(
+        "department", F.get(F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>"), F.lit(0)).alias("error")
+    )
+    return opened.join(texts, "department", "left").select("department", "d.*", "error")
+
+
 def nested_json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document with the event types as departments, read back into rows."""
+    """One document with the event types as departments, read back into rows, with all errors."""
     rows = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Kind "), "event_type").alias("kind"))
     by_kind = (
         results(spark, sf_dir)
@@ -76,39 +89,22 @@ def nested_json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(rows, "event_id")
         .withColumn("department", F.col("kind"))
     )
-    report = sinks.nested_report(
-        reports.department_results(by_kind), reports.department_errors(by_kind), FINISHED, 2
-    )
-    shape = (
-        "timestamp string, overall_stats struct<total_pdfs_found: bigint, success_rate: double>, "
-        "departments array<struct<name: string, pdfs_found: bigint, total_size_bytes: bigint, errors: array<string>, error_count: bigint>>"
+    lines = sinks.json_lines(reports.department_results(by_kind), reports.department_errors(by_kind), FINISHED)
+    shape = "timestamp string, overall_stats struct<total_pdfs_found: bigint, success_rate: double>"
+    head = lines.where("part = 0").select(
+        F.from_json(F.regexp_replace("line", r',"departments":\[$', "}"), shape).alias("h")
     )
-    return report.select(F.from_json("json", shape).alias("r")).select(
-        "r.timestamp", "r.overall_stats.*", F.explode("r.departments").alias("d")
-    ).select(
-        "timestamp",
-        "total_pdfs_found",
-        "success_rate",
-        "d.name",
-        "d.pdfs_found",
-        "d.total_size_bytes",
-        F.array_join("d.errors", "|").alias("errors"),
-        "d.error_count",
+    return (
+        _read_back(lines)
+        .join(head.select("h.timestamp", "h.overall_stats.*"), F.lit(True))
+        .select("timestamp", "total_pdfs_found", "success_rate", "name", "pdfs_found", "total_size_bytes", "error", "error_count")
     )
 
 
 def department_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The department lines of the JSON report, with all errors."""
     errors = reports.department_errors(results(spark, sf_dir))
-    found = sinks.department_documents(_departments(spark, sf_dir), errors, 2)
-    parsed = F.from_json("json", "name string, pdfs_found bigint, total_size_bytes bigint, errors array<string>, error_count bigint")
-    return found.select("department", parsed.alias("d")).select(
-        "department",
-        F.col("d.name").alias("name"),
-        F.col("d.pdfs_found").alias("pdfs_found"),
-        F.col("d.total_size_bytes").alias("total_size_bytes"),
-        F.array_join("d.errors", "|").alias("errors"),
-        F.col("d.error_count").alias("error_count"),
-    )
+    return _read_back(sinks.json_lines(_departments(spark, sf_dir), errors, FINISHED))
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,21 +298,18 @@ WITH {SQL_RESULTS}
 SELECT department, success, url, CASE WHEN success THEN 'File: ' || file_path || ' Size: ' || format('{{:.2f}}', CAST(file_size AS DOUBLE) / 1048576.0) || ' MB'
   ELSE 'Reason: ' || error END AS detail FROM r""",
     "department_documents": f"""
-WITH {_DEPARTMENTS}, {_ERRORS},
-e2 AS (SELECT department, string_agg(error, '|' ORDER BY place) AS errors FROM er WHERE place <= 2 GROUP BY department)
-SELECT dr.department, dr.department AS name, pdfs_found, total_size AS total_size_bytes, coalesce(errors, '') AS errors, error_count
-FROM dr LEFT JOIN e2 ON dr.department = e2.department""",
+WITH {_DEPARTMENTS}, {_ERRORS}
+SELECT dr.department, dr.department AS name, pdfs_found, total_size AS total_size_bytes, error_count, error
+FROM dr LEFT JOIN er ON dr.department = er.department""",
     "nested_json_report": f"""
 WITH {SQL_RESULTS},
 k AS (SELECT 'Kind ' || event_type AS name, r.* FROM r JOIN events ON r.url = 'doc/' || event_id),
-e AS (SELECT name, 'Download failed for ' || url || ': ' || error AS error, row_number() OVER (PARTITION BY name ORDER BY url, error) AS place
-  FROM k WHERE error IS NOT NULL),
-e2 AS (SELECT name, string_agg(error, '|' ORDER BY place) AS errors FROM e WHERE place <= 2 GROUP BY name)
+n AS (SELECT name, CAST(count(*) AS BIGINT) AS pdfs_found, CAST(coalesce(sum(file_size) FILTER (success), 0) AS BIGINT) AS total_size_bytes,
+    CAST(count(error) AS BIGINT) AS error_count FROM k GROUP BY name)
 SELECT '2024-02-01T12:30:00' AS timestamp, (SELECT CAST(count(*) AS BIGINT) FROM k) AS total_pdfs_found,
   (SELECT CAST(count(*) FILTER (success) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 FROM k) AS success_rate,
-  k.name, CAST(count(*) AS BIGINT) AS pdfs_found, CAST(coalesce(sum(file_size) FILTER (success), 0) AS BIGINT) AS total_size_bytes,
-  coalesce(max(errors), '') AS errors, CAST(count(error) AS BIGINT) AS error_count
-FROM k LEFT JOIN e2 ON k.name = e2.name GROUP BY k.name""",
+  n.name, pdfs_found, total_size_bytes, 'Download failed for ' || url || ': ' || error AS error, error_count
+FROM n LEFT JOIN k ON n.name = k.name AND k.error IS NOT NULL""",
     "batch_summary": f"""
 WITH {SQL_RESULTS}
 SELECT CAST(count(*) FILTER (success) AS BIGINT) AS successful, CAST(count(*) FILTER (NOT success) AS BIGINT) AS failed,

@@ -16,9 +16,30 @@ from workload.common import SQL_ANCHORS, SQL_EVENTS, micros, table, us_of
 from workload.pacing_queries import _GAP_US, GAP_SECONDS, _GAPS
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+#: Batches that the staged events come in, and the share of them that comes one batch late.
+BATCHES, ONE_IN = 3, 7
+
+
+def _staged(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events as a stream of several batches: stretches of time, with some events a batch too late."""
+    rows = table(spark, sf_dir, "events")
+    us = micros("ts")
+    first, last = rows.agg(F.min(us), F.max(us)).first()
+    stretch = F.floor((us - F.lit(first)) * BATCHES / F.lit(last - first + 1))
+    late = (F.pmod(F.xxhash64("event_id"), F.lit(ONE_IN)) == 0).cast("int")
+    numbered = rows.withColumn("batch", F.least(stretch + late, F.lit(BATCHES - 1)))
+    for number in range(BATCHES):
+        # Files are read in the order in which they were written.
+        numbered.where(F.col("batch") == number).drop("batch").coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+
+
+def _stream(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    if folder is None:
+        schema = table(spark, sf_dir, "events").schema
+        rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    else:
+        rows = _staged(spark, sf_dir, folder)
     host = F.concat(F.lit("host"), F.col("user_id").cast("string"))
     us = micros("ts")
     return rows.select(
@@ -32,6 +53,10 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: More than two stretches of the events' month.
+LATENESS_SECONDS = 30 * 86_400
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/crawlspark/stream-{name}-{uuid.uuid4().hex}"
 
@@ -86,7 +111,7 @@ def first_seen_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_cache_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _folder(spark, "page-cache")
-    crawled = _stream(spark, sf_dir).select("ts", "url", F.floor("value").cast("long").alias("pdf_count"))
+    crawled = _stream(spark, sf_dir, folder).select("ts", "url", F.floor("value").cast("long").alias("pdf_count"))
     _finish(upserts.stream_upserts(crawled, "pages", folder, f"{folder}/checkpoint"))
     state = upserts.streamed_state(spark, "pages", folder)
     return state.select("url_hash", "url", us_of("last_crawled"), "pdf_count", "crawl_count")
@@ -94,7 +119,7 @@ def page_cache_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_cache_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _folder(spark, "doc-cache")
-    seen = _stream(spark, sf_dir).select("ts", "url", F.col("event_type").alias("source_page"))
+    seen = _stream(spark, sf_dir, folder).select("ts", "url", F.col("event_type").alias("source_page"))
     _finish(upserts.stream_upserts(seen, "documents", folder, f"{folder}/checkpoint"))
     upserts.compact(spark, "documents", folder, 0)
     state = upserts.streamed_state(spark, "documents", folder)
@@ -103,13 +128,13 @@ def doc_cache_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gap_audit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _folder(spark, "gaps")
-    requests = _stream(spark, sf_dir).select(
+    requests = _stream(spark, sf_dir, folder).select(
         F.concat("url", F.lit("/"), F.col("event_id").cast("string")).alias("url"), "domain", "ts_us"
     )
-    _finish(
-        gaps.stream_gap_violations(requests, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint", GAP_SECONDS)
-    )
-    return spark.read.parquet(f"{folder}/out").select("url", "domain", "ts_us", "gap_us")
+    places = (f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint")
+    _finish(gaps.stream_gap_violations(requests, *places, GAP_SECONDS, LATENESS_SECONDS))
+    gaps.release_pending(spark, *places[:2], GAP_SECONDS)
+    return gaps.violations(spark, places[0]).select("url", "domain", "ts_us", "gap_us")
 
 
 def page_links_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,8 +46,10 @@ def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def walked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walks as deep as their department says; one says nothing and goes three deep."""
     seeds, edges = graph(spark, sf_dir)
-    return walk.bounded_walk(seeds, edges, 3)
+    limit = F.when(F.col("dept_key") == "en", 4).when(F.col("dept_key") == "de", 2).when(F.col("dept_key") == "fr", 1)
+    return walk.bounded_walk(seeds.withColumn("max_depth", limit), edges)
 
 
 def bounded_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +59,9 @@ def bounded_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def walk_page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return walk.page_cap(walked(spark, sf_dir), 9).select(
+    """A cap for each department; one has none of its own."""
+    limit = F.when(F.col("dept_key") == "en", 9).when(F.col("dept_key") == "de", 1500).when(F.col("dept_key") == "fr", 2)
+    return walk.page_cap(walked(spark, sf_dir).withColumn("max_pages", limit)).select(
         "dept_key", F.col("seed_ord").cast("long").alias("seed_ord"), "url"
     )
 
@@ -74,7 +78,7 @@ def discovery_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     archived = marked.join(
         links.archive_links(pages, ["tion", "en"]).withColumnRenamed("page_url", "url"), "url"
     ).select(*walk.WALK, F.col("target_url").alias("url"), F.lit(0).alias("depth"), F.array("ord").alias("trail"))
-    return walk.union_discoveries(walk.bounded_walk(seeds, edges, 1), listed, archived).select(
+    return walk.union_discoveries(walk.bounded_walk(seeds, edges, 3), listed, archived).select(
         "dept_key",
         F.col("seed_ord").cast("long").alias("seed_ord"),
         "url",
@@ -133,15 +137,18 @@ ranked AS (
 found AS (SELECT dept_key, seed_ord, url, depth, trail FROM ranked WHERE nth = 1)"""
 )
 
+_DEPTH = "CASE dept_key WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 1 ELSE 3 END"
+
 SQL = {
-    "bounded_walk": _GRAPH.replace("{depth}", "3")
+    "bounded_walk": _GRAPH.replace("{depth}", _DEPTH)
     + """
 SELECT dept_key, CAST(seed_ord AS BIGINT) AS seed_ord, url, CAST(depth AS BIGINT) AS depth FROM found""",
-    "walk_page_cap": _GRAPH.replace("{depth}", "3")
+    "walk_page_cap": _GRAPH.replace("{depth}", _DEPTH)
     + """,
 placed AS (SELECT *, row_number() OVER (PARTITION BY dept_key, seed_ord ORDER BY depth, trail, url) AS place FROM found)
-SELECT dept_key, CAST(seed_ord AS BIGINT) AS seed_ord, url FROM placed WHERE place <= 9""",
-    "discovery_union": _GRAPH.replace("{depth}", "1")
+SELECT dept_key, CAST(seed_ord AS BIGINT) AS seed_ord, url FROM placed 
+WHERE place <= CASE dept_key WHEN 'en' THEN 9 WHEN 'de' THEN 1500 WHEN 'fr' THEN 2 ELSE 1000 END""",
+    "discovery_union": _GRAPH.replace("{depth}", "3")
     + """,
 everything AS (
   SELECT dept_key, seed_ord, url, 0 AS strategy FROM found
