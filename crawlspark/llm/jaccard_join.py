@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,27 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
-from crawlspark.llm.common import chunks_of
+from crawlspark.llm.common import chunks_of, uniform
 from crawlspark.llm.components import connected, local_components
+from crawlspark.llm.words import constants, lowered, mixed, word_hashes
 
 #: Bytes of a set's sketch, one MinHash each.
 SKETCH = 64
 #: Text bytes hashed at once in a task.
 BLOCK = 1 << 21
-SPACES = np.zeros(256, dtype=bool)
-SPACES[[9, 10, 11, 12, 13, 32]] = True
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Finaliser of splitmix64: spreads every bit of ``x`` over the result."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _constants(n: int, seed: int) -> np.ndarray:
-    steps = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return _mixed(steps + np.uint64(seed)) | np.uint64(1)
+#: Different sketch bytes up to which a row is settled by a pivot.
+SETTLED = 20
 
 
 def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
@@ -54,7 +44,7 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
     with fewer words than a shingle has one shingle of all its words; NULL and
     texts without a word have none.
     """
-    raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
+    raw = [lowered(t) for t in texts]
     sets: list[np.ndarray] = []
     for start, stop in chunks_of([len(r) + 1 for r in raw], BLOCK):
         sets += _sets_of(raw[start:stop], words)
@@ -62,34 +52,19 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
 
 
 def _sets_of(raw: list[bytes], words: int) -> list[np.ndarray]:
-    data = np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)
-    owner_end = np.cumsum([len(r) + 1 for r in raw])
-    space = SPACES[data]
-    starts = np.flatnonzero(~space & np.r_[True, space[:-1]])
-    if not len(starts):
-        return [np.empty(0, np.uint64)] * len(raw)
-    ends = np.flatnonzero(space & np.r_[False, ~space[:-1]])
-    lengths = ends - starts
-    at = np.arange(len(data)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(data)]))
-    at[: starts[0]] = 0
-    factor = _constants(int(lengths.max()) + 1, 17)
-    weighted = np.where(space, np.uint64(0), (data.astype(np.uint64) + np.uint64(1)) * factor[np.minimum(at, lengths.max())])
-    word = _mixed(np.add.reduceat(weighted, starts) + lengths.astype(np.uint64))
-    first = np.searchsorted(starts, np.r_[0, owner_end[:-1]])
-    last = np.r_[first[1:], len(starts)]
-    rotate = _constants(words, 29)
-    if len(word) >= words:
-        shingle = np.zeros(len(word) - words + 1, dtype=np.uint64)
-        for k in range(words):
-            shingle += word[k : len(word) - words + 1 + k] * rotate[k]
-        shingle = _mixed(shingle)
+    word, at = word_hashes(raw)
+    rotate = constants(words, 29)
+    shingle = np.zeros(max(0, len(word) - words + 1), dtype=np.uint64)
+    for k in range(words):
+        shingle += word[k : k + len(shingle)] * rotate[k]
+    shingle = mixed(shingle)
     out = []
-    for a, b in zip(first, last, strict=True):
+    for a, b in zip(at[:-1], at[1:], strict=True):
         if b - a >= words:
             out.append(np.unique(shingle[a : b - words + 1]))
         elif b > a:
             short = (word[a:b] * rotate[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            out.append(_mixed(np.array([short], dtype=np.uint64)))
+            out.append(mixed(np.array([short], dtype=np.uint64)))
         else:
             out.append(np.empty(0, np.uint64))
     return out
@@ -99,8 +74,8 @@ def _digest(tokens: np.ndarray) -> int | None:
     """A 64-bit digest of a set; None for the empty set."""
     if not len(tokens):
         return None
-    total = _mixed(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))
-    return int(_mixed(np.array([total], np.uint64)).view(np.int64)[0])
+    total = mixed(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))
+    return int(mixed(np.array([total], np.uint64)).view(np.int64)[0])
 
 
 def runs_for(threshold: float, recall: float) -> int:
@@ -115,11 +90,11 @@ def runs_for(threshold: float, recall: float) -> int:
 
 def _described(docs: DataFrame, words: int, threshold: float, runs: int, deep_runs: int) -> DataFrame:
     """Per document the digest of its set, and what the buckets need of it."""
-    constants = _constants(SKETCH, 41)
-    seeds = _constants(runs + deep_runs, 53)
+    factors = constants(SKETCH, 41)
+    seeds = constants(runs + deep_runs, 53)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(s, 1000) for b in batches for s in range(0, b.num_rows, 1000)):
             digests, sizes, sketches, roots, deeps = [], [], [], [], []
             for tokens in shingle_sets(batch.column("text").to_pylist(), words):
                 n = len(tokens)
@@ -130,14 +105,14 @@ def _described(docs: DataFrame, words: int, threshold: float, runs: int, deep_ru
                 digests.append(_digest(tokens))
                 low = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
                 for s in range(0, n, 4096):
-                    part = tokens[s : s + 4096, None] * constants
+                    part = tokens[s : s + 4096, None] * factors
                     low = np.minimum(low, (part ^ (part >> np.uint64(32))).min(axis=0))
-                sketches.append((_mixed(low) >> np.uint64(56)).astype(np.uint8).tobytes())
+                sketches.append((mixed(low) >> np.uint64(56)).astype(np.uint8).tobytes())
                 most = np.uint64(min(2**64 - 1, int(2**64 / (threshold * n))))
                 taken = []
                 for seed in seeds:
-                    mixed = _mixed(tokens ^ seed)
-                    taken.append(_mixed(mixed[mixed <= most] + seed).view(np.int64))
+                    drawn = mixed(tokens ^ seed)
+                    taken.append(mixed(drawn[drawn <= most] + seed).view(np.int64))
                 roots.append(np.concatenate(taken[:runs]))
                 deeps.append(np.concatenate(taken[runs:]))
             longs = pa.list_(pa.int64())
@@ -180,7 +155,7 @@ def _whole_groups(frames: Iterator[pd.DataFrame], key: list[str], rows: int = 16
 
 
 def _pairs(group: np.ndarray, side: np.ndarray, cross: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within equal runs of ``group``; in ``cross`` groups only of different sides."""
+    """Index pairs within equal runs of ``group``; in ``cross`` groups only of different sides, and of side -1."""
     i = np.arange(len(group))
     step = 0
     while True:
@@ -189,7 +164,7 @@ def _pairs(group: np.ndarray, side: np.ndarray, cross: np.ndarray) -> Iterator[t
         i = i[group[i] == group[i + step]]
         if not len(i):
             return
-        wanted = ~cross[i] | (side[i] != side[i + step])
+        wanted = ~cross[i] | (side[i] != side[i + step]) | (side[i] < 0)
         yield i[wanted], i[wanted] + step
 
 
@@ -211,11 +186,88 @@ def _in_blocks(members: DataFrame, group: str, blocks: str) -> DataFrame:
     )
 
 
+def equal_bytes_of(threshold: float) -> int:
+    """Equal sketch bytes that a pair at the threshold has: three and a half deviations below what to expect."""
+    return math.floor(SKETCH * threshold - 3.5 * math.sqrt(SKETCH * threshold * (1 - threshold)))
+
+
+def _equal_bytes(a: pd.Series, b: pd.Series) -> pd.Series:
+    left, right = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, SKETCH) for x in (a, b))
+    return pd.Series((left == right).sum(axis=1))
+
+
+def _united(buckets: DataFrame, bands: int = 4) -> DataFrame:
+    """Rows (bucket, digest) of large buckets, those that hold nearly the same sets made one.
+
+    The buckets of many runs hold a large group of similar sets, or all sets with
+    a frequent passage, over and over. Two of them are united if two MinHashes of
+    what they hold are equal in one of the bands; a bucket that is larger than
+    need be only compares more.
+    """
+    least = [F.min(F.xxhash64("digest", F.lit(k))).alias(f"m{k}") for k in range(2 * bands)]
+    signed = buckets.groupBy("bucket").agg(*least)
+    keys = F.array(*[F.xxhash64(F.lit(k), f"m{2 * k}", f"m{2 * k + 1}") for k in range(bands)])
+    roots = connected(signed.select("bucket", F.explode(keys).alias("key")), "bucket", "key")
+    found = buckets.join(roots.withColumnRenamed("node", "bucket"), "bucket")
+    return found.select(F.col("root").alias("bucket"), "digest").distinct()
+
+
+def _consensus(frame: pd.DataFrame) -> pd.DataFrame:
+    """For a sample of a bucket's rows the sketch of their most frequent bytes."""
+    sketch = np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(-1, SKETCH)
+    own = bytes(int(np.bincount(column, minlength=256).argmax()) for column in sketch.T)
+    return pd.DataFrame({"bucket": [frame["bucket"].iloc[0]], "own": [own]})
+
+
+def _pivoted(rows: DataFrame, threshold: float, rounds: int, sample: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Rows (bucket, digest, rows, sketch) of large buckets with ``open``, and links (a, b) that settle the others.
+
+    Nearly equal sets stay together however they are split. In each round the
+    most frequent sketch bytes of some open rows are their bucket's pivot: what
+    is within ``SETTLED`` bytes of it is settled, and all that a settled row can
+    be similar to is linked with the pivot, by the triangle inequality. So only
+    pairs with an open row are left. The sample decides where a pivot is, not
+    what is found.
+    """
+    reach = SKETCH - equal_bytes_of(threshold) + SETTLED
+    alike = F.pandas_udf(_equal_bytes, "long")
+    rows = cut_lineage(rows.withColumn("open", F.lit(True)), "pivoted")
+    links = []
+    for number in range(rounds):
+        some = rows.where(F.col("open") & (uniform("digest", seed=100 + number) < sample / F.col("rows")))
+        pivots = some.groupBy("bucket").applyInPandas(_consensus, "bucket long, own binary")
+        compared = rows.join(pivots.withColumn("bucket", F.expr("bucket ^ 0L")), "bucket", "left")
+        compared = compared.withColumn("different", F.lit(SKETCH) - alike("sketch", F.coalesce("own", "sketch")))
+        compared = cut_lineage(compared.withColumn("known", F.col("own").isNotNull()).drop("own"), "pivoted")
+        near = compared.where(F.col("known") & (F.col("different") <= reach))
+        links.append(near.select(F.col("digest").alias("a"), F.xxhash64("bucket", F.lit(number)).alias("b")))
+        settled = F.col("known") & (F.col("different") <= SETTLED)
+        rows = compared.withColumn("open", F.col("open") & ~settled).drop("known", "different")
+    return cut_lineage(rows, "pivoted"), reduce(DataFrame.unionByName, links)
+
+
+def _against_open(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Large buckets with few open rows, dealt to blocks that each get all the open ones."""
+    blocks = F.ceil(F.col("rows") / block_rows).cast("int")
+    own = F.pmod(F.xxhash64("digest"), blocks).cast("int")
+    places = F.when(F.col("open"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    return (
+        rows.withColumn("low", F.explode(places))
+        .withColumn("high", F.lit(-1))
+        .withColumn("side", F.when(F.col("open"), -1).otherwise(0))
+        .select("bucket", "digest", "side", "low", "high")
+    )
+
+
+def _merged(root: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    a, b = (np.concatenate(x) for x in zip((np.arange(len(root)), root), *held, strict=True))
+    return local_components(len(root), a, b)
+
+
 def _proposed(members: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between nodes of a bucket whose sketches are near enough, enough to connect them all."""
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Three and a half deviations below the expected number of equal bytes.
-    least = math.floor(SKETCH * threshold - 3.5 * math.sqrt(SKETCH * threshold * (1 - threshold)))
+    least = equal_bytes_of(threshold)
 
     def propose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = ["bucket", "low", "high"]
@@ -223,19 +275,20 @@ def _proposed(members: DataFrame, threshold: float) -> DataFrame:
             group = frame.groupby(key, sort=False).ngroup().to_numpy()
             sketch = np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(-1, SKETCH)
             n = frame["n"].to_numpy()
-            found_a, found_b = [], []
+            # Root of each row; pairs are merged into it before many are held.
+            root, held, many = np.arange(len(frame)), [], 0
             for i, j in _pairs(group, frame["side"].to_numpy(), (frame["low"] != frame["high"]).to_numpy()):
                 near = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])
                 i, j = i[near], j[near]
                 alike = (sketch[i] == sketch[j]).sum(axis=1) >= least
-                found_a.append(i[alike])
-                found_b.append(j[alike])
-            if found_a:
-                a, b = np.concatenate(found_a), np.concatenate(found_b)
-                digests = frame["digest"].to_numpy()
-                root = local_components(len(frame), a, b)
-                moved = root != np.arange(len(frame))
-                yield pd.DataFrame({"a": digests[moved], "b": digests[root[moved]]}).drop_duplicates()
+                held.append((i[alike], j[alike]))
+                many += int(alike.sum())
+                if many > 1 << 18:
+                    root, held, many = _merged(root, held), [], 0
+            root = _merged(root, held)
+            digests = frame["digest"].to_numpy()
+            moved = root != np.arange(len(frame))
+            yield pd.DataFrame({"a": digests[moved], "b": digests[root[moved]]}).drop_duplicates()
 
     return (
         members.repartition(tasks, "bucket", "low", "high")
@@ -310,6 +363,7 @@ def similar_documents(
     recall: float = 0.9999,
     bucket_rows: int = 1024,
     block_tokens: int = 1 << 20,
+    pivots: int = 3,
 ) -> DataFrame:
     """One row (doc_id, class_id, n_links) for every row of ``docs`` (doc_id, text).
 
@@ -321,8 +375,10 @@ def similar_documents(
 
     NULL texts and texts without a word have no links and are classes of their
     own. Repeated rows are copies. A NULL doc_id is never a class id while the
-    class has another id. Buckets over ``bucket_rows`` are split by a second
-    token; those that stay larger are compared in pairs of blocks.
+    class has another id. Buckets over ``bucket_rows`` that hold nearly the same
+    sets are united, and the rows around a few pivots are settled. If few rows are then open, all are compared with
+    these, in blocks. Else the bucket is split by a second token; one that
+    doesn't split, and parts that stay larger, are compared in pairs of blocks.
     """
     runs = runs_for(threshold, recall)
     described = cut_lineage(_described(docs, words, threshold, runs, deep_runs=8), "shingle-sets")
@@ -340,19 +396,41 @@ def similar_documents(
     )
     nodes = cut_lineage(nodes, "shingle-nodes")
 
-    def in_buckets(paths: DataFrame) -> DataFrame:
-        sizes = paths.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1")
+    def in_buckets(paths: DataFrame, wanted: str = "rows > 1") -> DataFrame:
+        counted = [F.count("*").alias("rows")]
+        if "open" in paths.columns:
+            counted.append(F.sum(F.col("open").cast("long")).alias("open_rows"))
+        sizes = paths.groupBy("bucket").agg(*counted).where(wanted)
         # As an expression, the key is shuffled again, and a busy bucket's partition can be split.
         return paths.join(sizes.withColumn("bucket", F.expr("bucket ^ 0L")), "bucket")
 
+    sketches = nodes.select("digest", "n", "sketch")
     first = cut_lineage(in_buckets(nodes.select(F.explode("root").alias("bucket"), "digest")), "buckets")
-    small = first.where(F.col("rows") <= bucket_rows)
-    large = first.where(F.col("rows") > bucket_rows).select(F.col("bucket").alias("path"), "digest")
-    split = large.join(nodes.select("digest", F.explode("deep").alias("token")), "digest")
-    second = cut_lineage(in_buckets(split.select(F.xxhash64("path", "token").alias("bucket"), "digest")), "buckets")
-    buckets = small.unionByName(second).withColumn("blocks", F.ceil(F.col("rows") / bucket_rows)).drop("rows")
-    members = _in_blocks(buckets, "bucket", "blocks").join(nodes.select("digest", "n", "sketch"), "digest")
-    groups = cut_lineage(connected(_proposed(members, threshold)), "proposed")
+    one_block = F.lit(1).cast("long").alias("blocks")
+    members = _in_blocks(first.where(F.col("rows") <= bucket_rows).select("bucket", "digest", one_block), "bucket", "blocks")
+    large = first.where(F.col("rows") > bucket_rows)
+    links = None
+    if large.limit(1).count():
+        large = cut_lineage(in_buckets(_united(large.select("bucket", "digest"))), "large-buckets")
+        rows, links = _pivoted(large.join(nodes.select("digest", "sketch"), "digest"), threshold, pivots)
+        rows = cut_lineage(in_buckets(rows.select("bucket", "digest", "open"), "open_rows > 0"), "open-buckets")
+        few = F.col("open_rows") <= bucket_rows // 2
+        members = members.unionByName(_against_open(rows.where(few), bucket_rows // 2))
+        wide = rows.where(~few).select("bucket", "digest", "open", F.col("rows").alias("whole"))
+        split = wide.join(nodes.select("digest", F.explode("deep").alias("token")), "digest")
+        split = split.select(F.xxhash64("bucket", "token").alias("part"), F.col("bucket").alias("whole_bucket"), "whole", "digest", "open")
+        parts = in_buckets(split.withColumnRenamed("part", "bucket"), "rows > 1 and open_rows > 0")
+        parts = cut_lineage(parts, "buckets")
+        # Where a part has half of its bucket, splitting doesn't help: the bucket is compared as a whole.
+        stuck = parts.where((F.col("rows") > bucket_rows) & (F.col("rows") * 2 >= F.col("whole")))
+        stuck = cut_lineage(stuck.select(F.col("whole_bucket").alias("bucket")).distinct(), "stuck-buckets")
+        blocks_of = F.ceil(F.col("rows") / bucket_rows).alias("blocks")
+        parts = parts.join(stuck.withColumnRenamed("bucket", "whole_bucket"), "whole_bucket", "left_anti")
+        whole = wide.withColumnRenamed("whole", "rows").join(stuck, "bucket", "left_semi")
+        second = parts.select("bucket", "digest", blocks_of).unionByName(whole.select("bucket", "digest", blocks_of))
+        members = members.unionByName(_in_blocks(second, "bucket", "blocks"))
+    proposed = _proposed(members.join(sketches, "digest"), threshold)
+    groups = cut_lineage(connected(proposed if links is None else proposed.unionByName(links)), "proposed")
 
     sizes = groups.join(nodes.select(F.col("digest").alias("node"), "n", "copies"), "node")
     totals = sizes.groupBy("root").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
