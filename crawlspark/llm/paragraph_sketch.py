@@ -1,28 +1,36 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A sketch has three tables of cells. Each digest of a text's paragraphs is added
-to one cell of every table; a cell keeps the number of digests, and the XOR of
-the digests and of a check number of each. Sketches of two versions subtract
-cell by cell: what both contain is gone, and a cell that one digest is left in
-(its check number fits) tells that digest, which is then taken out of its other
-cells too. Peeling goes on, table by table, until all cells are empty, and so
-recovers the digests in which the versions differ. If cells are left over, the
-sketch was too small, and the pair is tried again with a larger one.
-
-Only DataFrame operations are used. All cells of a pair stay in one partition,
-so peeling needs no exchange.
+A sketch is dealt to parts by the digests' low bits, and a part has three tables
+of cells. Each digest of a text's paragraphs is added to one cell of every
+table; a cell keeps the number of digests, and the XOR of the digests and of a
+check number of each. Sketches of two versions subtract cell by cell: what both
+contain is gone, and a cell that one digest is left in (its check number fits)
+tells that digest, which is then taken out of its other cells too. Peeling goes
+on, table by table, until all cells are empty, and so recovers the digests in
+which the versions differ. If cells are left over in a part, its tables were too
+small, and it is tried again with larger ones.
+
+Only DataFrame operations are used. Cells are summed where a document's digests
+lie, and a part is peeled inside its row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crawlspark.functions.binding import let
 from crawlspark.lineage import cut_lineage
 from crawlspark.operators.ordered import previous_value
 
 TABLES = 3
-#: Turns in which one of the three tables is peeled, before a pair counts as failed.
+#: Cells of each table at first, and how many times as many each further attempt has.
+WIDTH, GROWTH = 16, 4
+#: Digests that a part is meant for.
+PART = 16
+#: Turns in which one of the three tables is peeled, before a part counts as failed.
 TURNS = 15
 #: Where paragraphs end: at line ends, and within a line after a sentence.
 PARAGRAPH_END = r"\n+|(?<=[.!?]) +"
@@ -34,106 +42,116 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def width_for(count: Column) -> Column:
-    """Cells of each table for so many digests: a power of two, so that all tables have more cells than digests."""
-    return F.greatest(F.lit(4.0), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(count, F.lit(1)) / TABLES)))).cast("long")
+def parts_for(count: Column) -> Column:
+    """Parts for so many digests: a power of two, so that a finer sketch folds to a coarser one."""
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(count, F.lit(PART)) / PART))).cast("long")
 
 
-def _place(table: int, key: Column, width: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(table)), width)
+def _place(table: Column, key: Column, width: int) -> Column:
+    return F.pmod(F.xxhash64(key, table.cast("int")), F.lit(width)).cast("int")
 
 
 def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(97))
 
 
-def _in_cells(table: Column, place: Column, n: Column, key: Column) -> Column:
-    return F.struct(
-        table.cast("int").alias("t"), place.cast("long").alias("i"), n.cast("long").alias("n"), key.alias("key"), _check(key).alias("check")
+def sketched(sets: DataFrame, by: list[str], width: int = WIDTH) -> DataFrame:
+    """Cells (slot, n, key, check) that aren't empty by ``by`` and ``part``.
+
+    ``sets`` has the array ``digests``, its ``sign`` and the number of ``parts``.
+    Slots count through the tables. Rows of one ``by`` have to lie in one partition.
+    """
+    each = sets.select(*by, "parts", "sign", F.explode("digests").alias("key"))
+    slots = F.array(*[_place(F.lit(t), F.col("key"), width) + t * width for t in range(TABLES)])
+    part = F.pmod("key", "parts").alias("part")
+    cells = each.select(*by, part, "sign", "key", _check(F.col("key")).alias("check"), F.explode(slots).alias("slot"))
+    summed = cells.groupBy(*by, "part", "slot").agg(
+        F.sum("sign").cast("long").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")
     )
+    return summed.where("n != 0 or key != 0 or check != 0")
 
 
-def _summed(cells: DataFrame, by: list[str]) -> DataFrame:
-    return cells.groupBy(*by, "t", "i").agg(
-        F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")
+def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TURNS) -> DataFrame:
+    """Parts with ``found``, the digests that peeling recovers, and whether cells are ``left``."""
+
+    def cell(n: Column, key: Column, check: Column) -> Column:
+        return F.struct(n.cast("long").alias("n"), key.cast("long").alias("key"), check.cast("long").alias("check"))
+
+    nothing = cell(F.lit(0), F.lit(0), F.lit(0))
+    listed = cells.groupBy(*by, "part").agg(
+        F.map_from_entries(F.collect_list(F.struct("slot", cell(F.col("n"), F.col("key"), F.col("check"))))).alias("cells")
+    )
+    tables = F.transform(
+        F.sequence(F.lit(0), F.lit(TABLES - 1)),
+        lambda t: F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.col("cells")[t * width + i], nothing)
+        ),
     )
 
+    def pure(c: Column, i: Column, table: Column) -> Column:
+        return (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])) & (_place(table, c["key"], width) == i)
 
-def sketched(sets: DataFrame, by: list[str]) -> DataFrame:
-    """Cells (t, i, n, key, check) by ``by`` and ``width``, from rows with ``sign``, ``width`` and the array ``digests``."""
-    each = sets.select(*by, "width", "sign", F.explode("digests").alias("d"))
-    three = [_in_cells(F.lit(t), _place(t, F.col("d"), F.col("width")), F.col("sign"), F.col("d")) for t in range(TABLES)]
-    cells = each.select(*by, "width", F.explode(F.array(*three)).alias("c")).select(*by, "width", "c.*")
-    return _summed(cells, [*by, "width"])
+    def without(c: Column, other: Column) -> Column:
+        return cell(c["n"] - other["n"], c["key"].bitwiseXOR(other["key"]), c["check"].bitwiseXOR(other["check"]))
 
+    def turn(state: Column, number: Column) -> Column:
+        # A digest has one cell in a table, so none is recovered twice.
+        table = F.pmod(number, F.lit(TABLES))
 
-def peeled(cells: DataFrame, by: list[str], turns: int = TURNS) -> DataFrame:
-    """What is left of subtracted cells after peeling; rows of table -1 count the digests that were recovered.
+        def taken_out(found: Column) -> Column:
+            def emptied(cells: Column, other: Column) -> Column:
+                return F.transform(
+                    cells,
+                    lambda c, i: F.aggregate(F.filter(found, lambda p: _place(other, p["key"], width) == i), c, without),
+                )
 
-    In one turn the cells of one table are looked at. A digest has one cell
-    there, so none is recovered twice.
-    """
-    empty = "n = 0 and key = 0 and check = 0"
-    rows = cells.where(f"not ({empty})")
-    key, width = F.col("key"), F.col("width")
-    for turn in range(turns):
-        table = turn % TABLES
-        pure = (
-            (F.col("t") == table)
-            & (F.abs("n") == 1)
-            & (F.col("check") == _check(key))
-            & (F.col("i") == _place(table, key, width))
-        )
-        itself = F.struct("t", "i", "n", "key", "check")
-        others = [_in_cells(F.lit(t), _place(t, key, width), -F.col("n"), key) for t in range(TABLES) if t != table]
-        nothing = F.lit(0).cast("long")
-        told = F.struct(
-            F.lit(-1).alias("t"), nothing.alias("i"), F.lit(1).cast("long").alias("n"), nothing.alias("key"), nothing.alias("check")
-        )
-        moved = F.explode(F.when(pure, F.array(told, *others)).otherwise(F.array(itself)))
-        rows = _summed(rows.select(*by, "width", moved.alias("c")).select(*by, "width", "c.*"), [*by, "width"])
-        rows = rows.where(f"not ({empty})")
-    return rows
+            new = F.struct(
+                F.transform(state["tables"], emptied).alias("tables"),
+                F.concat(state["found"], F.transform(found, lambda p: p["key"])).alias("found"),
+            )
+            return F.when(F.size(found) == 0, state).otherwise(new)
+
+        return let(F.filter(F.get(state["tables"], table), lambda c, i: pure(c, i, table)), taken_out)
+
+    start = F.struct(tables.alias("tables"), F.array().cast("array<bigint>").alias("found"))
+    end = listed.select(*by, "part", F.aggregate(F.sequence(F.lit(0), F.lit(turns - 1)), start, turn).alias("end"))
+    full = F.exists(F.flatten(F.col("end.tables")), lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
+    return end.select(*by, "part", F.col("end.found").alias("found"), full.alias("left"))
 
 
 def compared(pairs: DataFrame, by: list[str]) -> DataFrame:
     """Rows of ``by`` with ``differing``: in how many digests the arrays ``a`` and ``b`` differ, from their sketches.
 
-    The first sketches have the smaller of both texts' own widths, which the
-    larger one folds to. Pairs that can't be peeled get tables that hold the
-    digests of both, and then twice as many cells each time. A pair has to be
-    unique by ``by``.
+    The number of parts follows from both numbers of digests. Parts that can't be
+    peeled are sketched again, with more cells each time. A pair has to be unique
+    by ``by``.
     """
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = F.size("a") + F.size("b")
-    waiting = pairs.withColumn("width", F.least(width_for(F.size("a")), width_for(F.size("b"))))
-    done = None
-    attempt = 0
-    while True:
-        spread = waiting.select(*by, "width", "a", "b").repartition(tasks, by[0])
-        sides = F.explode(
-            F.array(
-                F.struct(F.lit(1).alias("sign"), F.col("a").alias("digests")),
-                F.struct(F.lit(-1).alias("sign"), F.col("b").alias("digests")),
-            )
-        )
-        sets = spread.select(*by, "width", sides.alias("s")).select(*by, "width", "s.*")
-        left = peeled(sketched(sets, by), by)
-        result = left.groupBy(*by).agg(
-            F.sum(F.when(F.col("t") == -1, F.col("n")).otherwise(0)).alias("differing"),
-            F.max(F.when(F.col("t") >= 0, 1).otherwise(0)).alias("failed"),
+    sized = pairs.select(*by, parts_for(F.size("a") + F.size("b")).alias("parts"), "a", "b")
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit(1).alias("sign"), F.col("a").alias("digests")),
+            F.struct(F.lit(-1).alias("sign"), F.col("b").alias("digests")),
         )
-        result = cut_lineage(result, "sketch-peeled")
-        good = result.where("failed = 0").select(*by, "differing")
-        done = good if done is None else done.unionByName(good)
-        failed = result.where("failed = 1").select(*by)
-        attempt += 1
+    )
+    waiting, width, rounds = sized, WIDTH, []
+    while True:
+        sets = waiting.repartition(tasks, by[0]).select(*by, "parts", sides.alias("s")).select(*by, "parts", "s.*")
+        result = peeled(sketched(sets, by, width), by, width)
+        result = cut_lineage(result.select(*by, "part", F.size("found").alias("differing"), "left"), "sketch-peeled")
+        rounds.append(result.where("not left"))
+        failed = result.where("left").groupBy(*by).agg(F.collect_set("part").alias("failed"))
         if not failed.limit(1).count():
             break
-        wider = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(sizes, F.lit(2)) * 2 / TABLES)) + (attempt - 1)).cast("long")
-        waiting = pairs.join(failed, by, "left_semi").withColumn("width", F.greatest(wider, F.lit(8)))
+        width *= GROWTH
+
+        def of_failed(digest: Column) -> Column:
+            return F.array_contains("failed", F.pmod(digest, F.col("parts")))
+
+        waiting = sized.join(failed, by).withColumns({c: F.filter(c, of_failed) for c in ("a", "b")}).drop("failed")
+    total = reduce(DataFrame.unionByName, rounds).groupBy(*by).agg(F.sum("differing").alias("differing"))
     # Equal texts leave no cell at all.
-    return pairs.select(*by).join(done, by, "left").withColumn("differing", F.coalesce("differing", F.lit(0)))
+    return pairs.select(*by).join(total, by, "left").withColumn("differing", F.coalesce("differing", F.lit(0)))
 
 
 def likeness(differing: Column, a: Column, b: Column) -> Column:
@@ -145,24 +163,22 @@ def likeness(differing: Column, a: Column, b: Column) -> Column:
 def fingerprints(versions: DataFrame, by: list[str]) -> DataFrame:
     """Rows of ``by`` with ``fingerprint``: the sketch of the array ``digests`` as text.
 
-    The number of digests, then the width and every cell in use: its table and
-    place, how many digests it holds, and their XORs in hexadecimal.
+    The number of digests, which tells the parts, then every cell in use: its part and slot,
+    how many digests it holds, and their XORs in hexadecimal.
     """
     tasks = int(versions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = versions.withColumn("width", width_for(F.size("digests"))).withColumn("sign", F.lit(1))
+    sets = versions.select(*by, parts_for(F.size("digests")).alias("parts"), F.lit(1).alias("sign"), "digests")
     cells = sketched(sets.repartition(tasks, by[0]), by)
     check = F.lower(F.lpad(F.hex(F.expr("check & 4294967295L")), 8, "0"))
-    cell = F.concat_ws(
-        ".", F.lpad((F.col("t") * F.col("width") + F.col("i")).cast("string"), 8, "0"), F.col("n").cast("string"), F.lower(F.hex("key")), check
-    )
-    listed = cells.groupBy(*by, "width").agg(
-        F.concat_ws(",", F.transform(F.sort_array(F.collect_list(cell)), lambda c: F.ltrim(c, F.lit("0")))).alias("cells"),
+    cell = F.struct("part", "slot", F.concat_ws(".", "part", "slot", "n", F.lower(F.hex("key")), check).alias("text"))
+    listed = cells.groupBy(*by).agg(
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_list(cell)), lambda c: c["text"])).alias("cells"),
         (F.sum("n") / TABLES).cast("long").alias("count"),
     )
-    return listed.select(*by, F.concat_ws(":", "count", "width", "cells").alias("fingerprint"))
+    return listed.select(*by, F.concat_ws(":", "count", "cells").alias("fingerprint"))
 
 
-NO_PARAGRAPH = "0:4:"
+NO_PARAGRAPH = "0:"
 
 
 def edited_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

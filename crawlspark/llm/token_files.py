@@ -260,7 +260,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
     written = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(tasks, "doc_id", "text")
+        .repartitionByRange(tasks, "doc_id")
         .sortWithinPartitions("doc_id", "text")
         .mapInArrow(write, "shard int, path string, first_id long, last_id long, docs long, tokens long")
     )

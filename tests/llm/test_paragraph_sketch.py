@@ -40,29 +40,32 @@ def test_recovers_every_difference_at_any_size(spark):
     assert got == {r[0]: r[3] for r in rows}
 
 
+def signed(spark, a, b, parts=1):
+    rows = [(1, a, 1, parts), (1, b, -1, parts)]
+    return spark.createDataFrame(rows, "id long, digests array<long>, sign int, parts long").coalesce(1)
+
+
 def test_a_sketch_that_is_too_small_fails_and_a_larger_one_is_tried(spark):
-    # Widths follow the smaller side, so two different sets of these sizes don't fit at first.
-    pairs = spark.createDataFrame([(1, list(range(1, 6)), list(range(1000, 3000)))], PAIR)
-    first = pairs.withColumn("width", F.least(ps.width_for(F.size("a")), ps.width_for(F.size("b"))))
-    sides = first.selectExpr("id", "width", "1 as sign", "a as digests").unionByName(
-        first.selectExpr("id", "width", "-1 as sign", "b as digests")
-    )
-    assert ps.peeled(ps.sketched(sides, ["id"]), ["id"]).where("t >= 0").count() > 0
-    assert ps.compared(pairs, ["id"]).first().differing == 2005
+    a, b = list(range(1, 6)), list(range(1000, 1100))
+    for width, left in ((16, True), (256, False)):
+        part = ps.peeled(ps.sketched(signed(spark, a, b), ["id"], width), ["id"], width).first()
+        assert part.left is left
+    assert sorted(part.found) == sorted(a + b)
+    # Twenty digests agree on their lowest bits, so one part gets them all.
+    crowded = [(7, [64 * i for i in range(20)], [64 * i + 1 for i in range(400)])]
+    assert ps.compared(spark.createDataFrame(crowded, PAIR), ["id"]).first().differing == 420
 
 
 def test_sketches_subtract_and_fold(spark):
-    sets = spark.createDataFrame([(1, [1, 2, 3]), (2, [2, 3, 4])], "id long, digests array<long>")
-    wide = ps.sketched(sets.selectExpr("1 as id", "digests", "if(id = 1, 1, -1) as sign", "16L as width"), ["id"])
-    kept = {(r.t, r.i, r.n) for r in wide.where("n != 0 or key != 0").collect()}
-    assert len(kept) in (5, 6)  # the two digests that differ, in three tables
-    folded = wide.selectExpr("id", "t", "i % 4 as i", "n", "key", "check").groupBy("id", "t", "i").agg(
+    found = ps.peeled(ps.sketched(signed(spark, [1, 2, 3], [2, 3, 4], 4), ["id"]), ["id"]).collect()
+    assert sorted(k for r in found for k in r.found) == [1, 4] and not any(r.left for r in found)
+    keys, order = list(range(100, 160)), ["part", "slot", "n", "key", "check"]
+    fine = ps.sketched(signed(spark, keys, [], 8), ["id"])
+    folded = fine.selectExpr("id", "part % 2 as part", "slot", "n", "key", "check").groupBy("id", "part", "slot").agg(
         F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")
     )
-    narrow = ps.sketched(sets.selectExpr("1 as id", "digests", "if(id = 1, 1, -1) as sign", "4L as width"), ["id"])
-    order = ["t", "i", "n", "key", "check"]
-    used = "n != 0 or key != 0"
-    assert sorted(folded.where(used).select(*order).collect()) == sorted(narrow.where(used).select(*order).collect())
+    coarse = ps.sketched(signed(spark, keys, [], 2), ["id"])
+    assert sorted(folded.select(*order).collect()) == sorted(coarse.select(*order).collect())
 
 
 def sample():
