@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from crawlspark.session import checkpoint_root
 
@@ -17,6 +17,17 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     before anything is shuffled.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/crawlspark/{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's tables under the shared folder."""
+    return f"{checkpoint_root(spark)}/crawlspark/{spark.sparkContext.applicationId}"
+
+
+def remove_run_tables(spark: SparkSession) -> bool:
+    """Delete the tables that this application has cut its lineage with, once no plan reads them any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

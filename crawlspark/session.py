@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import lru_cache
 
@@ -33,18 +34,20 @@ def build_session(app: str = "crawlspark", master: str | None = None, **extra: s
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for cut lineage, as the cluster names it.
+    """Shared folder for cut lineage, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local master may fall back to a folder of this machine: there every
-    task reads the same disk.
+    Where that is unset, the warehouse, which all executors share too. Only a
+    master that runs its tasks in the driver may fall back to a folder of this
+    machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = _local_root(spark.sparkContext.applicationId)
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            root = _local_root(spark.sparkContext.applicationId)
+        else:
+            root = spark.conf.get("spark.sql.warehouse.dir")
     return root.rstrip("/")
 
 

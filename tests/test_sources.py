@@ -1,10 +1,11 @@
 from datetime import datetime, timezone
+import tempfile
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from crawlspark import schemas
+from crawlspark import lineage, schemas
 from crawlspark.operators.validate import config_violations
 from crawlspark.sources import seeds, sitemaps, tables
 
@@ -130,3 +131,15 @@ def test_pages_and_log_from_parquet(spark, folder):
     moment = datetime(2025, 1, 1, tzinfo=timezone.utc)
     spark.createDataFrame([("u", "GET", moment, 1, 200, None, None, None, None, None, None)], schemas.FETCH_LOG).write.parquet(f"{folder}/log")
     assert tables.read_fetch_log(spark, f"{folder}/log").first().status == 200
+
+
+def test_tables_of_a_run_can_be_removed(spark):
+    kept = lineage.cut_lineage(spark.range(3), "kept")
+    assert kept.count() == 3 and lineage.run_folder(spark) in kept.inputFiles()[0]
+    other = spark.newSession()
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    other.conf.set("spark.checkpoint.dir", folder)
+    lineage.cut_lineage(other.range(3), "gone")
+    assert list(Path(folder).rglob("*.parquet"))
+    assert lineage.remove_run_tables(other) and not list(Path(folder).rglob("*.parquet"))
+    assert kept.count() == 3
