@@ -236,8 +236,14 @@ def _counted(train: DataFrame, words_of: Callable[[], Callable[[str], Iterable[s
     return train.select("text", "toxic").mapInPandas(count, "word string, clean long, toxic long")
 
 
+def _surprise(chance: float) -> float:
+    """What a G statistic of one degree of freedom exceeds with about this chance."""
+    twice = max(1.0, -2 * math.log(min(0.5, chance)))
+    return max(3.0, twice - math.log(twice))
+
+
 def _lexicon(
-    train: DataFrame, terms: int, least_docs: int, least_surprise: float, context_words: int
+    train: DataFrame, terms: int, least_docs: int, by_chance: float, context_words: int
 ) -> ToxicityModel | None:
     """Terms, what their misspelled forms say, and context words; None without both classes."""
     totals, n_clean, n_toxic = _counts(_counted(train, lambda: lambda text: TOKEN.findall(text.lower())))
@@ -250,10 +256,10 @@ def _lexicon(
     surprise = 2 * toxic * F.log(toxic / ((toxic + clean) * share)) + F.when(
         clean > 0, 2 * clean * F.log(clean / ((toxic + clean) * (1 - share)))
     ).otherwise(0.0)
+    candidates = totals.where((toxic >= least_docs) & (F.length("word") > 2))
     chosen = (
-        totals.where((toxic >= least_docs) & (F.length("word") > 2))
-        .select("word", odds.alias("odds"), surprise.alias("surprise"))
-        .where((F.col("odds") > math.log(6)) & (F.col("surprise") > least_surprise))
+        candidates.select("word", odds.alias("odds"), surprise.alias("surprise"))
+        .where((F.col("odds") > math.log(6)) & (F.col("surprise") > _surprise(by_chance / max(1, candidates.count()))))
         .orderBy(F.desc("surprise"), "word")
         .limit(terms)
         .collect()
@@ -300,15 +306,15 @@ def fit(
     train_docs: int = 30_000,
     terms: int = 600,
     least_docs: int = 3,
-    least_surprise: float = 17.0,
+    by_chance: float = 1.0,
     context_words: int = 2_000,
 ) -> ToxicityModel:
     """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     About ``train_docs`` labelled documents are used, taken by a hash of their
     id; all if there are fewer. They give the lexicon (words in ``least_docs``
-    toxic documents that are far more frequent there, beyond chance by the G
-    statistic ``least_surprise``), what misspelled forms of its terms say, and
+    toxic documents that are far more frequent there, so clearly by the G
+    statistic that ``by_chance`` words would be by chance), what misspelled forms of its terms say, and
     the context words. The final weights are fitted to matches with the lexicon
     of the other half of these documents, and so see terms as new documents show
     them. Rows with a NULL id, text or label teach nothing; of several labels of
@@ -326,7 +332,7 @@ def fit(
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     # The sample is bounded by train_docs, so its ids and labels may go to every task.
     train = cut_lineage(texts.join(F.broadcast(sample), "doc_id"), "toxicity-sample")
-    options = (terms, least_docs, least_surprise, context_words)
+    options = (terms, least_docs, by_chance, context_words)
     model = _lexicon(train, *options)
     if model is None:
         only_toxic = train.where("toxic = 1").limit(1).count() > 0
