@@ -99,6 +99,20 @@ PORTABLE_NAME_LIMIT = 255
 ERROR_BAD_URL = "URL does not point to a valid PDF file"
 ERROR_BAD_CONTENT = "Downloaded content is not a valid PDF file"
 ERROR_NOT_SAVED = "Failed to save file locally"
+ERROR_NETWORK = "Network error: {error}"
+ERROR_STATUS = "HTTP {status}"
+ERROR_TOO_LARGE = "File too large ({megabytes}MB), skipping"
+ERROR_DOWNLOAD = "Download failed for {url}: {error}"
+ERROR_ATTEMPTS = "Failed after {attempts} attempts: {error}"
+ERROR_UNKNOWN = "Unknown error"
+
+# How a script names a document, and what a viewer's address holds.
+SCRIPT_PATH = r"""(?i)["']([^"']*\.pdf[^"']*)["']"""
+VIEWER_ADDRESS = r"(?i)viewer\.html|pdfjs"
+
+# Characters that portable names do without.
+RESERVED_CHARACTERS = r'[<>:"/\\|?*]'
+CONTROL_CHARACTERS = r"[\x00-\x1f\x7f-\x9f]"
 
 # Patterns of the Markdown seed list.
 MARKDOWN_HEADER = r"^##\s+\d+\.\s+(.+?)(?:\s*\([^)]+\))?\s*:\s*$"

@@ -8,7 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crawlspark.functions.binding import let
-from crawlspark.functions.fixed import DEVICE_NAMES, FILE_NAME_LIMIT, PORTABLE_NAME_LIMIT
+from crawlspark.functions.fixed import (
+    CONTROL_CHARACTERS,
+    DEVICE_NAMES,
+    FILE_NAME_LIMIT,
+    PORTABLE_NAME_LIMIT,
+    RESERVED_CHARACTERS,
+)
 from crawlspark.functions.url import authority, path, percent_decode
 
 # Letters and digits of any script, underscore, white space and hyphen are kept.
@@ -56,8 +62,8 @@ def object_key(prefix: str | None, department: Column, name: Column, by_departme
 
 def portable_name(name: Column) -> Column:
     """Name that every common file system accepts."""
-    safe = F.regexp_replace(name, r'[<>:"/\\|?*]', "_")
-    safe = F.regexp_replace(safe, r"[\x00-\x1f\x7f-\x9f]", "")
+    safe = F.regexp_replace(name, RESERVED_CHARACTERS, "_")
+    safe = F.regexp_replace(safe, CONTROL_CHARACTERS, "")
     safe = F.regexp_replace(F.regexp_replace(safe, r"(?U)[_\s]+", "_"), r"^[ .]+|[ .]+$", "")
 
     def finish(text: Column) -> Column:

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.functions.fixed import MAX_ATTEMPTS, RETRYABLE_ERRORS
+from crawlspark.functions.fixed import ERROR_ATTEMPTS, MAX_ATTEMPTS, RETRYABLE_ERRORS
+from crawlspark.functions.text import fill
 from crawlspark.functions.url import contains_any
 
 
@@ -81,7 +82,7 @@ def attempt_outcome(attempts: DataFrame, key: str = "url", limit: int = MAX_ATTE
     return final.select(
         key,
         F.coalesce(at("success"), F.lit(False)).alias("success"),
-        F.when(exhausted, F.concat(F.lit(f"Failed after {limit} attempts: "), at("error")))
+        F.when(exhausted, fill(ERROR_ATTEMPTS, attempts=F.lit(limit), error=at("error")))
         .otherwise(at("error"))
         .alias("error"),
         F.col("used").cast("long").alias("attempts"),

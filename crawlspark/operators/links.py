@@ -15,13 +15,10 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions import html as H
 from crawlspark.functions.binding import let
-from crawlspark.functions.fixed import ARCHIVE_WORDS, YEAR_PATTERN
+from crawlspark.functions.fixed import ARCHIVE_WORDS, SCRIPT_PATH, VIEWER_ADDRESS, YEAR_PATTERN
 from crawlspark.functions.url import authority, contains_any, join_url, percent_decode, query, url_parts
 from crawlspark.operators.rules import LinkRule, classify, document_rules
 
-_SCRIPT_PATH = r"""(?i)["']([^"']*\.pdf[^"']*)["']"""
-
-
 def _lower_contains(text: Column, word: str) -> Column:
     return F.lower(text).contains(word)
 
@@ -71,7 +68,7 @@ def _anchor_links(found: Column) -> Column:
     """One link per plain anchor, and one per quoted document path of a script anchor."""
     def of(a: Column) -> Column:
         paths = F.filter(
-            F.regexp_extract_all(a["href"], F.lit(_SCRIPT_PATH), F.lit(1)),
+            F.regexp_extract_all(a["href"], F.lit(SCRIPT_PATH), F.lit(1)),
             lambda p: p.contains("/") | p.startswith("http"),
         )
         scripted = F.transform(paths, lambda p: _link(F.lit("script"), a["pos"], p, a["text"]))
@@ -118,7 +115,7 @@ def _all_links(page: Column) -> Column:
 
 def _through_viewer(link: Column) -> Column:
     """Replace a viewer's address by the document in its ``file`` parameter."""
-    viewer = (link["kind"] == "anchor") & link["address"].rlike(r"(?i)viewer\.html|pdfjs")
+    viewer = (link["kind"] == "anchor") & link["address"].rlike(VIEWER_ADDRESS)
     shown = F.regexp_extract(query(link["address"]), r"(?:^|&)file=([^&]+)", 1)
     # The parameter is decoded as form data, and what it holds once more as a URL.
     document = percent_decode(percent_decode(shown, plus_is_space=True))

@@ -18,6 +18,7 @@ from crawlspark.functions.fixed import (
     ADVICE_MANY,
     ADVICE_RATE_LIMIT,
     CSV_COLUMNS,
+    ERROR_DOWNLOAD,
     ISSUE_CONNECTION,
     ISSUE_OTHER,
     ISSUE_RATE_LIMIT,
@@ -74,7 +75,7 @@ def department_results(
 def department_errors(results: DataFrame) -> DataFrame:
     """Error texts of failed downloads: department, url, error."""
     return results.where(~F.col("success") & F.col("error").isNotNull()).select(
-        "department", "url", F.concat(F.lit("Download failed for "), "url", F.lit(": "), "error").alias("error")
+        "department", "url", fill(ERROR_DOWNLOAD, url=F.col("url"), error=F.col("error")).alias("error")
     )
 
 

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from crawlspark.functions.fixed import (
     ERROR_BAD_CONTENT,
     ERROR_BAD_URL,
+    ERROR_NETWORK,
     ERROR_NOT_SAVED,
+    ERROR_STATUS,
+    ERROR_TOO_LARGE,
     MAX_DOCUMENT_MB,
     MIN_DOCUMENT_BYTES,
     TRAILER_WINDOW,
 )
 from crawlspark.functions.numbers import fixed_point
+from crawlspark.functions.text import fill
 from crawlspark.operators.lookup import join_lookup
 
 PDF_SIGNATURE = bytearray(b"%PDF")
@@ -130,7 +134,7 @@ def oversized(heads: DataFrame, max_mb: float = MAX_DOCUMENT_MB) -> DataFrame:
     return heads.where(size_mb > max_mb).select(
         "url",
         "content_length",
-        F.concat(F.lit("File too large ("), fixed_point(size_mb, 1), F.lit("MB), skipping")).alias("error"),
+        fill(ERROR_TOO_LARGE, megabytes=fixed_point(size_mb, 1)).alias("error"),
     )
 
 
@@ -175,17 +179,17 @@ def download_outcome(
     joined = joined.join(bad, "url", "left") if bad is not None else joined.withColumn("is_unsaved", F.lit(False))
     size_mb = F.col("get_length").cast("double") / F.lit(1048576.0)
     network = F.coalesce(
-        F.col("get_error"), F.when(F.col("get_status") != 200, F.concat(F.lit("HTTP "), F.col("get_status").cast("string")))
+        F.col("get_error"), F.when(F.col("get_status") != 200, fill(ERROR_STATUS, status=F.col("get_status")))
     )
     unchanged = ~F.coalesce("download", F.lit(True))
     error = (
         F.when(unchanged, F.lit(None).cast("string"))
         .when(~F.coalesce("url_valid", F.lit(False)), F.lit(ERROR_BAD_URL))
-        .when(network.isNotNull(), F.concat(F.lit("Network error: "), network))
+        .when(network.isNotNull(), fill(ERROR_NETWORK, error=network))
     )
     if max_mb is not None:
         error = error.when(
-            size_mb > max_mb, F.concat(F.lit("File too large ("), fixed_point(size_mb, 1), F.lit("MB), skipping"))
+            size_mb > max_mb, fill(ERROR_TOO_LARGE, megabytes=fixed_point(size_mb, 1))
         )
     error = error.when(~F.coalesce("content_valid", F.lit(False)), F.lit(ERROR_BAD_CONTENT)).when(
         F.coalesce("is_unsaved", F.lit(False)), F.lit(ERROR_NOT_SAVED)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.functions.fixed import ERROR_UNKNOWN
 from crawlspark.functions.names import dashed
 from crawlspark.functions.numbers import fixed_point
 from crawlspark.operators.lookup import join_lookup
@@ -128,7 +129,7 @@ def listings(results: DataFrame) -> DataFrame:
         .otherwise(
             F.concat(
                 F.lit("Reason: "),
-                F.when(F.coalesce("error", F.lit("")) == "", F.lit("Unknown error")).otherwise(F.col("error")),
+                F.when(F.coalesce("error", F.lit("")) == "", F.lit(ERROR_UNKNOWN)).otherwise(F.col("error")),
             )
         )
         .alias("detail"),

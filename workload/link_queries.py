@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlspark.functions.fixed import ARCHIVE_WORDS, DOCUMENT_URL_PATTERNS, DOCUMENT_WORDS, WEB_PAGE_WORDS
 from crawlspark.functions.url import authority
 from crawlspark.operators import links, profile
 from crawlspark.operators.departments import documents_found
@@ -216,9 +217,9 @@ _SEARCH_HITS = r"""
     SELECT url, lang, text, CASE lang WHEN 'de' THEN folder || 'found' || href || '.pdf'
       WHEN 'fr' THEN site || '/files' || href ELSE target END AS target FROM a)
   WHERE lang IN ('de', 'fr') OR contains(lower(target), '.pdf')
-    OR (regexp_matches(lower(text), 'pdf|download|document|report|manual|guide|handbook|publication|brochure|leaflet|circular|notice|code|standard')
-        AND NOT regexp_matches(lower(text), 'html|page'))
-    OR regexp_matches(target, '(?i)/download/|/documents?/|/files?/|/publications?/|/resources?/|/attachments?/|filetype=pdf|format=pdf|type=pdf')"""
+    OR (regexp_matches(lower(text), '""" + "|".join(DOCUMENT_WORDS) + r"""')
+        AND NOT regexp_matches(lower(text), '""" + "|".join(WEB_PAGE_WORDS) + r"""'))
+    OR regexp_matches(target, '(?i)""" + "|".join(DOCUMENT_URL_PATTERNS) + r"""')"""
 
 _SEEDS = SQL_PAGES + r""",
 s AS (
@@ -276,7 +277,7 @@ SELECT DISTINCT url AS page_url, kind, target AS target_url FROM (
 WITH {SQL_ANCHORS},
 h AS (SELECT url, text, CASE lang WHEN 'de' THEN '/2019' || href ELSE href END AS href, site, pos FROM a),
 f AS (SELECT url, site || href AS target, min(pos) AS pos FROM h
-  WHERE regexp_matches(lower(text) || ' ' || lower(href), 'archive|historical|history|past|previous|old|legacy|back-issues|publications')
+  WHERE regexp_matches(lower(text) || ' ' || lower(href), '{"|".join(ARCHIVE_WORDS)}')
     OR regexp_matches(href, '\\b(19|20)\\d{{2}}\\b') OR regexp_matches(text, '\\b(19|20)\\d{{2}}\\b')
   GROUP BY url, site || href)
 SELECT url AS page_url, CAST(row_number() OVER (PARTITION BY url ORDER BY pos) - 1 AS BIGINT) AS ord, target AS target_url
