@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
@@ -33,6 +33,11 @@ def _shuffled(lookup: DataFrame) -> DataFrame:
     return lookup.withColumn("u", F.expr("u ^ 0L"))
 
 
+def _state(pairs: DataFrame) -> Row:
+    """One row that changes with the pairs."""
+    return pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).collect()[0]
+
+
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Columns ``node`` and ``root`` (smallest node connected with it) for every node of ``links``.
 
@@ -44,8 +49,8 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u != v")
     pairs = cut_lineage(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    before = _state(pairs)
+    while before["n"]:
         # Large star: of u's neighbours the larger ones, linked to the smallest of all.
         both = pairs.union(pairs.select("v", "u"))
         least = _shuffled(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
@@ -55,11 +60,9 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         joined = large.join(small_least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
         pairs = cut_lineage(small.where("u != v").distinct(), "links")
-        state = pairs.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-        ).collect()[0]
-        if before == state:
+        after = _state(pairs)
+        if after == before:
             break
-        before = state
+        before = after
     roots = pairs.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
