@@ -51,11 +51,14 @@ class WordEncoder:
     The pre-tokenizer of byte-level BPE starts a new token wherever a single
     space stands between two characters that are not white space. A text may so
     be cut before these spaces and its pieces be encoded one by one, and most
-    pieces have been met before.
+    pieces have been met before. The new ones of many texts are encoded as one
+    text, and told apart by the tokens that begin with a space. Words that were
+    used since the memory last filled up are kept when it does so again.
     """
 
     MOST_WORDS = 300_000
-    UNEVEN = re.compile(r" \s|\s |^ | $")
+    #: Texts whose new words are encoded together.
+    TOGETHER = 64
     BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 
     def __init__(self, path: str):
@@ -65,30 +68,52 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.after_space = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.after_space[number] = token.startswith("\u0120")
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], new: list[str], prefix: str) -> None:
-        encoded = self.tokenizer.encode_batch_fast([prefix + w for w in new], add_special_tokens=False)
-        known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(new, encoded, strict=True))
-
-    def _ids(self, known: dict[str, bytes], wanted: list[str], prefix: str) -> bytes:
-        try:
-            return b"".join([known[w] for w in wanted])
-        except KeyError:
-            if len(known) > self.MOST_WORDS:
-                known.clear()
-            self._learn(known, [w for w in set(wanted) if w not in known], prefix)
-            return b"".join([known[w] for w in wanted])
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, as bytes of ``dtype``."""
-        if not text:
-            return b""
-        if self.UNEVEN.search(text):
-            return self._ids(self.pieces, self.BOUNDARY.split(text), "")
-        first, *rest = text.split(" ")
-        return self._ids(self.pieces, [first], "") + self._ids(self.words, rest, " ")
+        self.older: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        pieces = self.tokenizer.encode_batch_fast(self.BOUNDARY.split(text), add_special_tokens=False)
+        return b"".join(np.array(e.ids, self.dtype).tobytes() for e in pieces)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Put the words, each after a space, into the memory; not those that white space begins or ends."""
+        self.words.update((w, ids) for w in missing if (ids := self.older.get(w)) is not None)
+        new = [w for w in missing if w and w not in self.words and not w[0].isspace() and not w[-1].isspace()]
+        if new:
+            encoded = self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)
+            ids = np.array(encoded[0].ids, self.dtype)
+            starts = (np.flatnonzero(self.after_space[ids]) * self.dtype.itemsize).tolist()
+            data = ids.tobytes()
+            self.words.update(
+                (w, data[a:b]) for w, a, b in zip(new, starts, [*starts[1:], len(data)], strict=True)
+            )
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes of ``dtype``."""
+        out = []
+        for start in range(0, len(texts), self.TOGETHER):
+            group = texts[start : start + self.TOGETHER]
+            split = [text.split(" ") for text in group]
+            if len(self.words) > self.MOST_WORDS:
+                self.words, self.older = {}, self.words
+            missing = set().union(*(words[1:] for words in split)).difference(self.words)
+            if missing:
+                self._learn(missing)
+            known = self.words.get
+            for text, (first, *rest) in zip(group, split, strict=True):
+                try:
+                    # Joining stops at a word that isn't known.
+                    spaced = b"".join(map(known, rest))
+                except TypeError:
+                    spaced = None
+                if spaced is None or not first or first[-1].isspace():
+                    out.append(self._whole(text))
+                else:
+                    out.append(self._whole(first) + spaced)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -239,14 +264,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         partial = f"{root}/_writing-{shard:06d}-{uuid.uuid4().hex}"
         tokens = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if writer is None:
-                    store.create_dir(root, recursive=True)
-                    stream = store.open_output_stream(partial, compression=None)
-                    writer = TokenFileWriter(stream, encoder.dtype)
-                ids = encoder.encode(text or "") + end
-                writer.add(doc_id, ids)
-                tokens += len(ids) // encoder.dtype.itemsize
+            if writer is None and batch.num_rows:
+                store.create_dir(root, recursive=True)
+                stream = store.open_output_stream(partial, compression=None)
+                writer = TokenFileWriter(stream, encoder.dtype)
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                writer.add(doc_id, encoded + end)
+                tokens += len(encoded) // encoder.dtype.itemsize + 1
         if writer is not None:
             writer.close()
             stream.close()
