@@ -123,13 +123,15 @@ def latest_by_url(log: DataFrame, method: str | None = None) -> DataFrame:
     return picked.select("url", "last.*")
 
 
-def latest_pages(pages: DataFrame) -> DataFrame:
-    """Of a page that was fetched more than once the version with the largest page_id.
+def latest_versions(facts: DataFrame) -> DataFrame:
+    """Of a page that was fetched more than once the facts of the version with the largest page_id.
 
-    The versions are picked on the narrow columns; HTML only meets their list.
+    ``facts``: page_id, url and what was found in the page. HTML itself is
+    reduced to such facts first, so none of it is shuffled.
     """
-    last = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
-    return pages.join(last, ["url", "page_id"], "left_semi")
+    rest = [c for c in facts.columns if c not in ("url", "page_id")]
+    last = facts.groupBy("url").agg(F.max_by(F.struct("page_id", *rest), "page_id").alias("last"))
+    return last.select("last.page_id", "url", *[f"last.{c}" for c in rest])
 
 
 def stored_decision(candidates: DataFrame, stored: DataFrame) -> DataFrame:

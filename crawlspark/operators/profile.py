@@ -23,14 +23,16 @@ def script_signs(html: Column) -> Column:
     return total
 
 
-def script_weight(pages: DataFrame, rules: list[LinkRule] | None = None, limit: int = SCRIPT_LIMIT) -> DataFrame:
-    """Per page: script_signs, document_count, requires_browser.
+def script_weight(
+    pages: DataFrame, rules: list[LinkRule] | None = None, limit: int = SCRIPT_LIMIT, keep: tuple[str, ...] = ("url",)
+) -> DataFrame:
+    """Per page its columns ``keep``, script_signs, document_count, requires_browser.
 
     A page with much scripting and no document link probably builds its links
     in the browser. Counts come from the page's own row, so nothing is joined.
     """
     counted = pages.select(
-        "url",
+        *keep,
         script_signs(F.col("html")).alias("script_signs"),
         F.size(document_array(rules)).cast("long").alias("document_count"),
     )

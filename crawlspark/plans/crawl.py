@@ -15,7 +15,7 @@ from crawlspark.operators.departments import documents_found
 from crawlspark.operators.incremental import (
     change_decision,
     latest_by_url,
-    latest_pages,
+    latest_versions,
     new_documents_only,
     stale_pages_only,
     stored_decision,
@@ -97,8 +97,8 @@ def crawl(
         seeds = stale_pages_only(seeds, inputs.page_cache, now, max_age_hours)
 
     sites = cut_lineage(seeds.select(authority(F.col("url")).alias("site")).distinct(), "crawl-sites")
-    on_sites = latest_pages(on_listed(inputs.pages, sites, authority(F.col("url"))))
-    facts = cut_lineage(page_facts(on_sites, rules), "page-facts")
+    on_sites = on_listed(inputs.pages, sites, authority(F.col("url")))
+    facts = cut_lineage(latest_versions(page_facts(on_sites, rules)), "page-facts")
 
     edges = robots_allowed(facts, inputs.robots_rules, respect_robots=respect_robots).where("allowed")
     walked = bounded_walk(seeds, edges.select("page_id", "url", "targets"), max_depth)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
-from crawlspark.operators.incremental import latest_by_url, latest_pages
+from crawlspark.operators.incremental import latest_by_url, latest_versions
 from crawlspark.operators.lookup import on_listed
 from crawlspark.operators.profile import script_weight
 from crawlspark.operators.reports import (
@@ -32,7 +32,8 @@ class DryRunOutput:
 def dry_run(seeds: DataFrame, pages: DataFrame, fetch_log: DataFrame, rules: list[LinkRule] | None = None) -> DryRunOutput:
     """Analyse ``seeds`` (dept_key, seed_ord, url) against stored pages and the latest GET of each."""
     listed = cut_lineage(seeds.select("url").distinct(), "dry-run-seeds")
-    weights = script_weight(latest_pages(on_listed(pages, listed, F.col("url"))), rules)
+    weighed = script_weight(on_listed(pages, listed, F.col("url")), rules, keep=("page_id", "url"))
+    weights = latest_versions(weighed).drop("page_id")
     # Written once: four tables come out of it, and HTML is parsed for none of them again.
     findings = cut_lineage(seed_findings(seeds, latest_by_url(fetch_log, "GET"), weights), "dry-run-findings")
     analyses = dry_run_by_department(findings)

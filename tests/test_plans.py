@@ -190,4 +190,5 @@ def test_only_the_latest_version_of_a_page_counts(inputs, spark):
     run = crawl(inputs, NOW)
     assert {r.url for r in run.documents.where("department = 'Dept C'").collect()} == {"http://c.d/new.pdf"}
     found = dry_run(inputs.seeds, inputs.pages, inputs.fetch_log)
-    assert found.totals.first().total_seed_urls == 3
+    assert {r.dept_key: (r.seed_urls_total, r.estimated_pdfs) for r in found.analyses.collect()}['c'] == (1, 0)
+    assert found.analyses.agg(F.sum('seed_urls_total')).first()[0] == 3

@@ -120,7 +120,7 @@ def test_document_deltas_equal_the_batch_upsert(spark, folder):
 REQUESTS = "url string, domain string, ts_us long"
 
 
-SPREAD = [(str(i), f"d{i % 3}", (i * 7919) % 500 * pacing.SECOND // 3) for i in range(120)]
+SPREAD = [(str(i), f"d{i % 4}", (i * 7919) % 150 * pacing.SECOND // 3) for i in range(120)]
 
 
 @pytest.mark.parametrize("batches", [1, 2, 5])
