@@ -14,6 +14,7 @@ table, and only the bytes that escape go on to the next.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,6 +139,30 @@ class ByteTrie:
         return out
 
 
+@dataclass(frozen=True)
+class TrieCounts:
+    """What a trie is made of: packed grams and their counts.
+
+    The tables are made where texts are scored: that takes a few times the room of
+    the counts, and a second or two of each worker.
+    """
+
+    name: str
+    keys: np.ndarray
+    counts: np.ndarray
+    order: int
+
+    def trie(self) -> ByteTrie:
+        """The trie; a worker keeps the last one."""
+        if self.name not in _LAST_TRIE:
+            _LAST_TRIE.clear()
+            _LAST_TRIE[self.name] = ByteTrie(self.keys, self.counts, self.order)
+        return _LAST_TRIE[self.name]
+
+
+_LAST_TRIE: dict[str, ByteTrie] = {}
+
+
 def _flushed(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
     """Counts of keys, passed on whenever many different ones are held."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -162,6 +187,26 @@ def _flushed(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBa
         yield batch(*_summed(*map(np.concatenate, zip(*held, strict=True))))
 
 
+def _most_frequent(totals: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the most frequent rows (key, n), at most ``most``; rows of one count come all or not at all.
+
+    The least count is found from a table of counts, so that no task passes on
+    more than what is kept.
+    """
+    # Counts in steps of a sixteenth of their power of two: a bounded table, whatever the corpus.
+    step = F.floor(F.log2("n") * 16)
+    sizes = totals.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
+    kept, least = 0, None
+    for row in sizes:
+        if kept + row["rows"] > most:
+            break
+        kept, least = kept + row["rows"], row["step"]
+    chosen = totals.where(step >= least) if least is not None else totals.limit(0)
+    frame = chosen.select("key", "n").toPandas()
+    order = np.argsort(frame["key"].to_numpy(np.int64), kind="stable")
+    return frame["key"].to_numpy(np.int64)[order].view(np.uint64), frame["n"].to_numpy(np.int64)[order]
+
+
 def word_counts(train: DataFrame) -> DataFrame:
     """Columns ``key`` (64-bit hash of a word) and ``n`` over all texts of ``train``."""
     counted = train.select("text").mapInArrow(
@@ -170,8 +215,8 @@ def word_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def fit_trie(train: DataFrame, order: int = 4, most_grams: int = 1 << 20) -> ByteTrie:
-    """Trie over all texts of ``train``, of ``order`` bytes of context at the most.
+def fit_trie(train: DataFrame, order: int = 4, most_grams: int = 1 << 20) -> TrieCounts:
+    """Counts of a trie over all texts of ``train``, of ``order`` bytes of context at the most.
 
     The size of the model is a parameter: beyond ``most_grams`` different grams
     the rare ones are left out, all those of a count alike.
@@ -180,19 +225,7 @@ def fit_trie(train: DataFrame, order: int = 4, most_grams: int = 1 << 20) -> Byt
         lambda batches: _flushed(batches, lambda raw: grams(raw, order)[0]), "key long, n long"
     )
     totals = cut_lineage(counted.groupBy("key").agg(F.sum("n").alias("n")), "ppm-grams")
-    # Counts in steps of a sixteenth of their power of two: a bounded table, whatever the corpus.
-    step = F.floor(F.log2("n") * 16)
-    sizes = totals.groupBy(step.alias("step")).agg(F.count("*").alias("grams")).orderBy(F.desc("step")).collect()
-    kept, least = 0, None
-    for row in sizes:
-        if kept + row["grams"] > most_grams:
-            break
-        kept, least = kept + row["grams"], row["step"]
-    chosen = totals.where(step >= least) if least is not None else totals.limit(0)
-    frame = chosen.toPandas()
-    return ByteTrie(
-        frame["key"].to_numpy(np.int64).view(np.uint64), frame["n"].to_numpy(np.int64), order
-    )
+    return TrieCounts(uuid.uuid4().hex, *_most_frequent(totals, most_grams), order)
 
 
 def score(docs: DataFrame, train: Column, order: int = 4, most_grams: int = 1 << 20, head_words: int = 1 << 18) -> DataFrame:
@@ -206,7 +239,7 @@ def score(docs: DataFrame, train: Column, order: int = 4, most_grams: int = 1 <<
     row of a repeated doc_id is scored by itself. Without training rows the
     base score is 0 and every byte has probability 1/256.
 
-    The counts of the ``head_words`` most frequent words go to every task; the
+    The counts of the most frequent words, up to ``head_words``, go to every task; the
     other words of each text are joined with the table of all counts.
     """
     spark = docs.sparkSession
@@ -216,14 +249,14 @@ def score(docs: DataFrame, train: Column, order: int = 4, most_grams: int = 1 <<
     ends = rows.where("train").count()
     total = (sums["n"] or 0) + ends
     vocabulary = sums["v"] + (ends > 0)
-    head = counts.orderBy(F.desc("n"), "key").limit(head_words).toPandas()
-    head_keys, head_n = head["key"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64)
+    head_keys, head_n = _most_frequent(counts, head_words)
     below = total + 0.5 * (vocabulary + 1)
     trie = fit_trie(rows.where("train"), order, most_grams)
-    shared = spark.sparkContext.broadcast((HashTable.of(head_keys), np.log10((head_n + 0.5) / below), trie))
+    shared = spark.sparkContext.broadcast((head_keys, np.log10((head_n + 0.5) / below), trie))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, logs, model = shared.value
+        keys, logs, counted = shared.value
+        table, model = HashTable.of(keys), counted.trie()
         for given in batches:
             raw = [lowered(t) for t in given.column("text").to_pylist()]
             out = {"words": [], "known": [], "sum": [], "score": [], "rare": []}
