@@ -142,11 +142,13 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = 1.0)
     return w
 
 
-def featured(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def featured(docs: DataFrame, labels: DataFrame, train_docs: int = 30_000) -> DataFrame:
     """Written table of doc_id, both views' features, label (NULL if there is none) and part.
 
-    ``part`` is ``fit`` or ``calibrate`` for a labelled document, by a hash of its
-    id. Of several labels of an id the higher one counts.
+    About ``train_docs`` labels are used, by a hash of the id, all if there are
+    fewer; other documents count as unlabelled. ``part`` is ``fit`` or
+    ``calibrate`` for a labelled document. Of several labels of an id the higher
+    one counts.
     """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +171,10 @@ def featured(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.max("quality").alias("label"))
         .withColumn("part", F.when(uniform("doc_id", seed=23) < CALIBRATION, "calibrate").otherwise("fit"))
     )
-    return cut_lineage(described.join(marked, "doc_id", "left"), "quality-features")
+    share = min(1.0, train_docs / max(1, marked.count()))
+    # Bounded by train_docs, so the labels may go to every task, and no features are shuffled.
+    sample = F.broadcast(marked.where(uniform("doc_id", seed=29) < share))
+    return cut_lineage(described.join(sample, "doc_id", "left"), "quality-features")
 
 
 def _fitted(rows: DataFrame, last: CoTrained | None, confidence: float, pseudo_weight: float) -> CoTrained:
