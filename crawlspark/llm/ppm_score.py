@@ -3,7 +3,7 @@
 The model is a trie of byte contexts with the counts of what followed them in the
 training texts. A byte is coded in its longest context if it was seen there;
 otherwise an escape is coded, whose probability is estimated from the number of
-different bytes seen (method C), and the next shorter context is tried without
+different bytes seen (method D: half a count of each goes to the escape), and the next shorter context is tried without
 the bytes that the longer one has already ruled out. As every byte seen in a
 context was seen in its shorter ones too, the ruled-out counts belong to the
 context and are summed up once, when the trie is made.
@@ -122,11 +122,10 @@ class ByteTrie:
             known[need] = order.contexts.find(keys[need] >> np.uint64(8))
             here = plain & (known >= 0)
             total[here], left[here] = order.total[known[here]], order.distinct[known[here]]
-            whole = total + left
-            out[at[hit]] += np.log10(order.gram_n[found[hit]] / whole[hit])
+            out[at[hit]] += np.log10((order.gram_n[found[hit]] - 0.5) / total[hit])
             miss = ~hit
-            escaped = miss & (whole > 0)
-            out[at[escaped]] += np.log10(left[escaped] / whole[escaped])
+            escaped = miss & (total > 0)
+            out[at[escaped]] += np.log10(0.5 * left[escaped] / total[escaped])
             at, known = at[miss], known[miss]
             seen = known >= 0
             total, left = np.full(len(at), np.nan), np.full(len(at), np.nan)
@@ -215,7 +214,7 @@ def word_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def fit_trie(train: DataFrame, order: int = 4, most_grams: int = 1 << 20) -> TrieCounts:
+def fit_trie(train: DataFrame, order: int = 5, most_grams: int = 1 << 20) -> TrieCounts:
     """Counts of a trie over all texts of ``train``, of ``order`` bytes of context at the most.
 
     The size of the model is a parameter: beyond ``most_grams`` different grams
@@ -228,7 +227,7 @@ def fit_trie(train: DataFrame, order: int = 4, most_grams: int = 1 << 20) -> Tri
     return TrieCounts(uuid.uuid4().hex, *_most_frequent(totals, most_grams), order)
 
 
-def score(docs: DataFrame, train: Column, order: int = 4, most_grams: int = 1 << 20, head_words: int = 1 << 18) -> DataFrame:
+def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 << 20, head_words: int = 1 << 18) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text) by models of the rows that ``train`` is true for.
 
     Columns: doc_id, n_tokens (words and one end), n_known (those that occur in

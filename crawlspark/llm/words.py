@@ -62,7 +62,7 @@ class HashTable:
     @classmethod
     def of(cls, keys: np.ndarray) -> HashTable:
         """A table of distinct keys (none of them all ones) to their index."""
-        size = 1 << max(4, int(2 * len(keys) + 1).bit_length())
+        size = 1 << max(4, int(1.5 * len(keys) + 1).bit_length())
         table, positions = np.full(size, EMPTY), np.full(size, -1, dtype=np.int32)
         waiting = np.arange(len(keys))
         slots = _slots(keys, size)

@@ -28,7 +28,7 @@ def plain_model(texts, order):
 
 
 def plain_log10(counts, text, order):
-    """Prediction by partial matching with escape method C and exclusion, one byte after the other."""
+    """Prediction by partial matching with escape method D and exclusion, one byte after the other."""
     padded, total = bytes(order) + text, 0.0
     for i in range(order, len(padded)):
         symbol, excluded = padded[i], set()
@@ -36,11 +36,11 @@ def plain_log10(counts, text, order):
             seen = {s: n for s, n in counts.get(padded[i - k : i], {}).items() if s not in excluded}
             if not seen:
                 continue
-            whole = sum(seen.values()) + len(seen)
+            whole = sum(seen.values())
             if symbol in seen:
-                total += math.log10(seen[symbol] / whole)
+                total += math.log10((seen[symbol] - 0.5) / whole)
                 break
-            total += math.log10(len(seen) / whole)
+            total += math.log10(len(seen) / 2 / whole)
             excluded |= seen.keys()
         else:
             total += math.log10(1 / (256 - len(excluded)))
