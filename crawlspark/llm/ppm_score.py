@@ -201,9 +201,11 @@ def _most_frequent(totals: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray
             break
         kept, least = kept + row["rows"], row["step"]
     chosen = totals.where(step >= least) if least is not None else totals.limit(0)
-    frame = chosen.select("key", "n").toPandas()
-    order = np.argsort(frame["key"].to_numpy(np.int64), kind="stable")
-    return frame["key"].to_numpy(np.int64)[order].view(np.uint64), frame["n"].to_numpy(np.int64)[order]
+    # As Arrow columns, whatever the session says: a million row objects would fill the driver.
+    table = chosen.select("key", "n").toArrow()
+    keys, counts = (table.column(name).to_numpy().astype(np.int64) for name in ("key", "n"))
+    order = np.argsort(keys, kind="stable")
+    return keys[order].view(np.uint64), counts[order]
 
 
 def word_counts(train: DataFrame) -> DataFrame:
