@@ -8,8 +8,11 @@ the bytes that the longer one has already ruled out. As every byte seen in a
 context was seen in its shorter ones too, the ruled-out counts belong to the
 context and are summed up once, when the trie is made.
 
-Whole batches of texts are scored at once: each order of contexts is a hash
-table, and only the bytes that escape go on to the next.
+Whole batches of texts are scored at once: the bytes in their contexts that are
+most frequent in the training texts are looked up in a hash table that every task
+has. All others are joined with tables of the counts of each order, once for each
+different one; only the shortest contexts, of which there are few, are a trie in
+memory.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from crawlspark.llm.words import HashTable, lowered, word_hashes
 BLOCK = 1 << 20
 #: Different keys that a task holds before it passes on their counts.
 MOST_KEYS = 1 << 20
+#: Bytes of context up to which an order is held in memory, 2**16 grams at the most.
+SHORT = 1
 
 
 def grams(raw: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,11 +107,16 @@ class ByteTrie:
             )
             self.orders.append(shorter)
 
-    def log10(self, packed: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each byte given the bytes before it."""
+    def log10(
+        self, packed: np.ndarray, total: np.ndarray | None = None, left: np.ndarray | None = None
+    ) -> np.ndarray:
+        """log10 of the probability of each byte given the bytes before it.
+
+        ``total`` and ``left`` are what the longest context here has left where a
+        still longer one has ruled out bytes, and NaN elsewhere.
+        """
         out = np.zeros(len(packed))
         at = np.arange(len(packed))
-        total = left = None  # of the context to be used, where a longer one has ruled out bytes; NaN elsewhere
         for length in range(self.order, -1, -1):
             order = self.orders[length]
             mask = np.uint64((1 << 8 * (length + 1)) - 1)
@@ -160,6 +170,15 @@ class TrieCounts:
 
 
 _LAST_TRIE: dict[str, ByteTrie] = {}
+_LAST_HEAD: dict[str, HashTable] = {}
+
+
+def _head_table(name: str, keys: np.ndarray) -> HashTable:
+    """A table of the keys; a worker keeps the last one."""
+    if name not in _LAST_HEAD:
+        _LAST_HEAD.clear()
+        _LAST_HEAD[name] = HashTable.of(keys)
+    return _LAST_HEAD[name]
 
 
 def _flushed(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
@@ -186,8 +205,8 @@ def _flushed(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBa
         yield batch(*_summed(*map(np.concatenate, zip(*held, strict=True))))
 
 
-def _most_frequent(totals: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the most frequent rows (key, n), at most ``most``; rows of one count come all or not at all.
+def _most_frequent(totals: DataFrame, most: int, value: str = "n") -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of the most frequent rows (key, n), at most ``most``; rows of one count come all or not at all.
 
     The least count is found from a table of counts, so that no task passes on
     more than what is kept.
@@ -202,10 +221,10 @@ def _most_frequent(totals: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray
         kept, least = kept + row["rows"], row["step"]
     chosen = totals.where(step >= least) if least is not None else totals.limit(0)
     # As Arrow columns, whatever the session says: a million row objects would fill the driver.
-    table = chosen.select("key", "n").toArrow()
-    keys, counts = (table.column(name).to_numpy().astype(np.int64) for name in ("key", "n"))
+    table = chosen.select("key", F.col(value).alias("value")).toArrow()
+    keys, values = table.column("key").to_numpy().astype(np.int64), table.column("value").to_numpy()
     order = np.argsort(keys, kind="stable")
-    return keys[order].view(np.uint64), counts[order]
+    return keys[order].view(np.uint64), values[order]
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -216,17 +235,129 @@ def word_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def gram_counts(train: DataFrame, order: int) -> DataFrame:
+    """Columns ``key`` (packed gram of ``order`` + 1 bytes) and ``n`` over all texts of ``train``, written."""
+    counted = train.select("text").mapInArrow(
+        lambda batches: _flushed(batches, lambda raw: grams(raw, order)[0]), "key long, n long"
+    )
+    return cut_lineage(counted.groupBy("key").agg(F.sum("n").alias("n")), "ppm-grams")
+
+
 def fit_trie(train: DataFrame, order: int = 5, most_grams: int = 1 << 20) -> TrieCounts:
     """Counts of a trie over all texts of ``train``, of ``order`` bytes of context at the most.
 
-    The size of the model is a parameter: beyond ``most_grams`` different grams
-    the rare ones are left out, all those of a count alike.
+    A model of bounded size: beyond ``most_grams`` different grams the rare ones
+    are left out, all those of a count alike. ``score`` uses ``fit_tables``, which leaves out none.
     """
-    counted = train.select("text").mapInArrow(
-        lambda batches: _flushed(batches, lambda raw: grams(raw, order)[0]), "key long, n long"
+    return TrieCounts(uuid.uuid4().hex, *_most_frequent(gram_counts(train, order), most_grams), order)
+
+
+def _lowest(column: Column | str, n: int) -> Column:
+    """The last ``n`` bytes of packed ones."""
+    column = F.col(column) if isinstance(column, str) else column
+    return column.bitwiseAND(F.lit((1 << 8 * n) - 1 if n < 8 else -1).cast("long"))
+
+
+def _context(gram: Column | str) -> Column:
+    return F.shiftrightunsigned(gram, 8)
+
+
+@dataclass(frozen=True)
+class Tables:
+    """Counts of all grams of the training texts: tables of the long orders, a trie of the short ones."""
+
+    order: int
+    grams: dict[int, DataFrame]  # by bytes of context: key, n
+    contexts: dict[int, DataFrame]  # context, total, distinct, left_total, left_distinct
+    logs: DataFrame  # of the longest grams: key, n, log
+    short: TrieCounts
+
+
+def fit_tables(train: DataFrame, order: int = 5) -> Tables:
+    """Counts of every order over all texts of ``train``, of ``order`` bytes of context at the most."""
+    counted = {order: gram_counts(train, order)}
+    for length in range(order - 1, -1, -1):
+        shorter = counted[length + 1].groupBy(_lowest("key", length + 1).alias("key")).agg(F.sum("n").alias("n"))
+        counted[length] = cut_lineage(shorter, "ppm-grams") if length >= min(order, SHORT) else shorter
+    short = min(order, SHORT)
+    # All of them: there are 2**16 at the most.
+    held = counted[short].select("key", "n").toArrow()
+    keys, n = (held.column(name).to_numpy().astype(np.int64) for name in ("key", "n"))
+    trie = TrieCounts(uuid.uuid4().hex, keys.view(np.uint64), n, short)
+    sums = [F.sum("n").alias("total"), F.count("*").alias("distinct")]
+    contexts = {short: counted[short].groupBy(_context("key").alias("context")).agg(*sums)}
+    for length in range(short + 1, order + 1):
+        lower = counted[length - 1].select(F.col("key").alias("inner"), F.col("n").alias("lower_n"))
+        # Each gram has its shorter one.
+        both = counted[length].withColumn("inner", _lowest("key", length)).join(lower, "inner")
+        own = both.groupBy(_context("key").alias("context")).agg(*sums, F.sum("lower_n").alias("seen"))
+        parent = contexts[length - 1].select(
+            F.col("context").alias("parent"), F.col("total").alias("whole"), F.col("distinct").alias("kinds")
+        )
+        left = own.withColumn("parent", _lowest("context", length - 1)).join(parent, "parent").select(
+            "context",
+            "total",
+            "distinct",
+            (F.col("whole") - F.col("seen")).alias("left_total"),
+            (F.col("kinds") - F.col("distinct")).alias("left_distinct"),
+        )
+        contexts[length] = cut_lineage(left, "ppm-contexts")
+    seen = counted[order].withColumn("context", _context("key"))
+    logs = seen.join(contexts[order].select("context", "total"), "context").select(
+        "key", "n", F.log10((F.col("n") - 0.5) / F.col("total")).alias("log")
     )
-    totals = cut_lineage(counted.groupBy("key").agg(F.sum("n").alias("n")), "ppm-grams")
-    return TrieCounts(uuid.uuid4().hex, *_most_frequent(totals, most_grams), order)
+    return Tables(order, counted, contexts, cut_lineage(logs, "ppm-logs"), trie)
+
+
+def resolved(keys: DataFrame, tables: Tables) -> DataFrame:
+    """Columns ``key`` and ``log``, the log10 probability, for distinct packed grams ``key``."""
+    short = tables.short.order
+    nothing = F.lit(None).cast("double")
+    # ``total`` and ``left`` are what the context has left where a longer one has ruled out bytes.
+    state = keys.select("key", F.lit(0.0).alias("log"), F.lit(False).alias("done"), nothing.alias("total"), nothing.alias("left"))
+    for length in range(tables.order, short, -1):
+        contexts = tables.contexts[length].select(
+            F.expr("context ^ 0L").alias("context"), F.col("total").alias("c_total"), "distinct", "left_total", "left_distinct"
+        )
+        counts = tables.grams[length].select(F.expr("key ^ 0L").alias("gram"), "n")
+        state = state.withColumn("gram", _lowest("key", length + 1)).withColumn("context", _context("gram"))
+        state = state.join(counts, "gram", "left").join(contexts, "context", "left")
+        state = state.withColumn("whole", F.coalesce("total", F.col("c_total").cast("double")))
+        state = state.withColumn("kinds", F.coalesce("left", F.col("distinct").cast("double")))
+        coded = F.log10((F.col("n") - 0.5) / F.col("whole"))
+        escape = F.when(F.col("whole") > 0, F.log10(0.5 * F.col("kinds") / F.col("whole"))).otherwise(0.0)
+        state = state.select(
+            "key",
+            F.when(F.col("done"), F.col("log")).when(F.col("n").isNotNull(), F.col("log") + coded).otherwise(F.col("log") + escape).alias("log"),
+            (F.col("done") | F.col("n").isNotNull()).alias("done"),
+            F.col("left_total").cast("double").alias("total"),
+            F.col("left_distinct").cast("double").alias("left"),
+        )
+    shared = keys.sparkSession.sparkContext.broadcast(tables.short)
+
+    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trie = shared.value.trie()
+        for frame in frames:
+            log, to_do = frame["log"].to_numpy(dtype=float, copy=True), ~frame["done"].to_numpy(dtype=bool)
+            some = frame[to_do]
+            log[to_do] += trie.log10(
+                some["key"].to_numpy(dtype=np.int64).view(np.uint64),
+                some["total"].to_numpy(dtype=float, copy=True),
+                some["left"].to_numpy(dtype=float, copy=True),
+            )
+            yield pd.DataFrame({"key": frame["key"], "log": log})
+
+    return state.mapInPandas(finish, "key long, log double")
+
+
+def _listed(keys: np.ndarray, owner: np.ndarray, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each of ``n`` owners its distinct keys, and how often it has each."""
+    order = np.lexsort((keys, owner))
+    keys, owner = keys[order], owner[order]
+    first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]) if len(keys) else np.empty(0, np.int64)
+    times = np.diff(np.r_[first, len(keys)])
+    cuts = np.searchsorted(owner[first], np.arange(n + 1))
+    return tuple([x[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for x in (keys[first].view(np.int64), times))
 
 
 def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 << 20, head_words: int = 1 << 18) -> DataFrame:
@@ -240,8 +371,9 @@ def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 <<
     row of a repeated doc_id is scored by itself. Without training rows the
     base score is 0 and every byte has probability 1/256.
 
-    The counts of the most frequent words, up to ``head_words``, go to every task; the
-    other words of each text are joined with the table of all counts.
+    The most frequent words and grams, up to ``head_words`` and ``most_grams``, go
+    to every task; the others of each text are joined with the tables of all
+    counts. The sizes of the heads change no score.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train"))
@@ -252,15 +384,17 @@ def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 <<
     vocabulary = sums["v"] + (ends > 0)
     head_keys, head_n = _most_frequent(counts, head_words)
     below = total + 0.5 * (vocabulary + 1)
-    trie = fit_trie(rows.where("train"), order, most_grams)
-    shared = spark.sparkContext.broadcast((head_keys, np.log10((head_n + 0.5) / below), trie))
+    tables = fit_tables(rows.where("train"), order)
+    gram_head = _most_frequent(tables.logs, most_grams, "log")
+    name = uuid.uuid4().hex
+    shared = spark.sparkContext.broadcast((head_keys, np.log10((head_n + 0.5) / below), *gram_head))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logs, counted = shared.value
-        table, model = HashTable.of(keys), counted.trie()
+        keys, logs, gram_keys, gram_logs = shared.value
+        table, gram_table = HashTable.of(keys), _head_table(name, gram_keys)
         for given in batches:
             raw = [lowered(t) for t in given.column("text").to_pylist()]
-            out = {"words": [], "known": [], "sum": [], "score": [], "rare": []}
+            out = {"words": [], "known": [], "sum": [], "score": [], "rare": [], "grams": [], "times": []}
             for start, stop in chunks_of([len(r) for r in raw], BLOCK):
                 part = raw[start:stop]
                 hashes, at = word_hashes(part)
@@ -271,8 +405,12 @@ def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 <<
                 out["known"] += np.bincount(owner[known], minlength=len(part)).tolist()
                 out["sum"] += np.bincount(owner[known], weights=logs[found[known]], minlength=len(part)).tolist()
                 packed, borders = grams(part, order)
-                logs10 = model.log10(packed)
-                out["score"] += [float(logs10[a:b].sum()) for a, b in zip(borders[:-1], borders[1:], strict=True)]
+                found = gram_table.find(packed)
+                owner_of = np.repeat(np.arange(len(part)), np.diff(borders))
+                here = found >= 0
+                out["score"] += np.bincount(owner_of[here], weights=gram_logs[found[here]], minlength=len(part)).tolist()
+                for field, lists in zip(("grams", "times"), _listed(packed[~here], owner_of[~here], len(part)), strict=True):
+                    out[field] += lists
                 rare, rare_owner = hashes[~known].view(np.int64), owner[~known]
                 cuts = np.searchsorted(rare_owner, np.arange(len(part) + 1))
                 out["rare"] += [rare[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -283,14 +421,16 @@ def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 <<
                     pa.array(out["known"], pa.int64()),
                     pa.array(out["sum"], pa.float64()),
                     pa.array(out["score"], pa.float64()),
-                    pa.array(out["rare"], pa.list_(pa.int64())),
+                    *[pa.array(out[field], pa.list_(pa.int64())) for field in ("rare", "grams", "times")],
                 ],
-                names=["doc_id", "words", "known", "sum", "score", "rare"],
+                names=["doc_id", *out],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     rated = rows.select("doc_id", "text").mapInArrow(
-        rate, f"doc_id {kind}, words long, known long, sum double, score double, rare array<long>"
+        rate,
+        f"doc_id {kind}, words long, known long, sum double, score double, "
+        "rare array<long>, grams array<long>, times array<long>",
     )
     # Written once with a number for each row, as ids may be NULL or repeated.
     rated = cut_lineage(rated.withColumn("row", F.monotonically_increasing_id()), "ppm-scores")
@@ -300,13 +440,22 @@ def score(docs: DataFrame, train: Column, order: int = 5, most_grams: int = 1 <<
         F.sum(F.when(F.col("n").isNotNull(), log_of).otherwise(F.log10(F.lit(0.5) / F.lit(below)))).alias("tail_sum"),
         F.count("n").alias("tail_known"),
     )
+    unlisted = rated.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g"))
+    unlisted = unlisted.select("row", F.col("g.grams").alias("key"), "g.times")
+    # Grams of the training texts first; only those that none of these has need escapes.
+    unlisted = cut_lineage(unlisted.join(tables.logs.select("key", "log"), "key", "left"), "ppm-unlisted")
+    unseen = unlisted.where("log is null")
+    found = cut_lineage(resolved(unseen.select("key").distinct(), tables), "ppm-resolved")
+    found = unseen.drop("log").join(found.select(F.expr("key ^ 0L").alias("key"), "log"), "key")
+    logs = unlisted.where("log is not null").select("row", "times", "log").unionByName(found.select("row", "times", "log"))
+    rest = logs.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("rest"))
     end = F.log10(F.lit(ends + 0.5) / F.lit(below)) if total else F.lit(0.0)
     nothing = F.lit(0)
-    return rated.drop("rare").join(tail, "row", "left").select(
+    return rated.drop("rare", "grams", "times").join(tail, "row", "left").join(rest, "row", "left").select(
         "doc_id",
         (F.col("words") + 1).alias("n_tokens"),
         (F.col("known") + F.coalesce("tail_known", nothing) + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("sum") + F.coalesce("tail_sum", F.lit(0.0)) + end).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"),
     )

@@ -141,3 +141,13 @@ def test_word_hashes_and_their_table():
     assert (table.find(keys) == np.arange(len(keys))).all()
     assert (table.find(keys + np.uint64(1)) == -1).all()
     assert (HashTable.of(keys[:0]).find(keys) == -1).all()
+
+
+@pytest.mark.parametrize("order", [1, 3, 5])
+@pytest.mark.parametrize("head", [1 << 20, 60, 0])
+def test_scores_do_not_depend_on_the_size_of_the_head(documents, order, head):
+    rows = [(i, prose(i, 40, "abcdé")) for i in range(25)] + [(101, "qq abé \U0001f642 qq"), (106, None), (111, "")]
+    got = {r.doc_id: r.score for r in ppm.score(documents(rows), train(), order, most_grams=head).collect()}
+    counts = plain_model([lowered(t) for i, t in rows if i % 5 != 1], order)
+    for doc_id, text in rows:
+        assert got[doc_id] == pytest.approx(plain_log10(counts, lowered(text), order), abs=1e-9)
