@@ -186,9 +186,14 @@ def _in_blocks(members: DataFrame, group: str, blocks: str) -> DataFrame:
     )
 
 
-def equal_bytes_of(threshold: float) -> int:
-    """Equal sketch bytes that a pair at the threshold has: three and a half deviations below what to expect."""
-    return math.floor(SKETCH * threshold - 3.5 * math.sqrt(SKETCH * threshold * (1 - threshold)))
+def equal_bytes_of(threshold: float, recall: float = 0.9999) -> int:
+    """Equal sketch bytes that a pair at the threshold has with probability ``recall``: a binomial tail."""
+    tail = 0.0
+    for k in range(SKETCH + 1):
+        tail += math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k)
+        if tail > 1 - recall:
+            return k
+    return SKETCH
 
 
 def _equal_bytes(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -219,7 +224,7 @@ def _consensus(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": [frame["bucket"].iloc[0]], "own": [own]})
 
 
-def _pivoted(rows: DataFrame, threshold: float, rounds: int, sample: int = 64) -> tuple[DataFrame, DataFrame]:
+def _pivoted(rows: DataFrame, least: int, rounds: int, sample: int = 64) -> tuple[DataFrame, DataFrame]:
     """Rows (bucket, digest, rows, sketch) of large buckets with ``open``, and links (a, b) that settle the others.
 
     Nearly equal sets stay together however they are split. In each round the
@@ -229,7 +234,7 @@ def _pivoted(rows: DataFrame, threshold: float, rounds: int, sample: int = 64) -
     pairs with an open row are left. The sample decides where a pivot is, not
     what is found.
     """
-    reach = SKETCH - equal_bytes_of(threshold) + SETTLED
+    reach = SKETCH - least + SETTLED
     alike = F.pandas_udf(_equal_bytes, "long")
     rows = cut_lineage(rows.withColumn("open", F.lit(True)), "pivoted")
     links = []
@@ -264,10 +269,9 @@ def _merged(root: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]]) -> np.n
     return local_components(len(root), a, b)
 
 
-def _proposed(members: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between nodes of a bucket whose sketches are near enough, enough to connect them all."""
+def _proposed(members: DataFrame, threshold: float, least: int) -> DataFrame:
+    """Links (a, b) between nodes of a bucket whose sketches have ``least`` equal bytes, enough to connect them all."""
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    least = equal_bytes_of(threshold)
 
     def propose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = ["bucket", "low", "high"]
@@ -380,8 +384,10 @@ def similar_documents(
     these, in blocks. Else the bucket is split by a second token; one that
     doesn't split, and parts that stay larger, are compared in pairs of blocks.
     """
-    runs = runs_for(threshold, recall)
-    described = cut_lineage(_described(docs, words, threshold, runs, deep_runs=8), "shingle-sets")
+    # A link is lost by the runs, by the split of large buckets or by its sketches: each has a third of what may be.
+    share = 1 - (1 - recall) / 3
+    runs, least = runs_for(threshold, share), equal_bytes_of(threshold, share)
+    described = cut_lineage(_described(docs, words, threshold, runs, deep_runs=runs), "shingle-sets")
     nodes = (
         described.where("digest is not null")
         .groupBy("digest")
@@ -412,7 +418,7 @@ def similar_documents(
     links = None
     if large.limit(1).count():
         large = cut_lineage(in_buckets(_united(large.select("bucket", "digest"))), "large-buckets")
-        rows, links = _pivoted(large.join(nodes.select("digest", "sketch"), "digest"), threshold, pivots)
+        rows, links = _pivoted(large.join(nodes.select("digest", "sketch"), "digest"), least, pivots)
         rows = cut_lineage(in_buckets(rows.select("bucket", "digest", "open"), "open_rows > 0"), "open-buckets")
         few = F.col("open_rows") <= bucket_rows // 2
         members = members.unionByName(_against_open(rows.where(few), bucket_rows // 2))
@@ -429,7 +435,7 @@ def similar_documents(
         whole = wide.withColumnRenamed("whole", "rows").join(stuck, "bucket", "left_semi")
         second = parts.select("bucket", "digest", blocks_of).unionByName(whole.select("bucket", "digest", blocks_of))
         members = members.unionByName(_in_blocks(second, "bucket", "blocks"))
-    proposed = _proposed(members.join(sketches, "digest"), threshold)
+    proposed = _proposed(members.join(sketches, "digest"), threshold, least)
     groups = cut_lineage(connected(proposed if links is None else proposed.unionByName(links)), "proposed")
 
     sizes = groups.join(nodes.select(F.col("digest").alias("node"), "n", "copies"), "node")

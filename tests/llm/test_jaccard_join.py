@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -101,3 +102,25 @@ def test_components(spark):
     ends = {x for x, y in links if x != y} | {y for x, y in links if x != y}
     assert got == {x: roots[x] for x in ends}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.82])
+def test_recall_of_the_sketches(similarity):
+    """Chance that so similar a pair has too few equal sketch bytes to be proposed."""
+    least, n = jj.equal_bytes_of(0.8), jj.SKETCH
+    lost = sum(math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k) for k in range(least))
+    assert lost <= 1 - 0.9999
+
+
+def test_large_buckets_are_split_as_often_as_recall_needs(documents, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def described(docs, words, threshold, runs, deep_runs):
+        raise Stop(runs, deep_runs)
+
+    monkeypatch.setattr(jj, "_described", described)
+    with pytest.raises(Stop) as stopped:
+        jj.similar_documents(documents([(1, "a")]))
+    lost = [math.exp(-n) for n in stopped.value.args]
+    assert sum(lost) <= 1 - 0.9999
