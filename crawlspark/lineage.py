@@ -22,12 +22,15 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_folder(spark: SparkSession) -> str:
+def run_folder(spark: SparkSession, root: str | None = None) -> str:
     """Folder of this application's tables under the shared folder."""
-    return f"{checkpoint_root(spark)}/crawlspark/{spark.sparkContext.applicationId}"
+    return f"{root or checkpoint_root(spark)}/crawlspark/{spark.sparkContext.applicationId}"
 
 
-def remove_run_tables(spark: SparkSession) -> bool:
-    """Delete the tables that this application has cut its lineage with, once no plan reads them any more."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+def remove_run_tables(spark: SparkSession, root: str | None = None) -> bool:
+    """Delete the tables that this application has cut its lineage with, once no plan reads them any more.
+
+    ``root`` names another shared folder than the session's.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark, root))
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -201,7 +201,7 @@ def test_size_limit(spark):
 def test_download_outcome_order(spark):
     names = ["kept", "bad", "net", "big", "noise", "full", "good"]
     candidates = spark.createDataFrame([("D", u, f"p/{u}") for u in names], "department string, url string, local_path string")
-    decisions = spark.createDataFrame([(u, u != "kept") for u in names], "url string, download boolean")
+    decisions = spark.createDataFrame([(u, f"p/{u}", u != "kept") for u in names], "url string, local_path string, download boolean")
     verdicts = spark.createDataFrame([(u, u != "bad") for u in names], "url string, valid boolean")
     gets = log(spark, *[{"url": u} for u in names if u not in ("net", "big")], {"url": "net", "status": None, "error": "timeout"}, {"url": "big", "content_length": 99 * 1048576})
     checks = spark.createDataFrame([(u, 100, u != "noise") for u in names], "url string, bytes long, valid boolean")

@@ -333,8 +333,9 @@ done AS (
   FROM one)
 SELECT url, title, text, CAST(length(text) AS BIGINT) AS text_length FROM done""".replace("\\\\", "\\"),
     "markdown_seeds": f"""
-WITH {_SEEDS}
-SELECT dept_key, host AS name, CAST(seed_ord AS BIGINT) AS seed_ord, seed AS url FROM s""",
+WITH {_SEEDS},
+f AS (SELECT dept_key, seed, min((file, seed_ord)) AS place, arg_min(host, (file, seed_ord)) AS name FROM s GROUP BY dept_key, seed)
+SELECT dept_key, name, CAST(row_number() OVER (PARTITION BY dept_key ORDER BY place) - 1 AS BIGINT) AS seed_ord, seed AS url FROM f""",
     "markdown_departments": f"""
 WITH {_SEEDS}
 SELECT dept_key, max(host) AS name, CAST(3 AS INTEGER) AS max_depth, CAST(500 AS INTEGER) AS max_pages FROM s GROUP BY dept_key""",

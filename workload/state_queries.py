@@ -384,7 +384,7 @@ _BODIES = """
 b AS (
   SELECT url, lang, CASE lang WHEN 'en' THEN '%PDF-1.7' || text || '%%EOF' WHEN 'de' THEN '%PDF-' || text ELSE text END AS body FROM d),
 cc AS (
-  SELECT url, CAST(strlen(body) AS BIGINT) AS bytes,
+  SELECT url, CAST(strlen(body) AS BIGINT) AS bytes, sha256(body) AS file_hash,
     CASE WHEN strlen(body) = 0 THEN 'empty' WHEN NOT starts_with(body, '%PDF-') THEN 'wrong header'
       WHEN strlen(body) < {least} THEN 'too short' ELSE 'ok' END AS reason,
     contains(body, '%%EOF') AND strlen(regexp_extract(body, '(?s)(%%EOF(?:[^%]|%[^%]|%%[^E])*)$', 1)) BETWEEN 1 AND 1024 AS has_trailer
@@ -500,7 +500,7 @@ WITH {_REGISTRY}, {_BODIES.format(least=100)}, {_SNIFF}
 SELECT url, verdict, verdict IN ('content type', 'disposition', 'signature') AS valid FROM sv""",
     "content_checks": f"""
 WITH {SQL_DOCUMENTS}, {_BODIES.format(least=400)}
-SELECT url, bytes, reason, has_trailer, reason = 'ok' AS valid FROM cc""",
+SELECT url, bytes, file_hash, reason, has_trailer, reason = 'ok' AS valid FROM cc""",
     "content_summary": f"""
 WITH {SQL_DOCUMENTS}, {_BODIES.format(least=400)}
 SELECT reason, CAST(count(*) AS BIGINT) AS bodies, CAST(sum(bytes) AS BIGINT) AS bytes,
