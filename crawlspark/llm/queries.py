@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from crawlspark.lineage import cut_lineage
 from crawlspark.llm import (
+    centroid_clustering,
     cotraining,
     embedding_dedup,
     jaccard_join,
@@ -15,7 +16,9 @@ from crawlspark.llm import (
     mixing,
     packing,
     paragraph_sketch,
+    piece_tokens,
     ppm_score,
+    source_divergence,
     sql,
     token_files,
     toxicity,
@@ -104,6 +107,28 @@ def op10_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_score.score(docs, train).withColumn("held_out", in_fold("doc_id", 5, 1))
 
 
+def op11_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms it overuses."""
+    return source_divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op12_subvector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds around 16 centroids."""
+    return centroid_clustering.centroid_clusters(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's SentencePiece ids and of the text that they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_tokens.decode(piece_tokens.encode(docs, model), model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -123,10 +148,15 @@ QUERIES = {
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_projection_collisions": op9_projection_collisions,
     "op10_ppm_score": op10_ppm_score,
+    "op11_level_products": op11_level_products,
+    "op12_subvector_clusters": op12_subvector_clusters,
+    "op13_chunk_pieces": op13_chunk_pieces,
 }
 
 SQL = {
     "op1_source_budgets": sql.mixed_sources(DOMAIN, MIX_WEIGHTS, MIX_PERMILLE, MIX_EPOCHS, MIX_SEED),
     "op8_chosen_path_join": sql.SIMILAR_DOCUMENTS,
     "op9_projection_collisions": sql.NEAR_VECTORS,
+    "op11_level_products": sql.SOURCE_DIVERGENCE,
+    "op12_subvector_clusters": sql.centroid_clusters(16, 3),
 }

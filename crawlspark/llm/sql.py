@@ -105,3 +105,58 @@ taken AS (
   SELECT doc_id, domain, lang, source, CAST(epochs AS BIGINT) + 1, n, least(n, rest - before) FROM ahead WHERE before < rest)
 SELECT doc_id, domain, lang, source, epoch, CAST(n AS BIGINT) AS n_tokens, CAST(take AS BIGINT) AS take_tokens FROM taken
 """
+
+#: Shares and prices term by term.
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT lang, source, r, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+o AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+c AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, CAST(coalesce(o.n, 0) AS HUGEINT) AS n
+  FROM g JOIN k ON g.lang = k.lang LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT c.lang, c.source, term, n, 1 + 1000000000 * (n + 1) // (s.total + v.v) AS p,
+    1 + 1000000000 * (lang_n + 1) // (v.total + v.v) AS q
+  FROM c JOIN s ON c.lang = s.lang AND c.source = s.source JOIN v ON c.lang = v.lang),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+y AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM x)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM y WHERE part = 'pair' OR rank <= 200"""
+
+
+def centroid_clusters(k: int, rounds: int) -> str:
+    """Rounds of assignment and floored means, one row per vector, centroid and dimension."""
+    steps = []
+    for number in range(rounds + 1):
+        steps.append(f"""
+d{number} AS (SELECT e.vec_id, c.cluster, sum((e.x - c.x) * (e.x - c.x)) AS d
+  FROM e JOIN c{number} c ON e.place = c.place GROUP BY e.vec_id, c.cluster),
+a{number} AS (SELECT vec_id, min((d, cluster)) AS best FROM d{number} GROUP BY vec_id)""")
+        if number < rounds:
+            steps.append(f"""
+s{number} AS (SELECT a.best[2] AS cluster, e.place, sum(e.x) AS total, count(*) AS n
+  FROM a{number} a JOIN e ON a.vec_id = e.vec_id GROUP BY 1, 2),
+c{number + 1} AS (SELECT c.cluster, c.place, CASE WHEN s.n IS NULL THEN c.x ELSE (s.total - ((s.total % s.n) + s.n) % s.n) // s.n END AS x
+  FROM c{number} c LEFT JOIN s{number} s ON c.cluster = s.cluster AND c.place = s.place)""")
+    return f"""
+WITH v AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64),
+e AS (SELECT vec_id, unnest(range(64)) AS place, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS HUGEINT) AS x FROM v),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM v QUALIFY cluster < {k}),
+c0 AS (SELECT f.cluster, e.place, e.x FROM f JOIN e ON f.vec_id = e.vec_id),
+{",".join(steps)},
+h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, CAST(best[1] AS BIGINT) AS distance,
+  CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia, CAST(sum(best[1]) OVER () AS BIGINT) AS inertia,
+  centroid_sha256
+FROM a{rounds} JOIN h ON best[2] = h.cluster"""

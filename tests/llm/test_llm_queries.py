@@ -101,3 +101,16 @@ def test_language_model(spark, docs):
         assert (r.held_out, r.n_tokens, r.train_tokens) == (fold(r.doc_id, 5) == 1, len(words), total)
         assert r.n_known == sum(w in counts for w in words) and r.score < 0
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 0.5) / below) for w in words))
+
+
+def test_pieces(spark, docs):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    expected = []
+    for doc_id, row in docs.items():
+        ids = library.encode(row.text or "", add_bos=True, add_eos=True)
+        digests = [hashlib.sha256(b).hexdigest() for b in (np.array(ids, "<u4").tobytes(), library.decode(ids).encode())]
+        expected.append((doc_id, len(ids), *digests))
+    rows = run(spark, "op13_chunk_pieces")
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == sorted(expected)
