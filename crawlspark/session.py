@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-from functools import lru_cache
-
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -15,9 +13,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # First-seen keys of a whole retention period do not fit on the heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
 
@@ -33,24 +29,20 @@ def build_session(app: str = "crawlspark", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keyed state with timers needs this store; a session from elsewhere may have another."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for cut lineage, as the cluster names it in spark.checkpoint.dir.
 
-    Where that is unset, the warehouse, which all executors share too. Only a
-    master that runs its tasks in the driver may fall back to a folder of this
-    machine.
+    Where that is unset, the warehouse, which all executors share too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            root = _local_root(spark.sparkContext.applicationId)
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return root.rstrip("/")
 
-
-@lru_cache(maxsize=None)
-def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"crawlspark-{application}-")

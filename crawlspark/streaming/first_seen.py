@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from crawlspark.operators.incremental import url_hash
+from crawlspark.operators.ordered import previous_value
+from crawlspark.operators.pacing import SECOND
+from crawlspark.session import use_rocksdb
+
+FOUND = "kind string, url_hash string, url string, ts_us long"
+DAY_US = 86_400 * SECOND
 
 
 def first_seen(links: DataFrame, retention: str = "30 days") -> DataFrame:
@@ -19,3 +28,122 @@ def first_seen(links: DataFrame, retention: str = "30 days") -> DataFrame:
         .withWatermark("ts", retention)
         .dropDuplicatesWithinWatermark(["url_hash"])
     )
+
+
+class LastSight(StatefulProcessor):
+    """Holds the last sight of a url, which every later one within the retention renews.
+
+    Sights wait until the watermark has passed them and then count in the order
+    of time. A url without sights is forgotten when its retention has run out.
+    """
+
+    def __init__(self, retention_us: int):
+        self.retention_us = retention_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last_us long")
+        self.waiting = handle.getListState("waiting", "ts_us long, url string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        kept = []
+        for row in rows:
+            if row.ts_us is not None and (mark <= 0 or row.ts_us // 1000 >= mark):
+                kept.append((row.ts_us, row.url))
+            else:
+                yield Row(kind="late", url_hash=key[0], url=row.url, ts_us=row.ts_us)
+        if kept:
+            self.waiting.appendList(kept)
+            self.handle.registerTimer(min(kept)[0] // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        known = self.last.get() if self.last.exists() else None
+        last = known[0] if known else None
+        rows = sorted(self.waiting.get())
+        passed = [row for row in rows if row[0] // 1000 < mark]
+        for ts_us, url in passed:
+            if last is None or ts_us - last > self.retention_us:
+                yield Row(kind="first", url_hash=key[0], url=url, ts_us=ts_us)
+            last = ts_us
+        if passed:
+            rest = rows[len(passed) :]
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(rest[0][0] // 1000 + 1)
+            else:
+                self.waiting.clear()
+            self.last.update((last,))
+            self.handle.registerTimer((last + self.retention_us) // 1000 + 2)
+        elif not rows and last is not None and (last + self.retention_us) // 1000 + 1 < mark:
+            self.last.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_first_seen(
+    links: DataFrame, out: str, checkpoint: str, retention_days: float = 30.0, lateness_seconds: float = 3600.0
+) -> StreamingQuery:
+    """Write the sights of links (ts_us, url) that are their url's first within the retention to ``out``.
+
+    Every sight renews the retention, so a url comes again only after it hasn't been seen for longer
+    than that. Sights count in the order of time, wherever the borders of
+    batches are; one before the watermark is late and written as such.
+    ``release_sights`` settles what still waits when a stream has ended for good.
+    """
+    use_rocksdb(links.sparkSession)
+    retention = int(round(retention_days * DAY_US))
+    timed = links.select(
+        url_hash(F.col("url")).alias("url_hash"),
+        "url",
+        F.col("ts_us").cast("long").alias("ts_us"),
+        F.timestamp_micros(F.col("ts_us").cast("long")).alias("ts"),
+    ).withWatermark("ts", f"{int(round(lateness_seconds * SECOND))} microseconds")
+    # Without the column of the watermark late rows aren't dropped but reach the processor.
+    found = (
+        timed.select("url_hash", "url", "ts_us")
+        .groupBy("url_hash")
+        .transformWithState(LastSight(retention), FOUND, "append", "eventTime")
+    )
+    return (
+        found.writeStream.outputMode("append")
+        .partitionBy("kind")
+        .format("parquet")
+        .option("path", f"{out}/found")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
+    return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+
+def release_sights(spark: SparkSession, out: str, checkpoint: str, retention_days: float = 30.0) -> None:
+    """Settle the sights that still wait in the state, once their stream has ended for good."""
+    waiting = _state(spark, checkpoint, "waiting").select("key.url_hash", "list_element.ts_us", "list_element.url", F.lit(1).alias("is_new"))
+    last = _state(spark, checkpoint, "last").select(
+        "key.url_hash", F.col("value.last_us").alias("ts_us"), F.lit(None).cast("string").alias("url"), F.lit(0).alias("is_new")
+    )
+    settled = previous_value(waiting.unionByName(last), "url_hash", ["ts_us", "is_new", "url"], "ts_us")
+    apart = F.col("previous").isNull() | (F.col("ts_us") - F.col("previous") > int(round(retention_days * DAY_US)))
+    settled.where((F.col("is_new") == 1) & apart).select("url_hash", "url", "ts_us").write.mode("overwrite").parquet(f"{out}/released")
+
+
+def first_sights(spark: SparkSession, out: str) -> DataFrame:
+    """All first sights so far: url_hash, url, ts_us."""
+    found = spark.read.schema(FOUND).parquet(f"{out}/found").where("kind = 'first'").drop("kind")
+    return found.unionByName(spark.read.schema("url_hash string, url string, ts_us long").parquet(f"{out}/released*"))
+
+
+def late_sights(spark: SparkSession, out: str) -> DataFrame:
+    """Sights that came too late to count: url_hash, url, ts_us."""
+    return spark.read.schema(FOUND).parquet(f"{out}/found").where("kind = 'late'").drop("kind")
+
+
+def sights_held(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The urls that the state holds: url_hash, last_us."""
+    return _state(spark, checkpoint, "last").select("key.url_hash", "value.last_us")

@@ -1,102 +1,136 @@
-"""Gap audit on a stream of requests."""
+"""Gap audit on a stream of requests, with keyed state.
+
+Requests wait in the state of their domain and stretch of time, a slot, until
+the watermark has passed the slot's end. The timer of that moment compares them
+in the order of time and clears the state, so a slot lives as long as the
+lateness and leaves nothing behind. A request shortly before the end of a slot
+also waits in the next one, where it is only compared with: a slot then needs
+no other, and a busy domain is spread over as many keys as it has slots.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from crawlspark.lineage import cut_lineage
 from crawlspark.operators.pacing import SECOND, request_gaps
-from crawlspark.sources.state import load_state, save_state, versions
+from crawlspark.session import use_rocksdb
 
-REQUEST = T.StructType(
-    [T.StructField("url", T.StringType()), T.StructField("domain", T.StringType()), T.StructField("ts_us", T.LongType())]
-)
-LAST_REQUEST = T.StructType([T.StructField("domain", T.StringType()), T.StructField("last_us", T.LongType())])
-WATERMARK = T.StructType([T.StructField("until_us", T.LongType())])
+FOUND = "kind string, url string, domain string, ts_us long, gap_us long"
+WAITING = "ts_us long, url string, own boolean"
 
 
-def _release(released: DataFrame, last: DataFrame, out: str, gap: int, batch_id: int) -> DataFrame:
-    """Write the violations among ``released``, all later than ``last``, and return the new last requests."""
-    # Only released rows are compared; the state adds one row per domain that occurs among them.
-    known = last.join(released.select("domain").distinct(), "domain", "left_semi")
-    before = known.select(F.lit(0).alias("is_new"), F.lit("").alias("url"), "domain", F.col("last_us").alias("ts_us"))
-    rows = released.select(F.lit(1).alias("is_new"), "url", "domain", "ts_us").unionByName(before)
-    gaps = request_gaps(rows.withColumn("place", F.struct("is_new", "url")), order="place")
-    found = gaps.where((F.col("is_new") == 1) & (F.col("gap_us") < gap)).drop("is_new", "place")
-    found.write.mode("overwrite").parquet(f"{out}/violations/batch_id={batch_id}")
-    newest = released.groupBy("domain").agg(F.max("ts_us").alias("last_us"))
-    return last.unionByName(newest).groupBy("domain").agg(F.max("last_us").alias("last_us"))
+def _us(seconds: float) -> int:
+    return int(round(seconds * SECOND))
 
 
-def _gap(seconds: float) -> int:
-    return int(round(seconds * SECOND))
+class SlotAudit(StatefulProcessor):
+    """Compares the requests of a (domain, slot) once the watermark has passed its end."""
+
+    def __init__(self, gap_us: int, slot_us: int):
+        self.gap_us, self.slot_us = gap_us, slot_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", WAITING)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        domain, slot = key
+        mark = timerValues.getCurrentWatermarkInMs()
+        kept = []
+        for row in rows:
+            if row.ts_us is not None and (mark <= 0 or row.ts_us // 1000 >= mark):
+                kept.append((row.ts_us, row.url, row.own))
+            elif row.own:
+                yield Row(kind="late", url=row.url, domain=domain, ts_us=row.ts_us, gap_us=None)
+        if kept:
+            self.waiting.appendList(kept)
+            self.handle.registerTimer((slot + 1) * self.slot_us // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is not None, r[1]))
+        self.waiting.clear()
+        for (before, _, _), (ts_us, url, own) in zip(rows, rows[1:]):
+            if own and ts_us - before < self.gap_us:
+                yield Row(kind="violation", url=url, domain=key[0], ts_us=ts_us, gap_us=ts_us - before)
+
+    def close(self) -> None:
+        pass
 
 
 def stream_gap_violations(
     requests: DataFrame,
     out: str,
-    state: str,
     checkpoint: str,
     gap_seconds: float = 1.0,
     lateness_seconds: float = 3600.0,
+    slot_seconds: float = 60.0,
 ) -> StreamingQuery:
-    """Write requests (url, domain, ts_us) that came too soon after the one before to ``out``/violations.
-
-    Requests wait in the state until the watermark, the latest time seen less
-    the lateness, has passed them, and are then compared in the order of time,
-    wherever the borders of the batches are. A request before the watermark (or
-    without a time) is late: it goes to ``out``/late with its batch, and into no
-    comparison. ``release_pending`` compares what still waits when a stream has
-    ended. State is written in versions by batch, so a repeated batch starts
-    from the same state. The rows go through the batch operator: a busy domain
-    is spread over tasks.
+    """Write requests (url, domain, ts_us) that came too soon after the one before, and late ones, to ``out``.
+
+    The watermark is the latest time seen in earlier batches, less the lateness.
+    A request before it, or without a time, is late: it is written as such and
+    compared with nothing. All others are compared in the order of time (equal
+    times in that of urls), wherever the borders of batches are.
+    ``release_pending`` compares what still waits when a stream has ended for
+    good. ``slot_seconds`` is the gap at least and sets how finely a domain is
+    spread; the result doesn't depend on it.
     """
-    gap, lateness = _gap(gap_seconds), _gap(lateness_seconds)
-
-    def audit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = cut_lineage(batch.select("url", "domain", F.col("ts_us").cast("long").alias("ts_us")), "gap-batch")
-        mark = load_state(spark, f"{state}/watermark", WATERMARK, before=batch_id).agg(F.max("until_us")).first()[0]
-        newest = rows.agg(F.max("ts_us")).first()[0]
-        marks = [m for m in (mark, None if newest is None else newest - lateness) if m is not None]
-        until = F.lit(max(marks, default=None)).cast("long")
-        late = F.col("ts_us").isNull() | F.coalesce(F.col("ts_us") < F.lit(mark).cast("long"), F.lit(False))
-        rows.where(late).write.mode("overwrite").parquet(f"{out}/late/batch_id={batch_id}")
-        waiting = load_state(spark, f"{state}/pending", REQUEST, before=batch_id).unionByName(rows.where(~late))
-        passed = F.coalesce(F.col("ts_us") < until, F.lit(False))
-        last = load_state(spark, f"{state}/last", LAST_REQUEST, before=batch_id)
-        save_state(_release(waiting.where(passed), last, out, gap, batch_id), f"{state}/last", batch_id)
-        save_state(waiting.where(~passed), f"{state}/pending", batch_id)
-        # Written last: a batch counts once its other state is there.
-        save_state(spark.range(1).select(until.alias("until_us")), f"{state}/watermark", batch_id)
-
+    gap, slot = _us(gap_seconds), max(_us(slot_seconds), _us(gap_seconds), 1)
+    use_rocksdb(requests.sparkSession)
+    rows = requests.withColumn("ts_us", F.col("ts_us").cast("long"))
+    timed = rows.withColumn("ts", F.timestamp_micros("ts_us")).withWatermark("ts", f"{_us(lateness_seconds)} microseconds")
+    number, inside = F.expr(f"(ts_us - pmod(ts_us, {slot}L)) div {slot}L"), F.expr(f"pmod(ts_us, {slot}L)")
+    own = F.array(F.struct(number.alias("slot"), F.lit(True).alias("own")))
+    following = F.array(F.struct((number + 1).alias("slot"), F.lit(False).alias("own")))
+    places = F.when(inside >= slot - gap, F.concat(own, following)).otherwise(own)
+    # Without the column of the watermark late rows aren't dropped but reach the processor.
+    placed = timed.select("url", "domain", "ts_us", F.explode(places).alias("place")).select("url", "domain", "ts_us", "place.*")
+    found = placed.groupBy("domain", "slot").transformWithState(SlotAudit(gap, slot), FOUND, "append", "eventTime")
     return (
-        requests.writeStream.foreachBatch(audit)
+        found.writeStream.outputMode("append")
+        .partitionBy("kind")
+        .format("parquet")
+        .option("path", f"{out}/found")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def release_pending(spark: SparkSession, out: str, state: str, gap_seconds: float = 1.0) -> None:
-    """Compare the requests that still wait, once their stream has ended for good."""
-    number = max(versions(spark, f"{state}/watermark"), default=-1) + 1
-    pending = load_state(spark, f"{state}/pending", REQUEST)
-    last = load_state(spark, f"{state}/last", LAST_REQUEST)
-    save_state(_release(pending, last, out, _gap(gap_seconds), number), f"{state}/last", number)
-    until = pending.agg((F.max("ts_us") + 1).alias("until_us"))
-    save_state(until, f"{state}/watermark", number)
-    save_state(pending.limit(0), f"{state}/pending", number)
+def release_pending(spark: SparkSession, out: str, checkpoint: str, gap_seconds: float = 1.0) -> None:
+    """Compare the requests that still wait in the state, once their stream has ended for good."""
+    waiting = (
+        spark.read.format("statestore")
+        .option("stateVarName", "waiting")
+        .load(checkpoint)
+        .select(
+            F.col("key.domain").alias("asked"),
+            F.to_json("key").alias("domain"),
+            F.struct(F.col("list_element.url").isNotNull().alias("named"), "list_element.url").alias("place"),
+            "list_element.ts_us",
+            "list_element.own",
+            "list_element.url",
+        )
+    )
+    gaps = request_gaps(waiting, order="place").where(F.col("own") & (F.col("gap_us") < _us(gap_seconds)))
+    gaps.select("url", F.col("asked").alias("domain"), "ts_us", "gap_us").write.mode("overwrite").parquet(f"{out}/released")
+
+
+def _found(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    return spark.read.schema(FOUND).parquet(f"{out}/found").where(F.col("kind") == kind).drop("kind")
 
 
 def violations(spark: SparkSession, out: str) -> DataFrame:
-    """All violations found so far."""
-    return spark.read.parquet(f"{out}/violations")
+    """All violations found so far: url, domain, ts_us, gap_us."""
+    released = spark.read.schema("url string, domain string, ts_us long, gap_us long").option("ignoreMissingFiles", True)
+    found = _found(spark, out, "violation")
+    return found.unionByName(released.parquet(f"{out}/released*"))
 
 
 def late_requests(spark: SparkSession, out: str) -> DataFrame:
-    """Requests that came too late to be compared, with their batch."""
-    return spark.read.parquet(f"{out}/late")
+    """Requests that came too late to be compared: url, domain, ts_us."""
+    return _found(spark, out, "late").drop("gap_us")

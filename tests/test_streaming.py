@@ -83,6 +83,35 @@ def test_first_seen_forgets_after_the_retention(spark, folder):
     assert sorted(r.url for r in spark.read.parquet(f"{folder}/out").collect()) == ["a", "a", "x", "y"]
 
 
+SIGHTS = "url string, ts_us long"
+HOUR = 3600 * pacing.SECOND
+
+
+def test_every_sight_renews_the_retention(spark, folder):
+    # "kept" is seen every ten hours, "left" comes again after thirty, "gone" never does.
+    for batch in ([("kept", 0), ("left", 0), ("gone", 0)], [("kept", 10)], [("kept", 20), ("other", 21)], [("kept", 30), ("left", 30)], [("end", 60)], [("end", 60)]):
+        feed(spark, f"{folder}/in", SIGHTS, [(u, h * HOUR) for u, h in batch])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(first_seen.stream_first_seen(stream(spark, f"{folder}/in", SIGHTS), out, state, 0.5, 60))
+    held = {r.url_hash for r in first_seen.sights_held(spark, state).collect()}
+    first_seen.release_sights(spark, out, state, 0.5)
+    found = sorted((r.url, r.ts_us // HOUR) for r in first_seen.first_sights(spark, out).collect())
+    assert found == [("end", 60), ("gone", 0), ("kept", 0), ("left", 0), ("left", 30), ("other", 21)]
+    assert not held, "all of them ran out before the last batch"
+
+
+def test_late_sights_and_sights_out_of_order(spark, folder):
+    for batch in ([("a", 5), ("b", 5)], [("a", 3), ("c", 40)], [("b", 39), ("a", 1), ("d", None)], [("e", 100)]):
+        feed(spark, f"{folder}/in", SIGHTS, [(u, None if h is None else h * HOUR) for u, h in batch])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(first_seen.stream_first_seen(stream(spark, f"{folder}/in", SIGHTS), out, state, 1.0, 4 * 3600))
+    first_seen.release_sights(spark, out, state, 1.0)
+    found = sorted((r.url, r.ts_us // HOUR) for r in first_seen.first_sights(spark, out).collect())
+    # The sight at three o'clock came after that at five, but counts before it.
+    assert found == [("a", 3), ("b", 5), ("b", 39), ("c", 40), ("e", 100)]
+    assert sorted(r.url for r in first_seen.late_sights(spark, out).collect()) == ["a", "d"]
+
+
 CRAWLS = "ts timestamp, url string, pdf_count long"
 
 
@@ -123,26 +152,39 @@ REQUESTS = "url string, domain string, ts_us long"
 SPREAD = [(str(i), f"d{i % 4}", (i * 7919) % 150 * pacing.SECOND // 3) for i in range(120)]
 
 
-@pytest.mark.parametrize("batches", [1, 2, 5])
-def test_gaps_do_not_depend_on_the_borders_of_batches(spark, folder, batches):
+@pytest.mark.parametrize("batches, slot", [(1, 60), (2, 1), (5, 7)])
+def test_gaps_do_not_depend_on_the_borders_of_batches(spark, folder, batches, slot):
     order = sorted(SPREAD, key=lambda r: r[2] + (40 * pacing.SECOND if int(r[0]) % 4 == 0 else 0))
     size = -(-len(order) // batches)
     for start in range(0, len(order), size):
         feed(spark, f"{folder}/in", REQUESTS, order[start : start + size])
-    out, state = f"{folder}/out", f"{folder}/state"
-    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, f"{folder}/ck", 1.0, 60))
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, 1.0, 60, slot_seconds=slot))
     gaps.release_pending(spark, out, state)
     found = {(r.url, r.gap_us) for r in gaps.violations(spark, out).collect()}
     assert found == {(r.url, r.gap_us) for r in pacing.gap_violations(spark.createDataFrame(SPREAD, REQUESTS), 1.0).collect()}
     assert len(found) > 10 and gaps.late_requests(spark, out).count() == 0
 
 
-def test_late_requests_are_counted(spark, folder):
+def test_late_requests_are_kept_apart(spark, folder):
     second = pacing.SECOND
     feed(spark, f"{folder}/in", REQUESTS, [("1", "a", 0), ("2", "a", 100 * second)])
-    feed(spark, f"{folder}/in", REQUESTS, [("3", "a", 50 * second), ("4", "a", 95 * second), ("5", "a", None)])
-    out, state = f"{folder}/out", f"{folder}/state"
-    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, f"{folder}/ck", 10.0, 20))
-    assert {(r.url, r.batch_id) for r in gaps.late_requests(spark, out).collect()} == {("3", 1), ("5", 1)}
+    feed(spark, f"{folder}/in", REQUESTS, [("3", "a", 50 * second), ("4", "a", 95 * second), ("5", "a", None), ("6", None, 94 * second)])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, 10.0, 20))
+    assert {r.url for r in gaps.late_requests(spark, out).collect()} == {"3", "5"}
     gaps.release_pending(spark, out, state, 10.0)
     assert {(r.url, r.gap_us) for r in gaps.violations(spark, out).collect()} == {("2", 5 * second)}
+
+
+def test_slots_are_cleared_once_the_watermark_has_passed(spark, folder):
+    second = pacing.SECOND
+    for start in (0, 1000, 2000):
+        feed(spark, f"{folder}/in", REQUESTS, [(f"{start}-{i}", "busy", start * second + i * second // 2) for i in range(40)])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, 1.0, 5, slot_seconds=2))
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(state)
+    # Of 120 requests those of the last seconds wait, and their domain has several keys.
+    assert 0 < waiting.where("list_element.own").count() < 20 and waiting.select("key").distinct().count() > 1
+    gaps.release_pending(spark, out, state)
+    assert gaps.violations(spark, out).count() == 3 * 39
