@@ -67,17 +67,17 @@ class LastSight(StatefulProcessor):
             if last is None or ts_us - last > self.retention_us:
                 yield Row(kind="first", url_hash=key[0], url=url, ts_us=ts_us)
             last = ts_us
-        if passed:
-            rest = rows[len(passed) :]
-            if rest:
-                self.waiting.put(rest)
-                self.handle.registerTimer(rest[0][0] // 1000 + 1)
-            else:
-                self.waiting.clear()
+        rest = rows[len(passed) :]
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(rest[0][0] // 1000 + 1)
+        elif passed:
+            self.waiting.clear()
+        if not rest and last is not None and (last + self.retention_us) // 1000 + 1 < mark:
+            self.last.clear()
+        elif passed:
             self.last.update((last,))
             self.handle.registerTimer((last + self.retention_us) // 1000 + 2)
-        elif not rows and last is not None and (last + self.retention_us) // 1000 + 1 < mark:
-            self.last.clear()
 
     def close(self) -> None:
         pass

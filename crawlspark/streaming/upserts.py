@@ -2,8 +2,10 @@
 
 A micro-batch writes only what it changes, as a delta under its batch number;
 writing it again gives the same delta. All columns of the caches merge (first
-discovery, last sight, latest count, sum of crawls), so the state is the
-compacted version plus the later deltas, and no batch rewrites the whole state.
+discovery, last sight, latest count, sum of crawls), so the state is a
+compacted version in buckets plus the later deltas, and no batch rewrites it.
+Compaction reads and writes the buckets that its deltas touch. A delta counts
+once its success mark is there, and goes when no version that is kept needs it.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crawlspark import schemas
 from crawlspark.operators.incremental import url_hash
-from crawlspark.sources.state import load_state, save_state, versions
+from crawlspark.sources import buckets
+from crawlspark.sources.state import completed, remove, versions
 
 
 def document_delta(seen: DataFrame) -> DataFrame:
@@ -76,10 +79,6 @@ _KINDS = {
 }
 
 
-def _delta_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-
-
 def stream_upserts(changes: DataFrame, kind: str, path: str, checkpoint: str) -> StreamingQuery:
     """Start writing deltas of ``kind`` (``documents`` or ``pages``) under ``path``."""
     _, delta, _ = _KINDS[kind]
@@ -95,23 +94,48 @@ def stream_upserts(changes: DataFrame, kind: str, path: str, checkpoint: str) ->
     )
 
 
+def _deltas(spark: SparkSession, kind: str, path: str, first: int, last: int | None = None) -> DataFrame:
+    """Rows of the complete deltas from batch ``first`` on, to ``last`` if given."""
+    numbers = [n for n in completed(spark, f"{path}/delta", "batch_id") if n >= first and (last is None or n <= last)]
+    schema = _KINDS[kind][0]
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/delta/batch_id={n}" for n in numbers])
+
+
+def _folded(spark: SparkSession, path: str) -> int:
+    """Number of the first batch that the compacted state doesn't hold; also the number of its version."""
+    return max(versions(spark, f"{path}/compacted/manifest"), default=0)
+
+
 def streamed_state(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """The state as of the last complete batch."""
     schema, _, merge = _KINDS[kind]
-    done = max(versions(spark, f"{path}/compacted"), default=0)
-    base = load_state(spark, f"{path}/compacted", schema)
-    deltas = spark.read.schema(_delta_schema(schema)).parquet(f"{path}/delta").where(F.col("batch_id") >= done)
-    return merge(base.unionByName(deltas.drop("batch_id")))
+    base = buckets.load_buckets(spark, f"{path}/compacted", schema)
+    return merge(base.unionByName(_deltas(spark, kind, path, _folded(spark, path))))
 
 
-def compact(spark: SparkSession, kind: str, path: str, through_batch: int) -> None:
-    """Fold the deltas up to ``through_batch`` into a new compacted version."""
+def compact(spark: SparkSession, kind: str, path: str, through_batch: int, keep: int = 2) -> None:
+    """Fold the deltas up to ``through_batch`` into the buckets they touch, and remove what the last ``keep`` versions don't need."""
     schema, _, merge = _KINDS[kind]
-    done = max(versions(spark, f"{path}/compacted"), default=0)
-    base = load_state(spark, f"{path}/compacted", schema)
-    deltas = (
-        spark.read.schema(_delta_schema(schema))
-        .parquet(f"{path}/delta")
-        .where((F.col("batch_id") >= done) & (F.col("batch_id") <= through_batch))
+    folded = _folded(spark, path)
+    if through_batch < folded:
+        return
+    deltas = _deltas(spark, kind, path, folded, through_batch)
+    place = f"{path}/compacted"
+    buckets.merge_buckets(
+        spark, place, schema, deltas, lambda base, new: merge(base.unionByName(new)), version=through_batch + 1
     )
-    save_state(merge(base.unionByName(deltas.drop("batch_id"))), f"{path}/compacted", through_batch + 1)
+    prune(spark, path, keep)
+
+
+def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove buckets and deltas that none of the last ``keep`` compacted versions needs."""
+    place = f"{path}/compacted"
+    buckets.prune_buckets(spark, place, keep)
+    # The oldest version that is left needs the deltas from its own number on; alone, it has had a reader before it.
+    kept = versions(spark, f"{place}/manifest")
+    needed = kept[0] if len(kept) >= keep else 0
+    for number in completed(spark, f"{path}/delta", "batch_id"):
+        if number < needed:
+            remove(spark, f"{path}/delta/batch_id={number}")

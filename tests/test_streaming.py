@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from crawlspark import schemas
 from crawlspark.operators import incremental, pacing
+from crawlspark.sources import state as sources_state
 from crawlspark.streaming import counters, first_seen, gaps, upserts
 
 START = datetime(2025, 1, 1, tzinfo=timezone.utc)
@@ -131,6 +132,19 @@ def test_page_upserts_over_batches_and_compaction(spark, folder):
     assert state() == expected
     upserts.compact(spark, "pages", f"{folder}/state", 1)
     assert state() == expected
+    # Of two versions the older one still needs the second delta, but not the first.
+    assert sources_state.children(spark, f"{folder}/state/delta") == ["batch_id=1"]
+    upserts.compact(spark, "pages", f"{folder}/state", 0)
+    upserts.prune(spark, f"{folder}/state", 1)
+    assert state() == expected and sources_state.children(spark, f"{folder}/state/delta") == []
+
+
+def test_a_delta_without_success_mark_does_not_count(spark, folder):
+    feed(spark, f"{folder}/in", CRAWLS, [(START, "a", 1)])
+    feed(spark, f"{folder}/in", CRAWLS, [(START + MINUTE, "a", 2)])
+    finish(upserts.stream_upserts(stream(spark, f"{folder}/in", CRAWLS), "pages", f"{folder}/state", f"{folder}/ck"))
+    sources_state.remove(spark, f"{folder}/state/delta/batch_id=1/_SUCCESS")
+    assert [(r.pdf_count, r.crawl_count) for r in upserts.streamed_state(spark, "pages", f"{folder}/state").collect()] == [(1, 1)]
 
 
 def test_document_deltas_equal_the_batch_upsert(spark, folder):

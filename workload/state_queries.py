@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlspark.functions.names import file_name
 from crawlspark.operators import incremental, layout, validate
 from crawlspark.operators.incremental import url_hash
 from crawlspark.operators.links import page_links
-from crawlspark.schemas import DOC_CACHE
+from crawlspark.schemas import DOC_CACHE, FILE_REGISTRY, PAGE_CACHE
 from crawlspark.session import checkpoint_root
+from crawlspark.sources import buckets
 from crawlspark.sources.sinks import save_documents
 from crawlspark.sources.state import load_state, save_state
 from workload.common import (
@@ -300,6 +302,66 @@ def state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_state(spark, folder, DOC_CACHE).select("url", us_of("discovered_time"), us_of("last_seen"))
 
 
+def cache_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document cache in buckets: saved, and merged with what a run has seen."""
+    folder = _folder(spark, "doc-buckets")
+    _first_version(spark, folder, DOC_CACHE, doc_cache(spark, sf_dir))
+    seen = documents(spark, sf_dir).where(F.col("lang").isin("de", "fr")).select("url", F.col("lang").alias("source_page"))
+    buckets.merge_buckets(spark, folder, DOC_CACHE, seen, lambda rows, new: incremental.upsert_documents(rows, new, NOW))
+    state = buckets.load_buckets(spark, folder, DOC_CACHE)
+    return state.select("url_hash", "url", us_of("discovered_time"), "source_page", us_of("last_seen"))
+
+
+def page_cache_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "page-buckets")
+    _first_version(spark, folder, PAGE_CACHE, page_cache(spark, sf_dir))
+    crawled = events(spark, sf_dir).where(F.col("event_type") == "signup").groupBy("domain").agg(
+        F.count("*").alias("pdf_count")
+    ).select(F.concat(F.lit("https://"), "domain").alias("url"), "pdf_count")
+    buckets.merge_buckets(spark, folder, PAGE_CACHE, crawled, lambda rows, new: incremental.upsert_pages(rows, new, NOW))
+    state = buckets.load_buckets(spark, folder, PAGE_CACHE)
+    return state.select("url_hash", "url", us_of("last_crawled"), "pdf_count", "crawl_count")
+
+
+def registry_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "registry-buckets")
+    _first_version(spark, folder, FILE_REGISTRY, registry(spark, sf_dir))
+    docs = documents(spark, sf_dir).where((F.col("lang") == "de") | (F.col("toxic") == 1))
+    files = docs.select(
+        "url",
+        F.concat(F.lit("new/"), F.col("doc_id").cast("string")).alias("local_path"),
+        F.octet_length("text").cast("long").alias("file_size"),
+        F.sha2("text", 256).alias("file_hash"),
+    )
+    answers = heads(spark, sf_dir)
+    buckets.merge_buckets(
+        spark, folder, FILE_REGISTRY, files, lambda rows, new: incremental.upsert_registry_files(rows, new, answers, NOW)
+    )
+    return buckets.load_buckets(spark, folder, FILE_REGISTRY).select(
+        "url_hash", "url", "local_path", us_of("download_time"), "file_size", "file_hash", "last_modified", "etag", "content_length"
+    )
+
+
+def _first_version(spark: SparkSession, folder: str, schema: T.StructType, rows: DataFrame) -> None:
+    buckets.merge_buckets(spark, folder, schema, rows, lambda _, new: new)
+
+
+def live_state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left on disk after two runs and pruning: rows per bucket, in the run whose files hold it.
+
+    The second run sees the documents that are labelled as toxic.
+    """
+    folder = _folder(spark, "live-buckets")
+    _first_version(spark, folder, DOC_CACHE, doc_cache(spark, sf_dir))
+    seen = documents(spark, sf_dir).where("toxic = 1").select("url", F.col("lang").alias("source_page"))
+    buckets.merge_buckets(spark, folder, DOC_CACHE, seen, lambda rows, new: incremental.upsert_documents(rows, new, NOW))
+    buckets.prune_buckets(spark, folder, keep=1)
+    # Read by its files, not by its manifest.
+    return spark.read.parquet(f"{folder}/data").groupBy(F.col("bucket").cast("string").alias("bucket"), "version").agg(
+        F.count("*").alias("documents")
+    ).select("bucket", F.col("version").cast("long").alias("version"), "documents")
+
+
 def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts stored by department directory and read back."""
     folder = _folder(spark, "documents")
@@ -314,6 +376,10 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "state_versions": state_versions,
+    "cache_upsert_buckets": cache_upsert_buckets,
+    "page_cache_upsert_buckets": page_cache_upsert_buckets,
+    "registry_upsert_buckets": registry_upsert_buckets,
+    "live_state_files": live_state_files,
     "stored_documents": stored_documents,
     "stale_pages_only": stale_pages_only,
     "new_documents_only": new_documents_only,
@@ -423,6 +489,12 @@ n AS (SELECT url FROM d WHERE lang = 'es')
 SELECT coalesce(dc.url, n.url) AS url, CAST(coalesce(found_us, {NOW_US}) AS BIGINT) AS discovered_time_us,
   CAST(CASE WHEN n.url IS NOT NULL THEN {NOW_US} ELSE seen_us END AS BIGINT) AS last_seen_us
 FROM dc FULL JOIN n ON dc.url = n.url""",
+    "live_state_files": f"""
+WITH {_DOC_CACHE},
+t AS (SELECT url, substr(md5(url), 1, 2) AS bucket FROM d WHERE toxic = 1),
+a AS (SELECT url, substr(md5(url), 1, 2) AS bucket FROM dc UNION SELECT url, bucket FROM t)
+SELECT bucket, CAST(CASE WHEN bucket IN (SELECT bucket FROM t) THEN 1 ELSE 0 END AS BIGINT) AS version, CAST(count(*) AS BIGINT) AS documents
+FROM a GROUP BY bucket""",
     "stored_documents": f"""
 WITH {SQL_DOCUMENTS}
 SELECT url, source AS dept_dir, doc_id || '.pdf' AS file_name, 'run/' || source || '/' || doc_id || '.pdf' AS s3_key,
@@ -559,3 +631,7 @@ WITH {_REGISTRY}
 SELECT file_hash, CAST(count(*) AS BIGINT) AS copies, min(url) AS first_url, CAST(sum(file_size) - max(file_size) AS BIGINT) AS wasted_bytes
 FROM reg GROUP BY file_hash HAVING count(*) > 1""",
 }
+
+# The state in buckets has the rows that the state as a whole has.
+for _name in ("cache_upsert", "page_cache_upsert", "registry_upsert"):
+    SQL[f"{_name}_buckets"] = SQL[_name]
