@@ -10,25 +10,25 @@ numbers of its distinct chunks, and deals the chunks themselves by their hash.
 Where they meet those of all other batches, each distinct one is segmented once.
 Their ids go back to the batch in the order in which the chunks came, and are
 put in the places of their numbers. A frequent word goes over once per batch,
-never once per occurrence.
+never once per occurrence. A batch is read twice, for its chunks and for its
+documents, rather than stored in between.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.lineage import cut_lineage
-
 MARKER = "▁"
 CHUNK = re.compile(f"{MARKER}+[^{MARKER}]*")
 #: No byte of UTF-8.
@@ -72,6 +72,9 @@ class Pieces:
         found = self.model.encode([chunk.replace(MARKER, " ") for chunk in chunks], num_threads=1)
         return [ids if chunk else self.lone for ids, chunk in zip(found, chunks, strict=True)]
 
+    def decoded(self, ids: bytes) -> str:
+        return self.model.decode(np.frombuffer(ids, "<u4").tolist())
+
 
 @lru_cache(maxsize=2)
 def _pieces(path: str) -> Pieces:
@@ -95,8 +98,10 @@ def _unpacked(data: bytes, count: int) -> list[np.ndarray]:
     return arrays
 
 
-def _deal(buckets: int):
-    def batch_of(doc_ids: list[int | None], texts: list[str]) -> Iterator[tuple]:
+def _deal(buckets: int, documents: bool):
+    """Rows of the batches of a partition: their documents, or their chunks by bucket."""
+
+    def batch_of(number: int, doc_ids: list[int | None], texts: list[str]) -> Iterator[tuple]:
         split = [Pieces.chunks(text) for text in texts]
         lengths = np.array([len(s) for s in split], dtype=np.int64)
         known: dict[str, int] = {}
@@ -109,8 +114,11 @@ def _deal(buckets: int):
         chunks, numbers = chunks[often], renumbered[numbers]
         hashes = pd.util.hash_array(chunks, categorize=False) if len(chunks) else np.empty(0, np.uint64)
         bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-        name = uuid.uuid4().hex
-        yield name, -1, doc_ids, _packed(lengths, numbers, bucket)
+        content = xxhash.xxh128_hexdigest(repr((doc_ids, texts)).encode("utf-8", "surrogatepass"))
+        name = f"{TaskContext.get().partitionId()}-{number}-{content}"
+        if documents:
+            yield name, -1, doc_ids, _packed(lengths, numbers, bucket)
+            return
         order = np.argsort(bucket, kind="stable")
         borders = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]) if len(order) else []
         for start, stop in zip(borders[:-1], borders[1:], strict=True):
@@ -118,7 +126,7 @@ def _deal(buckets: int):
             yield name, int(bucket[order[start]]), None, zstandard.ZstdCompressor(level=3).compress(own)
 
     def rows(dealt: Iterator[tuple]) -> pa.RecordBatch:
-        names, of_bucket, doc_ids, payloads = zip(*dealt, strict=True)
+        names, of_bucket, doc_ids, payloads = list(zip(*dealt, strict=True)) or [()] * 4
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(names, pa.string()),
@@ -132,18 +140,18 @@ def _deal(buckets: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids: list[int | None] = []
         texts: list[str] = []
-        held = 0
+        held = number = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = text or ""
                 if texts and held + len(text) > BATCH_CHARS:
-                    yield rows(batch_of(doc_ids, texts))
-                    doc_ids, texts, held = [], [], 0
+                    yield rows(batch_of(number, doc_ids, texts))
+                    doc_ids, texts, held, number = [], [], 0, number + 1
                 doc_ids.append(doc_id)
                 texts.append(text)
                 held += len(text)
         if texts:
-            yield rows(batch_of(doc_ids, texts))
+            yield rows(batch_of(number, doc_ids, texts))
 
     return deal
 
@@ -166,7 +174,7 @@ def _segment(path: str):
                 )
                 ids = [table[chunk] for chunk in chunks]
                 sizes = np.array([len(i) for i in ids]) // pieces.dtype.itemsize
-                payloads.append(_packed(sizes, np.frombuffer(b"".join(ids), pieces.dtype)))
+                payloads.append(_answer(sizes, b"".join(ids)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(payloads, pa.binary())], names=batch.schema.names
             )
@@ -174,71 +182,91 @@ def _segment(path: str):
     return segment
 
 
-def _join_back(path: str):
-    def documents(doc_ids: list[int | None], packed: bytes, answers: list[bytes], ends: tuple[int, int]) -> pa.RecordBatch:
+def _answer(sizes: np.ndarray, ids: bytes) -> bytes:
+    """How many ids each chunk has, and the ids one after the other."""
+    head = np.array([len(sizes)], "<u4").tobytes() + sizes.astype("<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + ids)
+
+
+def _answered(data: bytes, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    end = 4 + 4 * int.from_bytes(raw[:4], "little")
+    return np.frombuffer(raw[4:end], "<u4"), np.frombuffer(raw, dtype, offset=end)
+
+
+def _join_back(path: str, decoded: bool):
+    def documents(name: str, doc_ids: list[int | None], packed: bytes, answers: list[bytes]) -> pa.RecordBatch:
+        pieces = _pieces(path)
         lengths, numbers, bucket = _unpacked(packed, 3)
-        parts = [_unpacked(answer, 2) for answer in answers]
-        order = np.argsort(bucket, kind="stable")
-        sizes = np.empty(len(order), dtype=np.int64)
-        starts = np.empty(len(order), dtype=np.int64)
+        parts = [_answered(answer, pieces.dtype) for answer in answers]
         in_order = np.concatenate([p[0] for p in parts] or [np.empty(0, "<u4")]).astype(np.int64)
+        if len(in_order) != len(bucket):
+            raise ValueError(f"batch {name} was another one when it was read again; encode a written table")
+        order = np.argsort(bucket, kind="stable")
+        sizes, starts = np.empty((2, len(order)), dtype=np.int64)
         sizes[order] = in_order
         starts[order] = np.cumsum(in_order) - in_order
-        table = np.concatenate([p[1] for p in parts] or [np.empty(0, "<u4")])
+        table = np.concatenate([p[1] for p in parts] or [np.empty(0, pieces.dtype)]).astype("<u4")
         # Every chunk's ids in its place, one after the other.
         size = sizes[numbers]
         first = np.cumsum(size) - size
         ids = table[np.repeat(starts[numbers] - first, size) + np.arange(int(size.sum()))]
         stops = np.r_[0, np.cumsum(size)][np.cumsum(lengths, dtype=np.int64)]
-        begin, end = (np.array([e], "<u4").tobytes() for e in ends)
-        out, at = [], 0
+        begin, end = (np.array([e], "<u4").tobytes() for e in (pieces.bos, pieces.eos))
+        out, texts, at = [], [], 0
         for stop in stops.tolist():
             out.append(begin + ids[at:stop].tobytes() + end)
+            if decoded:
+                texts.append(pieces.decoded(out[-1]))
             at = stop
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc_ids, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "ids"]
-        )
+        columns = [pa.array(doc_ids, pa.int64()), pa.array(out, pa.binary()), *([pa.array(texts, pa.string())] if decoded else [])]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
     def join_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(path)
-        ends = (pieces.bos, pieces.eos)
+        # The documents of a batch come before the answers to its chunks.
         waiting = None
         for batch in batches:
-            for number, doc_ids, payload in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            for name, number, doc_ids, payload in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if number == -1:
                     if waiting:
-                        yield documents(*waiting, ends)
-                    waiting = (doc_ids, payload, [])
+                        yield documents(*waiting)
+                    waiting = (name, doc_ids, payload, [])
+                elif waiting is None or waiting[0] != name:
+                    raise ValueError(f"batch {name} was another one when it was read again; encode a written table")
                 else:
-                    waiting[2].append(payload)
+                    waiting[3].append(payload)
         if waiting:
-            yield documents(*waiting, ends)
+            yield documents(*waiting)
 
     return join_back
 
 
-def encode(docs: DataFrame, model: str, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: str, buckets: int | None = None, decoded: bool = False) -> DataFrame:
     """Columns doc_id and ids, the model's ids of every text between its begin and end ids.
 
-    ``ids`` holds little-endian unsigned 32-bit integers. ``docs`` has doc_id and
-    text; further columns don't matter. A NULL or empty text has the two ends
-    only; rows with the same id, or without one, each give a row; an empty table
-    gives none. ``model`` is a path that all executors have. A model whose pieces
-    reach over a marker, or that changes texts before it segments them, is refused.
+    ``ids`` holds little-endian unsigned 32-bit integers; with ``decoded`` their
+    text follows as a column of that name. ``docs`` has doc_id and text; further
+    columns don't matter. It is read twice and must give the same rows in the
+    same order, as a table does; otherwise the job fails. A NULL or empty text
+    has the two ends only; rows with the same id, or without one, each give a
+    row; an empty table gives none. ``model`` is a path that all executors have.
+    A model whose pieces reach over a marker, or that changes texts before it
+    segments them, is refused.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # Written, as batches are named as they come.
-    dealt = cut_lineage(rows.mapInArrow(_deal(buckets or tasks), DEALT), "piece-batches")
-    answered = (
-        dealt.where("bucket >= 0").repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_segment(model), DEALT)
+    answers = (
+        rows.mapInArrow(_deal(buckets or tasks, documents=False), DEALT)
+        .repartition(tasks, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_segment(model), DEALT)
     )
     return (
-        dealt.where("bucket < 0")
-        .unionByName(answered)
+        rows.mapInArrow(_deal(buckets or tasks, documents=True), DEALT)
+        .unionByName(answers)
         .repartition(tasks, "batch")
         .sortWithinPartitions("batch", "bucket")
-        .mapInArrow(_join_back(model), "doc_id long, ids binary")
+        .mapInArrow(_join_back(model, decoded), "doc_id long, ids binary" + (", decoded string" if decoded else ""))
     )
 
 
@@ -248,10 +276,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model)
         for batch in batches:
-            texts = [
-                None if ids is None else pieces.model.decode(np.frombuffer(ids, "<u4").tolist())
-                for ids in batch.column(1).to_pylist()
-            ]
+            texts = [None if ids is None else pieces.decoded(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(read, "doc_id long, ids binary, decoded string")

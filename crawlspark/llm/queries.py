@@ -121,7 +121,7 @@ def op13_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's SentencePiece ids and of the text that they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_tokens.decode(piece_tokens.encode(docs, model), model).select(
+    return piece_tokens.encode(docs, model, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -1,10 +1,14 @@
 """Ids and texts of the distinct-chunk table against the library's own."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
+from crawlspark.lineage import cut_lineage
 from crawlspark.llm import piece_tokens
 from llm_helpers import prose
 
@@ -30,7 +34,7 @@ def check(rows, texts, library):
 
 def test_odd_texts(spark, documents, library):
     texts = dict(enumerate(ODD))
-    docs = documents(texts.items()).withColumn("ids", piece_tokens.F.lit(1)).withColumn("batch", piece_tokens.F.lit("x"))
+    docs = documents(texts.items()).withColumn("ids", F.lit(1)).withColumn("batch", F.lit("x"))
     found = piece_tokens.decode(piece_tokens.encode(docs, MODEL), MODEL)
     check(found.orderBy("doc_id").collect(), texts, library)
 
@@ -38,13 +42,28 @@ def test_odd_texts(spark, documents, library):
 def test_many_batches(spark, documents, library, monkeypatch):
     # Texts of many batches share words, and a busy word occurs everywhere.
     texts = {i: "the " * (i % 50) + prose(i % 7, 40) + ODD[i % len(ODD)].__str__() for i in range(300)}
-    docs = documents(texts.items()).repartition(3)
+    docs = cut_lineage(documents(texts.items()).repartition(3), "piece-docs")
+    monkeypatch.setattr(piece_tokens, "BATCH_CHARS", 2000)
     for buckets in (1, 16):
-        monkeypatch.setattr(piece_tokens, "BATCH_CHARS", 2000)
-        found = piece_tokens.decode(piece_tokens.encode(docs, MODEL, buckets), MODEL)
+        found = piece_tokens.encode(docs, MODEL, buckets, decoded=True)
         check(found.orderBy("doc_id").collect(), texts, library)
 
 
+def test_equal_batches(spark, documents, library, monkeypatch):
+    monkeypatch.setattr(piece_tokens, "BATCH_CHARS", 5)
+    texts = dict.fromkeys(range(20), "a b c")
+    docs = documents([(1, "a b c")] * 20)
+    rows = piece_tokens.encode(docs, MODEL, decoded=True).collect()
+    assert len(rows) == 20 and {r.decoded for r in rows} == set(texts.values())
+
+
+def test_another_reading_is_noticed(spark, documents):
+    clock = "concat(text, cast(reflect('java.lang.System', 'nanoTime') as string))"
+    docs = documents([(i, f"word{i} ") for i in range(5)]).withColumn("text", F.expr(clock))
+    with pytest.raises(Exception, match="encode a written table"):
+        piece_tokens.encode(docs, MODEL).collect()
+
+
 def test_repeated_and_missing_ids(spark, documents, library):
     docs = documents([(1, "a b"), (1, "a b"), (1, "c"), (None, "d e"), (None, "d e")])
     rows = piece_tokens.encode(docs, MODEL).collect()
@@ -64,7 +83,8 @@ def test_each_distinct_chunk_is_segmented_once(library, monkeypatch):
     asked = []
     monkeypatch.setattr(piece_tokens, "_pieces", lambda path: pieces)
     monkeypatch.setattr(pieces, "segmented", lambda chunks: asked.extend(chunks) or [[1]] * len(chunks), raising=False)
-    deal = piece_tokens._deal(4)
+    monkeypatch.setattr(piece_tokens.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    deal = piece_tokens._deal(4, documents=False)
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b a c", "b b d"])], names=["doc_id", "text"])
