@@ -32,13 +32,14 @@ def _inputs(form: Column) -> Column:
 
 
 def _last_of_each_name(pairs: Column) -> Column:
-    """Pairs without those whose name comes again later."""
-    return F.filter(
-        pairs,
-        lambda pair, i: ~F.exists(
-            F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda later: later["name"] == pair["name"]
-        ),
-    )
+    """Of pairs with the same name the last one; sorted by name, each is followed by the next of its name, if any."""
+    placed = F.transform(pairs, lambda pair, i: F.struct(pair["name"].alias("name"), i.alias("place"), pair["value"].alias("value")))
+
+    def kept(ordered: Column) -> Column:
+        last = F.filter(ordered, lambda pair, i: ~F.get(ordered, i + 1)["name"].eqNullSafe(pair["name"]))
+        return F.transform(last, lambda pair: F.struct(pair["name"].alias("name"), pair["value"].alias("value")))
+
+    return let(F.array_sort(placed), kept)
 
 
 def search_requests(

@@ -68,3 +68,27 @@ def row_numbers(df: DataFrame, key: str, order: list[str], name: str, chunks: in
         .withColumn(name, F.col(name) + F.coalesce("carry", F.lit(0)))
         .drop("carry", "chunk")
     )
+
+
+def last_known(df: DataFrame, key: str, order: list[str], value: str, chunks: int | None = None) -> DataFrame:
+    """``df`` with ``value`` filled down: where it is NULL, the last one before within ``key`` that is not."""
+    split = ordered_chunks(df, key, order, chunks)
+    inside = Window.partitionBy(key, "chunk").orderBy(*order)
+    passed_on = split.groupBy(key, "chunk").agg(
+        F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("held")))).alias("last")
+    )
+    earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    local = split.withColumn(value, F.last(value, ignorenulls=True).over(inside))
+    filled = with_carry(local, passed_on, key, F.last("last.held", ignorenulls=True).over(earlier))
+    return filled.withColumn(value, F.coalesce(value, "carry")).drop("carry", "chunk")
+
+
+def largest_before(df: DataFrame, key: str, order: list[str], value: str, name: str, chunks: int | None = None) -> DataFrame:
+    """``df`` with ``name``: the largest ``value`` of all rows before within ``key``, NULL for the first."""
+    split = ordered_chunks(df, key, order, chunks)
+    before = Window.partitionBy(key, "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    largest = split.groupBy(key, "chunk").agg(F.max(value).alias("largest"))
+    earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    local = split.withColumn(name, F.max(value).over(before))
+    carried = with_carry(local, largest, key, F.max("largest").over(earlier))
+    return carried.withColumn(name, F.greatest(name, "carry")).drop("carry", "chunk")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.functions.url import authority
-from crawlspark.operators.ordered import ordered_chunks, previous_value, with_carry
+from crawlspark.operators.ordered import largest_before, ordered_chunks, previous_value, with_carry
 
 SECOND = 1_000_000
 
@@ -78,6 +78,22 @@ def gap_audit(log: DataFrame, gap_seconds: float = 1.0, order: str = "url", chun
     )
 
 
+def busy_time(fetches: DataFrame, key: str = "department", chunks: int | None = None) -> DataFrame:
+    """Per ``key`` the time in which at least one of its fetches (start_us, end_us) was under way: busy_us, fetches.
+
+    Overlapping fetches count once. A fetch adds what of it lies after the end
+    of all that started before; rows without a start are left out, and one
+    without an end, or with an end before its start, takes no time. A busy key
+    is spread over range partitions.
+    """
+    timed = fetches.where("start_us is not null").select(
+        key, "start_us", F.greatest("start_us", F.coalesce("end_us", "start_us")).alias("end_us")
+    )
+    reached = largest_before(timed, key, ["start_us", "end_us"], "end_us", "reached_us", chunks)
+    added = F.greatest(F.col("end_us") - F.greatest("start_us", "reached_us"), F.lit(0))
+    return reached.groupBy(key).agg(F.sum(added).cast("long").alias("busy_us"), F.count("*").alias("fetches"))
+
+
 def domains_tracked(urls: DataFrame) -> DataFrame:
     """One row per domain with its number of urls."""
     return urls.groupBy(authority(F.col("url")).alias("domain")).agg(F.count("*").alias("urls"))

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.functions.binding import let
 from crawlspark.functions.fixed import ALWAYS_ALLOWED_HOSTS, DEFAULT_MAX_DEPTH, DEFAULT_MAX_PAGES
 from crawlspark.functions.url import authority, contains_any, percent_decode
 from crawlspark.lineage import cut_lineage
@@ -73,31 +72,30 @@ def walk_order() -> list[Column]:
     return [F.col("depth"), F.col("trail"), F.col("url")]
 
 
-def robots_by_host(rules: DataFrame, agent: str = "*") -> DataFrame:
-    """Per host the rules that bind ``agent``, in line order: host, rules.
+def binding_rules(rules: DataFrame, agent: str = "*") -> DataFrame:
+    """The rules that bind ``agent``, one per host and prefix: host, prefix, line_no, path_prefix, allow.
 
-    Repeated rules collapse first, so a host's list holds each prefix once; what
-    remains is one robots file, whose size the protocol bounds. A section that
-    names the agent wins over the general one.
+    A section that names the agent wins over the general one; of several the
+    first does. Of equal prefixes the first line counts. ``prefix`` is what a
+    path has to begin with, which for ``*`` is nothing.
     """
     token = agent.split("/")[0].lower()
     named = F.col("agent") != "*"
     binding = rules.where(~named | (F.lit(token).contains(F.lower("agent")) & (F.col("agent") != "")))
-    single = binding.groupBy("host", "agent", "path_prefix").agg(
-        F.min(F.struct("line_no", "allow")).alias("rule")
-    )
-    listed = single.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("rule.line_no").alias("line_no"),
-            "agent",
-            percent_decode(F.col("path_prefix")).alias("path_prefix"),
-            F.col("rule.allow").alias("allow"),
-        ))).alias("rules")
+    section = binding.where(named).groupBy("host").agg(F.min(F.struct("line_no", "agent")).alias("section"))
+    own = join_lookup(binding, section, "host").where(F.col("agent") == F.coalesce("section.agent", F.lit("*")))
+    decoded = percent_decode(F.col("path_prefix"))
+    # An empty prefix forbids nothing.
+    read = own.select(
+        "host",
+        F.when(decoded == "*", F.lit("")).otherwise(decoded).alias("prefix"),
+        F.struct("line_no", decoded.alias("path_prefix"), (F.col("allow") | (decoded == "")).alias("allow")).alias("rule"),
     )
-    special = F.filter("rules", lambda r: r["agent"] != "*")
-    general = F.filter("rules", lambda r: r["agent"] == "*")
-    first_named = let(special, lambda found: F.filter(found, lambda r: r["agent"] == F.get(found, F.lit(0))["agent"]))
-    return listed.select("host", F.when(F.size(special) > 0, first_named).otherwise(general).alias("rules"))
+    return read.groupBy("host", "prefix").agg(F.min("rule").alias("rule")).select("host", "prefix", "rule.*")
+
+
+def _of(host: Column, path: Column) -> Column:
+    return F.concat_ws("\n", host, path)
 
 
 def robots_allowed(
@@ -109,25 +107,34 @@ def robots_allowed(
 ) -> DataFrame:
     """``urls`` with ``allowed``: the first rule whose prefix fits decides, without one it is allowed.
 
-    A host's rules join as one row, so urls are not multiplied by rules.
+    A path is cut to the lengths that the host's prefixes have, and each of
+    these beginnings is looked up: as many rows as there are such lengths,
+    however many rules the host has. Each path of a host is asked for once.
     """
     if not respect_robots:
         return urls.withColumn("allowed", F.lit(True))
     always = ALWAYS_ALLOWED_HOSTS if always_allowed is None else always_allowed
-    per_host = robots_by_host(rules, agent)
+    binding = cut_lineage(binding_rules(rules, agent), "robots-rules")
+    # No longer than the longest prefix of the host.
+    lengths = binding.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("lengths"))
     local = F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.\-]*+://[^/?#]*+([^#]*)", 1)
     asked = percent_decode(F.when(local == "", F.lit("/")).otherwise(local))
-    joined = join_lookup(urls.withColumn("host", authority(F.col("url"))), per_host, "host")
-    first = let(
-        asked,
-        lambda path: F.get(
-            F.filter("rules", lambda r: (r["path_prefix"] == "*") | path.startswith(r["path_prefix"])), F.lit(0)
-        ),
+    rows = urls.withColumn("_host", authority(F.col("url"))).withColumn("_path", asked)
+    paths = rows.where(~contains_any(F.col("_host"), always)).select(F.col("_host").alias("host"), F.col("_path").alias("path")).distinct()
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    cut = join_lookup(paths, lengths, "host", "inner").select("host", "path", F.explode(fitting).alias("n"))
+    beginnings = cut.select(
+        _of(F.col("host"), F.col("path")).alias("asked"), _of(F.col("host"), F.substring("path", F.lit(1), F.col("n"))).alias("beginning")
     )
-    # An empty prefix forbids nothing.
-    ruled = let(first, lambda r: r["allow"] | (r["path_prefix"] == ""))
-    allowed = F.when(contains_any(F.col("host"), always), F.lit(True)).otherwise(F.coalesce(ruled, F.lit(True)))
-    return joined.select(*urls.columns, allowed.alias("allowed"))
+    looked_up = binding.select(_of(F.col("host"), F.col("prefix")).alias("beginning"), F.struct("line_no", "path_prefix", "allow").alias("rule"))
+    first = (
+        join_lookup(beginnings, looked_up, "beginning", "inner")
+        .groupBy("asked")
+        .agg(F.min("rule").alias("rule"))
+        .select("asked", F.col("rule.allow").alias("_allow"))
+    )
+    joined = join_lookup(rows.withColumn("asked", _of(F.col("_host"), F.col("_path"))), first, "asked")
+    return joined.select(*[joined[c] for c in urls.columns], F.coalesce("_allow", F.lit(True)).alias("allowed"))
 
 
 def union_discoveries(*strategies: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark import schemas
@@ -17,12 +17,23 @@ from crawlspark.functions.fixed import (
     MARKDOWN_URL,
 )
 from crawlspark.functions.text import strip
+from crawlspark.operators.ordered import last_known, row_numbers
 
 
 def read_markdown_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of Markdown files: file, line_no, line. A file is one record, so its line order is known."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    """Lines of Markdown files: file, line_no, line. A large file is read in splits, by as many tasks.
+
+    A split's rows come in the order of the file and are numbered as they come;
+    with the splits' offsets that orders all lines of a file.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
+    )
+    numbered = row_numbers(lines, "file", ["block", "row"], "line_no")
+    return numbered.select("file", (F.col("line_no") - 1).alias("line_no"), "line")
 
 
 def seeds_from_lines(lines: DataFrame) -> DataFrame:
@@ -42,8 +53,8 @@ def seeds_from_lines(lines: DataFrame) -> DataFrame:
         F.when(name != "", F.struct("line_no", name.alias("name"), key.alias("dept_key"))).alias("header"),
         F.when(name == "", F.regexp_extract_all(text, F.lit(MARKDOWN_URL), F.lit(0))).alias("urls"),
     )
-    down = Window.partitionBy("file").orderBy("line_no")
-    filled = marked.withColumn("header", F.last("header", ignorenulls=True).over(down))
+    # Over range partitions: the lines of one file are spread over many tasks.
+    filled = last_known(marked, "file", ["line_no"], "header")
     found = filled.where(F.col("header").isNotNull()).select(
         "file",
         "line_no",
@@ -61,10 +72,8 @@ def seeds_from_lines(lines: DataFrame) -> DataFrame:
     first = cleaned.groupBy("dept_key", "url").agg(
         F.min(F.struct("file", "line_no", "pos")).alias("place"), F.min_by("name", F.struct("file", "line_no", "pos")).alias("name")
     )
-    order = Window.partitionBy("dept_key").orderBy("place")
-    return first.select(
-        "dept_key", "name", (F.row_number().over(order) - 1).alias("seed_ord"), "url"
-    )
+    numbered = row_numbers(first, "dept_key", ["place"], "seed_ord")
+    return numbered.select("dept_key", "name", (F.col("seed_ord") - 1).cast("int").alias("seed_ord"), "url")
 
 
 def departments_of_seeds(

@@ -117,6 +117,12 @@ def test_search_requests(spark):
     ] + [(1, t, "get", URL, {}) for t in "xyz"]
 
 
+def test_a_form_of_very_many_inputs(spark):
+    many = "".join(f'<input type="hidden" name="n{i % 4000}" value="{i}">' for i in range(5000))
+    found = search_requests(pages(spark, (URL, f'<form><input type="text" name="q">{many}</form>')), ["x"]).first()
+    assert found.params == {f"n{i}": str(i + 4000 if i < 1000 else i) for i in range(4000)} | {"q": "x"}
+
+
 def test_search_results_keep_what_the_rules_keep(spark):
     page = pages(spark, ("http://s.t/find", '<a href="r.pdf">1</a><a href="r.pdf">2</a><a href="x">Guide</a><a href="y">y</a>'))
     assert [r.target_url for r in links.search_result_links(page).collect()] == ["http://s.t/r.pdf", "http://s.t/x"]

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from crawlspark.operators import attempts, pacing
+from crawlspark.operators import attempts, ordered, pacing
 from crawlspark.operators.lookup import join_lookup, on_listed
 from crawlspark.operators.ordered import row_numbers
 
@@ -135,3 +135,25 @@ def test_on_listed_keeps_the_rows_of_the_list(spark):
     listed = spark.createDataFrame([("a",), ("c",), ("x",)], "k string")
     found = on_listed(rows, listed, F.col("url"))
     assert sorted(r.url for r in found.collect()) == ["a", "a", "c"] and found.columns == ["url", "html"]
+
+
+def test_values_carried_over_chunks(spark):
+    rows = [("a" if i % 3 else "b", i, None if i % 5 else i) for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, place long, value long")
+    for chunks in (1, 7):
+        filled = {(r.key, r.place): r.value for r in ordered.last_known(df, "key", ["place"], "value", chunks).collect()}
+        largest = {(r.key, r.place): r.most for r in ordered.largest_before(df, "key", ["place"], "value", "most", chunks).collect()}
+        for key, place, _ in rows:
+            until = [v for k, p, v in rows if k == key and p <= place and v is not None]
+            before = [v for k, p, v in rows if k == key and p < place and v is not None]
+            assert filled[key, place] == (until[-1] if until else None)
+            assert largest[key, place] == max(before, default=None)
+
+
+def test_busy_time_counts_overlaps_once(spark):
+    rows = [("a", 0, 10), ("a", 2, 3), ("a", 5, 12), ("a", 20, 21), ("a", 20, 21), ("a", 30, None), ("a", 40, 35), ("b", 7, 9), ("c", None, 5)]
+    rows += [("busy", i, i + 3) for i in range(0, 400, 2)]
+    df = spark.createDataFrame(rows, "department string, start_us long, end_us long")
+    for chunks in (1, 8):
+        found = {r.department: (r.busy_us, r.fetches) for r in pacing.busy_time(df, chunks=chunks).collect()}
+        assert found == {"a": (13, 7), "b": (2, 1), "busy": (401, 200)}

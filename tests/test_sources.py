@@ -46,6 +46,30 @@ def test_markdown_seeds(spark, folder):
     }
 
 
+def test_a_large_markdown_file_is_read_in_splits(spark, folder):
+    lines = []
+    for number in range(400):
+        lines += [f"## {number}. Part {number % 150} (P):", f"see http://p/{number}/a and", "", f"- http://p/{number % 7}/b."]
+    Path(f"{folder}/large.md").write_text("\n".join(lines), encoding="utf-8")
+    Path(f"{folder}/small.md").write_text("## 1. Part 1 (P):\nhttp://small/", encoding="utf-8")
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    session.conf.set("spark.sql.files.openCostInBytes", "1")
+    read = seeds.read_markdown_lines(session, f"{folder}/large.md")
+    assert session.read.text(f"{folder}/large.md").rdd.getNumPartitions() > 5
+    assert [r.line for r in read.orderBy("line_no").collect()] == lines and read.agg({"line_no": "max"}).first()[0] == len(lines) - 1
+    found = seeds.seeds_from_lines(seeds.read_markdown_lines(session, folder)).collect()
+    expected = {}
+    for number in range(400):
+        # A key that comes again in a file starts over.
+        expected[f"part_{number % 150}"] = [f"http://p/{number}/a", f"http://p/{number % 7}/b"]
+    expected["part_1"].append("http://small/")
+    rows = {}
+    for r in sorted(found, key=lambda r: r.seed_ord):
+        rows.setdefault(r.dept_key, []).append(r.url)
+    assert rows == expected
+
+
 CONFIG = """
 departments:
   a: {name: A dept, seed_urls: [http://a/1, http://a/2], max_depth: 2, max_pages: 7}

@@ -125,6 +125,31 @@ def test_robots_section_of_the_agent_wins(spark):
     assert allowed(spark, "my-bot/1.0", "http://i/x1", "http://i/y") == [False, True]
 
 
+def test_robots_with_very_many_rules_on_a_host(spark):
+    n = 100_000
+    rules = spark.range(n).select(
+        F.lit("big").alias("host"), F.col("id").cast("int").alias("line_no"), F.lit("*").alias("agent"),
+        (F.col("id") % 3 == 0).alias("allow"), F.concat(F.lit("/d/"), F.col("id").cast("string")).alias("path_prefix"),
+    )
+    rows = spark.range(0, n, 500).select(F.concat(F.lit("http://big/d/"), F.col("id").cast("string"), F.lit("/x")).alias("url"))
+    found = walk.robots_allowed(rows, rules)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+
+    def first(number):
+        # The shortest beginning is also the first line.
+        return min(int(str(number)[:k]) for k in range(1, len(str(number)) + 1)) % 3 == 0
+
+    assert {r.url: r.allowed for r in found.collect()} == {f"http://big/d/{i}/x": first(i) for i in range(0, n, 500)}
+
+
+def test_robots_keeps_repeated_urls_and_columns(spark):
+    rules = spark.createDataFrame([("h", 1, "*", False, "*"), ("h", 0, "*", True, "/a"), ("g", 1, "*", False, ""), ("g", 2, "*", False, "/")], schemas.ROBOTS_RULES)
+    rows = spark.createDataFrame([("http://h/a", "1"), ("http://h/a", "2"), ("http://h/b", "3"), ("http://g/b", "4"), (None, "5")], "url string, host string")
+    found = walk.robots_allowed(rows, rules)
+    assert found.columns == ["url", "host", "allowed"]
+    assert sorted((r.host, r.allowed) for r in found.collect()) == [("1", True), ("2", True), ("3", False), ("4", True), ("5", True)]
+
+
 def test_robots_may_be_switched_off(spark):
     rows = spark.createDataFrame([("http://i/x",)], "url string")
     rules = spark.createDataFrame(RULES, schemas.ROBOTS_RULES)
