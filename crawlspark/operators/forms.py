@@ -111,3 +111,13 @@ def search_requests(
         F.col("form.form_url").alias("form_url"),
         params(F.col("form"), F.col("term")).alias("params"),
     )
+
+
+def request_address(form_url: Column, params: Column) -> Column:
+    """Address that a planned request asks for: the form's, with its parameters by name, encoded."""
+    pairs = F.transform(
+        F.array_sort(F.map_entries(params)), lambda pair: F.concat(F.url_encode(pair["key"]), F.lit("="), F.url_encode(pair["value"]))
+    )
+    asked = F.array_join(pairs, "&")
+    between = F.when(form_url.contains("?"), F.lit("&")).otherwise(F.lit("?"))
+    return F.when(asked == "", form_url).otherwise(F.concat(form_url, between, asked))

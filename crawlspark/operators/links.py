@@ -217,12 +217,8 @@ def search_result_links(results: DataFrame, rules: list[LinkRule] | None = None)
     return results.select(F.col("url").alias("page_url"), F.explode(let(page, collect)).alias("target_url"))
 
 
-def hidden_links(pages: DataFrame) -> DataFrame:
-    """Document links a plain anchor scan misses: page_url, kind, target_url, distinct per page.
-
-    Data attributes with ``pdf``, hidden anchors, and anchors whose download
-    or title attribute speaks of a document.
-    """
+def hidden_array() -> Column:
+    """Links that ``hidden_links`` finds on a page (url, html), as an array of (kind, target_url)."""
     data_names = ["data-url", "data-href", "data-download"]
     styled = "(?is)display:none"
 
@@ -276,10 +272,16 @@ def hidden_links(pages: DataFrame) -> DataFrame:
             )
         )
 
-    page = _page(F.col("url"), F.col("html"))
-    return pages.select(F.col("url").alias("page_url"), F.explode(let(page, collect)).alias("link")).select(
-        "page_url", "link.*"
-    )
+    return let(_page(F.col("url"), F.col("html")), collect)
+
+
+def hidden_links(pages: DataFrame) -> DataFrame:
+    """Document links a plain anchor scan misses: page_url, kind, target_url, distinct per page.
+
+    Data attributes with ``pdf``, hidden anchors, and anchors whose download
+    or title attribute speaks of a document.
+    """
+    return pages.select(F.col("url").alias("page_url"), F.explode(hidden_array()).alias("link")).select("page_url", "link.*")
 
 
 def _archive_targets(found: Column, site: Column, words: list[str], year_pattern: str) -> Column:
@@ -318,6 +320,7 @@ def page_facts(pages: DataFrame, rules: list[LinkRule] | None = None) -> DataFra
 
     page_id, url, targets (links a walk may follow: same site, fragments are
     links of their own), documents and archives (both distinct, in page order).
+    A page on which no plain link is a document has its hidden ones as ``documents``.
     """
     rules = document_rules() if rules is None else rules
     site = authority(F.col("url"))
@@ -329,7 +332,15 @@ def page_facts(pages: DataFrame, rules: list[LinkRule] | None = None) -> DataFra
             _archive_targets(links, site, ARCHIVE_WORDS, YEAR_PATTERN).alias("archives"),
         ),
     )
-    return pages.select("page_id", "url", facts.alias("facts")).select("page_id", "url", "facts.*")
+    found = pages.select("page_id", "url", "html", facts.alias("facts")).select("page_id", "url", "html", "facts.*")
+    hidden = F.array_distinct(F.transform(hidden_array(), lambda link: link["target_url"]))
+    return found.select(
+        "page_id",
+        "url",
+        "targets",
+        F.when(F.size("documents") > 0, F.col("documents")).otherwise(hidden).alias("documents"),
+        "archives",
+    )
 
 
 def walk_edges(pages: DataFrame) -> DataFrame:

@@ -23,19 +23,27 @@ from crawlspark.operators.incremental import (
     upsert_pages,
     upsert_registry_files,
 )
+from crawlspark.operators.forms import request_address, search_requests
 from crawlspark.operators.layout import with_layout
-from crawlspark.operators.links import page_facts
+from crawlspark.operators.links import page_facts, search_result_links
 from crawlspark.operators.lookup import on_listed
+from crawlspark.operators.pacing import busy_time
 from crawlspark.operators.reports import department_errors, department_results, overall_results
 from crawlspark.operators.rules import LinkRule
 from crawlspark.operators.validate import content_checks, download_outcome, url_verdicts
 from crawlspark.operators.walk import bounded_walk, page_cap, robots_allowed, union_discoveries
+from crawlspark.sources.sinks import save_listings, save_report
 from crawlspark.sources.sitemaps import sitemap_urls
 
 
 @dataclass
 class CrawlInputs:
-    """Tables of a run; see ``schemas``. ``stored``: local_path, file_size of existing files."""
+    """Tables of a run; see ``schemas``. ``stored``: local_path, file_size of existing files.
+
+    ``search_pages`` (url, html): answers to search requests under the addresses
+    that ``request_address`` gives the planned ones. ``search_documents``
+    (dept_key, target_url): documents that a search has found elsewhere.
+    """
 
     departments: DataFrame
     seeds: DataFrame
@@ -49,6 +57,7 @@ class CrawlInputs:
     registry: DataFrame
     stored: DataFrame
     search_documents: DataFrame | None = None
+    search_pages: DataFrame | None = None
 
 
 @dataclass
@@ -64,6 +73,33 @@ class CrawlOutput:
     registry: DataFrame
 
 
+def _search_documents(inputs: CrawlInputs, seeds: DataFrame, rules: list[LinkRule] | None) -> DataFrame:
+    """Documents on the answers to the search forms of the seeds' own pages: dept_key, target_url."""
+    starts = cut_lineage(seeds.select("url").distinct(), "search-seeds")
+    planned = search_requests(on_listed(inputs.pages, starts, F.col("url")))
+    asked = planned.select(F.col("page_url").alias("url"), request_address(F.col("form_url"), F.col("params")).alias("page_url")).distinct()
+    found = search_result_links(inputs.search_pages, rules)
+    return seeds.select("dept_key", "url").join(asked, "url").join(found, "page_url").select("dept_key", "target_url").distinct()
+
+
+def department_durations(fetch_log: DataFrame, asked: DataFrame) -> DataFrame:
+    """Seconds in which something was being fetched for each department: department, duration.
+
+    ``asked`` has department and url. Fetches at the same time count once.
+    """
+    start = F.unix_micros("ts")
+    timed = fetch_log.select("url", start.alias("start_us"), (start + F.col("duration_us")).alias("end_us"))
+    busy = busy_time(timed.join(asked.distinct(), "url").select("department", "start_us", "end_us"))
+    return busy.select("department", (F.col("busy_us") / F.lit(1e6)).alias("duration"))
+
+
+def save_run(run: CrawlOutput, path: str, finished: datetime, formats: tuple[str, ...] = ("json", "csv")) -> None:
+    """Write the reports and listings of a run below ``path``."""
+    for fmt in formats:
+        save_report(run.departments, run.errors, f"{path}/{fmt}", finished, fmt)
+    save_listings(run.results, f"{path}/listings")
+
+
 def crawl(
     inputs: CrawlInputs,
     now: datetime,
@@ -128,6 +164,8 @@ def crawl(
     visited = stale_pages_only(capped, inputs.page_cache, now, max_age_hours) if incremental else capped
     on_pages = facts.select(F.col("url").alias("page_url"), F.explode("documents").alias("target_url"))
     more = [inputs.search_documents] if inputs.search_documents is not None else []
+    if comprehensive and inputs.search_pages is not None:
+        more.append(_search_documents(inputs, seeds, rules))
     documents = documents_found(visited, on_pages, *more)
 
     names = inputs.departments.select("dept_key", F.col("name").alias("department"))
@@ -167,7 +205,8 @@ def crawl(
         .join(names, "dept_key", "right")
         .select("department", F.coalesce("urls_crawled", F.lit(0)).alias("urls_crawled"))
     )
-    departments = department_results(results, crawled)
+    fetched = discovered.join(names, "dept_key").select("department", "url").unionByName(candidates.select("department", "url"))
+    departments = department_results(results, crawled, department_durations(inputs.fetch_log, fetched))
     stored = results.where("success").select("url", "department")
     known = everything.join(inputs.doc_cache.select("url"), "url", "left_semi").select("url", "department")
     entered = stored if cache_when == "stored" else everything.select("url", "department")

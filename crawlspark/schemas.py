@@ -25,6 +25,8 @@ FETCH_LOG = T.StructType(
         T.StructField("last_modified", T.StringType()),
         T.StructField("content_length", T.LongType()),
         T.StructField("error", T.StringType()),
+        # How long the request took; NULL where it was not measured.
+        T.StructField("duration_us", T.LongType()),
     ]
 )
 

@@ -1,11 +1,13 @@
+import json
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from crawlspark import schemas
 from crawlspark.operators.incremental import url_hash
-from crawlspark.plans.crawl import CrawlInputs, crawl
+from crawlspark.plans.crawl import CrawlInputs, crawl, save_run
 from crawlspark.plans.dry_run import dry_run
 from crawlspark.plans.refresh import refresh
 
@@ -192,3 +194,40 @@ def test_only_the_latest_version_of_a_page_counts(inputs, spark):
     found = dry_run(inputs.seeds, inputs.pages, inputs.fetch_log)
     assert {r.dept_key: (r.seed_urls_total, r.estimated_pdfs) for r in found.analyses.collect()}['c'] == (1, 0)
     assert found.analyses.agg(F.sum('seed_urls_total')).first()[0] == 3
+
+
+def test_durations_count_overlaps_once(inputs):
+    log = inputs.fetch_log.withColumn("duration_us", F.when(F.col("method") == "GET", F.lit(3_000_000)))
+    inputs.fetch_log = log.withColumn("ts", F.when(F.col("url").contains("two"), F.col("ts") + F.expr("INTERVAL 2 SECONDS")).otherwise(F.col("ts")))
+    run = crawl(inputs, NOW)
+    found = {r.department: r.duration for r in run.departments.collect()}
+    # All fetches start at once, but one that starts two seconds later.
+    assert found == {"Dept A": 5.0, "Dept C": 3.0, "Dept E": 0.0}
+    assert run.overall.first().total_duration == 8.0
+
+
+def test_search_forms_and_hidden_links(spark, inputs):
+    form = '<form action="/find"><input type="hidden" name="l" value="a b"><input type="search" name="q"></form>'
+    shown = '<div data-href="/concealed.pdf">x</div>'
+    make = spark.createDataFrame
+    more = make([(50, "http://e.f/", form + shown), (51, "http://a.b/sub/deep/far", shown + '<a href="four.pdf">4</a>')], schemas.PAGES)
+    inputs.pages = inputs.pages.unionByName(more)
+    inputs.search_pages = make(
+        [("http://e.f/find?l=a+b&q=PDF", '<a href="/result.pdf">r</a>'), ("http://e.f/find?q=PDF", '<a href="/not-asked.pdf">r</a>')],
+        "url string, html string",
+    )
+    found = {r.url for r in crawl(inputs, NOW).documents.where("dept_key = 'e'").collect()}
+    assert found == {"http://e.f/result.pdf", "http://e.f/concealed.pdf"}
+    assert "http://a.b/concealed.pdf" not in {r.url for r in crawl(inputs, NOW).documents.collect()}, "only where no plain link is a document"
+    assert {r.url for r in crawl(inputs, NOW, comprehensive=False).documents.where("dept_key = 'e'").collect()} == {"http://e.f/concealed.pdf"}
+
+
+def test_reports_of_a_run(spark, inputs, folder):
+    run = crawl(inputs, NOW)
+    save_run(run, f"{folder}/run", NOW)
+    rows = spark.read.option("header", True).csv(f"{folder}/run/csv/report").collect()
+    assert len(rows) == 3
+    lines = [r.value for name in sorted(Path(f"{folder}/run/json/report").glob("part-*")) for r in spark.read.text(str(name)).collect()]
+    assert len(json.loads("".join(lines))["departments"]) == 3
+    listed = spark.read.parquet(f"{folder}/run/listings")
+    assert {(r.department, r.url): r.success for r in listed.collect()} == {k: v[0] for k, v in outcome(run).items()}

@@ -153,7 +153,7 @@ def test_pages_and_log_from_parquet(spark, folder):
     assert tables.read_pages(spark, f"{folder}/pages").first().html == "h"
     assert tables.stream_pages(spark, f"{folder}/pages").isStreaming
     moment = datetime(2025, 1, 1, tzinfo=timezone.utc)
-    spark.createDataFrame([("u", "GET", moment, 1, 200, None, None, None, None, None, None)], schemas.FETCH_LOG).write.parquet(f"{folder}/log")
+    spark.createDataFrame([("u", "GET", moment, 1, 200, None, None, None, None, None, None, 5)], schemas.FETCH_LOG).write.parquet(f"{folder}/log")
     assert tables.read_fetch_log(spark, f"{folder}/log").first().status == 200
 
 
