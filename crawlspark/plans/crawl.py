@@ -25,7 +25,7 @@ from crawlspark.operators.incremental import (
 )
 from crawlspark.operators.forms import request_address, search_requests
 from crawlspark.operators.layout import with_layout
-from crawlspark.operators.links import page_facts, search_result_links
+from crawlspark.operators.links import hidden_links, page_facts, search_result_links
 from crawlspark.operators.lookup import on_listed
 from crawlspark.operators.pacing import busy_time
 from crawlspark.operators.reports import department_errors, department_results, overall_results
@@ -163,6 +163,11 @@ def crawl(
     capped = page_cap(discovered.join(limits.select("dept_key", F.col("dept_pages").alias("max_pages")), "dept_key"), max_pages)
     visited = stale_pages_only(capped, inputs.page_cache, now, max_age_hours) if incremental else capped
     on_pages = facts.select(F.col("url").alias("page_url"), F.explode("documents").alias("target_url"))
+    if comprehensive:
+        # Only a page on which no plain link is a document is looked through once more.
+        bare = cut_lineage(facts.where(F.size("documents") == 0).select("page_id"), "bare-pages")
+        concealed = hidden_links(on_listed(on_sites, bare, F.col("page_id"))).select("page_url", "target_url").distinct()
+        on_pages = on_pages.unionByName(concealed)
     more = [inputs.search_documents] if inputs.search_documents is not None else []
     if comprehensive and inputs.search_pages is not None:
         more.append(_search_documents(inputs, seeds, rules))

@@ -219,7 +219,7 @@ def test_search_forms_and_hidden_links(spark, inputs):
     found = {r.url for r in crawl(inputs, NOW).documents.where("dept_key = 'e'").collect()}
     assert found == {"http://e.f/result.pdf", "http://e.f/concealed.pdf"}
     assert "http://a.b/concealed.pdf" not in {r.url for r in crawl(inputs, NOW).documents.collect()}, "only where no plain link is a document"
-    assert {r.url for r in crawl(inputs, NOW, comprehensive=False).documents.where("dept_key = 'e'").collect()} == {"http://e.f/concealed.pdf"}
+    assert crawl(inputs, NOW, comprehensive=False).documents.where("dept_key = 'e'").count() == 0
 
 
 def test_reports_of_a_run(spark, inputs, folder):
