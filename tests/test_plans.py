@@ -230,4 +230,4 @@ def test_reports_of_a_run(spark, inputs, folder):
     lines = [r.value for name in sorted(Path(f"{folder}/run/json/report").glob("part-*")) for r in spark.read.text(str(name)).collect()]
     assert len(json.loads("".join(lines))["departments"]) == 3
     listed = spark.read.parquet(f"{folder}/run/listings")
-    assert {(r.department, r.url): r.success for r in listed.collect()} == {k: v[0] for k, v in outcome(run).items()}
+    assert {(r.department, r.url): str(r.success).lower() == "true" for r in listed.collect()} == {k: v[0] for k, v in outcome(run).items()}
