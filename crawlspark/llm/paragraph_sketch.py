@@ -102,7 +102,7 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
             def emptied(cells: Column, other: Column) -> Column:
                 return F.transform(
                     cells,
-                    lambda c, i: F.aggregate(F.filter(found, lambda p: _place(other, p["key"], width) == i), c, without),
+                    lambda c, i: F.aggregate(F.filter(found, lambda p: F.get(p["places"], other) == i), c, without),
                 )
 
             new = F.struct(
@@ -111,7 +111,17 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
             )
             return F.when(F.size(found) == 0, state).otherwise(new)
 
-        return let(F.filter(F.get(state["tables"], table), lambda c, i: pure(c, i, table)), taken_out)
+        # The places of a found digest are computed once, not for every cell that looks for it.
+        placed = F.transform(
+            F.filter(F.get(state["tables"], table), lambda c, i: pure(c, i, table)),
+            lambda c: F.struct(
+                c["n"].alias("n"),
+                c["key"].alias("key"),
+                c["check"].alias("check"),
+                F.array(*[_place(F.lit(t), c["key"], width) for t in range(TABLES)]).alias("places"),
+            ),
+        )
+        return let(placed, taken_out)
 
     start = F.struct(tables.alias("tables"), F.array().cast("array<bigint>").alias("found"))
     end = listed.select(*by, "part", F.aggregate(F.sequence(F.lit(0), F.lit(turns - 1)), start, turn).alias("end"))

@@ -53,7 +53,9 @@ class WordEncoder:
     be cut before these spaces and its pieces be encoded one by one, and most
     pieces have been met before. The new ones of many texts are encoded as one
     text, and told apart by the tokens that begin with a space. Words that were
-    used since the memory last filled up are kept when it does so again.
+    used since the memory last filled up are kept when it does so again. A text
+    that holds a special token as such goes to the library in pieces, without
+    the memory.
     """
 
     MOST_WORDS = 300_000
@@ -66,7 +68,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.after_space = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, number in self.tokenizer.get_vocab().items():
@@ -75,7 +77,8 @@ class WordEncoder:
         self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        pieces = self.tokenizer.encode_batch_fast(self.BOUNDARY.split(text), add_special_tokens=False)
+        whole = any(" " in token and token in text for token in self.special)
+        pieces = self.tokenizer.encode_batch_fast([text] if whole else self.BOUNDARY.split(text), add_special_tokens=False)
         return b"".join(np.array(e.ids, self.dtype).tobytes() for e in pieces)
 
     def _learn(self, missing: set[str]) -> None:
@@ -96,14 +99,19 @@ class WordEncoder:
         out = []
         for start in range(0, len(texts), self.TOGETHER):
             group = texts[start : start + self.TOGETHER]
-            split = [text.split(" ") for text in group]
+            plain = [not any(token in text for token in self.special) for text in group]
+            split = [text.split(" ") if is_plain else [] for text, is_plain in zip(group, plain, strict=True)]
             if len(self.words) > self.MOST_WORDS:
                 self.words, self.older = {}, self.words
             missing = set().union(*(words[1:] for words in split)).difference(self.words)
             if missing:
                 self._learn(missing)
             known = self.words.get
-            for text, (first, *rest) in zip(group, split, strict=True):
+            for text, words in zip(group, split, strict=True):
+                if not words:
+                    out.append(self._whole(text))
+                    continue
+                first, *rest = words
                 try:
                     # Joining stops at a word that isn't known.
                     spaced = b"".join(map(known, rest))

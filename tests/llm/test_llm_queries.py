@@ -69,7 +69,6 @@ def test_packing(spark, docs):
 
 def test_token_files(spark, docs):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected, start = [], 0
     for doc_id in sorted(docs):
         ids = [*tokenizer.encode(docs[doc_id].text or "", add_special_tokens=False).ids, 0]

@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 ODD = [
@@ -31,6 +29,9 @@ ODD = [
     "é ü ñ 中文 字 　x y z",
     "a\tb \t c\x1cd e\x85f",
     "<|endoftext|> x<|endoftext|>",
+    "a <|endoftext|> b",
+    "<|endoftext|>",
+    " <|endoftext|><|endoftext|>  b <|endoftext |> <|endof",
     "1234 56,78 %%% ### a&&&",
     "🙂 🙂🙂 👩‍👩‍👧 é ",
     "x" * 5000,
