@@ -2,8 +2,8 @@
 
 Each language has a Bloom filter over its frequent character 4-grams. The
 filters are bit-sliced: row ``i`` of the table holds bit ``i`` of all filters as
-one mask, so the AND of the probed rows names every language that contains an
-n-gram. Per document and language the hits are counted, corrected for the
+a mask of as many 64-bit words as the languages need, so the AND of the probed
+rows names every language that contains an n-gram. Per document and language the hits are counted, corrected for the
 filter's false positives, and the highest corrected share decides.
 """
 
@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
@@ -24,8 +24,8 @@ from crawlspark.llm.common import chunks_of, uniform
 
 UNDETERMINED = "und"
 GRAM = 4
-#: One mask per row has this many bits at the most.
-MOST_LANGUAGES = 64
+#: Languages of one word of a mask.
+WORD = 64
 #: Code points handled at once; a longer text goes in pieces of this length.
 BLOCK = 1 << 20
 
@@ -39,13 +39,13 @@ class LanguageFilters:
     """The fitted table: its size depends on the parameters of ``fit`` alone."""
 
     languages: list[str]
-    rows: np.ndarray  # one mask of languages per bit position
+    rows: np.ndarray  # by word, one mask of languages per bit position
     probes: int
 
     def false_positive_rates(self) -> np.ndarray:
-        bits = np.arange(len(self.languages), dtype=np.uint64)
-        filled = np.array([np.count_nonzero((self.rows >> b) & np.uint64(1)) for b in bits], dtype=float)
-        return (filled / max(1, len(self.rows))) ** self.probes
+        places = [(self.rows[i // WORD], np.uint64(i % WORD)) for i in range(len(self.languages))]
+        filled = np.array([np.count_nonzero((word >> bit) & np.uint64(1)) for word, bit in places], dtype=float)
+        return (filled / max(1, self.rows.shape[1])) ** self.probes
 
 
 @lru_cache(maxsize=1)
@@ -119,15 +119,15 @@ def fit(
     text (all of a language that has fewer). An n-gram enters a filter if it is
     in a share ``min_share`` of them and in two at least; the
     ``grams_per_language`` most frequent ones do. Rows with a NULL text or
-    language teach nothing. Of more than 64 languages the most frequent are
-    learned. Without any labelled row there are no languages.
+    language teach nothing. All languages are learned; without any labelled row
+    there are none.
     """
     spark = docs.sparkSession
     labelled = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = [r["lang"] for r in sizes]
     if not languages:
-        return LanguageFilters([], np.zeros(bits, np.uint64), probes)
+        return LanguageFilters([], np.zeros((1, bits), np.uint64), probes)
     number = F.create_map(*[F.lit(x) for i, name in enumerate(languages) for x in (name, i)])
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, train_docs / r["count"]))])
     # The share is looked up before the hash: most rows end there without their text being read twice.
@@ -154,24 +154,26 @@ def fit(
 
     counted = sample.mapInPandas(count, "number int, gram long, n long, docs long")
     totals = counted.groupBy("number", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    rows = np.zeros(bits, dtype=np.uint64)
+    rows = np.zeros((-(-len(languages) // WORD), bits), dtype=np.uint64)
     totals = cut_lineage(totals, "language-grams")
     trained = {r["number"]: r["docs"] for r in totals.where("gram = 0").select("number", "docs").collect()}
-    for i in range(len(languages)):
-        least = max(2.0, min_share * trained.get(i, 0))
-        if trained.get(i, 0) == 1:
-            least = 1
+    least = [1.0 if trained.get(i, 0) == 1 else max(2.0, min_share * trained.get(i, 0)) for i in range(len(languages))]
+    frequent = Window.partitionBy("number").orderBy(F.desc("n"), "gram")
+    for word in range(len(rows)):
+        # The driver holds the n-grams of one word's languages at a time.
+        own = range(word * WORD, min((word + 1) * WORD, len(languages)))
+        needed = F.create_map(*[F.lit(x) for i in own for x in (i, least[i])])
         kept = (
-            totals.where((F.col("number") == i) & (F.col("gram") != 0) & (F.col("n") >= least))
-            .orderBy(F.desc("n"), "gram")
-            .limit(grams_per_language)
-            .select("gram")
-            .toPandas()["gram"]
-            .to_numpy(np.int64)
-            .view(np.uint64)
+            totals.where(F.col("number").between(own.start, own.stop - 1) & (F.col("gram") != 0))
+            .where(F.col("n") >= needed[F.col("number")])
+            .withColumn("place", F.row_number().over(frequent))
+            .where(F.col("place") <= grams_per_language)
+            .select("number", "gram")
+            .toPandas()
         )
-        for probe in range(probes):
-            rows[_positions(kept, probe, bits)] |= np.uint64(1 << i)
+        for i, grams in kept.groupby("number")["gram"]:
+            for probe in range(probes):
+                rows[word, _positions(grams.to_numpy(np.int64).view(np.uint64), probe, bits)] |= np.uint64(1 << int(i) % WORD)
     return LanguageFilters(languages, rows, probes)
 
 
@@ -180,21 +182,23 @@ def _shares(model: LanguageFilters, texts: list[str]) -> tuple[np.ndarray, np.nd
     hits = np.zeros((len(texts), len(model.languages)))
     total = np.zeros(len(texts), dtype=np.int64)
     narrow = model.rows.astype(np.uint8) if len(model.languages) <= 8 else model.rows
-    size = len(model.rows)
+    size = model.rows.shape[1]
     for indices, pieces in _pieces(texts):
         grams, owners = _grams(pieces)
         if not len(grams):
             continue
-        found = narrow[_positions(grams, 0, size)]
-        for probe in range(1, model.probes):
-            found &= narrow[_positions(grams, probe, size)]
         starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
         documents = np.asarray(indices)[owners[starts]]
         lengths = np.diff(np.r_[starts, len(owners)])
         np.add.at(total, documents, lengths)
-        for i in range(len(model.languages)):
-            bit = (found >> narrow.dtype.type(i)) & narrow.dtype.type(1)
-            np.add.at(hits[:, i], documents, np.add.reduceat(bit, starts, dtype=np.int64))
+        positions = [_positions(grams, probe, size) for probe in range(model.probes)]
+        for word, masks in enumerate(narrow):
+            found = masks[positions[0]]
+            for probed in positions[1:]:
+                found &= masks[probed]
+            for i in range(word * WORD, min((word + 1) * WORD, len(model.languages))):
+                bit = (found >> narrow.dtype.type(i % WORD)) & narrow.dtype.type(1)
+                np.add.at(hits[:, i], documents, np.add.reduceat(bit, starts, dtype=np.int64))
     rates = model.false_positive_rates()
     n = total[:, None]
     corrected = np.maximum(0.0, (hits - rates * n) / np.maximum(1e-9, 1 - rates))
@@ -221,8 +225,10 @@ def predict(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Data
             shares, total = _shares(fitted, texts)
             best = shares.argmax(axis=1)
             names = np.array(fitted.languages, dtype=object)[best]
-            names[total == 0] = UNDETERMINED
-            score = np.where(total == 0, 0.0, shares[np.arange(len(texts)), best])
+            # Marks take part in n-grams, but only a letter makes a language.
+            unknown = (total == 0) | ~np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool)
+            names[unknown] = UNDETERMINED
+            score = np.where(unknown, 0.0, shares[np.arange(len(texts)), best])
             yield pd.DataFrame({"lang_pred": names, "score": score})
 
     decided = F.pandas_udf(decide, "lang_pred string, score double")

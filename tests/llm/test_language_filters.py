@@ -33,9 +33,10 @@ def test_masks_name_every_language_of_a_gram_and_no_gram_is_lost(documents):
     for lang in WORDS:
         bit = np.uint64(1 << model.languages.index(lang))
         grams, _ = lf._grams([text_of(lang, 3)])
-        found = model.rows[lf._positions(grams, 0, len(model.rows))]
+        masks = model.rows[0]
+        found = masks[lf._positions(grams, 0, len(masks))]
         for probe in range(1, model.probes):
-            found = found & model.rows[lf._positions(grams, probe, len(model.rows))]
+            found = found & masks[lf._positions(grams, probe, len(masks))]
         # A Bloom filter has no false negatives: all but the rarest grams are there.
         assert (found & bit != 0).mean() > 0.95
 
@@ -67,8 +68,8 @@ def test_odd_rows(documents):
 
 def test_scores_do_not_depend_on_the_neighbours():
     texts = [text_of("aa", 1), "", "x", text_of("bb", 2), text_of("cc", 3, 3)]
-    rows = np.zeros(1 << 10, np.uint64)
-    rows[::3] = 3
+    rows = np.zeros((1, 1 << 10), np.uint64)
+    rows[0, ::3] = 3
     model = lf.LanguageFilters(["aa", "bb"], rows, 2)
     together, _ = lf._shares(model, texts)
     for text, expected in zip(texts, together, strict=True):
@@ -78,11 +79,49 @@ def test_scores_do_not_depend_on_the_neighbours():
 def test_a_text_of_many_blocks_counts_whole(monkeypatch):
     monkeypatch.setattr(lf, "BLOCK", 50)
     text = text_of("aa", 9, 100)
-    _, total = lf._shares(lf.LanguageFilters(["aa"], np.zeros(1 << 8, np.uint64), 1), [text])
+    _, total = lf._shares(lf.LanguageFilters(["aa"], np.zeros((1, 1 << 8), np.uint64), 1), [text])
     # Each piece stands between spaces of its own.
     assert total[0] >= len(text) - len(text) // 50
 
 
+def test_more_languages_than_a_word_has_bits(documents):
+    names = [f"l{i:02}" for i in range(70)]
+
+    def text(name, seed):
+        draw = random.Random(f"{name}{seed}")
+        own = random.Random(name)
+        words = ["".join(own.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(8)]
+        return " ".join(draw.choice(words) for _ in range(30))
+
+    docs = documents([(i * 3 + k, text(name, k), name, "s") for i, name in enumerate(names) for k in range(3)])
+    model = lf.fit(docs, bits=1 << 16)
+    assert sorted(model.languages) == names and model.rows.shape == (2, 1 << 16)
+    found = lf.predict(documents([(i, text(name, 99), name, "s") for i, name in enumerate(names)]), model).collect()
+    assert [(r.lang_pred, r.score > 0.4) for r in found] == [(r.lang, True) for r in found]
+
+
+def test_against_counting_in_sets(documents):
+    docs = training(documents)
+    model = lf.fit(docs, bits=1 << 20)
+    seen = {}
+    for r in docs.collect():
+        for gram in set(lf._grams([r.text])[0].tolist()):
+            seen.setdefault(r.lang, {}).setdefault(gram, set()).add(r.doc_id)
+    learned = {lang: {g for g, ids in grams.items() if len(ids) >= 2} for lang, grams in seen.items()}
+    texts = {i: " ".join([text_of("aa", i, i), text_of("bb", i, 9 - i), text_of("cc", i, 4)]) for i in range(1, 9)}
+    for r in lf.predict(documents(texts.items()), model).collect():
+        grams = lf._grams([texts[r.doc_id]])[0].tolist()
+        shares = {lang: sum(g in own for g in grams) / len(grams) for lang, own in learned.items()}
+        best = max(shares.values())
+        assert abs(shares[r.lang_pred] - best) < 1e-3 and abs(r.score - best) < 1e-3
+
+
+def test_marks_alone_are_no_language(documents):
+    model = lf.fit(training(documents), bits=1 << 14)
+    found = {r.doc_id: r.lang_pred for r in lf.predict(documents([(1, "\u0301\u0302 \u0303"), (2, "e\u0301")]), model).collect()}
+    assert found[1] == "und" and found[2] in WORDS
+
+
 def test_nothing_to_learn_from(documents):
     empty = documents([])
     model = lf.fit(empty)
