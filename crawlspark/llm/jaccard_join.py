@@ -21,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
@@ -88,7 +88,9 @@ def runs_for(threshold: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / -1.0))
 
 
-def _described(docs: DataFrame, words: int, threshold: float, runs: int, deep_runs: int) -> DataFrame:
+def _described(
+    docs: DataFrame, words: int, threshold: float, runs: int, deep_runs: int, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Per document the digest of its set, and what the buckets need of it."""
     factors = constants(SKETCH, 41)
     seeds = constants(runs + deep_runs, 53)
@@ -118,19 +120,25 @@ def _described(docs: DataFrame, words: int, threshold: float, runs: int, deep_ru
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *[batch.column(name) for name in names],
                     pa.array(digests, pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sketches, pa.binary()),
                     pa.array(roots, longs),
                     pa.array(deeps, longs),
                 ],
-                names=["doc_id", "digest", "n", "sketch", "root", "deep"],
+                names=[*names, "digest", "n", "sketch", "root", "deep"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, digest long, n int, sketch binary, root array<long>, deep array<long>"
-    return docs.select("doc_id", "text").mapInArrow(describe, schema)
+    names = ["doc_id", "text_key", *carried]
+    rows = docs.select("doc_id", _text_key().alias("text_key"), *carried, "text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(describe, f"{kinds}, digest long, n int, sketch binary, root array<long>, deep array<long>")
+
+
+def _text_key() -> Column:
+    """What a row without an id is found by."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
 
 
 def _whole_groups(frames: Iterator[pd.DataFrame], key: list[str], rows: int = 16_384) -> Iterator[pd.DataFrame]:
@@ -368,9 +376,13 @@ def similar_documents(
     bucket_rows: int = 1024,
     block_tokens: int = 1 << 20,
     pivots: int = 3,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row (doc_id, class_id, n_links) for every row of ``docs`` (doc_id, text).
 
+    With ``carried``, columns of ``docs``, each row has these as well, and
+    ``class_key``: equal for the rows of a class, NULL for a text without a word.
+
     ``n_links`` is the number of other rows whose shingle sets have a Jaccard
     similarity of ``threshold`` or more, copies included; ``class_id`` is the
     smallest doc_id that can be reached over such links, its own included. Every
@@ -387,12 +399,13 @@ def similar_documents(
     # A link is lost by the runs, by the split of large buckets or by its sketches: each has a third of what may be.
     share = 1 - (1 - recall) / 3
     runs, least = runs_for(threshold, share), equal_bytes_of(threshold, share)
-    described = cut_lineage(_described(docs, words, threshold, runs, deep_runs=runs), "shingle-sets")
+    described = cut_lineage(_described(docs, words, threshold, runs, runs, carried), "shingle-sets")
     nodes = (
         described.where("digest is not null")
         .groupBy("digest")
         .agg(
             F.min("doc_id").alias("least_id"),
+            F.min("text_key").alias("text_key"),
             F.count("*").alias("copies"),
             F.first("n").alias("n"),
             F.first("sketch").alias("sketch"),
@@ -453,12 +466,17 @@ def similar_documents(
         "digest",
     )
     texts = docs.select("doc_id", "text").where("text is not null")
-    candidates = texts.join(chosen, "doc_id").withColumn("own", F.lit(1))
+    candidates = texts.join(chosen, "doc_id").select(*chosen.drop("doc_id").columns, "text")
+    # Sets that only rows without an id hold are found by their text; their copies collapse first.
+    unnamed = texts.where("doc_id is null").select("text", _text_key().alias("text_key")).dropDuplicates(["text_key"])
+    of_unnamed = nodes.where("least_id is null").select(F.expr("digest ^ 0L").alias("digest"), "text_key")
+    keyed = placed.join(of_unnamed, "digest").join(unnamed, "text_key").select(*candidates.columns)
+    candidates = candidates.unionByName(keyed).withColumn("own", F.lit(1))
     verified = cut_lineage(_verified(candidates, threshold, words), "verified")
-    return _classes(described, nodes, verified)
+    return _classes(described, nodes, verified, carried)
 
 
-def _classes(described: DataFrame, nodes: DataFrame, verified: DataFrame) -> DataFrame:
+def _classes(described: DataFrame, nodes: DataFrame, verified: DataFrame, carried: tuple[str, ...]) -> DataFrame:
     counts = verified.groupBy("digest").agg(F.sum("links").alias("links"))
     roots = connected(verified, "digest", "linked")
     linked = nodes.select("digest", "least_id", "copies").join(counts, "digest", "left").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
@@ -470,8 +488,11 @@ def _classes(described: DataFrame, nodes: DataFrame, verified: DataFrame) -> Dat
     )
     least = linked.groupBy("root").agg(F.min("least_id").alias("class_id"))
     answers = linked.join(least.withColumn("root", F.expr("root ^ 0L")), "root").select(
-        F.expr("digest ^ 0L").alias("digest"), "class_id", "n_links"
+        F.expr("digest ^ 0L").alias("digest"), F.col("root").alias("class_key"), "class_id", "n_links"
     )
-    return described.select("doc_id", "digest").join(answers, "digest", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    return described.select("doc_id", *carried, "digest").join(answers, "digest", "left").select(
+        "doc_id",
+        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        *([*carried, "class_key"] if carried else []),
     )

@@ -50,6 +50,16 @@ def test_clean_documents_stay_and_toxic_ones_go(spark, stages):
     assert kept.get(0, 0) >= 0.97 * given[0] and kept.get(1, 0) <= 0.5 * given[1]
 
 
+def test_missing_and_repeated_ids_hide_no_copy(spark, documents):
+    text, other = prose(21, 60), prose(22, 60)
+    near = text.rsplit(" ", 1)[0] + " zz"
+    rows = [(1, text), (None, text), (None, near), (1, other), (7, other), (None, prose(23, 60)), (None, prose(23, 60)), (5, ""), (5, ""), (6, "")]
+    kept = cp.drop_similar(spark, documents(rows), SMALL).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(
+        [(1, text), (1, other), (None, prose(23, 60)), (5, ""), (6, "")], key=repr
+    )
+
+
 def test_one_document_of_each_class_stays(stages):
     _, before, after = stages[2]
 

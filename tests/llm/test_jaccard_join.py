@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from llm_helpers import prose
 
 from crawlspark.llm import jaccard_join as jj
@@ -75,6 +76,44 @@ def test_repeated_ids_long_texts_and_columns_of_the_same_name(documents):
     assert jj.similar_documents(documents([])).count() == 0
 
 
+def test_rows_without_an_id_have_their_links(documents):
+    text = prose(11, 60)
+    rows = [(1, text), (None, text), (None, changed(text, 1, 1)), (None, prose(12, 60)), (None, prose(12, 60)), (None, changed(prose(12, 60), 2, 1))]
+    expected = brute_force(rows)
+    assert {n for _, _, n in expected} == {2}
+    assert sorted(map(tuple, jj.similar_documents(documents(rows)).collect()), key=str) == expected
+
+
+def test_carried_columns_and_class_keys(documents):
+    rows = [(1, prose(11, 60)), (None, prose(11, 60)), (2, prose(13, 60)), (3, "")]
+    docs = documents(rows).withColumn("mark", F.concat(F.col("doc_id").cast("string"), F.lit("!")))
+    found = jj.similar_documents(docs, carried=("mark",)).collect()
+    keys = {(r.doc_id, r.mark): r.class_key for r in found}
+    assert keys[1, "1!"] == keys[None, None] != keys[2, "2!"] and keys[3, "3!"] is None
+
+
+@pytest.mark.parametrize("bucket_rows", [1024, 64])
+def test_planted_pairs_at_the_threshold_are_found(documents, bucket_rows):
+    """End to end: isolated pairs of a similarity of 0.80 to 0.82, a third of them around a shared passage."""
+    passage, rows, pairs = prose(1, 12), [], 0
+    for i in range(700):
+        # One word of n - 4 shingles is replaced: 5 of them differ on either side.
+        n = 49 + i % 6
+        words = prose(5000 + i, n).split()
+        if i % 3 == 0:
+            words[:12] = passage.split()
+        other = words.copy()
+        other[n - 10 - i % 8] = f"z{i}"
+        a, b = (shingles(" ".join(w)) for w in (words, other))
+        if 0.80 <= len(a & b) / len(a | b) <= 0.83:
+            rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+            pairs += 1
+    found = {r.doc_id: r.class_id for r in jj.similar_documents(documents(rows), bucket_rows=bucket_rows).collect()}
+    assert pairs > 300
+    caught = sum(found[a] == found[b] for (a, _), (b, _) in zip(rows[::2], rows[1::2]))
+    assert caught >= 0.9999 * pairs - 1
+
+
 def test_recall_of_the_runs():
     """Chance that two sets at the threshold choose a common token in some run, over many pairs."""
     draw = np.random.default_rng(8)
@@ -116,7 +155,7 @@ def test_large_buckets_are_split_as_often_as_recall_needs(documents, monkeypatch
     class Stop(Exception):
         pass
 
-    def described(docs, words, threshold, runs, deep_runs):
+    def described(docs, words, threshold, runs, deep_runs, carried):
         raise Stop(runs, deep_runs)
 
     monkeypatch.setattr(jj, "_described", described)
