@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark.llm import jaccard_join, language_filters, mixing, packing, toxicity
@@ -37,17 +37,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of similar ones, the one of the smallest id, and of repeated rows one."""
+    """One document of each class of similar ones, the one of the smallest id, and of repeated rows one.
+
+    Rows are told apart by all that they hold, so a missing or repeated id
+    hides none: a class without any id keeps one row as well.
+    """
     importable(spark)
-    similar = jaccard_join.similar_documents(docs)
-    others = similar.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("class_id")).alias("first")).where("not first")
-    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
-    return (
-        docs.join(others.select("doc_id"), "doc_id", "left_anti")
-        .withColumn("_copy", F.row_number().over(copies))
-        .where("_copy = 1")
-        .select(*docs.columns)
-    )
+    keys = ("_key", "_other_key")
+    keyed = docs.withColumns({key: F.xxhash64(F.lit(n), *docs.columns) for n, key in enumerate(keys)})
+    similar = jaccard_join.similar_documents(keyed, carried=keys).where("class_key is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *keys)).alias("first")
+    leaders = similar.groupBy(F.expr("class_key ^ 0L").alias("class_key")).agg(first)
+    others = similar.join(leaders, "class_key").where(F.struct(*keys) != F.struct(*[f"first.{key}" for key in keys]))
+    kept = keyed.join(others.select(*keys).distinct(), list(keys), "left_anti")
+    return kept.dropDuplicates(list(keys)).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
