@@ -27,14 +27,18 @@ def refresh(
     """Results and the new registry for ``documents`` (department, url)."""
     candidates = with_layout(documents.select("department", "url").distinct(), base)
     heads = cut_lineage(latest_by_url(fetch_log, "HEAD"), "refresh-heads")
-    decisions = change_decision(candidates.select("url", "local_path"), stored, registry, heads, force)
-    listed = cut_lineage(candidates.select("url").distinct(), "refresh-urls")
-    checks = cut_lineage(content_checks(on_listed(bodies, listed, F.col("url"))), "refresh-checks")
+    asked = candidates.select("url", "local_path")
+    decisions = cut_lineage(change_decision(asked, stored, registry, heads, force), "refresh-decisions")
+    verdicts = cut_lineage(url_verdicts(candidates, heads), "refresh-verdicts")
+    # Only bodies that are to be downloaded are looked at.
+    valid = verdicts.where("valid").select("url")
+    listed = decisions.where("download").join(valid, "url", "left_semi").select("url").distinct()
+    checks = cut_lineage(content_checks(on_listed(bodies, cut_lineage(listed, "refresh-urls"), F.col("url"))), "refresh-checks")
     results = cut_lineage(
         download_outcome(
             candidates.select("department", "url", "local_path"),
             decisions,
-            url_verdicts(candidates, heads),
+            verdicts,
             latest_by_url(fetch_log, "GET"),
             checks,
             stored,
