@@ -108,8 +108,10 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
             new = F.struct(
                 F.transform(state["tables"], emptied).alias("tables"),
                 F.concat(state["found"], F.transform(found, lambda p: p["key"])).alias("found"),
+                F.lit(0).alias("idle"),
             )
-            return F.when(F.size(found) == 0, state).otherwise(new)
+            idle = F.struct(state["tables"].alias("tables"), state["found"].alias("found"), (state["idle"] + 1).alias("idle"))
+            return F.when(F.size(found) == 0, idle).otherwise(new)
 
         # The places of a found digest are computed once, not for every cell that looks for it.
         placed = F.transform(
@@ -121,9 +123,10 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
                 F.array(*[_place(F.lit(t), c["key"], width) for t in range(TABLES)]).alias("places"),
             ),
         )
-        return let(placed, taken_out)
+        # Where none of the tables had a pure cell, no later turn finds one.
+        return F.when(state["idle"] >= TABLES, state).otherwise(let(placed, taken_out))
 
-    start = F.struct(tables.alias("tables"), F.array().cast("array<bigint>").alias("found"))
+    start = F.struct(tables.alias("tables"), F.array().cast("array<bigint>").alias("found"), F.lit(0).alias("idle"))
     end = listed.select(*by, "part", F.aggregate(F.sequence(F.lit(0), F.lit(turns - 1)), start, turn).alias("end"))
     full = F.exists(F.flatten(F.col("end.tables")), lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
     return end.select(*by, "part", F.col("end.found").alias("found"), full.alias("left"))
