@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -17,6 +19,10 @@ FOUND = "kind string, url_hash string, url string, ts_us long"
 DAY_US = 86_400 * SECOND
 
 
+# Workers get the processor itself, whether or not they can import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def first_seen(links: DataFrame, retention: str = "30 days") -> DataFrame:
     """Links (ts, url, ...) not seen within the retention, counted from first sight.
 

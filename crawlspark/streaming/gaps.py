@@ -10,8 +10,10 @@ no other, and a busy domain is spread over as many keys as it has slots.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -27,6 +29,10 @@ def _us(seconds: float) -> int:
     return int(round(seconds * SECOND))
 
 
+# Workers get the processor itself, whether or not they can import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class SlotAudit(StatefulProcessor):
     """Compares the requests of a (domain, slot) once the watermark has passed its end."""
 
