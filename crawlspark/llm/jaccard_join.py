@@ -214,15 +214,21 @@ def _united(buckets: DataFrame, bands: int = 4) -> DataFrame:
 
     The buckets of many runs hold a large group of similar sets, or all sets with
     a frequent passage, over and over. Two of them are united if two MinHashes of
-    what they hold are equal in one of the bands; a bucket that is larger than
-    need be only compares more.
+    what they hold are equal in one of the bands, over two steps from bucket to
+    bucket. A whole bucket gets one name, so no two of its members are parted: a
+    bucket that is larger than need be, or one left alone, only compares more.
     """
     least = [F.min(F.xxhash64("digest", F.lit(k))).alias(f"m{k}") for k in range(2 * bands)]
     signed = buckets.groupBy("bucket").agg(*least)
     keys = F.array(*[F.xxhash64(F.lit(k), f"m{2 * k}", f"m{2 * k + 1}") for k in range(bands)])
-    roots = connected(signed.select("bucket", F.explode(keys).alias("key")), "bucket", "key")
-    found = buckets.join(roots.withColumnRenamed("node", "bucket"), "bucket")
-    return found.select(F.col("root").alias("bucket"), "digest").distinct()
+    signed = cut_lineage(signed.select("bucket", F.explode(keys).alias("key")), "signed")
+    named = signed.select("bucket", F.col("bucket").alias("name"))
+    for _ in range(2):
+        # Every key takes the least name of its buckets, then every bucket that of its keys.
+        of_key = signed.join(named, "bucket").groupBy("key").agg(F.min("name").alias("name"))
+        named = signed.join(of_key, "key").groupBy("bucket").agg(F.min("name").alias("name"))
+    found = buckets.join(named.withColumn("bucket", F.expr("bucket ^ 0L")), "bucket")
+    return found.select(F.col("name").alias("bucket"), "digest").distinct()
 
 
 def _consensus(frame: pd.DataFrame) -> pd.DataFrame:
