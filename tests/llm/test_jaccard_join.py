@@ -143,6 +143,17 @@ def test_components(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_hubs_and_chains(spark):
+    """Hubs that are larger or smaller than their leaves, a shuffled chain, negative nodes, repeated links."""
+    draw = random.Random(2)
+    chain = draw.sample(range(-10_000, -9_000), 300)
+    links = [(90_000, i) for i in range(20_000, 22_000)] + [(-5, i) for i in range(30_000, 32_000)]
+    links += list(zip(chain, chain[1:])) + [(21_500, 31_500)] * 3 + [(40_000, 40_000)]
+    found = dict(map(tuple, connected(spark.createDataFrame(links, "a long, b long")).collect()))
+    hubs = {90_000, -5, *range(20_000, 22_000), *range(30_000, 32_000)}
+    assert found == {x: -5 for x in hubs} | {x: min(chain) for x in chain}
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.82])
 def test_recall_of_the_sketches(similarity):
     """Chance that so similar a pair has too few equal sketch bytes to be proposed."""
