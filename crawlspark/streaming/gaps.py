@@ -1,11 +1,13 @@
 """Gap audit on a stream of requests, with keyed state.
 
-Requests wait in the state of their domain and stretch of time, a slot, until
-the watermark has passed the slot's end. The timer of that moment compares them
-in the order of time and clears the state, so a slot lives as long as the
-lateness and leaves nothing behind. A request shortly before the end of a slot
-also waits in the next one, where it is only compared with: a slot then needs
-no other, and a busy domain is spread over as many keys as it has slots.
+Requests wait in the state of their bucket of domains and stretch of time, a
+slot, until the watermark has passed the slot's end. The timer of that moment
+compares them in the order of time and clears the state, so a slot lives as
+long as the lateness and leaves nothing behind. A request shortly before the
+end of a slot also waits in the next one, where it is only compared with: a
+slot then needs no other, and a busy domain is spread over as many keys as it
+has slots. A call to the state costs far more than a request does, so a key
+has many domains and an element of the state many requests.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +25,13 @@ from crawlspark.operators.pacing import SECOND, request_gaps
 from crawlspark.session import use_rocksdb
 
 FOUND = "kind string, url string, domain string, ts_us long, gap_us long"
-WAITING = "ts_us long, url string, own boolean"
+COLUMNS = ["kind", "url", "domain", "ts_us", "gap_us"]
+WAITING = "own boolean, domains array<string>, ts_us array<long>, urls array<string>"
+
+#: Buckets that domains are dealt to; with the slot they set how many requests a key has.
+BUCKETS = 256
+#: Requests of one element of the state.
+PACK = 1000
 
 
 def _us(seconds: float) -> int:
@@ -34,7 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class SlotAudit(StatefulProcessor):
-    """Compares the requests of a (domain, slot) once the watermark has passed its end."""
+    """Compares the requests of a (bucket, slot), by domain, once the watermark has passed its end."""
 
     def __init__(self, gap_us: int, slot_us: int):
         self.gap_us, self.slot_us = gap_us, slot_us
@@ -43,25 +52,38 @@ class SlotAudit(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getListState("waiting", WAITING)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        domain, slot = key
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        kept = []
-        for row in rows:
-            if row.ts_us is not None and (mark <= 0 or row.ts_us // 1000 >= mark):
-                kept.append((row.ts_us, row.url, row.own))
-            elif row.own:
-                yield Row(kind="late", url=row.url, domain=domain, ts_us=row.ts_us, gap_us=None)
-        if kept:
-            self.waiting.appendList(kept)
-            self.handle.registerTimer((slot + 1) * self.slot_us // 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is not None, r[1]))
+        waits = False
+        for frame in rows:
+            kept = frame["timed"] & ((mark <= 0) | (frame["ts_us"] // 1000 >= mark))
+            for own in (True, False):
+                columns = [frame.loc[kept & (frame["own"] == own), c].tolist() for c in ("domain", "ts_us", "url")]
+                packs = [(own, *(c[i : i + PACK] for c in columns)) for i in range(0, len(columns[0]), PACK)]
+                if packs:
+                    self.waiting.appendList(packs)
+                    waits = True
+            late = frame[~kept & frame["own"]]
+            if len(late):
+                late = late[["url", "domain"]].assign(kind="late", ts_us=late["ts_us"].astype(object).where(late["timed"], None), gap_us=None)
+                yield late[COLUMNS]
+        if waits:
+            self.handle.registerTimer((key[1] + 1) * self.slot_us // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        requests = {}
+        for own, *columns in self.waiting.get():
+            for domain, ts_us, url in zip(*columns):
+                requests.setdefault(domain, []).append((ts_us, url is not None, url, own))
         self.waiting.clear()
-        for (before, _, _), (ts_us, url, own) in zip(rows, rows[1:]):
-            if own and ts_us - before < self.gap_us:
-                yield Row(kind="violation", url=url, domain=key[0], ts_us=ts_us, gap_us=ts_us - before)
+        found = []
+        for domain, rows in requests.items():
+            rows.sort(key=lambda r: r[:3])
+            for (before, *_), (ts_us, _, url, own) in zip(rows, rows[1:]):
+                if own and ts_us - before < self.gap_us:
+                    found.append(("violation", url, domain, ts_us, ts_us - before))
+        if found:
+            yield pd.DataFrame(found, columns=COLUMNS)
 
     def close(self) -> None:
         pass
@@ -74,6 +96,7 @@ def stream_gap_violations(
     gap_seconds: float = 1.0,
     lateness_seconds: float = 3600.0,
     slot_seconds: float = 60.0,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Write requests (url, domain, ts_us) that came too soon after the one before, and late ones, to ``out``.
 
@@ -83,7 +106,9 @@ def stream_gap_violations(
     times in that of urls), wherever the borders of batches are.
     ``release_pending`` compares what still waits when a stream has ended for
     good. ``slot_seconds`` is the gap at least and sets how finely a domain is
-    spread; the result doesn't depend on it.
+    spread, ``buckets`` how finely all domains are; a task holds the requests of
+    one slot and bucket at a time. The result depends on neither. A checkpoint
+    keeps the numbers that it was begun with.
     """
     gap, slot = _us(gap_seconds), max(_us(slot_seconds), _us(gap_seconds), 1)
     use_rocksdb(requests.sparkSession)
@@ -94,8 +119,18 @@ def stream_gap_violations(
     following = F.array(F.struct((number + 1).alias("slot"), F.lit(False).alias("own")))
     places = F.when(inside >= slot - gap, F.concat(own, following)).otherwise(own)
     # Without the column of the watermark late rows aren't dropped but reach the processor.
-    placed = timed.select("url", "domain", "ts_us", F.explode(places).alias("place")).select("url", "domain", "ts_us", "place.*")
-    found = placed.groupBy("domain", "slot").transformWithState(SlotAudit(gap, slot), FOUND, "append", "eventTime")
+    placed = timed.select("url", "domain", "ts_us", F.explode(places).alias("place"))
+    # A frame's column of whole numbers keeps its type only without NULLs.
+    keyed = placed.select(
+        F.pmod(F.xxhash64("domain"), F.lit(buckets)).alias("bucket"),
+        F.coalesce("place.slot", F.lit(0).cast("long")).alias("slot"),
+        "place.own",
+        "url",
+        "domain",
+        F.coalesce("ts_us", F.lit(0).cast("long")).alias("ts_us"),
+        F.col("ts_us").isNotNull().alias("timed"),
+    )
+    found = keyed.groupBy("bucket", "slot").transformWithStateInPandas(SlotAudit(gap, slot), FOUND, "append", "eventTime")
     return (
         found.writeStream.outputMode("append")
         .partitionBy("kind")
@@ -109,18 +144,15 @@ def stream_gap_violations(
 
 def release_pending(spark: SparkSession, out: str, checkpoint: str, gap_seconds: float = 1.0) -> None:
     """Compare the requests that still wait in the state, once their stream has ended for good."""
-    waiting = (
-        spark.read.format("statestore")
-        .option("stateVarName", "waiting")
-        .load(checkpoint)
-        .select(
-            F.col("key.domain").alias("asked"),
-            F.to_json("key").alias("domain"),
-            F.struct(F.col("list_element.url").isNotNull().alias("named"), "list_element.url").alias("place"),
-            "list_element.ts_us",
-            "list_element.own",
-            "list_element.url",
-        )
+    packed = spark.read.format("statestore").option("stateVarName", "waiting").load(checkpoint).select("key.slot", "list_element.*")
+    request = F.explode(F.arrays_zip("domains", "ts_us", "urls")).alias("request")
+    waiting = packed.select("slot", "own", request).select(
+        F.col("request.domains").alias("asked"),
+        F.to_json(F.struct(F.col("request.domains").alias("domain"), "slot")).alias("domain"),
+        F.struct(F.col("request.urls").isNotNull().alias("named"), F.col("request.urls").alias("url")).alias("place"),
+        "request.ts_us",
+        "own",
+        F.col("request.urls").alias("url"),
     )
     gaps = request_gaps(waiting, order="place").where(F.col("own") & (F.col("gap_us") < _us(gap_seconds)))
     gaps.select("url", F.col("asked").alias("domain"), "ts_us", "gap_us").write.mode("overwrite").parquet(f"{out}/released")

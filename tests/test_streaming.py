@@ -202,3 +202,27 @@ def test_slots_are_cleared_once_the_watermark_has_passed(spark, folder):
     assert 0 < waiting.where("list_element.own").count() < 20 and waiting.select("key").distinct().count() > 1
     gaps.release_pending(spark, out, state)
     assert gaps.violations(spark, out).count() == 3 * 39
+
+
+def test_a_key_of_the_gap_audit_has_many_domains(spark, folder):
+    second = pacing.SECOND
+    feed(spark, f"{folder}/in", REQUESTS, [(f"{d}/{i}", f"d{d}", i * second // 2) for d in range(700) for i in range(3)] + [("x", None, 0), ("y", None, 1)])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, 1.0, 60))
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(state)
+    # One key per domain would be 701.
+    assert waiting.select("key").distinct().count() <= gaps.BUCKETS
+    gaps.release_pending(spark, out, state)
+    found = gaps.violations(spark, out)
+    assert found.count() == 2 * 700 + 1 and [r.url for r in found.where("domain is null").collect()] == ["y"]
+
+
+def test_a_slot_of_more_requests_than_an_element_holds(spark, folder):
+    second = pacing.SECOND
+    rows = [(str(i), "busy", i * second // 100) for i in range(2 * gaps.PACK + 500)]
+    for batch in (rows, [("end", "other", 1000 * second)], [("end", "other", 1001 * second)]):
+        feed(spark, f"{folder}/in", REQUESTS, batch)
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(gaps.stream_gap_violations(stream(spark, f"{folder}/in", REQUESTS), out, state, 1.0, 5))
+    gaps.release_pending(spark, out, state)
+    assert gaps.violations(spark, out).where("domain = 'busy'").count() == len(rows) - 1
