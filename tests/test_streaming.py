@@ -113,6 +113,29 @@ def test_late_sights_and_sights_out_of_order(spark, folder):
     assert sorted(r.url for r in first_seen.late_sights(spark, out).collect()) == ["a", "d"]
 
 
+def test_a_key_of_first_sights_has_many_urls(spark, folder):
+    feed(spark, f"{folder}/in", SIGHTS, [(f"u{i}", h * HOUR) for i in range(3000) for h in (1, 2)] + [(None, HOUR)])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(first_seen.stream_first_seen(stream(spark, f"{folder}/in", SIGHTS), out, state, 1.0, 3600))
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(state)
+    # One key per url would be 3001.
+    assert waiting.select("key").distinct().count() <= first_seen.BUCKETS
+    first_seen.release_sights(spark, out, state, 1.0)
+    found = first_seen.first_sights(spark, out)
+    assert found.count() == found.where(F.col("ts_us") == HOUR).count() == found.select("url").distinct().count() == 3001
+
+
+def test_sights_between_the_watermark_and_the_end_of_its_slot(spark, folder):
+    # When the first sight of "a" is settled, its retention has passed, but not that of the sight which still waits.
+    for batch in ([("a", 1), ("a", 25), ("z", 30.5)], [("z", 31)], [("end", 90)], [("end", 90)]):
+        feed(spark, f"{folder}/in", SIGHTS, [(u, int(h * HOUR)) for u, h in batch])
+    out, state = f"{folder}/out", f"{folder}/ck"
+    finish(first_seen.stream_first_seen(stream(spark, f"{folder}/in", SIGHTS), out, state, 1.0, 4 * 3600))
+    assert first_seen.sights_held(spark, state).count() == 0
+    first_seen.release_sights(spark, out, state, 1.0)
+    assert sorted((r.url, r.ts_us // HOUR) for r in first_seen.first_sights(spark, out).collect()) == [("a", 1), ("end", 90), ("z", 30)]
+
+
 CRAWLS = "ts timestamp, url string, pdf_count long"
 
 
