@@ -26,8 +26,10 @@ UNDETERMINED = "und"
 GRAM = 4
 #: Languages of one word of a mask.
 WORD = 64
-#: Code points handled at once; a longer text goes in pieces of this length.
+#: A longer text goes in pieces of so many code points.
 BLOCK = 1 << 20
+#: Code points of the pieces handled at once, one piece at least; they take about a hundred bytes each.
+BATCH = 1 << 17
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
@@ -90,13 +92,13 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-    """The texts in blocks of bounded size, with the index of the text of each piece."""
+    """The texts in batches of bounded size, with the index of the text of each piece."""
     indices, pieces = [], []
     for i, text in enumerate(texts):
         for start in range(0, len(text), BLOCK):
             indices.append(i)
             pieces.append(text[start : start + BLOCK])
-    for start, stop in chunks_of([len(p) for p in pieces], BLOCK):
+    for start, stop in chunks_of([len(p) for p in pieces], BATCH):
         yield indices[start:stop], pieces[start:stop]
 
 

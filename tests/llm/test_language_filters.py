@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -129,3 +130,17 @@ def test_nothing_to_learn_from(documents):
     assert lf.predict(empty, model).count() == 0
     assert lf.predict(documents([(1, "text")]), model).first().lang_pred == "und"
     assert lf.fit(documents([(1, None, "aa", "s"), (2, "text", None, "s")])).languages == []
+
+
+def test_memory_does_not_follow_the_number_of_texts(monkeypatch):
+    model = lf.LanguageFilters(list(WORDS), np.full((1, 1 << 14), 5, dtype=np.uint64), 3)
+    texts = [text_of(lang, i, 400) for i in range(200) for lang in WORDS]
+    tracemalloc.start()
+    shares, total = lf._shares(model, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All of them at once take 60 MB.
+    assert sum(map(len, texts)) > 1_200_000 and peak < 30_000_000
+    monkeypatch.setattr(lf, "BATCH", 1)
+    alone, number = lf._shares(model, texts)
+    assert (alone == shares).all() and (number == total).all()
