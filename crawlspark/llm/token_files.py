@@ -17,6 +17,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -51,8 +52,9 @@ class WordEncoder:
     The pre-tokenizer of byte-level BPE starts a new token wherever a single
     space stands between two characters that are not white space. A text may so
     be cut before these spaces and its pieces be encoded one by one, and most
-    pieces have been met before. The new ones of many texts are encoded as one
-    text, and told apart by the tokens that begin with a space. Words that were
+    pieces have been met before. The new ones of many texts are encoded some to
+    a text, and told apart by the tokens that begin with a space: the library takes
+    longer for a word by itself, and for each word of a long text. Words that were
     used since the memory last filled up are kept when it does so again. A text
     that holds a special token as such goes to the library in pieces, without
     the memory.
@@ -61,6 +63,8 @@ class WordEncoder:
     MOST_WORDS = 300_000
     #: Texts whose new words are encoded together.
     TOGETHER = 64
+    #: New words of one text.
+    WORDS_OF_TEXT = 50
     BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 
     def __init__(self, path: str):
@@ -86,8 +90,10 @@ class WordEncoder:
         self.words.update((w, ids) for w in missing if (ids := self.older.get(w)) is not None)
         new = [w for w in missing if w and w not in self.words and not w[0].isspace() and not w[-1].isspace()]
         if new:
-            encoded = self.tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)
-            ids = np.array(encoded[0].ids, self.dtype)
+            some = range(0, len(new), self.WORDS_OF_TEXT)
+            joined = [" " + " ".join(new[start : start + self.WORDS_OF_TEXT]) for start in some]
+            encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), self.dtype)
             starts = (np.flatnonzero(self.after_space[ids]) * self.dtype.itemsize).tolist()
             data = ids.tobytes()
             self.words.update(

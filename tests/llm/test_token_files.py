@@ -136,3 +136,20 @@ def test_damage_is_noticed():
             for _ in tf.TokenFileReader(Recorded(broken)).documents():
                 pass
     assert len(list(tf.TokenFileReader(Recorded(written([]))).documents())) == 0
+
+
+def test_new_words_are_encoded_some_to_a_text(tokenizer):
+    class Noted:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.inner.encode_batch_fast(texts, **options)
+
+    encoder = tf.WordEncoder(PATH)
+    encoder.tokenizer = noted = Noted(encoder.tokenizer)
+    texts = [prose(i, 300, "abcdeé,.'1") for i in range(20)]
+    for text, encoded in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(encoded, encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 1 < max(t.count(" ") for t in noted.texts) <= encoder.WORDS_OF_TEXT
