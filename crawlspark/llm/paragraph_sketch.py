@@ -74,25 +74,28 @@ def sketched(sets: DataFrame, by: list[str], width: int = WIDTH) -> DataFrame:
 def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TURNS) -> DataFrame:
     """Parts with ``found``, the digests that peeling recovers, and whether cells are ``left``."""
 
-    def cell(n: Column, key: Column, check: Column) -> Column:
-        return F.struct(n.cast("long").alias("n"), key.cast("long").alias("key"), check.cast("long").alias("check"))
-
-    nothing = cell(F.lit(0), F.lit(0), F.lit(0))
-    listed = cells.groupBy(*by, "part").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", cell(F.col("n"), F.col("key"), F.col("check"))))).alias("cells")
-    )
+    listed = cells.groupBy(*by, "part").agg(F.collect_list(F.struct("slot", "n", "key", "check")).alias("cells"))
+    numbers = F.sequence(F.lit(0), F.lit(TABLES - 1))
     tables = F.transform(
-        F.sequence(F.lit(0), F.lit(TABLES - 1)),
-        lambda t: F.transform(
-            F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.col("cells")[t * width + i], nothing)
-        ),
+        numbers, lambda t: F.filter("cells", lambda c: (c["slot"] >= t * width) & (c["slot"] < (t + 1) * width))
     )
 
-    def pure(c: Column, i: Column, table: Column) -> Column:
-        return (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])) & (_place(table, c["key"], width) == i)
+    def slot_of(table: Column, key: Column) -> Column:
+        return _place(table, key, width) + table * width
+
+    def pure(c: Column, table: Column) -> Column:
+        return (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])) & (slot_of(table, c["key"]) == c["slot"])
 
     def without(c: Column, other: Column) -> Column:
-        return cell(c["n"] - other["n"], c["key"].bitwiseXOR(other["key"]), c["check"].bitwiseXOR(other["check"]))
+        return F.struct(
+            c["slot"].alias("slot"),
+            (c["n"] - other["n"]).alias("n"),
+            c["key"].bitwiseXOR(other["key"]).alias("key"),
+            c["check"].bitwiseXOR(other["check"]).alias("check"),
+        )
+
+    def in_use(c: Column) -> Column:
+        return (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0)
 
     def turn(state: Column, number: Column) -> Column:
         # A digest has one cell in a table, so none is recovered twice.
@@ -100,11 +103,27 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
 
         def taken_out(found: Column) -> Column:
             def emptied(cells: Column, other: Column) -> Column:
-                return F.transform(
-                    cells,
-                    lambda c, i: F.aggregate(F.filter(found, lambda p: F.get(p["places"], other) == i), c, without),
+                # The slots of the found digests are computed once, not for every cell that looks for them.
+                placed = F.transform(
+                    found,
+                    lambda p: F.struct(
+                        slot_of(other, p["key"]).alias("slot"),
+                        p["n"].alias("n"),
+                        p["key"].alias("key"),
+                        p["check"].alias("check"),
+                    ),
                 )
 
+                def left(moved: Column) -> Column:
+                    here = F.transform(
+                        cells, lambda c: F.aggregate(F.filter(moved, lambda p: p["slot"] == c["slot"]), c, without)
+                    )
+                    return F.filter(here, in_use)
+
+                # The pure cells hold nothing else than what was found.
+                rest = F.filter(cells, lambda c: ~pure(c, table))
+                return F.when(F.size(cells) == 0, cells).when(other == table, rest).otherwise(let(placed, left))
+
             new = F.struct(
                 F.transform(state["tables"], emptied).alias("tables"),
                 F.concat(state["found"], F.transform(found, lambda p: p["key"])).alias("found"),
@@ -113,55 +132,52 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
             idle = F.struct(state["tables"].alias("tables"), state["found"].alias("found"), (state["idle"] + 1).alias("idle"))
             return F.when(F.size(found) == 0, idle).otherwise(new)
 
-        # The places of a found digest are computed once, not for every cell that looks for it.
-        placed = F.transform(
-            F.filter(F.get(state["tables"], table), lambda c, i: pure(c, i, table)),
-            lambda c: F.struct(
-                c["n"].alias("n"),
-                c["key"].alias("key"),
-                c["check"].alias("check"),
-                F.array(*[_place(F.lit(t), c["key"], width) for t in range(TABLES)]).alias("places"),
-            ),
-        )
+        found = F.filter(F.get(state["tables"], table), lambda c: pure(c, table))
         # Where none of the tables had a pure cell, no later turn finds one.
-        return F.when(state["idle"] >= TABLES, state).otherwise(let(placed, taken_out))
+        return F.when(state["idle"] >= TABLES, state).otherwise(let(found, taken_out))
 
     start = F.struct(tables.alias("tables"), F.array().cast("array<bigint>").alias("found"), F.lit(0).alias("idle"))
     end = listed.select(*by, "part", F.aggregate(F.sequence(F.lit(0), F.lit(turns - 1)), start, turn).alias("end"))
-    full = F.exists(F.flatten(F.col("end.tables")), lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
-    return end.select(*by, "part", F.col("end.found").alias("found"), full.alias("left"))
+    left = F.exists("end.tables", lambda cells: F.size(cells) > 0)
+    return end.select(*by, "part", F.col("end.found").alias("found"), left.alias("left"))
 
 
 def compared(pairs: DataFrame, by: list[str]) -> DataFrame:
     """Rows of ``by`` with ``differing``: in how many digests the arrays ``a`` and ``b`` differ, from their sketches.
 
     The number of parts follows from both numbers of digests. Parts that can't be
-    peeled are sketched again, with more cells each time. A pair has to be unique
-    by ``by``.
+    peeled are sketched again, with more cells each time; only their digests go on.
+    A pair has to be unique by ``by``.
     """
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = pairs.select(*by, parts_for(F.size("a") + F.size("b")).alias("parts"), "a", "b")
     sides = F.explode(
         F.array(
             F.struct(F.lit(1).alias("sign"), F.col("a").alias("digests")),
             F.struct(F.lit(-1).alias("sign"), F.col("b").alias("digests")),
         )
     )
-    waiting, width, rounds = sized, WIDTH, []
+    waiting = pairs.select(*by, parts_for(F.size("a") + F.size("b")).alias("parts"), "a", "b")
+    width, rounds = WIDTH, []
     while True:
-        sets = waiting.repartition(tasks, by[0]).select(*by, "parts", sides.alias("s")).select(*by, "parts", "s.*")
-        result = peeled(sketched(sets, by, width), by, width)
-        result = cut_lineage(result.select(*by, "part", F.size("found").alias("differing"), "left"), "sketch-peeled")
-        rounds.append(result.where("not left"))
-        failed = result.where("left").groupBy(*by).agg(F.collect_set("part").alias("failed"))
-        if not failed.limit(1).count():
-            break
-        width *= GROWTH
+        # The parts come from these partitions, and go back to their pair without being dealt out again.
+        dealt = waiting.repartition(tasks, *by)
+        sets = dealt.select(*by, "parts", sides.alias("s")).select(*by, "parts", "s.*")
+        found = F.when(~F.col("left"), F.size("found"))
+        result = peeled(sketched(sets, by, width), by, width).groupBy(*by).agg(
+            F.coalesce(F.sum(found), F.lit(0)).alias("differing"),
+            F.collect_set(F.when(F.col("left"), F.col("part"))).alias("failed"),
+        )
 
         def of_failed(digest: Column) -> Column:
             return F.array_contains("failed", F.pmod(digest, F.col("parts")))
 
-        waiting = sized.join(failed, by).withColumns({c: F.filter(c, of_failed) for c in ("a", "b")}).drop("failed")
+        kept = [F.when(F.size("failed") > 0, F.filter(c, of_failed)).alias(c) for c in ("a", "b")]
+        result = cut_lineage(dealt.join(result, by).select(*by, "parts", "differing", *kept), "sketch-peeled")
+        rounds.append(result.select(*by, "differing"))
+        waiting = result.where("a is not null").select(*by, "parts", "a", "b")
+        if not waiting.limit(1).count():
+            break
+        width *= GROWTH
     total = reduce(DataFrame.unionByName, rounds).groupBy(*by).agg(F.sum("differing").alias("differing"))
     # Equal texts leave no cell at all.
     return pairs.select(*by).join(total, by, "left").withColumn("differing", F.coalesce("differing", F.lit(0)))

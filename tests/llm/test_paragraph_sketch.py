@@ -116,3 +116,28 @@ def test_no_python_in_the_plan(documents, capsys):
     ps.document_sketches(documents(sample())).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_only_digests_of_failed_parts_are_dealt_out_again(spark, monkeypatch):
+    written = []
+    cut = ps.cut_lineage
+    monkeypatch.setattr(ps, "cut_lineage", lambda df, label: written.append(cut(df, label)) or written[-1])
+    draw = random.Random(5)
+    easy = [draw.getrandbits(62) for _ in range(400)]
+    crowded = [64 * i for i in range(20)], [64 * i + 1 for i in range(400)]
+    pairs = spark.createDataFrame([(1, easy, [*easy, 7]), (7, *crowded), (8, easy, easy)], PAIR)
+    got = {r.id: r.differing for r in ps.compared(pairs, ["id"]).collect()}
+    assert got == {1: 1, 7: 420, 8: 0}
+    first = {r.id: r for r in written[0].collect()}
+    # The pair that was peeled keeps no digests, and the other one those of its failed parts.
+    assert first[1].differing == 1 and first[1].a is None and first[1].b is None
+    assert sorted(first[7].b) == crowded[1] and len(first[7].a) in (0, 20)
+
+
+def test_cells_that_are_not_in_use_are_not_listed(spark, capsys):
+    cells = ps.sketched(signed(spark, [1, 2, 3], [3]), ["id"], 1 << 20)
+    found = ps.peeled(cells, ["id"], 1 << 20)
+    found.explain()
+    assert "1048575" not in capsys.readouterr().out
+    part = found.first()
+    assert sorted(part.found) == [1, 2] and part.left is False
