@@ -15,7 +15,7 @@ compared exactly, which also counts each link once.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -25,30 +25,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.lineage import cut_lineage
-from crawlspark.llm.common import chunks_of, uniform
+from crawlspark.llm.common import uniform
 from crawlspark.llm.components import connected, local_components
 from crawlspark.llm.words import constants, lowered, mixed, word_hashes
 
 #: Bytes of a set's sketch, one MinHash each.
 SKETCH = 64
-#: Text bytes hashed at once in a task.
-BLOCK = 1 << 21
+#: Text bytes hashed at once in a task; each takes about forty.
+BLOCK = 1 << 18
 #: Different sketch bytes up to which a row is settled by a pivot.
 SETTLED = 20
 
 
-def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None], words: int = 5) -> list[np.ndarray]:
     """For each text its sorted distinct shingle hashes.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. A text
     with fewer words than a shingle has one shingle of all its words; NULL and
     texts without a word have none.
     """
-    raw = [lowered(t) for t in texts]
     sets: list[np.ndarray] = []
-    for start, stop in chunks_of([len(r) + 1 for r in raw], BLOCK):
-        sets += _sets_of(raw[start:stop], words)
-    return sets
+    raw, size = [], 0
+    for lower in map(lowered, texts):
+        if raw and size + len(lower) >= BLOCK:
+            sets += _sets_of(raw, words)
+            raw, size = [], 0
+        raw.append(lower)
+        size += len(lower) + 1
+    return sets + _sets_of(raw, words) if raw else sets
 
 
 def _sets_of(raw: list[bytes], words: int) -> list[np.ndarray]:
@@ -359,12 +363,14 @@ def _verified(members: DataFrame, threshold: float, words: int) -> DataFrame:
 
     def tokens(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, digests in batches:
-            sets = shingle_sets(list(texts), words)
+            sets = shingle_sets(texts, words)
             # Of rows that share an id but not a text, only the wanted one has the digest.
             yield pd.Series([s.tobytes() if _digest(s) == d else None for s, d in zip(sets, digests, strict=True)])
 
+    # The filter would else compute the sets as well, in a second Python worker of every task.
+    once = F.pandas_udf(tokens, "binary").asNondeterministic()
     return (
-        members.withColumn("tokens", F.pandas_udf(tokens, "binary")("text", "digest"))
+        members.withColumn("tokens", once("text", "digest"))
         .where("tokens is not null")
         .transform(lambda df: _in_blocks(df, "bucket", "blocks"))
         .repartition(tasks, "bucket", "low", "high")
@@ -454,7 +460,8 @@ def similar_documents(
         whole = wide.withColumnRenamed("whole", "rows").join(stuck, "bucket", "left_semi")
         second = parts.select("bucket", "digest", blocks_of).unionByName(whole.select("bucket", "digest", blocks_of))
         members = members.unionByName(_in_blocks(second, "bucket", "blocks"))
-    proposed = _proposed(members.join(sketches, "digest"), threshold, least)
+    # Written, as the forests of the links would else hold a second Python worker beside each that proposes.
+    proposed = cut_lineage(_proposed(members.join(sketches, "digest"), threshold, least), "proposals")
     groups = cut_lineage(connected(proposed if links is None else proposed.unionByName(links)), "proposed")
 
     sizes = groups.join(nodes.select(F.col("digest").alias("node"), "n", "copies"), "node")

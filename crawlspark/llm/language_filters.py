@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,10 @@ WORD = 64
 BLOCK = 1 << 20
 #: Code points of the pieces handled at once, one piece at least; they take about a hundred bytes each.
 BATCH = 1 << 17
+#: Texts that are Python strings at once.
+ROWS = 1000
+#: N-grams of texts that are held before they are counted.
+HELD = 1 << 20
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
@@ -102,6 +107,26 @@ def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield indices[start:stop], pieces[start:stop]
 
 
+def _gram_counts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """N-grams and the number of pieces they are in, for some of the texts after the other."""
+    seen, held = [], 0
+    for _, pieces in _pieces(texts):
+        grams, owners = _grams(pieces)
+        if not len(grams):
+            continue
+        order = np.lexsort((grams, owners))
+        g, o = grams[order], owners[order]
+        first = np.ones(len(g), dtype=bool)
+        first[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
+        seen.append(g[first])
+        held += len(seen[-1])
+        if held >= HELD:
+            yield np.unique(np.concatenate(seen), return_counts=True)
+            seen, held = [], 0
+    if seen:
+        yield np.unique(np.concatenate(seen), return_counts=True)
+
+
 def _positions(grams: np.ndarray, probe: int, size: int) -> np.ndarray:
     shift = np.uint64(64 - (size.bit_length() - 1))
     return (((grams ^ (grams >> np.uint64(29))) * _MULTIPLIERS[probe]) >> shift).astype(np.int64)
@@ -140,17 +165,7 @@ def fit(
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for language, group in frame.groupby("number"):
-                seen = []
-                for _, pieces in _pieces(list(group["text"])):
-                    grams, owners = _grams(pieces)
-                    if len(grams):
-                        order = np.lexsort((grams, owners))
-                        g, o = grams[order], owners[order]
-                        first = np.ones(len(g), dtype=bool)
-                        first[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
-                        seen.append(g[first])
-                if seen:
-                    values, n = np.unique(np.concatenate(seen), return_counts=True)
+                for values, n in _gram_counts(list(group["text"])):
                     yield pd.DataFrame({"number": language, "gram": values.view(np.int64), "n": n, "docs": 0})
                 yield pd.DataFrame({"number": [language], "gram": [0], "n": [0], "docs": [len(group)]})
 
@@ -207,6 +222,19 @@ def _shares(model: LanguageFilters, texts: list[str]) -> tuple[np.ndarray, np.nd
     return np.minimum(1.0, corrected / np.maximum(1, n)), total
 
 
+def _decided(model: LanguageFilters, texts: list[str]) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    if not model.languages:
+        return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    shares, total = _shares(model, texts)
+    best = shares.argmax(axis=1)
+    names = np.array(model.languages, dtype=object)[best]
+    # Marks take part in n-grams, but only a letter makes a language.
+    unknown = (total == 0) | ~np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool)
+    names[unknown] = UNDETERMINED
+    return names.tolist(), np.where(unknown, 0.0, shares[np.arange(len(texts)), best]).tolist()
+
+
 def predict(docs: DataFrame, model: LanguageFilters, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
 
@@ -217,23 +245,19 @@ def predict(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Data
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def decide(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fitted = shared.value
         for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch]
-            if not fitted.languages:
-                yield pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": [0.0] * len(texts)})
-                continue
-            shares, total = _shares(fitted, texts)
-            best = shares.argmax(axis=1)
-            names = np.array(fitted.languages, dtype=object)[best]
-            # Marks take part in n-grams, but only a letter makes a language.
-            unknown = (total == 0) | ~np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool)
-            names[unknown] = UNDETERMINED
-            score = np.where(unknown, 0.0, shares[np.arange(len(texts)), best])
-            yield pd.DataFrame({"lang_pred": names, "score": score})
-
-    decided = F.pandas_udf(decide, "lang_pred string, score double")
+            names, scores = [], []
+            for start in range(0, len(batch), ROWS):
+                found, score = _decided(fitted, [t or "" for t in batch[start : start + ROWS].to_pylist()])
+                names += found
+                scores += score
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"]
+            )
+
+    decided = F.arrow_udf(decide, "lang_pred string, score double")
     answer = "_language"
     return (
         docs.withColumn(answer, decided(F.col(text)))

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -174,3 +175,42 @@ def test_large_buckets_are_split_as_often_as_recall_needs(documents, monkeypatch
         jj.similar_documents(documents([(1, "a")]))
     lost = [math.exp(-n) for n in stopped.value.args]
     assert sum(lost) <= 1 - 0.9999
+
+
+def test_no_task_needs_two_python_workers_to_propose_links(documents, monkeypatch, capsys):
+    plans = []
+
+    def noted(links, *ends):
+        links.explain()
+        plans.append(capsys.readouterr().out)
+        return connected(links, *ends)
+
+    monkeypatch.setattr(jj, "connected", noted)
+    text = prose(31, 60)
+    rows = jj.similar_documents(documents([(1, text), (2, text + " zz"), (3, prose(32, 60))])).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {1: 1, 2: 1, 3: 3}
+    # The forests of the links are a Python operator themselves.
+    assert len(plans) == 2 and not any("MapInPandas" in p or "MapInArrow" in p or "ArrowEvalPython" in p for p in plans)
+
+
+def test_shingles_of_many_texts_take_bounded_memory():
+    texts = [prose(i, 400) for i in range(900)]
+    tracemalloc.start()
+    sets = jj.shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1] - sum(s.nbytes for s in sets)
+    tracemalloc.stop()
+    # All of them at once take 50 MB.
+    assert sum(map(len, texts)) > 1_500_000 and peak < 25_000_000
+    assert all((s == jj.shingle_sets([t])[0]).all() for s, t in zip(sets, texts, strict=True))
+
+
+def test_sets_of_the_members_are_computed_once(spark, capsys):
+    text = prose(41, 30)
+    digest = jj._digest(jj.shingle_sets([text])[0])
+    kinds = "digest long, bucket long, copies long, blocks long, text string"
+    members = spark.createDataFrame([(digest, 1, 1, 1, text), (digest + 1, 1, 1, 1, text)], kinds)
+    found = jj._verified(members, 0.8, 5)
+    found.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython [") == 1
+    # The row whose text doesn't have its digest is left out.
+    assert [r.digest for r in found.collect()] == [digest]

@@ -144,3 +144,19 @@ def test_memory_does_not_follow_the_number_of_texts(monkeypatch):
     monkeypatch.setattr(lf, "BATCH", 1)
     alone, number = lf._shares(model, texts)
     assert (alone == shares).all() and (number == total).all()
+
+
+def test_counting_holds_a_bounded_number_of_grams(monkeypatch):
+    texts = [text_of(lang, i, 400) for i in range(100) for lang in WORDS]
+    whole = {}
+    for text in texts:
+        for gram in set(lf._grams([text])[0].tolist()):
+            whole[gram] = whole.get(gram, 0) + 1
+    monkeypatch.setattr(lf, "HELD", 1000)
+    monkeypatch.setattr(lf, "BATCH", 10_000)
+    parts = list(lf._gram_counts(texts))
+    summed = {}
+    for grams, n in parts:
+        for gram, k in zip(grams.tolist(), n.tolist(), strict=True):
+            summed[gram] = summed.get(gram, 0) + k
+    assert len(parts) > 5 and summed == whole
