@@ -17,11 +17,12 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
@@ -52,17 +53,20 @@ class WordEncoder:
     The pre-tokenizer of byte-level BPE starts a new token wherever a single
     space stands between two characters that are not white space. A text may so
     be cut before these spaces and its pieces be encoded one by one, and most
-    pieces have been met before. The new ones of many texts are encoded some to
-    a text, and told apart by the tokens that begin with a space: the library takes
-    longer for a word by itself, and for each word of a long text. Words that were
-    used since the memory last filled up are kept when it does so again. A text
-    that holds a special token as such goes to the library in pieces, without
-    the memory.
+    pieces have been met before. Arrow tells the different words of many texts,
+    looks them up and puts their ids in the texts' order. The new ones are
+    encoded some to a text, and told apart by the tokens that begin with a space:
+    the library takes longer for a word by itself, and for each word of a long
+    text. When the memory is full, words that were met once go first, then those
+    not met for longest. A text that holds a special token as such goes to the
+    library in pieces, without the memory.
     """
 
     MOST_WORDS = 300_000
-    #: Texts whose new words are encoded together.
-    TOGETHER = 64
+    #: Longer words are not remembered.
+    MOST_WORD_BYTES = 64
+    #: Texts whose words are told together, and what goes to the library in one call.
+    GROUP_BYTES, CALL_BYTES = 1 << 23, 1 << 18
     #: New words of one text.
     WORDS_OF_TEXT = 50
     BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
@@ -77,58 +81,105 @@ class WordEncoder:
         self.after_space = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.after_space[number] = token.startswith("\u0120")
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
 
     def _whole(self, text: str) -> bytes:
         whole = any(" " in token and token in text for token in self.special)
         pieces = self.tokenizer.encode_batch_fast([text] if whole else self.BOUNDARY.split(text), add_special_tokens=False)
         return b"".join(np.array(e.ids, self.dtype).tobytes() for e in pieces)
 
-    def _learn(self, missing: set[str]) -> None:
-        """Put the words, each after a space, into the memory; not those that white space begins or ends."""
-        self.words.update((w, ids) for w in missing if (ids := self.older.get(w)) is not None)
-        new = [w for w in missing if w and w not in self.words and not w[0].isspace() and not w[-1].isspace()]
-        if new:
-            some = range(0, len(new), self.WORDS_OF_TEXT)
-            joined = [" " + " ".join(new[start : start + self.WORDS_OF_TEXT]) for start in some]
+    def _begin(self, firsts: pa.Array) -> pa.Array:
+        """The ids of each text's first word, as bytes."""
+        out = []
+        for part in _slices(firsts, self.CALL_BYTES):
+            encoded = self.tokenizer.encode_batch_fast(part.to_pylist(), add_special_tokens=False)
+            out.append(pa.array([np.array(e.ids, self.dtype).tobytes() for e in encoded], pa.large_binary()))
+        return pa.concat_arrays(out)
+
+    def _learn(self, new: pa.Array) -> pa.Array:
+        """The ids of each word after a space, as bytes; white space begins or ends none of them."""
+        out = [pa.array([], pa.large_binary())]
+        for part in _slices(new, self.CALL_BYTES):
+            words = part.to_pylist()
+            some = range(0, len(words), self.WORDS_OF_TEXT)
+            joined = [" " + " ".join(words[start : start + self.WORDS_OF_TEXT]) for start in some]
             encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
             ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), self.dtype)
-            starts = (np.flatnonzero(self.after_space[ids]) * self.dtype.itemsize).tolist()
-            data = ids.tobytes()
-            self.words.update(
-                (w, data[a:b]) for w, a, b in zip(new, starts, [*starts[1:], len(data)], strict=True)
-            )
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of ``dtype``."""
-        out = []
-        for start in range(0, len(texts), self.TOGETHER):
-            group = texts[start : start + self.TOGETHER]
-            plain = [not any(token in text for token in self.special) for text in group]
-            split = [text.split(" ") if is_plain else [] for text, is_plain in zip(group, plain, strict=True)]
-            if len(self.words) > self.MOST_WORDS:
-                self.words, self.older = {}, self.words
-            missing = set().union(*(words[1:] for words in split)).difference(self.words)
-            if missing:
-                self._learn(missing)
-            known = self.words.get
-            for text, words in zip(group, split, strict=True):
-                if not words:
-                    out.append(self._whole(text))
-                    continue
-                first, *rest = words
-                try:
-                    # Joining stops at a word that isn't known.
-                    spaced = b"".join(map(known, rest))
-                except TypeError:
-                    spaced = None
-                if spaced is None or not first or first[-1].isspace():
-                    out.append(self._whole(text))
-                else:
-                    out.append(self._whole(first) + spaced)
+            starts = np.flatnonzero(self.after_space[ids])
+            if len(starts) != len(words):
+                raise ValueError(f"{len(words)} words gave {len(starts)} tokens that begin with a space")
+            ends = np.r_[starts, len(ids)] * self.dtype.itemsize
+            buffers = [None, pa.py_buffer(ends.astype("<i8")), pa.py_buffer(ids)]
+            out.append(pa.Array.from_buffers(pa.large_binary(), len(words), buffers))
+        return pa.concat_arrays(out)
+
+    def _group(self, texts: pa.Array) -> list[bytes]:
+        alone = np.zeros(len(texts), dtype=bool)
+        for token in self.special:
+            alone |= _flags(pc.match_substring(texts, token))
+        split = pc.split_pattern(pc.if_else(pa.array(alone), "", texts), " ")
+        bounds = split.offsets.to_numpy()
+        firsts = split.values.take(pa.array(bounds[:-1]))
+        coded = split.values.dictionary_encode()
+        words, codes = coded.dictionary, coded.indices.to_numpy()
+        rows = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        after = np.ones(len(codes), dtype=bool)
+        after[bounds[:-1]] = False
+        # A space beside other white space is no place to cut.
+        fit = _flags(pc.equal(pc.utf8_trim_whitespace(words), words)) & _flags(pc.not_equal(words, ""))
+        alone[rows[after & ~fit[codes]]] = True
+        alone |= (np.diff(bounds) > 1) & ~_flags(pc.equal(pc.utf8_rtrim_whitespace(firsts), firsts))
+        after &= ~alone[rows]
+        counts = np.bincount(codes[after], minlength=len(words))
+
+        # Place of each word's ids among those remembered and the new ones; -1: it needs none.
+        places = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype("i8")
+        new = np.flatnonzero((places < 0) & (counts > 0))
+        places[new] = len(self.words) + np.arange(len(new))
+        ids = pa.concat_arrays([self.ids, self._learn(words.take(pa.array(new)))])
+        begun = self._begin(pc.if_else(pa.array(alone), "", firsts))
+        # What lies in a text that is encoded as a whole stands for its first word, which is empty here.
+        wanted = np.where(after, places[codes], len(ids) + rows)
+        joined = pa.concat_arrays([ids, begun]).take(pa.array(wanted))
+        _, ends, data = joined.buffers()
+        cuts = np.frombuffer(ends, "<i8", len(joined) + 1)[bounds].tolist()
+        view = memoryview(data or b"")
+        out = [view[a:b].tobytes() for a, b in pairwise(cuts)]
+        for row in np.flatnonzero(alone).tolist():
+            out[row] = self._whole(texts[row].as_py())
+        self._remember(words, ids, places, counts, new)
         return out
 
+    def _remember(self, words: pa.Array, ids: pa.Array, places: np.ndarray, counts: np.ndarray, new: np.ndarray) -> None:
+        """Keep ``ids``, those remembered and then those of the ``new`` ones of the ``words``."""
+        all_words = pa.concat_arrays([self.words, words.take(pa.array(new))])
+        met = (places >= 0) & (counts > 0)
+        before = np.ones(len(self.words), dtype=bool)
+        before[places[met & (places < len(self.words))]] = False
+        again = met & ((places < len(self.words)) | (counts > 1))
+        order = np.concatenate([places[again], np.flatnonzero(before), places[met & ~again]])
+        short = pc.binary_length(all_words).to_numpy() <= self.MOST_WORD_BYTES
+        keep = pa.array(order[short[order]][: self.MOST_WORDS])
+        self.words, self.ids = all_words.take(keep), ids.take(keep)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text, as bytes of ``dtype``; those of NULL are none."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        return [ids for group in _slices(texts.fill_null(""), self.GROUP_BYTES) for ids in self._group(group)]
+
+
+def _flags(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Successive texts of about ``most`` bytes together."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    starts = np.flatnonzero(np.diff(ends // most, prepend=-1)).tolist()
+    for start, stop in pairwise([*starts, len(texts)]):
+        yield texts.slice(start, stop - start)
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
@@ -282,8 +333,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
                 store.create_dir(root, recursive=True)
                 stream = store.open_output_stream(partial, compression=None)
                 writer = TokenFileWriter(stream, encoder.dtype)
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 writer.add(doc_id, encoded + end)
                 tokens += len(encoded) // encoder.dtype.itemsize + 1
         if writer is not None:

@@ -153,3 +153,55 @@ def test_new_words_are_encoded_some_to_a_text(tokenizer):
     for text, encoded in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(encoded, encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     assert 1 < max(t.count(" ") for t in noted.texts) <= encoder.WORDS_OF_TEXT
+
+
+class Counted:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.inner.encode_batch_fast(texts, **options)
+
+    def words(self):
+        return [word for text in self.texts for word in text.split(" ")[1:]]
+
+
+def test_the_library_gets_a_word_of_many_texts_once(tokenizer):
+    encoder = tf.WordEncoder(PATH)
+    encoder.MOST_WORDS = 50
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    # Common words come again after more new ones than the memory holds, in one call and in the next.
+    common = [f"common{i}é," for i in range(20)]
+    texts = ["a " + " ".join(common if i % 100 == 0 else [f"new{i}x{k}" for k in range(8)]) for i in range(300)]
+    later = ["a " + " ".join(common), *texts[1:100], "a " + " ".join(common)]
+    for part in (texts, later):
+        counted.texts.clear()
+        for text, encoded in zip(part, encoder.encode(part), strict=True):
+            assert np.frombuffer(encoded, encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(counted.words()) == len(set(counted.words()))
+        assert len(encoder.words) <= 50
+    assert not {*common} & {*counted.words()}
+
+
+def test_groups_and_calls_of_any_size_give_the_same_ids(tokenizer):
+    texts = [*ODD, "a \x85b", "b　 c", *(prose(i, 30, "abé\n,.'1") for i in range(40))]
+    texts.append("long " + "y" * 5000 + " word")
+    for group, call in ((1, 1), (300, 40), (1 << 23, 1 << 18)):
+        encoder = tf.WordEncoder(PATH)
+        encoder.GROUP_BYTES, encoder.CALL_BYTES = group, call
+        for text, encoded in zip(texts * 2, encoder.encode(texts * 2), strict=True):
+            got = np.frombuffer(encoded, encoder.dtype).tolist()
+            assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert "y" * 5000 not in encoder.words.to_pylist()
+
+
+def test_a_text_full_of_spaces_takes_no_room_from_long_words(tokenizer):
+    encoder = tf.WordEncoder(PATH)
+    texts = ["a " + "é" * 100_000, "b" + " " * 1_000_000 + "c d", "e only  once"]
+    for text, encoded in zip(texts, encoder.encode(texts), strict=True):
+        got = np.frombuffer(encoded, encoder.dtype).tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not len(encoder.words)
