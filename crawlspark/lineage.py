@@ -22,6 +22,25 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_lineage_dealt(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``cut_lineage`` into as many buckets of ``key`` as shuffles have partitions.
+
+    Later plans know where the rows of a key lie, and group or join them by it
+    without a shuffle. ``df`` should lie by ``key`` already, or each task writes
+    a file for every bucket. The table's name goes at once, as only the returned
+    plan reads it; its files stay until ``remove_run_tables``.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}-{uuid.uuid4().hex}"
+    table = f"spark_catalog.default.{name.replace('-', '_')}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", f"{run_folder(spark)}/{name}").saveAsTable(table)
+    dealt = spark.table(table)
+    # The table is external, so this leaves its files.
+    spark.sql(f"DROP TABLE {table}")
+    return dealt
+
+
 def run_folder(spark: SparkSession, root: str | None = None) -> str:
     """Folder of this application's tables under the shared folder."""
     return f"{root or checkpoint_root(spark)}/crawlspark/{spark.sparkContext.applicationId}"

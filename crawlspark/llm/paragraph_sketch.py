@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.functions.binding import let
-from crawlspark.lineage import cut_lineage
+from crawlspark.lineage import cut_lineage, cut_lineage_dealt
 from crawlspark.operators.ordered import previous_value
 
 TABLES = 3
@@ -142,12 +142,13 @@ def peeled(cells: DataFrame, by: list[str], width: int = WIDTH, turns: int = TUR
     return end.select(*by, "part", F.col("end.found").alias("found"), left.alias("left"))
 
 
-def compared(pairs: DataFrame, by: list[str]) -> DataFrame:
+def compared(pairs: DataFrame, by: list[str], dealt: bool = False) -> DataFrame:
     """Rows of ``by`` with ``differing``: in how many digests the arrays ``a`` and ``b`` differ, from their sketches.
 
     The number of parts follows from both numbers of digests. Parts that can't be
     peeled are sketched again, with more cells each time; only their digests go on.
-    A pair has to be unique by ``by``.
+    A pair has to be unique by ``by``. ``dealt`` tells that ``pairs`` lies by the
+    first column of ``by``, as from ``cut_lineage_dealt``, and needs no shuffle.
     """
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sides = F.explode(
@@ -160,19 +161,28 @@ def compared(pairs: DataFrame, by: list[str]) -> DataFrame:
     width, rounds = WIDTH, []
     while True:
         # The parts come from these partitions, and go back to their pair without being dealt out again.
-        dealt = waiting.repartition(tasks, *by)
-        sets = dealt.select(*by, "parts", sides.alias("s")).select(*by, "parts", "s.*")
+        if not (dealt and width == WIDTH):
+            waiting = waiting.repartition(tasks, by[0])
+        sets = waiting.select(*by, "parts", sides.alias("s")).select(*by, "parts", "s.*")
         found = F.when(~F.col("left"), F.size("found"))
         result = peeled(sketched(sets, by, width), by, width).groupBy(*by).agg(
             F.coalesce(F.sum(found), F.lit(0)).alias("differing"),
             F.collect_set(F.when(F.col("left"), F.col("part"))).alias("failed"),
         )
 
+        # A join by more columns than the rows are dealt by would shuffle them.
+        listed = result.groupBy(by[0]).agg(F.collect_list(F.struct(*by[1:], "differing", "failed")).alias("results"))
+
+        def of_pair(r: Column) -> Column:
+            return reduce(Column.__and__, (r[c] == F.col(c) for c in by[1:]), F.lit(True))
+
         def of_failed(digest: Column) -> Column:
-            return F.array_contains("failed", F.pmod(digest, F.col("parts")))
+            return F.array_contains("r.failed", F.pmod(digest, F.col("parts")))
 
-        kept = [F.when(F.size("failed") > 0, F.filter(c, of_failed)).alias(c) for c in ("a", "b")]
-        result = cut_lineage(dealt.join(result, by).select(*by, "parts", "differing", *kept), "sketch-peeled")
+        joined = waiting.join(listed, by[0]).withColumn("r", F.get(F.filter("results", of_pair), F.lit(0)))
+        kept = [F.when(F.size("r.failed") > 0, F.filter(c, of_failed)).alias(c) for c in ("a", "b")]
+        joined = joined.where("r is not null").select(*by, "parts", "r.differing", *kept)
+        result = cut_lineage(joined, "sketch-peeled")
         rounds.append(result.select(*by, "differing"))
         waiting = result.where("a is not null").select(*by, "parts", "a", "b")
         if not waiting.limit(1).count():
@@ -189,15 +199,16 @@ def likeness(differing: Column, a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise((total - differing) / total)
 
 
-def fingerprints(versions: DataFrame, by: list[str]) -> DataFrame:
+def fingerprints(versions: DataFrame, by: list[str], dealt: bool = False) -> DataFrame:
     """Rows of ``by`` with ``fingerprint``: the sketch of the array ``digests`` as text.
 
     The number of digests, which tells the parts, then every cell in use: its part and slot,
-    how many digests it holds, and their XORs in hexadecimal.
+    how many digests it holds, and their XORs in hexadecimal. ``dealt`` tells that
+    ``versions`` lies by the first column of ``by``, as for ``compared``.
     """
     tasks = int(versions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = versions.select(*by, parts_for(F.size("digests")).alias("parts"), F.lit(1).alias("sign"), "digests")
-    cells = sketched(sets.repartition(tasks, by[0]), by)
+    cells = sketched(sets if dealt else sets.repartition(tasks, by[0]), by)
     check = F.lower(F.lpad(F.hex(F.expr("check & 4294967295L")), 8, "0"))
     cell = F.struct("part", "slot", F.concat_ws(".", "part", "slot", "n", F.lower(F.hex("key")), check).alias("text"))
     listed = cells.groupBy(*by).agg(
@@ -216,7 +227,8 @@ def edited_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     The edit replaces the last third of the code points, rounded down, by the
     first as many of the next document in descending id; after the last comes
     the first. Rows of one id are ordered by a hash of their text; NULL ids come
-    last. Columns: node, doc_id, copies, n_chars, edited_sha256, own, edited, next.
+    last. The table lies by node. Columns: node, doc_id, copies, n_chars,
+    edited_sha256, own, edited, next.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumn("node", F.xxhash64("doc_id", "text"))
@@ -237,8 +249,9 @@ def edited_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         "node", F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text")).alias("next")
     )
     edit = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - third), F.col("head"))
-    both = texts.join(heads, "node").join(links.drop("next_node"), "node").withColumn("edit", edit)
-    return cut_lineage(
+    # A merge join leaves the rows by node, as they are written.
+    both = texts.join(heads.hint("merge"), "node").join(links.drop("next_node"), "node").withColumn("edit", edit)
+    return cut_lineage_dealt(
         both.select(
             "node",
             "doc_id",
@@ -250,6 +263,7 @@ def edited_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             "next",
         ),
         "sketch-edits",
+        "node",
     )
 
 
@@ -270,7 +284,7 @@ def document_sketches(docs: DataFrame) -> DataFrame:
         )
     )
     pairs = table.select("node", kinds.alias("p")).select("node", "p.*")
-    near = compared(pairs, ["node", "pair"])
+    near = compared(pairs, ["node", "pair"], dealt=True)
     near = near.groupBy("node").agg(
         *(F.max(F.when(F.col("pair") == name, F.col("differing"))).alias(name + "_differing") for name in ("edited", "next"))
     )
@@ -280,7 +294,8 @@ def document_sketches(docs: DataFrame) -> DataFrame:
             F.struct(F.lit("edited").alias("version"), F.col("edited").alias("digests")),
         )
     )
-    prints = fingerprints(table.select("node", versions.alias("v")).select("node", "v.*"), ["node", "version"])
+    versions = table.select("node", versions.alias("v")).select("node", "v.*")
+    prints = fingerprints(versions, ["node", "version"], dealt=True)
     prints = prints.groupBy("node").agg(
         *(F.max(F.when(F.col("version") == name, F.col("fingerprint"))).alias(name + "_print") for name in ("own", "edited"))
     )

@@ -5,6 +5,7 @@ import pytest
 from llm_helpers import prose
 from pyspark.sql import functions as F
 
+from crawlspark.lineage import cut_lineage_dealt
 from crawlspark.llm import paragraph_sketch as ps
 
 PAIR = "id long, a array<long>, b array<long>"
@@ -141,3 +142,45 @@ def test_cells_that_are_not_in_use_are_not_listed(spark, capsys):
     assert "1048575" not in capsys.readouterr().out
     part = found.first()
     assert sorted(part.found) == [1, 2] and part.left is False
+
+
+def test_digests_are_not_dealt_out_again(spark, documents, monkeypatch):
+    plans = {}
+    cut = ps.cut_lineage
+
+    def seen(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().toString())
+        return cut(df, label)
+
+    monkeypatch.setattr(ps, "cut_lineage", seen)
+    # The joins of larger tables, which are not broadcast.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ps.document_sketches(documents(sample()))
+        last = got._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plans["sketch-peeled"]
+    # Nor for the fingerprints: only numbers by node are.
+    assert "Exchange" in last and "REPARTITION_BY_NUM" not in last
+
+
+def test_a_table_that_lies_by_a_key_keeps_its_rows_and_leaves_no_name(spark):
+    rows = spark.range(1000).selectExpr("id % 300 as k", "id").repartition(8, "k")
+    names = spark.catalog.listTables("default")
+    dealt = cut_lineage_dealt(rows, "by-key", "k")
+    assert spark.catalog.listTables("default") == names
+    assert sorted(dealt.collect()) == sorted(rows.collect())
+    counted = dealt.groupBy("k").count()
+    assert "Exchange" not in counted._jdf.queryExecution().toString() and counted.count() == 300
+
+
+def test_pairs_of_one_row_fail_apart(spark):
+    crowded = [64 * i for i in range(20)], [64 * i + 1 for i in range(400)]
+    rows = [(1, "edited", *crowded), (1, "next", [5, 6], [6]), (1, "same", [5], [5]), (2, "edited", [8], [])]
+    pairs = spark.createDataFrame(rows, "node long, pair string, a array<long>, b array<long>").repartition(8, "node")
+    expected = {(1, "edited"): 420, (1, "next"): 1, (1, "same"): 0, (2, "edited"): 1}
+    for given, dealt in ((pairs, False), (cut_lineage_dealt(pairs, "pairs", "node"), True)):
+        got = ps.compared(given, ["node", "pair"], dealt).collect()
+        assert {(r.node, r.pair): r.differing for r in got} == expected and len(got) == len(expected)
